@@ -17,7 +17,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cairngraph.functions.scalars import extension_of, language_of
-from cairngraph.session import cut
+from cairngraph.session import cut, ship_with_tasks
+
+ship_with_tasks(__name__)
 
 FACTS = (
     "fact string, project string, file string, ord int, line int, name string, "

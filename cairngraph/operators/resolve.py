@@ -320,37 +320,50 @@ def resolve_names(refs: DataFrame, symbols: DataFrame, bindings: DataFrame) -> D
     return resolved.select(*refs.columns, "hit.target_sid", "hit.rule")
 
 
-def _with_source(refs: DataFrame, symbols: DataFrame, name: str) -> DataFrame:
+_REFERENCE = ["project", "file", "src_qname", "type", "containers", "raw_name"]
+
+
+def base_references(bases: DataFrame) -> DataFrame:
+    return bases.select(
+        "project", "file", F.col("class_qname").alias("src_qname"), F.col("relation").alias("type"),
+        "containers", F.col("base_name").alias("raw_name"), "ord", "line",
+    )
+
+
+def call_references(calls: DataFrame) -> DataFrame:
+    return calls.select(
+        "project", "file", "src_qname", F.lit("CALLS").alias("type"), "containers", "raw_name",
+        "ord", "line",
+    )
+
+
+def reference_edges(refs: DataFrame, symbols: DataFrame, bindings: DataFrame) -> DataFrame:
+    """Edges of references whose name leads somewhere, one per pair and type with the first line.
+
+    A symbol that calls itself gives no edge.
+    """
+    once = refs.groupBy(*_REFERENCE).agg(F.min(F.struct("ord", "line")).alias("first"))
+    found = resolve_names(once, symbols, bindings).filter(F.col("target_sid").isNotNull())
     sources = _by_qualified(symbols).withColumnsRenamed(
-        {"qualified_name": name, "symbol_id": "source_sid"}
+        {"qualified_name": "src_qname", "symbol_id": "source_sid"}
+    )
+    return (
+        found.join(sources, ["project", "file", "src_qname"])
+        .filter((F.col("type") != "CALLS") | (F.col("source_sid") != F.col("target_sid")))
+        .groupBy("project", "file", "source_sid", "target_sid", "type")
+        .agg(F.min("first").alias("first"))
+        .select("project", "file", "first.ord", "source_sid", "target_sid", "type", "first.line")
     )
-    return refs.join(sources, ["project", "file", name])
 
 
 def inheritance_edges(bases: DataFrame, symbols: DataFrame, bindings: DataFrame) -> DataFrame:
     """EXTENDS and IMPLEMENTS; bases that lead nowhere are dropped."""
-    refs = bases.withColumnRenamed("base_name", "raw_name")
-    found = resolve_names(refs, symbols, bindings).filter(F.col("target_sid").isNotNull())
-    return _with_source(found, symbols, "class_qname").select(
-        "project", "file", "ord", "source_sid", "target_sid", F.col("relation").alias("type"), "line"
-    )
+    return reference_edges(base_references(bases), symbols, bindings)
 
 
 def call_edges(calls: DataFrame, symbols: DataFrame, bindings: DataFrame) -> DataFrame:
-    """CALLS without self-edges, one per pair of symbols with the first line."""
-    by = ["project", "file", "src_qname", "containers", "raw_name"]
-    refs = calls.groupBy(*by).agg(F.min(F.struct("line", "ord")).alias("first"))
-    found = resolve_names(refs, symbols, bindings).filter(F.col("target_sid").isNotNull())
-    return (
-        _with_source(found, symbols, "src_qname")
-        .filter(F.col("source_sid") != F.col("target_sid"))
-        .groupBy("project", "file", "source_sid", "target_sid")
-        .agg(F.min("first").alias("first"))
-        .select(
-            "project", "file", "first.ord", "source_sid", "target_sid",
-            F.lit("CALLS").alias("type"), "first.line",
-        )
-    )
+    """CALLS, without calls that lead nowhere."""
+    return reference_edges(call_references(calls), symbols, bindings)
 
 
 def dedupe_edges(edges: DataFrame) -> DataFrame:
@@ -367,10 +380,11 @@ def all_edges(
     """Every relation of the code base from its facts, deduplicated."""
     modules = symbols.filter(F.col("kind") == "module")
     bindings = import_bindings(resolved, symbols)
+    # Bases and calls run through the cascade together.
+    refs = base_references(bases).unionByName(call_references(calls))
     parts = [
         import_edges(resolved, modules),
         contains_edges(symbols),
-        inheritance_edges(bases, symbols, bindings),
-        call_edges(calls, symbols, bindings),
+        reference_edges(refs, symbols, bindings),
     ]
     return dedupe_edges(reduce(DataFrame.unionByName, parts))

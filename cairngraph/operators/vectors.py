@@ -15,6 +15,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cairngraph.operators.common import top_n, union_all, with_position
+from cairngraph.session import ship_with_tasks
+
+ship_with_tasks(__name__)
 
 QUERY_BLOCK = 2048
 MAX_LISTS = 32_768

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import sys
 import tempfile
 
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 
 DEFAULT_CONF = {
@@ -53,3 +55,11 @@ def cut(df: DataFrame) -> DataFrame:
     """
     shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def ship_with_tasks(module: str) -> None:
+    """Send this module's functions to the Python workers with the task itself.
+
+    Jobs then also run where the package is not installed on the executors.
+    """
+    cloudpickle.register_pickle_by_value(sys.modules[module])

@@ -9,6 +9,7 @@ from cairngraph.operators.facts import file_facts
 from cairngraph.operators.search import search
 from cairngraph.plans.index_job import generation_key, index_project
 from cairngraph.schemas import FILES
+from cairngraph.session import cut
 
 PROJECT = "/proj"
 
@@ -30,9 +31,9 @@ def graph_of(spark, sources):
     files = files_of(spark, sources)
     defs, imports, bases, calls, errors = facts_ops.extract_facts(files)
     healthy = facts_ops.healthy_files(files, errors)
-    symbols = resolve.all_symbols(healthy, defs)
+    symbols = cut(resolve.all_symbols(healthy, defs))
     resolved = resolve.resolve_python_modules(imports, files)
-    return symbols, resolve.all_edges(symbols, resolved, bases, calls), errors
+    return symbols, cut(resolve.all_edges(symbols, resolved, bases, calls)), errors
 
 
 UTIL = "def helper():\n    return 'ok'"
@@ -154,6 +155,7 @@ def ts_facts(spark):
 def test_typescript_facts(spark):
     files = files_of(spark, {"mod.ts": "", "sample.ts": ""})
     tables, report = index_project(spark, files, facts=ts_facts(spark), now="t")
+    tables = {name: cut(frame) for name, frame in tables.items()}
     assert report.head()["status"] == "success"
     nodes = tables["nodes"].select("id", "qualified_name")
     found = tables["edges"].join(nodes.toDF("src", "s"), "src").join(nodes.toDF("dst", "d"), "dst")
