@@ -70,7 +70,7 @@ BINDINGS = {
           concat('b:', cast(o_custkey % 10 as string)) as brain_id,
           o_orderdate as created_at, s.last_conducted,
           least(o_totalprice / 500000.0, 1.0) as salience,
-          concat('p:', cast(s.first_part as string)) as anchor_neuron_id
+          'p:' || cast(s.first_part as string) as anchor_neuron_id
         from {orders} left join (
           select l_orderkey, min(l_shipdate) as last_conducted, min(l_partkey) as first_part
           from {lineitem} group by l_orderkey) s on o_orderkey = l_orderkey""",
@@ -100,7 +100,7 @@ BINDINGS = {
     "memories": """
         select concat('f:', cast(event_id as string)) as fiber_id,
           concat('b:', cast(user_id % 10 as string)) as brain_id, event_type as memory_type,
-          cast(value as int) as priority,
+          cast(floor(value) as int) as priority,
           case when event_id % 6 = 0 then cast(null as timestamp)
             else ts + interval '7' day end as expires_at,
           concat('pr:', cast(user_id % 4 as string)) as project_id,
@@ -188,14 +188,18 @@ BINDINGS = {
         select '/proj' as project, concat('p:', cast(p_partkey as string)) as pid,
           concat('pkg', cast(b % 4 as string), '/m', cast(b as string), '.py') as file,
           cast(p_partkey + 1 as int) as ord, name,
-          case when p_size % 3 = 0 then name
+          case when p_size % 5 = 0 then name
+            when p_size % 5 = 1 then concat('C', cast(p_partkey % 7 as string), '.D')
+            when p_size % 3 = 0 then name
             when p_size % 3 = 1 then concat('C', cast(p_partkey % 7 as string), '.', name)
             else concat('C', cast(p_partkey % 7 as string), '.D.', name) end as qualified_name,
           'function' as kind, p_size as line, 'python' as language,
           concat('(a', cast(p_partkey % 3 as string), ')') as signature
         from (select p_partkey, p_size, cast(replace(p_brand, 'Brand#', '') as int) as b,
-                concat(replace(p_name, ' ', '_'), case when p_partkey % 4 = 0
-                  then cast(p_partkey as string) else '' end) as name
+                case when p_size % 5 = 0 then concat('C', cast(p_partkey % 7 as string))
+                  when p_size % 5 = 1 then 'D'
+                  else concat(replace(p_name, ' ', '_'), case when p_partkey % 4 = 0
+                    then cast(p_partkey as string) else '' end) end as name
               from {part}) x""",
     "code_files": """
         select distinct project, file as path from {defs}""",

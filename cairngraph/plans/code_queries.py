@@ -181,7 +181,6 @@ LAST_QUALIFIED = """
     "symbols",
 )
 def contains_edges(t):
-    # Members hang below classes, which `part` does not name: half of them become the parents.
     return resolve.contains_edges(t.symbols).drop("project", "type")
 
 
