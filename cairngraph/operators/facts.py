@@ -31,6 +31,8 @@ _ARROW = {"string": pa.string(), "int": pa.int32(), "array<string>": pa.list_(pa
 FACT_SCHEMA = pa.schema([(f.split()[0], _ARROW[f.split()[1]]) for f in FACTS.split(", ")])
 OUTPUT_ROWS = 10_000
 _FUNCTIONS = (ast.FunctionDef, ast.AsyncFunctionDef)
+# Nodes that hold neither definitions nor calls.
+_LEAVES = (ast.Name, ast.Constant, ast.expr_context, ast.operator, ast.cmpop, ast.alias)
 
 
 class _Source:
@@ -119,7 +121,7 @@ def _import(order, node, form, spec, imported, binding) -> dict:
     }
 
 
-def _tree_facts(tree: ast.Module, source: _Source, signatures: dict) -> Iterator[dict]:
+def _tree_facts(tree: ast.Module, source: _Source, text: str) -> Iterator[dict]:
     """Definitions, bases and calls.
 
     Containers of definitions and calls are all enclosing classes and functions, those of bases only
@@ -133,22 +135,23 @@ def _tree_facts(tree: ast.Module, source: _Source, signatures: dict) -> Iterator
         inner, inner_classes, inside = names, classes, functions
         if isinstance(node, ast.ClassDef):
             inner, inner_classes = (*names, node.name), (*classes, node.name)
-            definitions.append((node, inner, "class", ""))
+            definitions.append((node, inner, "class"))
             for base in node.bases:
                 if isinstance(base, (ast.Name, ast.Attribute)):
                     bases.append((node, inner_classes, classes, source.of(base), base))
         elif isinstance(node, _FUNCTIONS):
             inner = (*names, node.name)
-            kind = "method" if names else "function"
-            definitions.append((node, inner, kind, signatures[node.lineno, node.col_offset]))
+            definitions.append((node, inner, "method" if names else "function"))
             inside = (*functions, (".".join(inner), names))
         elif isinstance(node, ast.Call):
             raw = _callee(node, source)
             calls += [(node, name, containers, raw) for name, containers in functions]
-        decorators = getattr(node, "decorator_list", [])
+        decorators = getattr(node, "decorator_list", ())
         for child in ast.iter_child_nodes(node):
+            if isinstance(child, _LEAVES):
+                continue
             # A decorator belongs to what surrounds the definition.
-            if child in decorators:
+            if decorators and child in decorators:
                 stack.append((child, names, classes, functions))
             else:
                 stack.append((child, inner, inner_classes, inside))
@@ -156,7 +159,11 @@ def _tree_facts(tree: ast.Module, source: _Source, signatures: dict) -> Iterator
     def place(item):
         return item[0].lineno, item[0].col_offset
 
-    for order, (node, path, kind, signature) in enumerate(sorted(definitions, key=place), start=1):
+    definitions.sort(key=place)
+    functions_only = [node for node, _, kind in definitions if kind != "class"]
+    signatures = dict(zip(map(id, functions_only), _parameter_texts(text), strict=True))
+    for order, (node, path, kind) in enumerate(definitions, start=1):
+        signature = signatures.get(id(node), "")
         yield {
             "fact": "def", "ord": order, "line": node.lineno, "name": path[-1],
             "qualified_name": ".".join(path), "kind": kind, "signature": signature,
@@ -178,11 +185,12 @@ def file_facts(text: str) -> list[dict]:
     """All facts of one Python file; raises on text that is no Python."""
     text = text.removeprefix("\ufeff")
     tree = ast.parse(text)
-    source = _Source(text)
-    functions = [node for node in ast.walk(tree) if isinstance(node, _FUNCTIONS)]
-    places = sorted((node.lineno, node.col_offset) for node in functions)
-    signatures = dict(zip(places, _parameter_texts(text), strict=True))
-    return [*_import_facts(tree), *_tree_facts(tree, source, signatures)]
+    return [*_import_facts(tree), *_tree_facts(tree, _Source(text), text)]
+
+
+def _batch_of(rows: list[dict]) -> pa.RecordBatch:
+    columns = [pa.array([row.get(f.name) for row in rows], f.type) for f in FACT_SCHEMA]
+    return pa.RecordBatch.from_arrays(columns, schema=FACT_SCHEMA)
 
 
 def _facts_of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -195,15 +203,21 @@ def _facts_of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBa
                 facts = [{"fact": "error", "error": f"{type(error).__name__}: {error}"}]
             rows += [{"project": file["project"], "file": file["path"], **fact} for fact in facts]
             if len(rows) >= OUTPUT_ROWS:
-                yield pa.RecordBatch.from_pylist(rows, FACT_SCHEMA)
+                yield _batch_of(rows)
                 rows = []
         if rows:
-            yield pa.RecordBatch.from_pylist(rows, FACT_SCHEMA)
+            yield _batch_of(rows)
 
 
-def facts_table(files: DataFrame) -> DataFrame:
-    """All facts of the Python files as one table, `fact` telling the kind."""
+def facts_table(files: DataFrame, partitions: int | None = None) -> DataFrame:
+    """All facts of the Python files as one table, `fact` telling the kind.
+
+    Parsing costs far more time per byte than scanning: `partitions` spreads files that come in
+    fewer or uneven partitions.
+    """
     python = files.filter(language_of(extension_of("path")) == "python")
+    if partitions:
+        python = python.repartition(partitions, "project", "path")
     return python.select("project", "path", "content").mapInArrow(_facts_of_batches, FACTS)
 
 
@@ -226,9 +240,11 @@ def split_facts(facts: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame, Data
     return defs, imports, bases, calls, kind("error", "error")
 
 
-def extract_facts(files: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame, DataFrame]:
+def extract_facts(
+    files: DataFrame, partitions: int | None = None
+) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame, DataFrame]:
     """(defs, imports, bases, calls, errors). Files are parsed once and the facts written."""
-    return split_facts(cut(facts_table(files)))
+    return split_facts(cut(facts_table(files, partitions)))
 
 
 def healthy_files(files: DataFrame, errors: DataFrame) -> DataFrame:

@@ -33,6 +33,11 @@ def source_files(t, broken: bool = False):
     )
 
 
+def source_facts(t):
+    # The written files are few bytes and much parsing.
+    return facts.facts_table(source_files(t), t.spark.sparkContext.defaultParallelism)
+
+
 FILE = "concat('m', cast(n as varchar), '.py')"
 FIRST_LINE = "3 + 5 * (p % 20)"
 
@@ -51,7 +56,7 @@ FIRST_LINE = "3 + 5 * (p % 20)"
     "source_lines",
 )
 def definitions(t):
-    defs, *_ = facts.split_facts(facts.facts_table(source_files(t)))
+    defs, *_ = facts.split_facts(source_facts(t))
     return defs.select("file", "qualified_name", "kind", "line", "signature")
 
 
@@ -66,7 +71,7 @@ def definitions(t):
     "source_lines",
 )
 def imports(t):
-    _, found, *_ = facts.split_facts(facts.facts_table(source_files(t)))
+    _, found, *_ = facts.split_facts(source_facts(t))
     return found.drop("project")
 
 
@@ -83,7 +88,7 @@ def imports(t):
     "source_lines",
 )
 def calls(t):
-    found = facts.split_facts(facts.facts_table(source_files(t)))[3]
+    found = facts.split_facts(source_facts(t))[3]
     return found.select(
         "file", "src_qname", F.array_join("containers", ".").alias("containers"), "raw_name", "line"
     )
@@ -98,7 +103,7 @@ def calls(t):
     "source_lines",
 )
 def bases(t):
-    found = facts.split_facts(facts.facts_table(source_files(t)))[2]
+    found = facts.split_facts(source_facts(t))[2]
     return found.select("file", "class_qname", "base_name", "relation", "line")
 
 

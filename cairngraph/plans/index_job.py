@@ -12,7 +12,9 @@ from pyspark.sql import functions as F
 
 from cairngraph.operators import facts as facts_ops
 from cairngraph.operators import lifecycle, resolve
+from cairngraph.operators.graph import valid_edges
 from cairngraph.operators.rollup import index_report
+from cairngraph.operators.tables import upsert
 from cairngraph.session import cut
 from cairngraph.sources.files import MAX_FILES, scan_files, scan_report
 
@@ -67,30 +69,32 @@ def index_project(
     return tables, index_report(scan, ours)
 
 
+def spark_parallelism(df: DataFrame) -> int:
+    return df.sparkSession.sparkContext.defaultParallelism
+
+
 def _run(tables, gens, files, scan, generation, project, exts, max_files, extra):
     scanned = scan_files(files, exts, max_files).select("project", "path", "length", "content")
-    scanned = cut(scanned)
-    defs, imports, bases, calls, errors = facts_ops.extract_facts(scanned)
+    spread = spark_parallelism(files)
+    defs, imports, bases, calls, errors = facts_ops.extract_facts(scanned, spread)
     healthy = facts_ops.healthy_files(scanned, errors).select("project", "path")
     skipped = errors.select("file").distinct().count()
     if skipped == scan.head()["supported_files"]:
         error = f"No files indexed successfully in {project}"
         return tables, lifecycle.fail(gens, generation, error)
-    js_imports = imports.filter(F.lit(False))
+    resolved = resolve.resolve_python_modules(imports, files)
     if extra:
         defs = defs.unionByName(extra["defs"])
         bases = bases.unionByName(extra["bases"])
         calls = calls.unionByName(extra["calls"])
-        js_imports = extra["imports"]
+        resolved = resolved.unionByName(resolve.resolve_js_modules(extra["imports"], files))
     symbols = cut(resolve.all_symbols(healthy, defs))
-    resolved = resolve.resolve_python_modules(imports, files).unionByName(
-        resolve.resolve_js_modules(js_imports, files)
-    )
-    edges = resolve.all_edges(symbols, resolved, bases, calls)
+    edges = resolve.all_edges(symbols, cut(resolved), bases, calls)
     fresh_nodes = cut(lifecycle.symbol_nodes(symbols, generation).dropDuplicates(["id"]))
     stored = dict(tables)
-    stored["nodes"] = lifecycle.store_symbols(tables["nodes"], symbols, generation)
-    fresh_edges = cut(lifecycle.store_edges(tables["edges"].limit(0), edges, fresh_nodes, generation))
+    stored["nodes"] = upsert(tables["nodes"], fresh_nodes, ["id"])
+    # Edges are unique by now, so the ids are too.
+    fresh_edges = cut(valid_edges(lifecycle.symbol_edges(edges, generation), fresh_nodes))
     stored["edges"] = tables["edges"].join(fresh_edges.select("id"), "id", "left_anti").unionByName(
         fresh_edges
     )

@@ -55,9 +55,13 @@ def scan_files(
     max_files: int = MAX_FILES,
     max_size: int = MAX_FILE_SIZE,
 ) -> DataFrame:
-    """The first `max_files` supported files by path. The cap is part of the operator."""
+    """The first `max_files` supported files by path. The cap is part of the operator.
+
+    The choice is made on paths alone, contents only join in afterwards.
+    """
     supported = eligible_files(files, exts, max_size).filter(F.col("support") == "supported")
-    return supported.orderBy("path").limit(max_files)
+    first = supported.select("path").orderBy("path").limit(max_files)
+    return supported.join(first, "path", "left_semi").select(*supported.columns)
 
 
 def scan_report(
