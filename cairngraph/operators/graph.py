@@ -96,7 +96,7 @@ def linked_symbols(
     here, there = ("dst", "src") if direction == "in" else ("src", "dst")
     calls = code_edges(edges, CALLS).select(F.col(here).alias("id"), F.col(there).alias("__other"))
     pairs = starts.select("seed", "id").join(calls, "id").select("seed", F.col("__other").alias("id"))
-    found = pairs.distinct().join(nodes, "id")
+    found = pairs.join(nodes, "id")
     once = first_by(found, ["seed", "symbol_id"], ["id"])
     return top_n(once, ["seed"], [*SYMBOL_ORDER, "id"], limit, "rank")
 

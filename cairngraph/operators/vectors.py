@@ -40,18 +40,19 @@ def _best_of_batch(
     scores = queries @ _unit(_matrix(pdf["embedding"])).T
     if allowed is not None:
         scores = np.where(allowed, scores, -np.inf)
-    ids = pdf["id"].to_numpy()
+    # Only scores that reach the k-th best of their query are sorted.
+    k = min(k, scores.shape[1])
+    bar = np.partition(scores, -k, axis=1)[:, -k, None]
+    query, row = np.nonzero((scores >= bar) & np.isfinite(scores))
+    best, ids = scores[query, row], pdf["id"].to_numpy()[row]
     # Equal similarities are settled by id, as in the final ranking.
-    order = np.lexsort((np.broadcast_to(ids, scores.shape), -scores), axis=1)[:, :k]
-    best = np.take_along_axis(scores, order, axis=1)
-    frame = pd.DataFrame(
-        {
-            "query_id": np.repeat(query_ids, order.shape[1]),
-            "id": ids[order].ravel(),
-            "similarity": best.ravel(),
-        }
+    order = np.lexsort((ids, -best, query))
+    query, best, ids = query[order], best[order], ids[order]
+    rank = np.arange(len(query)) - np.searchsorted(query, query)
+    kept = rank < k
+    return pd.DataFrame(
+        {"query_id": query_ids[query[kept]], "id": ids[kept], "similarity": best[kept]}
     )
-    return frame[np.isfinite(frame["similarity"])]
 
 
 def query_blocks(queries: DataFrame, block: int = QUERY_BLOCK) -> list[pd.DataFrame]:

@@ -183,10 +183,11 @@ BINDINGS = {
             cast(p_partkey as string), '():\n    return K', cast(p_partkey as string), '()\n')
             as snippet
         from {part}""",
-    # Facts of a code base: one file per brand, definitions from `part`, references from `edges`.
+    # Facts of a code base: files of up to 500 parts of a brand, references from `edges`.
     "defs": """
         select '/proj' as project, concat('p:', cast(p_partkey as string)) as pid,
-          concat('pkg', cast(b % 4 as string), '/m', cast(b as string), '.py') as file,
+          concat('pkg', cast(b % 4 as string), '/m', cast(b as string), 'x',
+            cast(cast(floor(p_partkey / 500) as bigint) as string), '.py') as file,
           cast(p_partkey + 1 as int) as ord, name,
           case when p_size % 5 = 0 then name
             when p_size % 5 = 1 then concat('C', cast(p_partkey % 7 as string), '.D')

@@ -149,14 +149,20 @@ def inverted_index(t):
 
 @query(
     "fl09_posting_blocks",
-    f"""with {WORDS.strip()} select token, string_agg(doc_id, ',' order by doc_id) as ids
+    f"""with {WORDS.strip()} select token, cast(count(*) as bigint) as ids, min(doc_id) as first_id,
+          max(doc_id) as last_id, cast(sum(doc_id) as bigint) as id_sum
         from words group by token""",
 )
 def posting_blocks(t):
     postings, frequencies = search.inverted_index(t.documents, "doc_id", "text")
-    # One block holds every list of these tables; splitting is tested on a fixture.
-    blocks = search.posting_blocks(postings, frequencies, "doc_id", block=1 << 40)
-    return blocks.select("token", F.array_join("ids", ",").alias("ids"))
+    blocks = search.posting_blocks(postings, frequencies, "doc_id", block=64)
+    total = F.aggregate("ids", F.lit(0).cast("bigint"), lambda acc, i: acc + i)
+    return blocks.groupBy("token").agg(
+        F.sum(F.size("ids")).alias("ids"),
+        F.min(F.element_at("ids", 1)).alias("first_id"),
+        F.max(F.element_at("ids", -1)).alias("last_id"),
+        F.sum(total).alias("id_sum"),
+    )
 
 
 def label_means(t, key: str):

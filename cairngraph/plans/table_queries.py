@@ -55,7 +55,7 @@ def brain_stats(t):
     "nodes store_edges",
 )
 def index_report(t):
-    scan, _ = scan_report(t.files, max_files=10_000_000)
+    scan, _ = scan_report(t.files)
     gens = _counted_generations(t)
     report = rollup.index_report(scan, gens.filter("generation_id = 'g1_0'"))
     return report.select("status", "generation_id", "symbols", "edges", "skipped")

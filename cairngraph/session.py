@@ -16,6 +16,8 @@ DEFAULT_CONF = {
     # Split a skewed join input even when that costs one more exchange downstream.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Checkpoint files go when their frames go.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
