@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from cairngraph.functions.scalars import risk
 from cairngraph.operators.common import first_by, top_n, union_all
-from cairngraph.operators.search import SYMBOL_ORDER, active_symbols, code_edges
+from cairngraph.operators.search import SYMBOL_ORDER, active_symbols, code_edges, in_project
 from cairngraph.session import cut
 
 # A frontier of at most this many rows is sent to all tasks instead of shuffling the edges.
@@ -114,8 +114,7 @@ def _linked(nodes, edges, generations, symbol, project, limit, direction) -> Dat
     starts = start_nodes(nodes, generations, symbol, project)
     here = "dst" if direction == "in" else "src"
     near = edges_at(code_edges(edges, CALLS), starts, here)
-    within = nodes if project is None else nodes.filter(F.col("project_path") == project)
-    found = linked_symbols(within, near, starts, direction, limit)
+    found = linked_symbols(in_project(nodes, project), near, starts, direction, limit)
     return found.select(*nodes.columns).orderBy(*SYMBOL_ORDER, "id")
 
 
@@ -251,7 +250,7 @@ def impact(
     """
     starts = start_nodes(nodes, generations, symbol_id, project)
     if project is not None:
-        nodes = nodes.filter(F.col("project_path") == project)
+        nodes = in_project(nodes, project)
         edges = edges.join(nodes.select(F.col("id").alias("src")), "src", "left_semi")
     symbols, summary = impact_batch(nodes, edges, starts, max_depth, max_results)
     asked = nodes.sparkSession.range(1).select(F.lit(symbol_id).alias("seed"))

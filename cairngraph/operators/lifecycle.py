@@ -158,7 +158,7 @@ def clear_index(
 
     Edges go with their end nodes, whichever project they name.
     """
-    in_project = F.col("project_path") == project
+    in_project = F.col("project_path") == S.normalize_path(F.lit(project))
     doomed = in_project & (S.has_tag("tags", CODE_TAG) if "tags" in nodes.columns else F.lit(True))
     gone = nodes.filter(doomed).select("id")
     left = edges.join(gone.withColumnRenamed("id", "src"), "src", "left_anti")

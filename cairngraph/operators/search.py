@@ -79,6 +79,13 @@ def code_edges(edges: DataFrame, edge_type: str | None = None) -> DataFrame:
 # --- symbols of active generations ----------------------------------------------------------
 
 
+def in_project(df: DataFrame, project: str | None) -> DataFrame:
+    """Rows of one project, whose path may be written in any way; all rows without one."""
+    if project is None:
+        return df
+    return df.filter(F.col("project_path") == normalize_path(F.lit(project)))
+
+
 def active_symbols(
     nodes: DataFrame,
     generations: DataFrame,
@@ -89,12 +96,8 @@ def active_symbols(
 
     With generations but no active one the result is empty. `project` limits both tables.
     """
-    found = nodes.filter(has_tag("tags", CODE_TAG)) if "tags" in nodes.columns else nodes
-    gens = generations
-    if project is not None:
-        path = normalize_path(F.lit(project))
-        found = found.filter(F.col("project_path") == path)
-        gens = gens.filter(F.col("project_path") == path)
+    tagged = nodes.filter(has_tag("tags", CODE_TAG)) if "tags" in nodes.columns else nodes
+    found, gens = in_project(tagged, project), in_project(generations, project)
     if kind is not None:
         found = found.filter(F.col("kind") == kind)
     any_generation = gens.agg((F.count(F.lit(1)) > 0).alias("any")).scalar()

@@ -74,7 +74,9 @@ def merge_snapshots(
     wins = {
         "prefer_local": F.lit(False),
         "prefer_remote": F.lit(True),
-        "prefer_recent": F.coalesce(theirs[recency] > mine[recency], F.lit(False)),
+        "prefer_recent": F.coalesce(theirs[recency] > mine[recency], F.lit(False))
+        if recency in local.columns
+        else F.lit(False),
         "prefer_stronger": F.coalesce(theirs[strength] > mine[strength], F.lit(False))
         if strength in local.columns
         else F.lit(False),

@@ -53,6 +53,26 @@ def reconcile(df: DataFrame, target: dict[str, str]) -> tuple[DataFrame | None,
     return (df.select(*common) if common else None), report
 
 
+def reconcile_tables(
+    tables: dict[str, DataFrame], catalog: dict[str, dict[str, str]]
+) -> tuple[dict[str, DataFrame], DataFrame]:
+    """Reconciled tables and the column report of all.
+
+    Tables the catalog does not know, empty ones and those with nothing in common are left out.
+    """
+    kept, reports = {}, []
+    for name, frame in tables.items():
+        if name not in catalog:
+            continue
+        common, report = reconcile(frame, catalog[name])
+        reports.append(report.select(F.lit(name).alias("table_name"), "column_name", "side"))
+        if common is not None and not frame.isEmpty():
+            kept[name] = common
+    if not reports:
+        raise ValueError("no table is known to the catalog")
+    return kept, union_all(reports)
+
+
 # --- coercion and quarantine ----------------------------------------------------------------
 
 _NUMERIC = (
@@ -77,7 +97,9 @@ def coerce(c: Column, data_type: T.DataType, target_type: str) -> Column:
     if target_type in SKIPPED_TARGET_TYPES:
         return F.lit(None).cast("string")
     if target == "boolean":
-        return S.to_bool(c, kind)
+        return F.length(c) > 0 if kind == "binary" else S.to_bool(c, kind)
+    if kind == "binary" and target in ("integer", "bigint", "smallint", "double precision", "real", "numeric"):
+        c, kind = c.cast("string"), "string"
     if target in ("integer", "bigint", "smallint"):
         return S.to_int(c, kind)
     if target in ("double precision", "real", "numeric"):

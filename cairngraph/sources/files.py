@@ -42,7 +42,7 @@ def eligible_files(
     kept = files.filter(~F.col("path").rlike(f"(^|/)({ignored})/")).filter(
         F.col("length") <= max_size
     )
-    if exts is not None:
+    if exts:
         kept = kept.filter(ext.isin(*{e.lower() for e in exts}))
     return kept.withColumns(
         {"ext": ext, "support": support_of(ext), "language": language_of(ext)}
