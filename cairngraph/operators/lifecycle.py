@@ -14,12 +14,10 @@ from cairngraph.functions import scalars as S
 from cairngraph.operators.common import union_all
 from cairngraph.operators.graph import valid_edges
 from cairngraph.operators.rollup import generation_counts
+from cairngraph.operators.search import CODE_TAG
 from cairngraph.operators.tables import insert_ignore, upsert
 from cairngraph.schemas import CODE_EDGES, CODE_NODES, FOREIGN_KEYS, GENERATIONS, PRIMARY_KEYS
 
-CODE_TAG = "codeintel"
-HOURS = 3600.0
-
 
 class CountMismatch(ValueError):
     """The stored rows of a generation are not as many as were reported."""

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from cairngraph.functions.scalars import has_tag, matches_query, normalize_path
 
+# Fixed value: the tag of code-graph rows.
 CODE_TAG = "codeintel"
 SYMBOL_ORDER = ("qualified_name", "file", "line")
 
@@ -172,9 +173,15 @@ def inverted_index(
 def posting_blocks(
     postings: DataFrame, frequencies: DataFrame, key: str = "id", block: int = 4096
 ) -> DataFrame:
-    """Sorted key lists per token, split in hashed blocks of about `block` keys each."""
-    sized = postings.join(frequencies.select("token", "df"), "token")
-    blocks = F.ceil(F.col("df") / block)
+    """Sorted key lists per token, split in hashed blocks of about `block` keys each.
+
+    Only tokens of more than one block need their frequency, so the join stays with those.
+    """
+    frequent = frequencies.filter(F.col("df") > block).select(
+        "token", F.ceil(F.col("df") / block).alias("__blocks")
+    )
+    sized = postings.join(frequent, "token", "left")
+    blocks = F.coalesce("__blocks", F.lit(1))
     return (
         sized.withColumn("block_no", F.pmod(F.xxhash64(key), blocks))
         .groupBy("token", "block_no")

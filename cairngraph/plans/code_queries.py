@@ -133,7 +133,7 @@ def module_symbols(t):
     "resolved",
 )
 def python_modules(t):
-    found = resolve.resolve_python_modules(t.py_imports, t.code_files)
+    found = resolve.resolve_python_modules(t.stored("py_imports"), t.code_files)
     return found.select("file", "ord", "module_spec", "target_file")
 
 
@@ -145,7 +145,7 @@ def python_modules(t):
     "js_imports js_files",
 )
 def js_modules(t):
-    found = resolve.resolve_js_modules(t.js_imports, t.js_files)
+    found = resolve.resolve_js_modules(t.stored("js_imports"), t.js_files)
     return found.select("file", "module_spec", "target_file")
 
 
@@ -158,14 +158,14 @@ def js_modules(t):
     "resolved",
 )
 def import_edges(t):
-    resolved = resolve.resolve_python_modules(t.py_imports, t.code_files)
+    resolved = resolve.resolve_python_modules(t.stored("py_imports"), t.code_files)
     modules = t.symbols.filter("kind = 'module'")
     return resolve.import_edges(resolved, modules).drop("project")
 
 
 @query("cf09_import_bindings", "select file, binding_name, target_sid from bindings", "bindings")
 def import_bindings(t):
-    resolved = resolve.resolve_python_modules(t.py_imports, t.code_files)
+    resolved = resolve.resolve_python_modules(t.stored("py_imports"), t.code_files)
     return resolve.import_bindings(resolved, t.symbols).drop("project")
 
 
@@ -225,13 +225,13 @@ CASCADE = f"""
 def _references(t):
     text = F.col("container_text")
     containers = F.when(text == "", F.array().cast("array<string>")).otherwise(F.split(text, r"\."))
-    return t.refs.withColumns({"containers": containers, "type": F.col("edge_type")}).drop(
+    return t.stored("refs").withColumns({"containers": containers, "type": F.col("edge_type")}).drop(
         "container_text", "edge_type"
     )
 
 
 def _bindings(t):
-    resolved = resolve.resolve_python_modules(t.py_imports, t.code_files)
+    resolved = resolve.resolve_python_modules(t.stored("py_imports"), t.code_files)
     return resolve.import_bindings(resolved, t.symbols)
 
 

@@ -71,9 +71,48 @@ def impact(t):
     return found.select("id", "depth", "qualified_name", "file")
 
 
-@query("gr04_impact_capped")
+def _capped_level(number: int, before: str, seen: str, used: str) -> str:
+    return f"""
+        all{number} as (
+          select distinct e.src as id from call_edges e where e.dst in ({before})
+            and e.src not in ({seen})),
+        kept{number} as (
+          select id from (select a.id, row_number() over (order by qualified_name, file, line,
+              symbol_id, a.id) as rn from all{number} a join nodes on a.id = nodes.id) x
+          where rn <= 3 - ({used}))"""
+
+
+CAPPED = ",".join(
+    [
+        _capped_level(1, "select 'p:6'", "select 'p:6'", "0"),
+        _capped_level(
+            2,
+            "select id from kept1",
+            "select 'p:6' union all select id from all1",
+            "select count(*) from kept1",
+        ),
+        _capped_level(
+            3,
+            "select id from kept2",
+            "select 'p:6' union all select id from all1 union all select id from all2",
+            "(select count(*) from kept1) + (select count(*) from kept2)",
+        ),
+    ]
+)
+
+
+@query(
+    "gr04_impact_capped",
+    f"""with {CAPPED.strip()},
+          found as (select id, 1 as depth from kept1 union all select id, 2 from kept2
+            union all select id, 3 from kept3),
+          seen as (select (select count(*) from all1) + (select count(*) from all2)
+            + (select count(*) from all3) as n)
+        select id, depth, seen.n > (select count(*) from found) as truncated,
+          seen.n + 1 as total_visited, 'low' as risk from found, seen""",
+    "call_edges nodes",
+)
 def impact_capped(t):
-    # Which symbols stay depends on the order within a level; brute force is the twin here.
     found, summary = graph.impact(t.nodes, calls(t), t.generations, "6", max_results=3)
     whole = summary.select(F.struct("truncated", "total_visited", "risk")).scalar()
     return found.withColumn("s", whole).select("id", "depth", "s.*")
