@@ -277,26 +277,32 @@ def _lookups(symbols: DataFrame, bindings: DataFrame) -> DataFrame:
 
 
 def _candidates() -> Column:
-    """The cascade as an ordered list of (rule, name space, key) for one reference."""
+    """The cascade as an ordered list of (rule, name space, key) for one reference.
+
+    A key that an earlier rule has tried in the same name space is left out.
+    """
     raw, containers = F.col("raw_name"), F.col("containers")
-    nested = F.size(containers) > 0
+    depth = F.size(containers)
+    nested = depth > 0
     own = nested & (raw.startswith("self.") | raw.startswith("this."))
-    rest = F.when(own, F.regexp_replace(raw, r"^(self|this)\.", "")).otherwise(raw)
+    # Both prefixes are five characters long.
+    rest = F.when(own, F.substring(raw, 6, 1 << 30)).otherwise(raw)
     outer = F.try_element_at(containers, F.lit(1))
+    in_outer = F.concat_ws(".", outer, rest)
+    in_all = F.concat_ws(".", F.array_join(containers, "."), rest)
 
-    def option(rule: int, space: str, key: Column, when: Column) -> Column:
+    def option(rule: int, space: str, key: Column, when: Column | None = None) -> Column:
         entry = F.struct(F.lit(rule).alias("rule"), F.lit(space).alias("space"), key.alias("key"))
-        return F.when(when & key.isNotNull(), entry)
+        return entry if when is None else F.when(when, entry)
 
-    always = F.lit(True)
     return F.array_compact(
         F.array(
-            option(1, "binding", raw, always),
-            option(2, "qualified", F.concat_ws(".", outer, rest), own),
-            option(3, "qualified", rest, always),
-            option(4, "qualified", F.concat_ws(".", F.array_join(containers, "."), rest), nested),
-            option(5, "qualified", F.concat_ws(".", outer, rest), nested),
-            option(6, "simple", rest, always),
+            option(1, "binding", raw),
+            option(2, "qualified", in_outer, own),
+            option(3, "qualified", rest),
+            option(4, "qualified", in_all, nested & ~(own & (depth == 1))),
+            option(5, "qualified", in_outer, nested & ~own & (depth > 1)),
+            option(6, "simple", rest),
         )
     )
 
