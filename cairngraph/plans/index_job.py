@@ -41,7 +41,7 @@ def index_project(
 
     Python files are read here; `facts` brings fact tables of the JS/TS files. A file that cannot be
     read is skipped with all its rows. When none can be read the generation fails and the former one
-    stays active, as it does on any error.
+    stays active. Equal definitions are stored once; the report counts the others as duplicates.
     """
     tables = dict(tables or lifecycle.empty_store(spark))
     now = now or datetime.now(UTC).isoformat()
@@ -56,17 +56,25 @@ def index_project(
     scan = cut(scan)
     no_generation = tables["generations"].filter(F.lit(False))
     if scan.head()["outcome"] != "ok":
-        return tables, index_report(scan, no_generation)
+        return tables, _report(scan, no_generation)
 
     gens = lifecycle.create_generation(tables["generations"], project, now)
     generation = generation_key(project, now)
+    duplicates = 0
     try:
-        tables, gens = _run(tables, gens, files, scan, generation, project, exts, max_files, facts)
+        tables, gens, duplicates = _run(
+            tables, gens, files, scan, generation, project, exts, max_files, facts
+        )
     except lifecycle.CountMismatch as error:
         gens = lifecycle.fail(gens, generation, str(error))
     tables["generations"] = cut(gens)
     ours = tables["generations"].filter(F.col("generation_id") == generation)
-    return tables, index_report(scan, ours)
+    return tables, _report(scan, ours, duplicates)
+
+
+def _report(scan: DataFrame, generation: DataFrame, duplicates: int = 0) -> DataFrame:
+    report = index_report(scan, generation)
+    return report.withColumn("duplicate_symbols", F.lit(duplicates).cast("bigint"))
 
 
 def spark_parallelism(df: DataFrame) -> int:
@@ -81,7 +89,7 @@ def _run(tables, gens, files, scan, generation, project, exts, max_files, extra)
     skipped = errors.select("file").distinct().count()
     if skipped == scan.head()["supported_files"]:
         error = f"No files indexed successfully in {project}"
-        return tables, lifecycle.fail(gens, generation, error)
+        return tables, lifecycle.fail(gens, generation, error), 0
     resolved = resolve.resolve_python_modules(imports, files)
     if extra:
         defs = defs.unionByName(extra["defs"])
@@ -98,14 +106,15 @@ def _run(tables, gens, files, scan, generation, project, exts, max_files, extra)
     stored["edges"] = tables["edges"].join(fresh_edges.select("id"), "id", "left_anti").unionByName(
         fresh_edges
     )
+    symbol_count = fresh_nodes.count()
     gens = lifecycle.activate(
         gens,
         fresh_nodes,
         fresh_edges,
         generation,
         project,
-        symbol_count=fresh_nodes.count(),
+        symbol_count=symbol_count,
         edge_count=fresh_edges.count(),
         skipped_files=skipped,
     )
-    return stored, gens
+    return stored, gens, symbols.count() - symbol_count

@@ -217,6 +217,15 @@ def test_index_skips_broken_file(spark, rows):
     assert (report.head()["status"], report.head()["symbols"]) == ("error", 0)
 
 
+def test_equal_definitions_are_one_symbol(spark, rows):
+    text = "def f(a):\n    return 1\n\ndef f(a):\n    return g()\n\ndef g():\n    return f(2)\n"
+    tables, report = index_project(spark, files_of(spark, {"twice.py": text}), now="t")
+    row = report.head()
+    assert (row["status"], row["symbols"], row["duplicate_symbols"]) == ("success", 3, 1)
+    links = tables["edges"].filter("edge_type = 'CALLS'")
+    assert links.count() == 2
+
+
 def test_module_resolution(spark):
     files = files_of(
         spark,
