@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from cairngraph.llm import packing  # noqa: F401
+from cairngraph.llm import (  # noqa: F401
+    bpe,
+    packing,
+)
 from cairngraph.llm.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
