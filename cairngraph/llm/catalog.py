@@ -4,7 +4,10 @@ from __future__ import annotations
 
 from cairngraph.llm import (  # noqa: F401
     bpe,
+    jaccard,
     packing,
+    quality_rules,
+    substring,
 )
 from cairngraph.llm.registry import ORACLES, QUERIES
 

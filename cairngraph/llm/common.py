@@ -64,3 +64,34 @@ def components(links: DataFrame, rounds: int = 50) -> DataFrame:
 
 def first_in_group(keys: list[str], *order: str) -> Window:
     return Window.partitionBy(*keys).orderBy(*order)
+
+
+def by_group(keys: list[str], step: Callable[[pa.Table], Iterator[pa.RecordBatch]]) -> Callable:
+    """A `mapInArrow` function for partitions sorted by `keys`: `step` gets one whole group at a time.
+
+    Only the group at hand is held; the caller bounds its size.
+    """
+    import numpy as np
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        last = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            columns = [batch.column(k).to_numpy(zero_copy_only=False) for k in keys]
+            new = np.zeros(batch.num_rows, bool)
+            for c in columns:
+                new[1:] |= c[1:] != c[:-1]
+            edges = [0, *np.flatnonzero(new).tolist(), batch.num_rows]
+            for a, b in zip(edges, edges[1:], strict=False):
+                key = tuple(c[a] for c in columns)
+                if held and key != last:
+                    yield from step(pa.Table.from_batches(held))
+                    held = []
+                last = key
+                held.append(batch.slice(a, b - a))
+        if held:
+            yield from step(pa.Table.from_batches(held))
+
+    return run
