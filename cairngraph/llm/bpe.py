@@ -21,6 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cairngraph.llm.common import texts
 from cairngraph.llm.registry import query, table
 
 CACHE_WORDS = 300_000
@@ -222,7 +223,7 @@ def encode(docs: DataFrame, path: str, digests: bool = False) -> DataFrame:
     token and decode to an empty text. Repeated rows and null ids stay rows of their own; an empty table gives no row; other
     columns than `doc_id` and `text` are ignored.
     """
-    plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    plain = docs.select(*texts(docs))
     kind = "string" if digests else "binary"
     return plain.mapInArrow(_coded(path, not digests), f"doc_id long, n_tokens long, ids {kind}, decoded string")
 

@@ -95,3 +95,12 @@ def by_group(keys: list[str], step: Callable[[pa.Table], Iterator[pa.RecordBatch
             yield from step(pa.Table.from_batches(held))
 
     return run
+
+
+def texts(docs: DataFrame) -> list[Column]:
+    """`doc_id` as long and `text` as string; cast only where needed, so that equal inputs give equal plans."""
+    kinds = dict(docs.dtypes)
+    out = []
+    for name, kind in (("doc_id", "bigint"), ("text", "string")):
+        out.append(F.col(name) if kinds[name] == kind else F.col(name).cast(kind).alias(name))
+    return out

@@ -26,6 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cairngraph.llm.common import texts
 from cairngraph.llm.registry import query, table
 
 PIECES = (
@@ -225,7 +226,7 @@ def pack(
     and repeated or null ids are documents of their own, told apart by their pieces; an empty table gives no piece.
     Columns other than `doc_id` and `text` are ignored. `sentence` and `inside` are the penalties, in tokens of padding.
     """
-    plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    plain = docs.select(*texts(docs))
     return plain.mapInArrow(_packed(path, id_end, size, sentence, inside, segment), PIECES)
 
 

@@ -6,9 +6,9 @@ more go on. Extension: each seed is extended to the left and to the right, word
 and these are matched over the documents. Overlapping and touching matches merge into maximal repeats of at least `size`
 words; what a document with a smaller id also has is cut.
 
-Shuffled are anchors (a fifth of the words) twice, the texts by id once, and the windows of seeds only. Hot passages: anchors
-are reduced by map-side minimum and come back through a join that adaptive execution splits; of the windows a
-task has met in several documents only the first leaves the task, the others are settled there.
+Shuffled are anchors (a fifth of the words) and the texts by id once, and the windows of seeds only. Hot passages: of an
+anchor or a window that a batch meets in several documents only the first leaves the task, the others are settled there
+and travel as short lists of their document. So no key has more rows than there are batches.
 """
 
 from __future__ import annotations
@@ -20,83 +20,112 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from cairngraph.llm.common import over_batches
+from cairngraph.llm.common import over_batches, texts
 from cairngraph.llm.registry import query, table
 from cairngraph.llm.text import chunks, runs, signed, winnow, words
 
 MARK = "__row"
 
 
+ROWS = "kind byte, key long, doc long, shared boolean, more binary"
+
+
+def _firsts(key: np.ndarray, doc: np.ndarray, value: np.ndarray, kind: str) -> Iterator[pa.RecordBatch]:
+    """Kind 0: each key with the least document of this batch that has it, and whether others have it too. Kind 1: the
+    other documents that have it, each with the `value`s of all such keys as one binary.
+    """
+    order = np.lexsort((value, doc, key))
+    key, doc, value = key[order], doc[order], value[order]
+    if not len(key):
+        return
+    new = np.append(True, key[1:] != key[:-1])
+    lead = np.flatnonzero(new)
+    group = np.cumsum(new) - 1
+    last = np.append(lead[1:], len(key)) - 1
+    yield pa.record_batch(
+        {
+            "kind": np.zeros(len(lead), np.int8),
+            "key": key[lead],
+            "doc": doc[lead],
+            "shared": pa.array(doc[last] > doc[lead]),
+            "more": pa.nulls(len(lead), pa.binary()),
+        }
+    )
+    late = np.flatnonzero(doc > doc[lead][group])
+    if not len(late):
+        return
+    late = late[np.lexsort((value[late], doc[late]))]
+    edges = np.flatnonzero(np.append(True, doc[late][1:] != doc[late][:-1]))
+    yield pa.record_batch(
+        {
+            "kind": np.ones(len(edges), np.int8),
+            "key": doc[late][edges],
+            "doc": doc[late][edges],
+            "shared": pa.array(np.ones(len(edges), bool)),
+            "more": pa.array([x.astype(kind).tobytes() for x in np.split(value[late], edges[1:])], pa.binary()),
+        }
+    )
+
+
 def _anchors(size: int, anchor: int):
+    """Anchors of documents."""
+
     def step(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        texts, ids = batch.column("text"), batch.column("doc_id").to_numpy(zero_copy_only=False)
+        texts, ids = batch.column("text"), batch.column("doc_id").to_numpy()
+        keys, docs = [], []
         for a, b in chunks(texts):
             w = words(texts.slice(a, b - a))
             _, place, least = winnow(w, size, anchor)
             place, first = np.unique(place, return_index=True)
-            pairs = np.unique(np.stack([signed(least[first]), ids[a:b][w.doc[place]].astype(np.int64)]), axis=1)
-            yield pa.record_batch({"anchor": pairs[0], "doc": pairs[1]})
+            keys.append(signed(least[first]))
+            docs.append(ids[a:b][w.doc[place]])
+        key, doc = np.concatenate(keys), np.concatenate(docs)
+        order = np.lexsort((doc, key))
+        key, doc = key[order], doc[order]
+        new = np.append(True, (key[1:] != key[:-1]) | (doc[1:] != doc[:-1]))[: len(key)]
+        yield from _firsts(key[new], doc[new], key[new], "<i8")
 
     return over_batches(step)
 
 
-def _blob(starts: np.ndarray) -> bytes:
-    return starts.astype("<i4").tobytes()
+def _lists(batch: pa.RecordBatch, keys: str, more: str, kind: str) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Row and value of the list column `keys`, and of the binaries in `more`."""
+    found = batch.column(keys)
+    rows = np.repeat(np.arange(batch.num_rows), pa.compute.list_value_length(found).fill_null(0).to_numpy())
+    blobs = [(r, np.frombuffer(x, kind)) for r, held in enumerate(batch.column(more).to_pylist()) for x in held or ()]
+    other_rows = np.repeat([r for r, _ in blobs], [len(x) for _, x in blobs]).astype(np.int64)
+    return rows, np.asarray(found.flatten()), other_rows, np.concatenate([np.zeros(0, kind), *(x for _, x in blobs)])
 
 
 def _windows(size: int, anchor: int):
-    """Windows of seeds. Kind 0: a window (`key`) and the first document of this batch that has it. Kind 1: places in a
-    document (`places`) whose windows an earlier document of the batch has."""
+    """Windows around seeds, with their places in the document as values."""
 
     def step(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        texts, ids = batch.column("text"), batch.column("doc_id").to_numpy(zero_copy_only=False)
-        seeds = batch.column("seeds")
+        texts, ids = batch.column("text"), batch.column("doc_id").to_numpy()
         keys, docs, places = [], [], []
         for a, b in chunks(texts):
             w = words(texts.slice(a, b - a))
             start, _, least = winnow(w, size, anchor)
-            own = seeds.slice(a, b - a)
-            hits = np.asarray(own.flatten())
-            doc_of_hit = np.repeat(np.arange(b - a), pa.compute.list_value_length(own).fill_null(0).to_numpy())
-            # a seed is a pair of document and anchor
+            rows, hits, more_rows, more = _lists(batch.slice(a, b - a), "keys", "more", "<i8")
             grams, _ = runs(w, size, salt=2)
             doc = w.doc[start]
-            has = _member(doc, signed(least), doc_of_hit, hits)
+            # a seed is a pair of document and anchor
+            has = _member(doc, signed(least), np.concatenate([rows, more_rows]), np.concatenate([hits, more]).astype(np.int64))
             keys.append(signed(grams[start[has]]))
-            docs.append(ids[a:b][doc[has]].astype(np.int64))
+            docs.append(ids[a:b][doc[has]])
             places.append(start[has] - w.first[doc[has]])
-        key, doc, place = (np.concatenate(x) for x in (keys, docs, places))
-        order = np.lexsort((place, doc, key))
-        key, doc, place = key[order], doc[order], place[order]
-        if not len(key):
-            return
-        new = np.append(True, key[1:] != key[:-1])
-        least = doc[np.flatnonzero(new)][np.cumsum(new) - 1]
-        lead = np.flatnonzero(new)
-        yield pa.record_batch(
-            {
-                "kind": np.zeros(len(lead), np.int8),
-                "key": key[lead],
-                "doc": doc[lead],
-                "places": pa.nulls(len(lead), pa.binary()),
-            }
-        )
-        late = np.flatnonzero(doc > least)
-        if len(late):
-            late = late[np.lexsort((place[late], doc[late]))]
-            edges = np.flatnonzero(np.append(True, doc[late][1:] != doc[late][:-1]))
-            yield pa.record_batch(
-                {
-                    "kind": np.ones(len(edges), np.int8),
-                    "key": doc[late][edges],
-                    "doc": doc[late][edges],
-                    "places": pa.array([_blob(x) for x in np.split(place[late], edges[1:])], pa.binary()),
-                }
-            )
+        yield from _firsts(np.concatenate(keys), np.concatenate(docs), np.concatenate(places), "<i4")
 
     return over_batches(step)
 
 
+def _gathered(rows: DataFrame) -> DataFrame:
+    """`keys` and `more` of each document."""
+    return rows.groupBy("doc").agg(
+        F.collect_list(F.when(F.col("kind") == 0, F.col("key"))).alias("keys"), F.collect_list("more").alias("more")
+    )
+
+
 def _member(row: np.ndarray, value: np.ndarray, other_row: np.ndarray, other_value: np.ndarray) -> np.ndarray:
     """Which pairs (row, value) occur among the other pairs."""
     known, code = np.unique(np.concatenate([value, other_value]), return_inverse=True)
@@ -115,19 +144,16 @@ def _cut(size: int):
             grams, inside = runs(w, size, salt=2)
             n = len(w.hash)
             change = np.zeros(n + 1, np.int64)
-            found = some.column("keys")
-            rows = np.repeat(np.arange(b - a), pa.compute.list_value_length(found).fill_null(0).to_numpy())
+            rows, keys, more_rows, places = _lists(some, "keys", "more", "<i4")
             if len(rows):
                 touched = np.isin(w.doc[: len(grams)], rows) & inside
                 at = np.flatnonzero(touched)
-                at = at[_member(w.doc[at], signed(grams[at]), rows, np.asarray(found.flatten()))]
+                at = at[_member(w.doc[at], signed(grams[at]), rows, keys.astype(np.int64))]
                 np.add.at(change, at, 1)
                 np.add.at(change, at + size, -1)
-            for row, blobs in enumerate(some.column("places").to_pylist()):
-                for blob in blobs or ():
-                    at = np.frombuffer(blob, "<i4") + w.first[row]
-                    np.add.at(change, at, 1)
-                    np.add.at(change, at + size, -1)
+            at = places + w.first[more_rows]
+            np.add.at(change, at, 1)
+            np.add.at(change, at + size, -1)
             gone = np.cumsum(change[:-1]) > 0
             n_words = np.diff(w.first)
             n_removed = np.bincount(w.doc[gone], minlength=b - a)
@@ -169,26 +195,25 @@ def remove_repeats(docs: DataFrame, size: int = 13, anchor: int = 6) -> DataFram
     new = ("n_words", "n_removed", "kept_text", "spans")
     rest = [c for c in docs.columns if c not in (*new, "doc_id", "text")]
     plain = docs.select(
-        F.col("doc_id").cast("long").alias("doc_id"),
-        F.col("text").cast("string").alias("text"),
+        *texts(docs),
         F.struct(*[F.col(f"`{c}`") for c in ("doc_id", "text", *rest) if c != "text"]).alias(MARK),
     )
-    named = plain.select("doc_id", "text").filter("doc_id is not null and text is not null")
-    anchors = named.mapInArrow(_anchors(size, anchor), "anchor long, doc long")
-    shared = anchors.groupBy("anchor").agg(F.min("doc").alias("a"), F.max("doc").alias("b"))
-    shared = shared.filter("a < b").select("anchor")
-    seeds = anchors.join(shared, "anchor", "left_semi").groupBy("doc").agg(F.collect_list("anchor").alias("seeds"))
-    seeded = plain.join(seeds, plain["doc_id"] == seeds["doc"]).select("doc_id", "text", "seeds")
-    windows = seeded.mapInArrow(_windows(size, anchor), "kind byte, key long, doc long, places binary")
-    least = F.first("doc").over(Window.partitionBy("kind", "key").orderBy("doc"))
-    found = windows.withColumn("least", least).filter("kind = 1 or least < doc")
-    found = found.groupBy("doc").agg(
-        F.collect_list(F.when(F.col("kind") == 0, F.col("key"))).alias("keys"),
-        F.collect_list("places").alias("places"),
+    # both joins read the same exchange of the texts, so they ask for the same columns and rows
+    named = plain.filter("doc_id is not null")
+    key = Window.partitionBy("kind", "key").orderBy("doc")
+    whole = key.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    anchors = named.select("doc_id", "text").mapInArrow(_anchors(size, anchor), ROWS)
+    several = F.max("shared").over(whole) | (F.first("doc").over(whole) < F.last("doc").over(whole))
+    seeds = _gathered(anchors.withColumn("several", several).filter("several"))
+    seeded = named.join(seeds, named["doc_id"] == seeds["doc"]).select("doc_id", "text", MARK, "keys", "more")
+    windows = seeded.mapInArrow(_windows(size, anchor), ROWS)
+    found = _gathered(windows.withColumn("least", F.first("doc").over(key)).filter("kind = 1 or least < doc"))
+    joined = named.join(found, named["doc_id"] == found["doc"], "left").select(MARK, "text", "keys", "more")
+    nothing = plain.filter("doc_id is null").select(
+        MARK, "text", F.lit(None).cast("array<bigint>").alias("keys"), F.lit(None).cast("array<binary>").alias("more")
     )
-    joined = plain.join(found, plain["doc_id"] == found["doc"], "left").select(MARK, "text", "keys", "places")
     mark = joined.schema[MARK].dataType.simpleString()
-    cut = joined.mapInArrow(
+    cut = joined.unionByName(nothing).mapInArrow(
         _cut(size),
         f"{MARK} {mark}, n_words long, n_removed long, kept_text string, spans array<struct<start: long, end: long>>",
     )
