@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 from cairngraph.llm import (  # noqa: F401
+    ann,
     bpe,
     jaccard,
+    language,
     packing,
     quality_rules,
     substring,
+    toxicity,
 )
 from cairngraph.llm.registry import ORACLES, QUERIES
 
