@@ -2,8 +2,8 @@
 
 The global order of shingles is that of their 64-bit hashes; it is cut into fragments of equal range. Linked sets differ in
 few shingles, so with more fragments than differences at least one fragment is the same in both: sets that agree in a whole
-fragment are candidates. This needs no frequency count, and a passage that many documents share makes no candidates by
-itself. Candidates form clusters; in each, overlaps are counted fragment by fragment and summed per pair, then compared with
+fragment are candidates. Shingles that a sample shows to be very common are left out of fragments (in both sets alike, so
+no link is lost), lest passages of many documents make candidates. Candidates form clusters; in each, overlaps are counted fragment by fragment and summed per pair, then compared with
 the threshold exactly.
 
 Equal sets are one node from the start. Large clusters are dealt out in pairs of blocks; a task holds two blocks, counts
@@ -20,12 +20,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from cairngraph.llm.common import by_group, components, over_batches
+from cairngraph.llm.common import by_group, components, over_batches, texts
 from cairngraph.llm.registry import query, table
 from cairngraph.llm.text import chunks, mix, runs, signed, words
 from cairngraph.session import cut
 
 BLOCK = 400  # sets in a block on average
+SAMPLE = 32  # one document in so many is searched for common shingles
+COMMON = 4  # a shingle this often in the sample is common
+MOST_COMMON = 100_000  # at most so many are left out (800 KB); affects work, never links
 COLUMNS = 4096  # shingles of a fragment when overlaps are counted
 U = np.uint64
 
@@ -77,9 +80,9 @@ class Classes:
     def __init__(self, p: int, largest: int):
         lo, self.lows, self.fragments, self.spare = 1, [], [], []
         while lo <= largest:
-            high = max(lo, lo * 7 // 5)
+            high = max(lo, lo * 5 // 4)
             differ = (high + 100 * high // p) * (100 - p) // (100 + p)  # of two linked sets, the smaller in this class
-            spare = 2 + differ // 16 if differ else 0
+            spare = 2 + differ // 12 if differ else 0
             self.lows.append(lo)
             self.spare.append(spare)
             self.fragments.append(differ + 1 + spare)
@@ -89,12 +92,34 @@ class Classes:
         return np.searchsorted(self.lows, size, "right") - 1
 
 
-def _signatures(n: int, p: int):
+def _counts(n: int):
+    def step(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        for a, b in chunks(batch.column("text")):
+            gram, count = np.unique(_sets(batch.column("text").slice(a, b - a), n)[1], return_counts=True)
+            yield pa.record_batch({"gram": signed(gram), "n": count})
+
+    return over_batches(step)
+
+
+def _fragments(doc, gram, fragments, salt):
+    """Each set's non-empty fragments: row, hash, and by row the number of empty ones."""
+    fragment = ((gram >> U(32)) * fragments[doc].astype(U)) >> U(32)
+    lead = np.flatnonzero(np.append(True, (doc[1:] != doc[:-1]) | (fragment[1:] != fragment[:-1]))[: len(doc)])
+    if not len(lead):
+        return doc, gram, fragments.copy()
+    held = np.add.reduceat(mix(gram ^ U(0x2545F491)), lead)
+    row = doc[lead]
+    sig = mix(held + (fragments[row].astype(U) << U(32)) + fragment[lead] + U(salt))
+    return row, sig, fragments - np.bincount(row, minlength=len(fragments))
+
+
+def _signatures(n: int, p: int, common: np.ndarray):
     """(`sig`, `node`): what two linked sets share at least once.
 
-    A set signs for the class of its own size and for those of the smaller sets it can link with, by each fragment
-    that is not empty. As linked sets have more than `spare` fragments in common, only sets with more than `spare`
-    empty ones could agree in empty ones alone; those also sign by their first shingles (the prefix that linked sets share).
+    A set signs for the class of its own size and for those of the smaller sets it can link with, by each fragment of
+    its uncommon shingles that is not empty. Linked sets agree in more than `spare` fragments, so only sets with more than
+    `spare` empty ones could agree in empty ones alone. Those sign by all their shingles too, and if even then more than
+    `spare` fragments are empty, by their first shingles (of which linked sets share one).
     """
 
     def step(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
@@ -111,31 +136,29 @@ def _signatures(n: int, p: int):
             doc, gram = doc[keep], gram[keep]
             if not len(doc):
                 continue
+            rare = ~np.isin(gram, common)
             classes = Classes(p, int(size.max()))
             own = classes.of(size)
             least = classes.of(-(-size * p // 100))
-            sigs, nodes = [], []
-            for back in range(int((own - least).max()) + 1):
+            at = np.arange(len(doc)) - np.searchsorted(doc, np.arange(b - a))[doc]
+            in_prefix = at < (size - -(-size * p // 100) + 1)[doc]
+            fragments, spare = np.array(classes.fragments), np.array(classes.spare)
+            found = []
+            for back in range(int((own - least)[chosen].max()) + 1):
                 group = np.maximum(own - back, 0)
-                use = (own - back >= least)[doc]
-                d, g = doc[use], gram[use]
-                if not len(d):
-                    break
-                count = np.array(classes.fragments, U)[group]
-                fragment = ((g >> U(32)) * count[d]) >> U(32)
-                lead = np.flatnonzero(np.append(True, (d[1:] != d[:-1]) | (fragment[1:] != fragment[:-1])))
-                held = np.add.reduceat(mix(g ^ U(0x2545F491)), lead)
-                sigs.append(mix(held + (group[d[lead]].astype(U) << U(32)) + fragment[lead]))
-                nodes.append(node[d[lead]])
-                empty = count.astype(np.int64) - np.bincount(d[lead], minlength=b - a)
-                sparse = (empty > np.array(classes.spare)[group])[d]
-                if sparse.any():
-                    at = np.arange(len(d)) - np.searchsorted(d, np.arange(b - a))[d]
-                    prefix = (size - -(-size * p // 100) + 1)[d]
-                    sparse &= at < prefix
-                    sigs.append(mix(g[sparse] ^ U(0x1F83D9AB)))
-                    nodes.append(node[d[sparse]])
-            yield pa.record_batch({"sig": signed(np.concatenate(sigs)), "node": np.concatenate(nodes)})
+                open_rows = chosen & (own - back >= least)
+                for salt, which in ((0, rare), (1, np.ones(len(doc), bool))):
+                    use = open_rows[doc] & which
+                    row, sig, empty = _fragments(doc[use], gram[use], fragments[group], salt)
+                    found.append((sig, row))
+                    open_rows &= empty > spare[group]
+                    if not open_rows.any():
+                        break
+                else:
+                    use = open_rows[doc] & in_prefix
+                    found.append((mix(gram[use] ^ U(0x1F83D9AB)), doc[use]))
+            sigs, rows = np.concatenate([s for s, _ in found]), np.concatenate([r for _, r in found])
+            yield pa.record_batch({"sig": signed(sigs), "node": node[rows]})
 
     return over_batches(step)
 
@@ -228,9 +251,13 @@ def jaccard_components(docs: DataFrame, n: int = 4, percent: int = 85) -> DataFr
     """
     if not 50 <= percent <= 100:
         raise ValueError("percent must lie between 50 and 100")
-    plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    plain = docs.select(*texts(docs))
     profile = cut(plain.mapInArrow(_profile(n), "doc_id long, n_shingles long, node long"))
-    signatures = plain.filter("text is not null").mapInArrow(_signatures(n, percent), "sig long, node long")
+    sample = plain.filter((F.crc32(F.col("doc_id").cast("string").cast("binary")) % SAMPLE == 0) & F.col("text").isNotNull())
+    counts = sample.mapInArrow(_counts(n), "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
+    common = counts.filter(F.col("n") >= COMMON).orderBy(F.desc("n"), "gram").limit(MOST_COMMON).toArrow()["gram"]
+    common = np.sort(common.to_numpy()).view(U)
+    signatures = plain.filter("text is not null").mapInArrow(_signatures(n, percent, common), "sig long, node long")
     same = Window.partitionBy("sig").orderBy("node")
     whole = same.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     shared = signatures.select(
