@@ -9,6 +9,7 @@ from cairngraph.llm import (  # noqa: F401
     language,
     packing,
     quality_rules,
+    secrets,
     substring,
     toxicity,
 )
