@@ -135,7 +135,7 @@ def _member(row: np.ndarray, value: np.ndarray, other_row: np.ndarray, other_val
     return np.isin(mine, theirs)
 
 
-def _cut(size: int):
+def _cut(size: int, untouched: bool):
     def step(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         texts = batch.column("text")
         for a, b in chunks(texts):
@@ -159,6 +159,10 @@ def _cut(size: int):
             n_removed = np.bincount(w.doc[gone], minlength=b - a)
             kept, spans = [], []
             for row, text in enumerate(some.column("text").to_pylist()):
+                if untouched and not n_removed[row]:
+                    spans.append([])
+                    kept.append(text)
+                    continue
                 pieces = (text or "").encode().split()
                 flags = gone[w.first[row] : w.first[row + 1]]
                 if n_removed[row]:
@@ -181,11 +185,12 @@ def _cut(size: int):
     return over_batches(step)
 
 
-def remove_repeats(docs: DataFrame, size: int = 13, anchor: int = 6) -> DataFrame:
+def remove_repeats(docs: DataFrame, size: int = 13, anchor: int = 6, untouched: bool = False) -> DataFrame:
     """The `docs` without words covered by a window of `size` words that also starts in a document of smaller id.
 
-    Returns the columns of `docs` with `n_words`, `n_removed`, `kept_text` (kept words joined by one blank) and `spans` (cut
-    maximal repeats as word ranges, end exclusive); columns of these names are replaced. Null and empty texts have no words. A
+    Returns the columns of `docs` but `text`, with `n_words`, `n_removed`, `kept_text` (kept words joined by one blank) and
+    `spans` (cut maximal repeats as word ranges, end exclusive); columns of these names are replaced. With `untouched`, the
+    `kept_text` of documents without a cut is their text as it is. Null and empty texts have no words. A
     passage repeated inside one document only stays. Rows that share an id are one document to this rule: they never cut
     each other, and a window of one is a window of both. Rows with a null id are neither cut nor a source of cuts. An empty
     table gives an empty table.
@@ -214,7 +219,7 @@ def remove_repeats(docs: DataFrame, size: int = 13, anchor: int = 6) -> DataFram
     )
     mark = joined.schema[MARK].dataType.simpleString()
     cut = joined.unionByName(nothing).mapInArrow(
-        _cut(size),
+        _cut(size, untouched),
         f"{MARK} {mark}, n_words long, n_removed long, kept_text string, spans array<struct<start: long, end: long>>",
     )
     return cut.select(f"{MARK}.*", *new)
