@@ -8,6 +8,7 @@ from cairngraph.llm import (  # noqa: F401
     jaccard,
     language,
     packing,
+    perplexity,
     quality_rules,
     secrets,
     substring,
