@@ -107,9 +107,14 @@ def cuts(at: np.ndarray, penalty: np.ndarray, size: int = 2048, inside: float =
     last = np.searchsorted(at, hard, "right") - 1
     more = [hard[(hard < end) & (hard - at[last] > inside)]]
     for g in np.flatnonzero(gaps > size).tolist():  # sentences longer than a window
-        more.append(np.arange(at[g] - gaps[g] + size, at[g], size))
+        begin = at[g] - gaps[g]
+        # filled windows may go on from any candidate shortly before
+        before = at[slice(*np.searchsorted(at, [begin - size, begin], "right"))]
+        before = before if begin >= size else np.append(before, 0)
+        more.append((before[:, None] + np.arange(size, gaps[g] + size, size)).ravel())
     more.append(np.array([end - p for p in powers if end > p] + [size] * (end > size), dtype=np.int64))
     places = np.unique(np.concatenate([[0], at, *more]))
+    places = places[places <= end]
     cost = np.full(len(places), inside)
     cost[np.searchsorted(places, at)] = penalty
     exact: dict[int, list[int]] = {}  # windows of a power of two between candidates
