@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cairngraph.session import cut
+from cairngraph.session import cut, shared_dir
 
 
 def part(column: str, modulus: int) -> Column:
@@ -97,6 +98,13 @@ def by_group(keys: list[str], step: Callable[[pa.Table], Iterator[pa.RecordBatch
     return run
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """Write `df` as a table in the shared folder and read it again; unlike a checkpoint it is computed once."""
+    path = f"{shared_dir(df.sparkSession)}/stored-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def texts(docs: DataFrame) -> list[Column]:
     """`doc_id` as long and `text` as string; cast only where needed, so that equal inputs give equal plans."""
     kinds = dict(docs.dtypes)
