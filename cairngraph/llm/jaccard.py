@@ -67,9 +67,8 @@ def _profile(n: int):
         texts = batch.column("text")
         for a, b in chunks(texts):
             size, node = _nodes(*_sets(texts.slice(a, b - a), n), b - a)
-            yield pa.record_batch(
-                {"doc_id": batch.column("doc_id").slice(a, b - a), "n_shingles": pa.array(size, pa.int64()), "node": node}
-            )
+            rest = {c: batch.column(c).slice(a, b - a) for c in batch.schema.names if c != "text"}
+            yield pa.record_batch(rest | {"n_shingles": pa.array(size, pa.int64()), "node": node})
 
     return over_batches(step)
 
@@ -240,7 +239,7 @@ def _links(p: int):
     return step
 
 
-def jaccard_components(docs: DataFrame, n: int = 4, percent: int = 85) -> DataFrame:
+def jaccard_components(docs: DataFrame, n: int = 4, percent: int = 85, rows: bool = False) -> DataFrame:
     """`doc_id`, `n_shingles` and `component_id` (least id reachable by links) for every row of `docs`.
 
     A set holds the distinct shingles of `n` words after lower-casing A-Z; with fewer words, the whole sequence as one. Two
@@ -248,11 +247,16 @@ def jaccard_components(docs: DataFrame, n: int = 4, percent: int = 85) -> DataFr
     nothing. Repeated rows are rows of their own with one component. A row with a null id names no
     component: its `component_id` is that of rows with the same set, or null if no row with an id has it. An empty table gives no row; other
     columns are ignored.
+
+    With `rows`, also `text_key` (xxhash64 of the text) and `survives`: in each component the rows of one pair of id and
+    `text_key`, the least; of rows without words or without an id, all.
     """
     if not 50 <= percent <= 100:
         raise ValueError("percent must lie between 50 and 100")
     plain = docs.select(*texts(docs))
-    profile = cut(plain.mapInArrow(_profile(n), "doc_id long, n_shingles long, node long"))
+    key = ["text_key"] if rows else []
+    keyed = plain.withColumn("text_key", F.xxhash64("text")) if rows else plain
+    profile = cut(keyed.mapInArrow(_profile(n), f"doc_id long, {'text_key long, ' if rows else ''}n_shingles long, node long"))
     sample = plain.filter((F.crc32(F.col("doc_id").cast("string").cast("binary")) % SAMPLE == 0) & F.col("text").isNotNull())
     counts = sample.mapInArrow(_counts(n), "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
     common = counts.filter(F.col("n") >= COMMON).orderBy(F.desc("n"), "gram").limit(MOST_COMMON).toArrow()["gram"]
@@ -289,14 +293,21 @@ def jaccard_components(docs: DataFrame, n: int = 4, percent: int = 85) -> DataFr
     linked = dealt.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(by_group(keys, _links(percent)), "a long, b long")
     roots = components(linked)
     named = profile.join(roots, profile["node"] == roots["id"], "left").select(
-        "doc_id", "n_shingles", F.coalesce("component", "node").alias("root")
+        "doc_id", *key, "n_shingles", F.coalesce("component", "node").alias("root")
     )
     named = cut(named)
-    least = named.filter("n_shingles > 0").groupBy("root").agg(F.min("doc_id").alias("least"))
+    held = named.filter("n_shingles > 0 and doc_id is not null" if rows else "n_shingles > 0")
+    least = held.groupBy("root").agg(*([F.min(F.struct("doc_id", "text_key")).alias("first")] if rows else [F.min("doc_id").alias("least")]))
+    if rows:
+        least = least.select("root", F.col("first.doc_id").alias("least"), F.col("first.text_key").alias("least_key"))
+        same = (F.col("doc_id") == F.col("least")) & (F.col("text_key") == F.col("least_key"))
+        survives = [(F.col("doc_id").isNull() | (F.col("n_shingles") == 0) | same).alias("survives")]
     return named.join(least, "root", "left").select(
         "doc_id",
+        *key,
         "n_shingles",
         F.when(F.col("n_shingles") > 0, F.col("least")).otherwise(F.col("doc_id")).alias("component_id"),
+        *(survives if rows else []),
     )
 
 

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from cairngraph.llm.common import over_batches, texts
 from cairngraph.llm.registry import query, table
-from cairngraph.llm.text import chunks, runs, signed, winnow, words
+from cairngraph.llm.text import Words, chunks, mix, runs, signed, winnow, words
 
 MARK = "__row"
 
@@ -30,12 +30,25 @@ MARK = "__row"
 ROWS = "kind byte, key long, doc long, shared boolean, more binary"
 
 
-def _firsts(key: np.ndarray, doc: np.ndarray, value: np.ndarray, kind: str) -> Iterator[pa.RecordBatch]:
+def _text_keys(w: Words) -> np.ndarray:
+    """A hash of each row's sequence of words, the same in every chunk: places hold for rows of equal words only."""
+    found = np.zeros(w.n_docs, np.uint64)
+    held = np.flatnonzero(np.diff(w.first))
+    if len(held):
+        place = (np.arange(len(w.hash)) - w.first[w.doc]).astype(np.uint64)
+        found[held] = np.add.reduceat(mix(w.hash ^ mix(place + np.uint64(1))), w.first[held])
+    return signed(found)
+
+
+def _firsts(key: np.ndarray, doc: np.ndarray, value: np.ndarray, kind: str, text: np.ndarray | None = None) -> Iterator[pa.RecordBatch]:
     """Kind 0: each key with the least document of this batch that has it, and whether others have it too. Kind 1: the
-    other documents that have it, each with the `value`s of all such keys as one binary.
+    other documents that have it, each with the `value`s of all such keys as one binary. Values that hold for one text
+    only come with its key `text`: each text of a document has a binary of its own then, and the key leads it.
     """
+    one = text is None
+    text = np.zeros(len(key), np.int64) if one else text
     order = np.lexsort((value, doc, key))
-    key, doc, value = key[order], doc[order], value[order]
+    key, doc, value, text = key[order], doc[order], value[order], text[order]
     if not len(key):
         return
     new = np.append(True, key[1:] != key[:-1])
@@ -54,15 +67,17 @@ def _firsts(key: np.ndarray, doc: np.ndarray, value: np.ndarray, kind: str) -> I
     late = np.flatnonzero(doc > doc[lead][group])
     if not len(late):
         return
-    late = late[np.lexsort((value[late], doc[late]))]
-    edges = np.flatnonzero(np.append(True, doc[late][1:] != doc[late][:-1]))
+    late = late[np.lexsort((value[late], text[late], doc[late]))]
+    edges = np.flatnonzero(np.append(True, (doc[late][1:] != doc[late][:-1]) | (text[late][1:] != text[late][:-1])))
+    heads = [b"" if one else x.tobytes() for x in text[late][edges].astype("<i8")]
+    lists = np.split(value[late], edges[1:])
     yield pa.record_batch(
         {
             "kind": np.ones(len(edges), np.int8),
             "key": doc[late][edges],
             "doc": doc[late][edges],
             "shared": pa.array(np.ones(len(edges), bool)),
-            "more": pa.array([x.astype(kind).tobytes() for x in np.split(value[late], edges[1:])], pa.binary()),
+            "more": pa.array([h + x.astype(kind).tobytes() for h, x in zip(heads, lists, strict=True)], pa.binary()),
         }
     )
 
@@ -88,11 +103,17 @@ def _anchors(size: int, anchor: int):
     return over_batches(step)
 
 
-def _lists(batch: pa.RecordBatch, keys: str, more: str, kind: str) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Row and value of the list column `keys`, and of the binaries in `more`."""
+def _lists(
+    batch: pa.RecordBatch, keys: str, more: str, kind: str, text: np.ndarray | None = None
+) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Row and value of the list column `keys`, and of the binaries in `more`; with `text`, of those led by the row's key."""
     found = batch.column(keys)
     rows = np.repeat(np.arange(batch.num_rows), pa.compute.list_value_length(found).fill_null(0).to_numpy())
-    blobs = [(r, np.frombuffer(x, kind)) for r, held in enumerate(batch.column(more).to_pylist()) for x in held or ()]
+    blobs = [(r, x) for r, held in enumerate(batch.column(more).to_pylist()) for x in held or ()]
+    if text is not None:
+        own = [x.tobytes() for x in text.astype("<i8")]
+        blobs = [(r, x[8:]) for r, x in blobs if x[:8] == own[r]]
+    blobs = [(r, np.frombuffer(x, kind)) for r, x in blobs]
     other_rows = np.repeat([r for r, _ in blobs], [len(x) for _, x in blobs]).astype(np.int64)
     return rows, np.asarray(found.flatten()), other_rows, np.concatenate([np.zeros(0, kind), *(x for _, x in blobs)])
 
@@ -102,7 +123,7 @@ def _windows(size: int, anchor: int):
 
     def step(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         texts, ids = batch.column("text"), batch.column("doc_id").to_numpy()
-        keys, docs, places = [], [], []
+        keys, docs, places, rows_text = [], [], [], []
         for a, b in chunks(texts):
             w = words(texts.slice(a, b - a))
             start, _, least = winnow(w, size, anchor)
@@ -114,7 +135,8 @@ def _windows(size: int, anchor: int):
             keys.append(signed(grams[start[has]]))
             docs.append(ids[a:b][doc[has]])
             places.append(start[has] - w.first[doc[has]])
-        yield from _firsts(np.concatenate(keys), np.concatenate(docs), np.concatenate(places), "<i4")
+            rows_text.append(_text_keys(w)[doc[has]])
+        yield from _firsts(np.concatenate(keys), np.concatenate(docs), np.concatenate(places), "<i4", np.concatenate(rows_text))
 
     return over_batches(step)
 
@@ -144,7 +166,7 @@ def _cut(size: int, untouched: bool):
             grams, inside = runs(w, size, salt=2)
             n = len(w.hash)
             change = np.zeros(n + 1, np.int64)
-            rows, keys, more_rows, places = _lists(some, "keys", "more", "<i4")
+            rows, keys, more_rows, places = _lists(some, "keys", "more", "<i4", _text_keys(w))
             if len(rows):
                 touched = np.isin(w.doc[: len(grams)], rows) & inside
                 at = np.flatnonzero(touched)

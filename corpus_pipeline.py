@@ -29,11 +29,12 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group linked by the similarity of 5-word shingles (0.8 or more): the one of least id.
 
-    Of rows that share an id and are alike one stays; rows without an id stay.
+    A row leaves by its own text, whatever other rows of its id hold. Of rows that share an id and are alike one stays;
+    rows without an id stay.
     """
-    found = jaccard.jaccard_components(docs.select("doc_id", "text"), n=5, percent=80)
-    losers = found.filter("doc_id <> component_id").select(F.col("doc_id").alias("_id")).distinct()
-    kept = docs.join(losers, docs["doc_id"] == losers["_id"], "left_anti")
+    found = jaccard.jaccard_components(docs.select("doc_id", "text"), n=5, percent=80, rows=True)
+    losers = found.filter("not survives").select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key")).distinct()
+    kept = docs.join(losers, (docs["doc_id"] == losers["_id"]) & (F.xxhash64(docs["text"]) == losers["_key"]), "left_anti")
     twins = docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1 and doc_id is not null").select(F.col("doc_id").alias("_id"))
     # rows that share an id are rare: only they are looked at again
     single = kept.join(twins, kept["doc_id"] == twins["_id"], "left_anti")

@@ -194,6 +194,17 @@ def test_substring_dedup_by_definition(spark, size, anchor):
         assert sum(s.end - s.start for s in r.spans) == r.n_removed == len(docs[i]) - len(expected[i].split())
 
 
+@pytest.mark.parametrize("parts", [1, 4])
+def test_substring_dedup_of_rows_that_share_an_id(spark, parts):
+    """Only a row's own copied words are cut; they need not be as many as another row of its id has."""
+    copied, own, other = (" ".join(f"{c}{i}" for i in range(n)) for c, n in (("c", 80), ("o", 40), ("n", 60)))
+    part = " ".join(copied.split()[20:50])
+    rows = [(1, copied), (2, copied), (2, own), (2, f"{own} {part}"), (3, other), (2, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1).repartition(parts)
+    kept = sorted((r.doc_id, r.kept_text) for r in substring.remove_repeats(df).collect())
+    assert kept == sorted([(1, copied), (2, ""), (2, own), (2, own), (3, other), (2, "")])
+
+
 @pytest.mark.parametrize(("n", "percent"), [(4, 85), (5, 80), (2, 60)])
 def test_jaccard_by_definition(spark, n, percent):
     rng = random.Random(n)

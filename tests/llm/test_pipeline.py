@@ -45,3 +45,11 @@ def test_passages_are_cut_once(spark):
     rows = [(1, f"one  {passage} two", "en", "x", 1), (2, f"three {passage} four", "en", "x", 1)]
     out = {r.doc_id: r.text for r in corpus_pipeline.cut_passages(spark, spark.createDataFrame(rows, DOCS), SF).collect()}
     assert out == {1: f"one  {passage} two", 2: "three four"}
+
+
+def test_near_copies_of_rows_that_share_an_id(spark):
+    base, own = (" ".join(f"{c}{i}" for i in range(100)) for c in "wv")
+    rows = [(1, base, "en", "x", 1), (2, base + " z", "en", "x", 1), (2, own, "en", "x", 1), (2, own + " z", "en", "x", 1), (None, base, "en", "x", 1)]
+    out = corpus_pipeline.drop_near_copies(spark, spark.createDataFrame(rows, DOCS), SF)
+    kept = sorted((r.doc_id or 0, r.text.split()[0]) for r in out.collect())
+    assert kept == [(0, "w0"), (1, "w0"), (2, "v0")]
