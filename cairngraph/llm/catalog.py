@@ -11,6 +11,7 @@ from cairngraph.llm import (  # noqa: F401
     perplexity,
     quality_rules,
     secrets,
+    spelling,
     substring,
     toxicity,
 )
