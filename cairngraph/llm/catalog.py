@@ -7,6 +7,7 @@ from cairngraph.llm import (  # noqa: F401
     bpe,
     jaccard,
     language,
+    near_vectors,
     packing,
     perplexity,
     quality_rules,
