@@ -5,6 +5,7 @@ from __future__ import annotations
 from cairngraph.llm import (  # noqa: F401
     ann,
     bpe,
+    hard_negatives,
     jaccard,
     language,
     near_vectors,
