@@ -3,12 +3,16 @@
 The global order of shingles is that of their 64-bit hashes; it is cut into fragments of equal range. Linked sets differ in
 few shingles, so with more fragments than differences at least one fragment is the same in both: sets that agree in a whole
 fragment are candidates. Shingles that a sample shows to be very common are left out of fragments (in both sets alike, so
-no link is lost), lest passages of many documents make candidates. Candidates form clusters; in each, overlaps are counted fragment by fragment and summed per pair, then compared with
-the threshold exactly.
-
-Equal sets are one node from the start. Large clusters are dealt out in pairs of blocks; a task holds two blocks, counts
-overlaps as products of small matrices and returns a spanning set of the links, never its pairs. Nothing but loop
-control passes the driver.
+no link is lost), lest passages of many documents make candidates. There are more fragments than that takes, so linked sets agree
+in several: the agreements of a set are counted over all fragments, and sets with too few of them are no candidates.
+Candidates form clusters; in each, overlaps are counted fragment by fragment and summed per pair, then compared with the
+threshold exactly.
+
+Equal sets are one node from the start. A cluster's sets are first compared with its lead alone. Jaccard distances obey the
+triangle inequality, so among sets linked to the lead only those far enough from it can be linked to the others; sets linked
+to the lead already need no comparison with each other. What is left of large clusters is dealt out in pairs of blocks; a
+task holds two blocks, counts overlaps as products of small matrices and returns a spanning set of the links, never its pairs.
+Nothing but loop control passes the driver.
 """
 
 from __future__ import annotations
@@ -20,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from cairngraph.llm.common import by_group, components, over_batches, texts
+from cairngraph.llm.common import by_group, components, over_batches, stored, texts
 from cairngraph.llm.registry import query, table
 from cairngraph.llm.text import chunks, mix, runs, signed, words
 from cairngraph.session import cut
@@ -30,6 +34,7 @@ SAMPLE = 32  # one document in so many is searched for common shingles
 COMMON = 4  # a shingle this often in the sample is common
 MOST_COMMON = 100_000  # at most so many are left out (800 KB); affects work, never links
 COLUMNS = 4096  # shingles of a fragment when overlaps are counted
+TAG = 12  # low bits of a signature: class, step and number of agreements that a set needs; the rest identifies the fragment
 U = np.uint64
 
 
@@ -81,7 +86,7 @@ class Classes:
         while lo <= largest:
             high = max(lo, lo * 5 // 4)
             differ = (high + 100 * high // p) * (100 - p) // (100 + p)  # of two linked sets, the smaller in this class
-            spare = 2 + differ // 12 if differ else 0
+            spare = 2 + differ // 12 if differ else 0  # linked sets agree in one fragment more than this
             self.lows.append(lo)
             self.spare.append(spare)
             self.fragments.append(differ + 1 + spare)
@@ -112,8 +117,12 @@ def _fragments(doc, gram, fragments, salt):
     return row, sig, fragments - np.bincount(row, minlength=len(fragments))
 
 
+def _tagged(sig: np.ndarray, group: np.ndarray, step: int, need: np.ndarray) -> np.ndarray:
+    return (sig >> U(TAG) << U(TAG)) | ((group % 8) * 512 + step * 128 + need).astype(U)
+
+
 def _signatures(n: int, p: int, common: np.ndarray):
-    """(`sig`, `node`): what two linked sets share at least once.
+    """(`sig`, `node`): what two linked sets share as often as the low bits of `sig` say.
 
     A set signs for the class of its own size and for those of the smaller sets it can link with, by each fragment of
     its uncommon shingles that is not empty. Linked sets agree in more than `spare` fragments, so only sets with more than
@@ -149,13 +158,15 @@ def _signatures(n: int, p: int, common: np.ndarray):
                 for salt, which in ((0, rare), (1, np.ones(len(doc), bool))):
                     use = open_rows[doc] & which
                     row, sig, empty = _fragments(doc[use], gram[use], fragments[group], salt)
-                    found.append((sig, row))
+                    # agreements in empty fragments carry no signature; who goes on to the next step may meet few here
+                    need = np.clip(spare[group] + 1 - empty, 1, 127)
+                    found.append((_tagged(sig, group[row], salt, need[row]), row))
                     open_rows &= empty > spare[group]
                     if not open_rows.any():
                         break
                 else:
                     use = open_rows[doc] & in_prefix
-                    found.append((mix(gram[use] ^ U(0x1F83D9AB)), doc[use]))
+                    found.append((_tagged(mix(gram[use] ^ U(0x1F83D9AB)), group[doc[use]], 2, np.ones(int(use.sum()), np.int64)), doc[use]))
             sigs, rows = np.concatenate([s for s, _ in found]), np.concatenate([r for _, r in found])
             yield pa.record_batch({"sig": signed(sigs), "node": node[rows]})
 
@@ -175,7 +186,6 @@ def _blobs(n: int):
             yield pa.record_batch(
                 {
                     "cluster": batch.column("cluster").slice(a, b - a).take(pa.array(right)),
-                    "blocks": batch.column("blocks").slice(a, b - a).take(pa.array(right)),
                     "node": node[right],
                     "grams": pa.array([gram[edge[r] : edge[r + 1]].tobytes() for r in right.tolist()], pa.binary()),
                 }
@@ -205,6 +215,22 @@ def overlaps(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
     return found
 
 
+def _against_lead(p: int):
+    """Each set's distance from its cluster's lead, and whether they are linked."""
+
+    def step(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        distance, linked = [], []
+        for own, lead in zip(batch.column("grams").to_pylist(), batch.column("lead").to_pylist(), strict=True):
+            own, lead = np.frombuffer(own, U), np.frombuffer(lead, U)
+            common = len(np.intersect1d(own, lead, assume_unique=True))
+            union = len(own) + len(lead) - common
+            distance.append(1 - common / union)
+            linked.append(100 * common >= p * union)
+        yield pa.record_batch({"cluster": batch.column("cluster"), "node": batch.column("node"), "distance": pa.array(distance, pa.float64()), "linked": pa.array(linked, pa.bool_())})
+
+    return over_batches(step)
+
+
 def _links(p: int):
     """Of two blocks: each connected group's members linked with its least one."""
 
@@ -262,35 +288,41 @@ def jaccard_components(docs: DataFrame, n: int = 4, percent: int = 85, rows: boo
     common = counts.filter(F.col("n") >= COMMON).orderBy(F.desc("n"), "gram").limit(MOST_COMMON).toArrow()["gram"]
     common = np.sort(common.to_numpy()).view(U)
     signatures = plain.filter("text is not null").mapInArrow(_signatures(n, percent, common), "sig long, node long")
-    same = Window.partitionBy("sig").orderBy("node")
+    same = Window.partitionBy(F.shiftright("sig", TAG)).orderBy("node")
     whole = same.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    shared = signatures.select(
-        "node",
-        F.first("node").over(same).alias("lead"),
-        F.max("node").over(whole).alias("last"),
-    )
-    star = shared.filter("lead <> last and node <> lead").select(F.col("node").alias("a"), F.col("lead").alias("b"))
-    clusters = cut(components(star))
-    sizes = clusters.groupBy("component").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("long").alias("blocks"))
+    ends = signatures.select("sig", "node", F.first("node").over(same).alias("lead"), F.max("node").over(whole).alias("last"))
+    shared = ends.filter("lead <> last").select("node", F.shiftright("sig", TAG).alias("key"), F.col("sig").bitwiseAND((1 << TAG) - 1).alias("tag"))
+    # sets that agree with others too seldom go; what they had in common with one other set then holds for none
+    held = cut(shared)
+    for _ in range(2):
+        often = F.count(F.lit(1)).over(Window.partitionBy("node", "tag"))
+        held = held.withColumn("often", often).filter(F.col("often") >= F.col("tag").bitwiseAND(127)).select("node", "key", "tag")
+        leads = held.groupBy("key").agg(F.min("node").alias("lead"), F.max("node").alias("last")).filter("lead <> last")
+        held = cut(held.join(leads.select("key", "lead"), "key").select("node", "key", "tag", "lead"))
+    clusters = cut(components(held.filter("node <> lead").select(F.col("node").alias("a"), F.col("lead").alias("b"))))
     holder = profile.filter("doc_id is not null").groupBy("node").agg(F.min("doc_id").alias("holder"))
-    asked = (
-        clusters.join(sizes, "component")
-        .join(holder, F.col("id") == F.col("node"))
-        .select("holder", "node", "blocks", F.col("component").alias("cluster"))
-    )
-    sets = (
+    asked = clusters.join(holder, F.col("id") == F.col("node")).select("holder", "node", F.col("component").alias("cluster"))
+    sets = stored(
         plain.join(asked, plain["doc_id"] == asked["holder"])
-        .select("cluster", "blocks", "node", "text")
-        .mapInArrow(_blobs(n), "cluster long, blocks long, node long, grams binary")
+        .select("cluster", "node", "text")
+        .mapInArrow(_blobs(n), "cluster long, node long, grams binary")
     )
+    leads = sets.filter("node = cluster").groupBy("cluster").agg(F.first("grams").alias("lead"))
+    told = cut(sets.join(leads, "cluster").mapInArrow(_against_lead(percent), "cluster long, node long, distance double, linked boolean").distinct())
+    # of the sets linked to the lead, only those at some distance from it can be linked to one that is not
+    nearest = told.filter("not linked").groupBy("cluster").agg(F.min("distance").alias("nearest"))
+    kept = told.join(nearest, "cluster").filter(~F.col("linked") | (F.col("distance") >= F.col("nearest") - (1 - percent / 100) - 1e-9))
+    sizes = kept.groupBy("cluster").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    kept = kept.join(sizes, "cluster").select("cluster", "node", F.ceil(F.col("n") / BLOCK).cast("long").alias("blocks"))
     # a block meets itself and every other block of its cluster once
     block = F.pmod(F.xxhash64("node"), F.col("blocks"))
-    dealt = sets.withColumn("block", block).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    dealt = sets.join(kept, ["cluster", "node"]).withColumn("block", block).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     dealt = dealt.select(
         "cluster", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "block", "node", "grams"
     )
     keys = ["cluster", "low", "high"]
     linked = dealt.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(by_group(keys, _links(percent)), "a long, b long")
+    linked = linked.unionByName(told.filter("linked and node <> cluster").select(F.col("node").alias("a"), F.col("cluster").alias("b")))
     roots = components(linked)
     named = profile.join(roots, profile["node"] == roots["id"], "left").select(
         "doc_id", *key, "n_shingles", F.coalesce("component", "node").alias("root")

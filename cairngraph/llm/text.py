@@ -14,7 +14,7 @@ import pyarrow as pa
 
 CHUNK_BYTES = 2_000_000  # of text per vectorised step; a longer document is a step of its own
 _ODD = np.uint64(0x9E3779B97F4A7C15)
-_BASE = np.uint64(0xD6E8FEB86659FD93)
+_PLACES = 64
 _STEP = np.uint64(0xA0761D6478BD642F)
 
 
@@ -37,6 +37,10 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+# a random number for each place of a word and byte there; a word's hash has no structure that words could be built to meet
+_LETTERS = mix(mix(np.arange(_PLACES * 256, dtype=np.uint64) + _ODD) ^ _STEP)
+
+
 def chunks(texts: pa.Array, limit: int = CHUNK_BYTES) -> Iterator[tuple[int, int]]:
     """Row ranges whose text stays below `limit` bytes (or one longer row)."""
     lengths = np.asarray(pa.compute.binary_length(texts).fill_null(0).to_numpy(zero_copy_only=False))
@@ -82,10 +86,11 @@ def words(texts: pa.Array, fold: bool = False) -> Words:
     if len(start):
         at = np.cumsum(length) - length
         place = np.arange(length.sum(), dtype=np.int64) - np.repeat(at, length)
-        power = np.full(int(length.max()), _BASE)
-        power[0] = 1
-        power = np.multiply.accumulate(power)
-        hashed = np.add.reduceat((data[solid].astype(np.uint64) + np.uint64(1)) * power[place], at)
+        value = data[solid]
+        far = np.flatnonzero(place >= _PLACES)
+        each = _LETTERS[np.minimum(place, _PLACES - 1) * 256 + value]
+        each[far] = mix(each[far] + place[far].astype(np.uint64) * _ODD)
+        hashed = np.add.reduceat(each, at)
         hashed = mix(hashed + length.astype(np.uint64) * _ODD)
     else:
         hashed = np.zeros(0, np.uint64)

@@ -246,6 +246,44 @@ def test_jaccard_large_cluster_is_dealt_in_blocks(spark, monkeypatch):
     assert {r.component_id for r in jaccard.jaccard_components(df).collect()} == {0}
 
 
+def thue_morse(n):
+    return "".join("ab"[bin(i).count("1") % 2] for i in range(n))
+
+
+def test_words_built_to_collide(spark):
+    """Two words of 1,024 letters that a polynomial hash over 2^64 takes for one."""
+    one = thue_morse(1024)
+    two = one.translate(str.maketrans("ab", "ba"))
+    rows = [(1, " ".join([one] + [f"w{i}" for i in range(12)])), (2, " ".join([two] + [f"w{i}" for i in range(12)])), (3, one), (4, two)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r.doc_id: r.kept_text for r in substring.remove_repeats(df).collect()} == dict(rows)
+    assert {r.doc_id: r.component_id for r in jaccard.jaccard_components(df).collect()} == {1: 1, 2: 2, 3: 3, 4: 4}
+
+
+def test_jaccard_links_beside_the_lead(spark, monkeypatch):
+    """Sets that are linked to one another, or to a set that is linked to the lead, but not to the lead itself."""
+    rng = random.Random(12)
+    texts = []
+    for _ in range(6):
+        base = words(rng, 200, 9000).split()
+        for step in range(25):  # each a few words further from the first
+            other = list(base)
+            other[: step * 2] = [f"z{k}" for k in range(step * 2)]
+            texts.append(" ".join(other))
+    rng.shuffle(texts)
+    sets = [{tuple(t.split()[i : i + 4]) for i in range(197)} for t in texts]
+    root = list(range(len(texts)))
+    for i in range(len(texts)):
+        for j in range(i):
+            if 100 * len(sets[i] & sets[j]) >= 85 * len(sets[i] | sets[j]):
+                a, b = root[i], root[j]
+                root = [min(a, b) if x in (a, b) else x for x in root]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    for block in (400, 5):
+        monkeypatch.setattr(jaccard, "BLOCK", block)
+        assert {r.doc_id: r.component_id for r in jaccard.jaccard_components(df).collect()} == dict(enumerate(root))
+
+
 def test_components(spark):
     rng = random.Random(4)
     links = [(rng.randrange(300), rng.randrange(300)) for _ in range(220)] + [(i, i + 1) for i in range(1000, 1100)]
