@@ -25,6 +25,7 @@ FEATURES = 4096
 SAMPLE = 400  # labelled rows per language that the centroids are fitted on
 BROADCAST_ROWS = 50_000
 CHUNK = 400_000  # characters per vectorised step
+ROWS = 256  # and rows
 
 
 def letters() -> np.ndarray:
@@ -36,7 +37,7 @@ def chunked(docs: list[str]) -> Iterator[list[str]]:
     held: list[str] = []
     size = 0
     for text in docs:
-        if held and size + len(text) > CHUNK:
+        if held and (size + len(text) > CHUNK or len(held) >= ROWS):
             yield held
             held, size = [], 0
         held.append(text)
@@ -90,17 +91,19 @@ def _clusters(idf: np.ndarray, clusters: int, quantile: float):
         docs = [group.column("text")[int(i)].as_py() for i in order]
         x = np.concatenate([weigh(counts(some, letter), idf) for some in chunked(docs)])
         x = x[x.any(1)]
+        if not len(x):  # no letter in the whole sample: nothing to be near to
+            return pa.table({"lang": pa.array([], pa.string()), "least": pa.array([], pa.float64()), "center": pa.array([], pa.binary())})
         centers = x[:1]
         for _ in range(clusters - 1):
-            near = (x @ centers.T).max(1) if len(x) else np.zeros(0)
-            if not len(x) or near.min() > 1 - 1e-6:
+            near = (x @ centers.T).max(1)
+            if near.min() > 1 - 1e-6:
                 break
             centers = np.concatenate([centers, x[near.argmin()][None]])
         for _ in range(12):
-            own = (x @ centers.T).argmax(1) if len(x) else np.zeros(0, int)
-            sums = np.stack([x[own == c].sum(0) if (own == c).any() else centers[c] for c in range(len(centers))]) if len(x) else centers
+            own = (x @ centers.T).argmax(1)
+            sums = np.stack([x[own == c].sum(0) if (own == c).any() else centers[c] for c in range(len(centers))])
             centers = sums / np.maximum(np.sqrt((sums * sums).sum(1, keepdims=True)), 1e-12)
-        score = x @ centers.T if len(x) else np.zeros((0, len(centers)))
+        score = x @ centers.T
         own = score.argmax(1)
         least = [float(np.quantile(score[own == c, c], quantile)) if (own == c).any() else 1.0 for c in range(len(centers))]
         return pa.table(
@@ -175,7 +178,9 @@ def identify(docs: DataFrame) -> DataFrame:
 
     `doc_id`, `held_out`, `lang_pred`, `score`, `rejected`. Null texts and texts without a letter are `und` with score 0 and
     rejected, as are all if nothing can be learned. Rows with a null id are predicted, not learned from; their `held_out`
-    is false. Repeated rows are predicted alike. An empty table gives no row; other columns are ignored.
+    is false. A language none of whose learnable texts has a letter is never predicted. Repeated rows are predicted alike, of
+    languages equally near the first in order counts, and texts of any length are read whole. An empty table gives no row;
+    other columns are ignored.
     """
     fold = part("doc_id", 3)
     model = fit(docs.select("doc_id", "text", "lang").filter(fold != 1))

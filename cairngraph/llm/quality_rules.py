@@ -2,8 +2,8 @@
 
 Every document gets a few counts from its own text. For each measure a KLL sketch (mergeable, a few KB) is built per
 language and source; sketches of a language are merged for its rare sources, and those of all languages for rare
-languages. Bounds are read off the sketches as quartiles plus a multiple of their distance, and joined back to the
-documents. A group of any size is reduced to one sketch in every map task, so a hot source costs no more than others.
+languages. Bounds are read off the sketches: an upper quantile plus a multiple of its distance from a lower one, where one
+occurrence in a document of median length is the least distance. They are joined back to the documents. No cutoff is fixed. A group of any size is reduced to one sketch in every map task, so a hot source costs no more than others.
 """
 
 from __future__ import annotations
@@ -17,12 +17,13 @@ from cairngraph.session import cut
 SPACE = " \t\n\x0b\x0c\r"
 SYMBOLS = "#*$%&|<>"  # fixed values of the rule
 MEASURES = {
-    # measure: (expression, least distance of a bound from the quartile, whether small values fail too)
-    "word_length": ("word_chars / n_words", 1.0, True),
-    "symbols_per_word": ("n_symbols / n_words", 0.1, False),
-    "dup_line_share": ("n_dup_lines / greatest(n_lines, 1)", 0.3, False),
-    "repeat_share": ("n_repeat_words / n_words", 0.2, False),
+    # measure: (expression, quantiles whose distance counts, what it is counted in, whether small values fail too)
+    "word_length": ("word_chars / n_words", (0.25, 0.75), "n_words", True),
+    "symbols_per_word": ("n_symbols / n_words", (0.25, 0.75), "n_words", False),
+    "dup_line_share": ("n_dup_lines / greatest(n_lines, 1)", (0.5, 0.9), "n_lines", False),
+    "repeat_share": ("n_repeat_words / n_words", (0.5, 0.95), "n_words", False),
 }
+SIZES = ["n_words", "n_lines"]
 
 
 def _let(value: Column, use) -> Column:
@@ -91,18 +92,22 @@ def measure(docs: DataFrame) -> DataFrame:
 
 def bounds(measured: DataFrame, least_rows: int, spread: float, k: int) -> DataFrame:
     """One row per language and source: the lowest and highest allowed value of each measure."""
-    rows = measured.filter("not base_failed").select("lang", "source", *[F.expr(e).alias(m) for m, (e, _, _) in MEASURES.items()])
-    sketch = [F.kll_sketch_agg_double(m, F.lit(k)).alias(m) for m in MEASURES]
+    rows = measured.filter("not base_failed").select(
+        "lang", "source", *[F.expr(e).alias(m) for m, (e, *_) in MEASURES.items()], *[F.col(c).cast("double").alias(c) for c in SIZES]
+    )
+    held = [*MEASURES, *SIZES]
+    sketch = [F.kll_sketch_agg_double(m, F.lit(k)).alias(m) for m in held]
     groups = cut(rows.groupBy("lang", "source").agg(F.count(F.lit(1)).alias("n"), *sketch))
-    merge = [F.kll_merge_agg_double(m, F.lit(k)).alias(m) for m in MEASURES]
+    merge = [F.kll_merge_agg_double(m, F.lit(k)).alias(m) for m in held]
     langs = groups.groupBy("lang").agg(F.sum("n").alias("n"), *merge)
     every = groups.agg(F.sum("n").alias("n"), *merge)
 
     def read(found: DataFrame, *keys: str) -> DataFrame:
         out = []
-        for m, (_, slack, low) in MEASURES.items():
-            q1, q3 = (F.kll_sketch_get_quantile_double(m, F.lit(q)) for q in (0.25, 0.75))
-            room = F.greatest((q3 - q1) * spread, F.lit(slack))
+        for m, (_, (lower, upper), size, low) in MEASURES.items():
+            q1, q3 = (F.kll_sketch_get_quantile_double(m, F.lit(q)) for q in (lower, upper))
+            one = 1 / F.kll_sketch_get_quantile_double(size, F.lit(0.5))
+            room = F.greatest(q3 - q1, one) * spread
             out.append(F.struct((q1 - room if low else F.lit(None).cast("double")).alias("low"), (q3 + room).alias("high")).alias(m))
         return found.select(*keys, "n", F.struct(*out).alias("b"))
 
@@ -120,7 +125,8 @@ def quality_rules(
     A document fails the base with fewer than `least_words` words or if more than half of its words stand in repeated
     3-word windows; it takes no part in the bounds. Bounds are those of its language and source, of its language if that
     group has fewer than `least_rows` rows, or of all rows. Null languages and sources are groups of their own. Null and
-    empty texts fail the base. Repeated rows count as often as they occur; an empty table gives no row. Sketches
+    empty texts fail the base; texts of any length are read whole. Repeated rows count as often as they occur, columns besides
+    `doc_id`, `text`, `lang` and `source` are ignored, and an empty table gives no row. Sketches
     are exact up to about `k` rows a group and have a rank error of about 2 / k beyond.
     """
     base = (F.col("n_words") < least_words) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
@@ -129,7 +135,7 @@ def quality_rules(
     on = F.col("lang").eqNullSafe(F.col("_lang")) & F.col("source").eqNullSafe(F.col("_source"))
     tests = [
         F.when((F.expr(e) < F.col(f"bounds.{m}.low")) | (F.expr(e) > F.col(f"bounds.{m}.high")), F.lit(m))
-        for m, (e, _, _) in MEASURES.items()
+        for m, (e, *_) in MEASURES.items()
     ]
     failed = F.when(F.col("base_failed"), F.array().cast("array<string>")).otherwise(F.array_compact(F.array(*tests)))
     out = measured.join(limit, on, "left").withColumn("failed", failed)
@@ -161,11 +167,12 @@ m as (
 ), q as (
   select lang, source, grouping(lang, source) as level, count(*) as n,
     quantile_disc(a1, 0.25) as q1, quantile_disc(a1, 0.75) as p1, quantile_disc(a2, 0.25) as q2, quantile_disc(a2, 0.75) as p2,
-    quantile_disc(a3, 0.25) as q3, quantile_disc(a3, 0.75) as p3, quantile_disc(a4, 0.25) as q4, quantile_disc(a4, 0.75) as p4
+    quantile_disc(a3, 0.5) as q3, quantile_disc(a3, 0.9) as p3, quantile_disc(a4, 0.5) as q4, quantile_disc(a4, 0.95) as p4,
+    1 / quantile_disc(n_words, 0.5) as u, 1 / quantile_disc(n_lines, 0.5) as v
   from b where not base_failed group by grouping sets ((lang, source), (lang), ())
 ), t as (
-  select *, q1 - greatest(6 * (p1 - q1), 1.0) as low1, p1 + greatest(6 * (p1 - q1), 1.0) as high1,
-    p2 + greatest(6 * (p2 - q2), 0.1) as high2, p3 + greatest(6 * (p3 - q3), 0.3) as high3, p4 + greatest(6 * (p4 - q4), 0.2) as high4
+  select *, q1 - 6 * greatest(p1 - q1, u) as low1, p1 + 6 * greatest(p1 - q1, u) as high1, p2 + 6 * greatest(p2 - q2, u) as high2,
+    p3 + 6 * greatest(p3 - q3, v) as high3, p4 + 6 * greatest(p4 - q4, u) as high4
   from q
 )
 select b.doc_id, b.n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,

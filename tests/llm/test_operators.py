@@ -333,6 +333,13 @@ def test_language_held_out(spark):
     assert {(r.lang_pred, r.score) for r in und.collect()} == {("und", 0.0)}
 
 
+def test_language_without_letters_in_a_sample(spark):
+    rows = [(i, "the sun is up and we go", "en") for i in range(40)] + [(100 + i, "12 34 ...", "de") for i in range(40)] + [(200 + i, None, "fr") for i in range(9)]
+    out = language.identify(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()
+    assert {r.lang_pred for r in out} == {"en", "und"} and len(out) == 89
+    assert sum(len(c) for c in language.chunked(["ab"] * 10_000)) == 10_000 and max(map(len, language.chunked(["ab"] * 10_000))) <= language.ROWS
+
+
 def test_toxicity_held_out(spark):
     docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
     labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet")
@@ -408,9 +415,18 @@ def test_secrets_are_found_and_hidden(spark):
     assert clean[0] == 'some words token = "[SECRET]" more words' and clean[201] is None and clean[202] == ""
     assert hexes[1] not in clean[200] and hexes[2] not in clean[200] and clean[200].startswith("é ")
     assert all(clean[i] == texts[i] for i in range(100, 140))
+    # whatever is assigned to a secret's name is a candidate, and rows without an id are cleaned, too
+    more = [(None, f"x token = '{hexes[3]}' y", "en"), (300, 'password = "correct-horse-battery"', "en"), (301, 'pwd = "Zx9!kQ2p"', "en"), (301, f"api_key: {hexes[4]}!", "en")]
+    wide = docs.unionByName(spark.createDataFrame(more, "doc_id long, text string, lang string")).withColumns({c: F.lit(1) for c in ("_id", "_spans", "d", "k", "spans", "row", "clean")})
+    found = secrets.scan(wide)
+    assert {"correct-horse-battery", "Zx9!kQ2p"} <= {r.value for r in found.collect()}
+    clean = secrets.redact(wide, found)
+    assert clean.columns == wide.columns and clean.count() == wide.count()
+    assert {r.text for r in clean.filter("doc_id is null").collect()} == {"x token = '[SECRET]' y"}
+    assert {r.text for r in clean.filter("doc_id = 301").collect()} == {'pwd = "[SECRET]"', "api_key: [SECRET]!"}
     # labels given for findings override the rules
     given = spark.createDataFrame([(i, 20, 0) for i in range(40)] + [(100 + i, 5, 1) for i in range(40)], "doc_id long, start long, label int")
-    assert secrets.scan(docs, given).count() == found.count()
+    assert secrets.scan(wide, given).count() == found.count()
 
 
 def test_quality_rules_adapt(spark):
