@@ -6,11 +6,13 @@ import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cairngraph.session import cut, shared_dir
 
+MOST_BITS = 1 << 29
+
 
 def part(column: str, modulus: int) -> Column:
     """crc32 of the id as text, modulo `modulus`: the fixed folds of training and held-out rows."""
@@ -63,8 +65,23 @@ def components(links: DataFrame, rounds: int = 50) -> DataFrame:
     )
 
 
-def first_in_group(keys: list[str], *order: str) -> Window:
-    return Window.partitionBy(*keys).orderBy(*order)
+def perhaps_in(rows: DataFrame, key: str, members: DataFrame, flag: str = "perhaps") -> DataFrame:
+    """`rows` with a boolean `flag`: false where the long `key` is certainly none of `members` (one column).
+
+    A Bloom filter of one hash: sixteen bits a member, at most `MOST_BITS`, so that at most 64 MB are broadcast. Beyond that
+    more rows are flagged, and none is missed. It keeps wide rows that a join would drop, or leave alone, out of its shuffle.
+    """
+    ids = members.select(F.col(members.columns[0]).cast("long").alias("id")).filter("id is not null")
+    bits = min(MOST_BITS, max(1 << 15, 1 << (16 * ids.count() - 1).bit_length()))
+    place = lambda c: F.pmod(F.xxhash64(c), F.lit(bits).cast("long"))
+    bucket = lambda h: F.floor(h / (1 << 15)).cast("long")
+    placed = ids.select(place(F.col("id")).alias("h"))
+    filters = cut(placed.groupBy(bucket(F.col("h")).alias("_bucket")).agg(F.bitmap_construct_agg(F.col("h") % (1 << 15)).alias("_bits")))
+    at = place(F.col(key))
+    joined = rows.join(F.broadcast(filters), bucket(at) == F.col("_bucket"), "left")
+    byte = F.conv(F.hex(F.substring("_bits", (F.floor((at % (1 << 15)) / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    found = F.col(key).isNotNull() & F.coalesce(F.getbit(byte, (at % 8).cast("int")) == 1, F.lit(False))
+    return joined.withColumn(flag, found).drop("_bucket", "_bits")
 
 
 def by_group(keys: list[str], step: Callable[[pa.Table], Iterator[pa.RecordBatch]]) -> Callable:

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from cairngraph.llm.common import by_group, components, over_batches, stored, texts
+from cairngraph.llm.common import by_group, components, over_batches, perhaps_in, stored, texts
 from cairngraph.llm.registry import query, table
 from cairngraph.llm.text import chunks, mix, runs, signed, words
 from cairngraph.session import cut
@@ -173,6 +173,35 @@ def _signatures(n: int, p: int, common: np.ndarray):
     return over_batches(step)
 
 
+def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of signatures in order, those that several sets have; a key's rows pass one by one and are never held."""
+    key, one, several = None, None, False  # the last key, its first row, and whether two sets had it
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        sig, node = batch.column("sig").to_numpy(), batch.column("node").to_numpy()
+        keys = sig >> TAG
+        new = np.append(True, keys[1:] != keys[:-1])
+        lead = np.flatnonzero(new)
+        group = np.cumsum(new) - 1
+        first = node[lead]
+        differ = np.zeros(len(lead), bool)
+        if keys[0] == key:
+            first[0], differ[0] = one[1], several
+        np.logical_or.at(differ, group, node != first[group])
+        out = differ[group]
+        sig_out, node_out = sig[out], node[out]
+        if keys[0] == key and differ[0] and not several:  # now the first row counts, too
+            sig_out, node_out = np.append(one[0], sig_out), np.append(one[1], node_out)
+        if keys[-1] == key and len(lead) == 1:
+            several = differ[0]
+        else:
+            begin = lead[-1]
+            key, one, several = keys[-1], (sig[begin], node[begin]), bool(differ[-1])
+        if len(sig_out):
+            yield pa.record_batch({"node": node_out, "key": sig_out >> TAG, "tag": sig_out & ((1 << TAG) - 1)})
+
+
 def _blobs(n: int):
     """The sorted shingles of the sets asked for."""
 
@@ -288,10 +317,8 @@ def jaccard_components(docs: DataFrame, n: int = 4, percent: int = 85, rows: boo
     common = counts.filter(F.col("n") >= COMMON).orderBy(F.desc("n"), "gram").limit(MOST_COMMON).toArrow()["gram"]
     common = np.sort(common.to_numpy()).view(U)
     signatures = plain.filter("text is not null").mapInArrow(_signatures(n, percent, common), "sig long, node long")
-    same = Window.partitionBy(F.shiftright("sig", TAG)).orderBy("node")
-    whole = same.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    ends = signatures.select("sig", "node", F.first("node").over(same).alias("lead"), F.max("node").over(whole).alias("last"))
-    shared = ends.filter("lead <> last").select("node", F.shiftright("sig", TAG).alias("key"), F.col("sig").bitwiseAND((1 << TAG) - 1).alias("tag"))
+    ordered = signatures.repartition(F.shiftright("sig", TAG)).sortWithinPartitions("sig")
+    shared = ordered.mapInArrow(_shared, "node long, key long, tag long")
     # sets that agree with others too seldom go; what they had in common with one other set then holds for none
     held = cut(shared)
     for _ in range(2):
@@ -302,8 +329,10 @@ def jaccard_components(docs: DataFrame, n: int = 4, percent: int = 85, rows: boo
     clusters = cut(components(held.filter("node <> lead").select(F.col("node").alias("a"), F.col("lead").alias("b"))))
     holder = profile.filter("doc_id is not null").groupBy("node").agg(F.min("doc_id").alias("holder"))
     asked = clusters.join(holder, F.col("id") == F.col("node")).select("holder", "node", F.col("component").alias("cluster"))
+    asked = cut(asked)
+    wanted = perhaps_in(plain, "doc_id", asked.select("holder")).filter("perhaps")
     sets = stored(
-        plain.join(asked, plain["doc_id"] == asked["holder"])
+        wanted.join(asked, wanted["doc_id"] == asked["holder"])
         .select("cluster", "node", "text")
         .mapInArrow(_blobs(n), "cluster long, node long, grams binary")
     )
@@ -343,6 +372,26 @@ def jaccard_components(docs: DataFrame, n: int = 4, percent: int = 85, rows: boo
     )
 
 
+def drop_near_copies(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
+    """`docs` with one document left of each group linked by the similarity of `n`-word shingles: the one of least id.
+
+    A row leaves by its own text, whatever other rows of its id hold. Of rows that share an id and a text one stays, the
+    least by its other columns; rows without an id stay, as do null and empty texts of different ids. An empty table gives no row.
+    """
+    found = stored(jaccard_components(docs.select("doc_id", "text"), n, percent, rows=True).select("doc_id", "text_key", "survives"))
+    losers = found.filter("not survives").select(F.col("doc_id").alias("l"), F.col("text_key").alias("t")).distinct()
+    twins = found.groupBy("doc_id").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("doc_id")
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    rows = rows.select("row", F.col("row.doc_id").cast("long").alias("d"), F.col("row.text").cast("string").alias("x"))
+    flagged = perhaps_in(rows, "d", losers.select("l").unionByName(twins.select(F.col("doc_id").alias("l"))))
+    touched = flagged.filter("perhaps")
+    touched = touched.join(losers, (touched["d"] == losers["l"]) & (F.xxhash64("x") == losers["t"]), "left_anti")
+    order = [F.col("row").getField(c) for c in docs.columns if c not in ("doc_id", "text")]
+    same = Window.partitionBy("d", F.sha2(F.coalesce(F.col("x"), F.lit("")).cast("binary"), 256)).orderBy(*(order or [F.lit(1)]))
+    touched = touched.withColumn("r", F.row_number().over(same)).filter("r = 1")
+    return flagged.filter("not perhaps").select("row").unionByName(touched.select("row")).select("row.*")
+
+
 ORACLE = r"""
 with recursive w as (
   select doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',

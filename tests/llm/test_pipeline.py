@@ -21,7 +21,11 @@ def test_stage_takes_odd_rows(spark, stage):
     if name != "packing":
         assert out.columns == ["doc_id", "text", "lang", "source", "n_chars"]
         more = spark.createDataFrame(rows, DOCS).withColumns({c: F.lit(1) for c in ("_id", "_n", "_r", "doc", "score", "more", "keys", "component_id")})
-        assert run(spark, more, SF).count() == out.count()
+        wide = run(spark, more, SF)
+        assert wide.columns == more.columns and wide.count() == out.count()
+        # the further columns come back as they were
+        more = spark.createDataFrame(rows, DOCS).withColumns({c: F.lit(77) for c in ("_id", "_n", "_r", "r", "row", "d", "x", "perhaps", "_bits")})
+        assert {tuple(r)[5:] for r in run(spark, more, SF).collect()} == {(77,) * 9}
 
 
 def test_pipeline_takes_effect(spark):
