@@ -8,8 +8,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession, Window
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from cairngraph.llm import jaccard, packing, secrets, substring, toxicity
 from cairngraph.llm.common import part
@@ -20,7 +19,10 @@ PASSAGE_WORDS = 50  # a passage of so many words that a document with a smaller
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the model does not call toxic. It learns from the labels of fold crc32(doc_id) mod 5 other than 0."""
+    """Documents that the model does not call toxic. It learns from the labels of fold crc32(doc_id) mod 5 other than 0.
+
+    Null and empty texts are not toxic and rows without an id are scored like others; columns of any name are kept.
+    """
     model = toxicity.fit(docs, table(spark, sf_dir, "labels").filter(part("doc_id", 5) != 0))
     scored = toxicity.score(docs, model)
     return scored.filter("predicted = 0").select(*docs.columns)
@@ -29,19 +31,9 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group linked by the similarity of 5-word shingles (0.8 or more): the one of least id.
 
-    A row leaves by its own text, whatever other rows of its id hold. Of rows that share an id and are alike one stays;
-    rows without an id stay.
+    Null and empty texts are near to nothing and stay, as do rows without an id; an empty table gives no row.
     """
-    found = jaccard.jaccard_components(docs.select("doc_id", "text"), n=5, percent=80, rows=True)
-    losers = found.filter("not survives").select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key")).distinct()
-    kept = docs.join(losers, (docs["doc_id"] == losers["_id"]) & (F.xxhash64(docs["text"]) == losers["_key"]), "left_anti")
-    twins = docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1 and doc_id is not null").select(F.col("doc_id").alias("_id"))
-    # rows that share an id are rare: only they are looked at again
-    single = kept.join(twins, kept["doc_id"] == twins["_id"], "left_anti")
-    doubled = kept.join(twins, kept["doc_id"] == twins["_id"], "left_semi")
-    order = Window.partitionBy("doc_id", F.sha2(F.coalesce(F.col("text"), F.lit("")), 256)).orderBy(*[c for c in docs.columns if c != "text"])
-    doubled = doubled.withColumn("_r", F.row_number().over(order)).filter("_r = 1")
-    return single.unionByName(doubled.select(*docs.columns)).select(*docs.columns)
+    return jaccard.drop_near_copies(docs, n=5, percent=80)
 
 
 def cut_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -54,12 +46,15 @@ def cut_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def hide_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, with a mark in place of every secret."""
+    """All documents, with a mark in place of every secret.
+
+    Null and empty texts hold none, rows without an id are cleaned like others, and columns of any name are kept.
+    """
     return secrets.redact(docs, secrets.scan(docs))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of all documents in windows of 2048 tokens."""
+    """The pieces of all documents in windows of 2048 tokens; a null or empty text is one piece of the closing id alone."""
     import public_tokenizers
 
     return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"))
