@@ -17,7 +17,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from cairngraph.llm.common import stored
 from cairngraph.llm.registry import query, table
+from cairngraph.llm.vectors import usual_length
 
 QUERY_BLOCK = 512
 HELD = 400_000  # scored rows a task holds before it keeps the best per query
@@ -196,8 +198,11 @@ def _scored(dim: int, fine: int, k: int):
                 probed = bits[:, : 2 * fine][:, subs].astype(bool) & (ids[None, :] != q[:, None])
                 rough = _unit(y, dim) @ _unit(x, dim).T
                 rough[~probed] = -2.0
-                if len(ids) > k:  # all that could be among the best, ties and rounding included
-                    last = np.partition(rough, len(ids) - k, axis=1)[:, len(ids) - k]
+                order = np.argsort(ids, kind="stable")
+                start = np.flatnonzero(np.append(True, np.diff(ids[order]) != 0))[: len(ids)]
+                if len(start) > k:  # all that could be among the best `k` ids, ties and rounding included
+                    by_id = np.maximum.reduceat(rough[:, order], start, axis=1)
+                    last = np.partition(by_id, len(start) - k, axis=1)[:, len(start) - k]
                     probed &= rough >= last[:, None] - 1e-9
                 i, j = np.nonzero(probed)
                 if len(i):
@@ -215,19 +220,70 @@ def _scored(dim: int, fine: int, k: int):
     return run
 
 
+def _packs(dim: int, fine: int, shards: int):
+    """All vectors in rows of up to 4096, dealt in turn."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        turn = 0
+        for batch in batches:
+            ids, x = _vectors(batch, dim)
+            for at in range(0, len(ids), 4096):
+                some = ids[at : at + 4096]
+                yield pa.record_batch(
+                    {
+                        "shard": pa.array([turn % shards], pa.int32()),
+                        "ids": pa.array([some.tobytes()], pa.binary()),
+                        "subs": pa.array([bytes(len(some))], pa.binary()),
+                        "x": pa.array([x[at : at + 4096].tobytes()], pa.binary()),
+                    }
+                )
+                turn += 1
+
+    return run
+
+
+def _asked(dim: int, fine: int):
+    """Queries in rows of up to `QUERY_BLOCK`, that look into every bucket."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids, y = _vectors(batch, dim)
+            for at in range(0, len(ids), QUERY_BLOCK):
+                some = ids[at : at + QUERY_BLOCK]
+                yield pa.record_batch(
+                    {
+                        "queries": pa.array([some.tobytes()], pa.binary()),
+                        "masks": pa.array([b"\xff" * ((2 * fine + 7) // 8 * len(some))], pa.binary()),
+                        "ys": pa.array([y[at : at + QUERY_BLOCK].tobytes()], pa.binary()),
+                    }
+                )
+
+    return run
+
+
+def _exactly(plain: DataFrame, queries: DataFrame, dim: int, fine: int, k: int, shards: int = 64) -> DataFrame:
+    """The scores of `queries` (few) against all rows, in blocks."""
+    packs = plain.mapInArrow(_packs(dim, fine, shards), "shard int, ids binary, subs binary, x binary")
+    blocks = queries.mapInArrow(_asked(dim, fine), "queries binary, masks binary, ys binary")
+    blocks = blocks.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))
+    found = packs.join(blocks, "shard").select("ids", "subs", "x", "queries", "masks", "ys")
+    return found.mapInArrow(_scored(dim, fine, k), "query_id long, vec_id long, score double")
+
+
 def nearest(
     vectors: DataFrame, is_query, k: int = 5, tables: int = 8, fine: int = 8, probes: int = 160, dim: int | None = None
 ) -> DataFrame:
     """`query_id`, `rank`, `vec_id`, `score`: the `k` nearest found among all other rows for every row with `is_query`.
 
-    Vectors (`vec_id`, `embedding`) that are null, zero, of another length than `dim` (the largest found, if not given) or
+    Vectors (`vec_id`, `embedding`) that are null, zero, of another length than `dim` (the most frequent, if not given) or
     hold null or non-finite components take no part, nor do rows with a null id. Ties go to the smaller id. Rows that share
-    an id are one candidate at its best score, and no row is a candidate of its own id. A query with fewer candidates has
-    fewer rows; an empty table gives none; other columns are ignored.
+    an id are one candidate at its best score, and no row is a candidate of its own id. Queries whose buckets hold fewer than
+    `k` candidates are compared with all rows, so only a table with fewer candidates gives fewer rows; an empty table gives
+    none; other columns are ignored.
     """
     plain = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("embedding"))
     if dim is None:
-        dim = plain.agg(F.max(F.size("embedding"))).head()[0] or 0
+        dim = usual_length(plain)
     if dim <= 0:
         return plain.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     width = max(1 << (dim - 1).bit_length(), fine)
@@ -242,7 +298,11 @@ def nearest(
     )
     found = index.join(blocks, ["number", "axis"]).select("ids", "subs", "x", "queries", "masks", "ys")
     scored = found.mapInArrow(_scored(dim, fine, k), "query_id long, vec_id long, score double")
-    scored = scored.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
+    scored = stored(scored.groupBy("query_id", "vec_id").agg(F.max("score").alias("score")))
+    served = scored.groupBy("query_id").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= k)
+    wanting = plain.filter(is_query).join(served, F.col("vec_id") == F.col("query_id"), "left_anti")
+    rest = _exactly(plain, wanting, dim, fine, k).groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
+    scored = scored.join(served, "query_id", "left_semi").unionByName(rest)
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     ranked = scored.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "vec_id", "score")

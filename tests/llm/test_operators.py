@@ -320,8 +320,33 @@ def test_ann_against_brute_force(spark):
     assert [v for _, v, _ in sorted(found[105])] == [7, 100, 101, 102, 103]
     assert set(found) == set(range(0, 600, 5))
     assert ann.nearest(df.filter("false"), F.col("vec_id") == 0).count() == 0
-    few = df.filter("vec_id < 3")
-    assert ann.nearest(few, F.col("vec_id") == 0, probes=10_000).count() == 2
+    more = df.withColumns({c: F.lit("x") for c in ("query_id", "score", "number", "axis", "ids", "x", "shard", "n")})
+    assert ann.nearest(more, F.col("vec_id") % 50 == 0).count() == 5 * 12
+
+
+@pytest.mark.parametrize("n", [1, 2, 4, 6, 40])
+def test_ann_gives_all_candidates_of_small_tables(spark, n):
+    x = np.random.default_rng(n).normal(size=(n, 64))
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    found = sorted((r.query_id, r["rank"], r.vec_id) for r in ann.nearest(df, F.col("vec_id") % 2 == 0).collect())
+    unit = x / np.linalg.norm(x, axis=1)[:, None]
+    best = {q: sorted((-(unit[i] @ unit[q]), i) for i in range(n) if i != q)[:5] for q in range(0, n, 2)}
+    if n < 10:
+        assert found == [(q, k + 1, i) for q in best for k, (_, i) in enumerate(best[q])]
+    assert len(found) == sum(map(len, best.values()))
+
+
+def test_ann_with_a_longer_vector_and_repeated_ids(spark):
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(200, 64))
+    rows = [(i, v.tolist()) for i, v in enumerate(x)] + [(999, [1.0] * 65)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    found = ann.nearest(df, F.col("vec_id") % 20 == 0).collect()
+    assert len(found) == 50 and 999 not in {r.vec_id for r in found}
+    center = rng.normal(size=64)
+    near = [(i, (center + 0.01 * rng.normal(size=64)).tolist()) for i in range(11)] + [(50, center.tolist())] * 8
+    found = ann.nearest(spark.createDataFrame(near, "vec_id long, embedding array<double>"), F.col("vec_id") == 0).collect()
+    assert [r["rank"] for r in found] == [1, 2, 3, 4, 5] and found[0].vec_id == 50 and len({r.vec_id for r in found}) == 5
 
 
 def test_language_held_out(spark):
