@@ -66,8 +66,9 @@ def raw(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
-def words(texts: pa.Array, fold: bool = False) -> Words:
-    """Split and hash all words of a chunk. `fold` lower-cases A-Z."""
+def words(texts: pa.Array, fold: bool = False, signs: bool = False) -> Words:
+    """Split and hash all words of a chunk. `fold` lower-cases A-Z. With `signs`, runs of ASCII signs are words of their own and
+    all digits are alike."""
     data, offsets = raw(texts)
     n_docs = len(offsets) - 1
     if fold:
@@ -76,6 +77,13 @@ def words(texts: pa.Array, fold: bool = False) -> Words:
     solid = ~space
     before, after = np.ones(len(data) + 1, bool), np.ones(len(data) + 1, bool)
     before[1:], after[:-1] = np.append(space, True)[: len(data)], np.append(space, True)[1:]
+    if signs:
+        digit = (data >= 48) & (data <= 57)
+        data = np.where(digit, 48, data)
+        lower = data | 32
+        sign = (data < 128) & ~digit & ~((lower >= 97) & (lower <= 122))
+        change = np.flatnonzero(sign[1:] != sign[:-1])
+        before[change + 1] = after[change] = True
     before[offsets[:-1]] = True
     ends_at = offsets[1:][offsets[1:] > 0] - 1
     after[ends_at] = True

@@ -383,44 +383,86 @@ def test_noisy_or_finds_the_sentence():
     assert weights["fool"] > 0 and weights[" "] < -2
 
 
-def test_perplexity_by_definition(spark):
+def split_tokens(text):
+    import re
+
+    return re.findall(r"[A-Za-z0-9\u0080-\U0010ffff]+|[^A-Za-z0-9\u0080-\U0010ffff\s]+", re.sub(r"[0-9]", "0", text.lower()))
+
+
+@pytest.mark.parametrize("shards", [1, 5])
+def test_perplexity_by_definition(spark, monkeypatch, shards):
     """Interpolated modified Kneser-Ney, written out."""
     import math
     from collections import Counter
 
+    monkeypatch.setattr(perplexity, "BLOCK_BYTES", 700)
     rng = random.Random(8)
-    trusted = [words(rng, 30, 40) for _ in range(20)]
-    df = spark.createDataFrame([(i, t, "en") for i, t in enumerate([*trusted, "zq! w1 w2", "w3  w4\n9"])], "doc_id long, text string, lang string")
-    m = perplexity.model(df.filter("doc_id < 20"))
-    grams = lambda t: perplexity.trigrams([t])[1].tolist()
+    letters = lambda t: t.translate(str.maketrans("0123456789", "abcdefghij"))
+    trusted = [letters(words(rng, 30, 40)) + rng.choice(["", ".", " - wa!"]) for _ in range(60)]
+    others = ["zq! wb wc", "wd  we\n9", "", " ", None, "wb", "?? zz " * 400]
+    df = spark.createDataFrame([(i, t, "en") for i, t in enumerate([*trusted, *others])], "doc_id long, text string, lang string").repartition(3)
+    v = perplexity.vocabulary(df.filter("doc_id < 60"))
+    numbers = {w: i for i, w in enumerate(sorted({w for t in trusted for w in split_tokens(t)}))}
+    assert len(v.hashes) == len(numbers) and v.unknown == 1.0
+    v = perplexity.Vocabulary(v.hashes, 50.0)
+    encoded = df.filter("doc_id < 60").select("doc_id", "text").mapInArrow(perplexity._encoded(v), "doc_id long, line binary")
+    counts, d, matrix = perplexity.model(encoded, v, shards)
+    edge = "<edge>"
+    line = lambda t: [edge, edge, *[w if w in numbers else None for w in split_tokens(t)], edge]
+    grams = lambda t: [tuple(line(t)[i : i + 3]) for i in range(len(line(t)) - 2)] if split_tokens(t) else []
     c3 = Counter(g for t in trusted for g in grams(t))
-    low = (1 << 42) - 1
-    c2, c1 = Counter(g & low for g in c3), Counter()
-    for g in c2:
-        c1[g & ((1 << 21) - 1)] += 1
+    c2 = Counter(g[1:] for g in c3)
+    c1 = Counter(g[1:] for g in c2)
 
     def discount(c):
-        n = [sum(v == k for v in c.values()) for k in range(1, 5)]
+        n = [sum(x == k for x in c.values()) for k in range(1, 5)]
         y = n[0] / (n[0] + 2 * n[1]) if n[0] + n[1] else 0.5
         return [min(max(k - (k + 1) * y * n[k] / n[k - 1] if n[k - 1] else 0.5, 0.05), k - 0.05) for k in (1, 2, 3)]
 
     def prob(c, d, gram, lower):
-        held = {g: v for g, v in c.items() if g >> 21 == gram >> 21}
+        held = {g: x for g, x in c.items() if g[:-1] == gram[:-1]}
         if not held:
             return lower
-        total, cut = sum(held.values()), lambda v: d[min(v, 3) - 1]
+        total, cut = sum(held.values()), lambda x: d[min(x, 3) - 1]
         own = held[gram] - cut(held[gram]) if gram in held else 0
         return own / total + sum(map(cut, held.values())) / total * lower
 
     d3, d2, total = discount(c3), discount(c2), sum(c1.values())
-    for r in perplexity.perplexities(df, m).collect():
-        gs = grams([*trusted, "zq! w1 w2", "w3  w4\n9"][r.doc_id])
+    assert np.allclose(d[1:], d3)
+    found = perplexity.perplexities(df, counts, d, matrix, v, shards).collect()
+    assert len(found) == 67
+    for r in found:
+        gs = grams([*trusted, *others][r.doc_id] or "")
+        assert r.n_tokens == len(gs)
+        if not gs:
+            assert r.perplexity is None
+            continue
         logp = 0.0
         for g in gs:
-            one = c1[g & ((1 << 21) - 1)]
-            p1 = one / total * (1 - perplexity.UNSEEN) if one else perplexity.UNSEEN
-            logp += math.log(prob(c3, d3, g, prob(c2, d2, g & low, p1)))
-        assert r.n_chars_scored == len(gs) and math.isclose(r.perplexity, math.exp(-logp / len(gs)), rel_tol=1e-9)
+            p1 = (1 - perplexity.LEAST) * c1[g[2:]] / total + perplexity.LEAST / perplexity.SIZE
+            logp += math.log(prob(c3, d3, g, prob(c2, d2, g[1:], p1)) / (50 if g[2] is None else 1))
+        assert math.isclose(r.perplexity, math.exp(-logp / len(gs)), rel_tol=1e-4)
+
+
+def test_perplexity_counts_unknown_words_and_packs_numbers(spark, monkeypatch):
+    monkeypatch.setattr(perplexity, "HELD", 12_000)
+    rng = random.Random(4)
+    df = spark.createDataFrame([(i, " ".join("".join(rng.choice("abcdefgh") for _ in range(9)) for _ in range(500))) for i in range(60)], "doc_id long, text string").repartition(2)
+    v = perplexity.vocabulary(df)
+    assert len(v.hashes) == perplexity.SIZE - 2 and abs(v.unknown - (29_990 - len(v.hashes))) < 4000
+    x = np.sort(np.random.default_rng(1).integers(0, 1 << 36, 5000))
+    assert (perplexity.unpacked_sorted(perplexity.packed_sorted(x)) == x).all()
+    assert len(perplexity.unpacked_sorted(perplexity.packed_sorted(x[:0]))) == 0
+
+
+def test_perplexity_keeps_held_out_text(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet")
+    found = perplexity.classify(docs, labels.filter("quality = 1")).join(labels, "doc_id")
+    held = found.filter((F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0) & (F.col("quality") == 1))
+    assert held.filter("kept").count() >= 0.98 * held.count()
+    bad = found.filter("quality = 0")
+    assert bad.filter("kept").count() <= 0.25 * bad.count()
 
 
 def test_secrets_are_found_and_hidden(spark):
