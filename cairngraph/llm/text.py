@@ -12,7 +12,7 @@ from typing import NamedTuple
 import numpy as np
 import pyarrow as pa
 
-CHUNK_BYTES = 2_000_000  # of text per vectorised step; a longer document is a step of its own
+CHUNK_BYTES = 1_000_000  # of text per vectorised step; a longer document is a step of its own
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _PLACES = 64
 _STEP = np.uint64(0xA0761D6478BD642F)
