@@ -2,10 +2,20 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cairngraph.functions.scalars import has_tag, matches_query, normalize_path
+from cairngraph.operators.common import with_position
+from cairngraph.session import ship_with_tasks
+
+ship_with_tasks(__name__)
+
+POSTING_SPAN = 65_536  # document numbers of a posting block
 
 # Fixed value: the tag of code-graph rows.
 CODE_TAG = "codeintel"
@@ -29,10 +39,15 @@ def find_nodes(
     exact: str | None = None,
     time_range: tuple | None = None,
     ephemeral: bool | None = None,
-    limit: int = 100,
+    limit: int | None = None,
+    after: str | None = None,
     offset: int = 0,
 ) -> DataFrame:
-    """Nodes by optional type, text, creation time and ephemeral flag, paged in id order."""
+    """Nodes by optional type, text, creation time and ephemeral flag; with a limit, that many in id order.
+
+    A page goes on `after` the last id of the one before, which the scan filters by; `offset` counts rows instead, and
+    sorts as many more.
+    """
     found = nodes
     if type is not None:
         found = found.filter(F.col("type") == type)
@@ -44,7 +59,13 @@ def find_nodes(
         found = found.filter(F.col("created_at").between(*time_range))
     if ephemeral is not None:
         found = found.filter(F.col("ephemeral") == ephemeral)
-    return found.orderBy("id").offset(offset).limit(limit)
+    if after is not None:
+        found = found.filter(F.col("id") > after)
+    if limit is None and not offset:
+        return found
+    found = found.orderBy("id")
+    found = found.offset(offset) if offset else found
+    return found if limit is None else found.limit(limit)
 
 
 def find_edges(
@@ -148,7 +169,7 @@ def tokens(content: str | Column) -> Column:
 
 
 def text_match(nodes: DataFrame, query: str, content: str = "content") -> DataFrame:
-    """Nodes that contain all words of the query."""
+    """Nodes that contain all words of the query, by reading every text. For a stored index see `match_blocks`."""
     wanted = tokens(F.lit(query))
     present = tokens(content)
     return nodes.filter(
@@ -156,37 +177,83 @@ def text_match(nodes: DataFrame, query: str, content: str = "content") -> DataFr
     )
 
 
-def inverted_index(
-    nodes: DataFrame, key: str = "id", content: str = "content"
-) -> tuple[DataFrame, DataFrame]:
-    """(postings as rows of token and key, document frequency per token).
+def numbered(nodes: DataFrame, key: str = "id") -> DataFrame:
+    """(`key`, doc_no) with dense numbers in the order of the distinct keys, for keys that are no whole numbers."""
+    return with_position(nodes.select(key).filter(F.col(key).isNotNull()).distinct(), [key], "doc_no")
 
-    Postings stay rows: a token may occur in any share of the documents.
+
+def posting_blocks(nodes: DataFrame, key: str = "id", content: str = "content", span: int = POSTING_SPAN) -> DataFrame:
+    """The inverted index: (token, block_no, n, first_id, last_id, deltas), sorted by token and block.
+
+    A block holds the documents of one token in one range of `span` numbers, as the first one and the distances of the next.
+    So a block is bounded however frequent its token is, and a token's documents come from many tasks. `first_id` and `last_id`
+    let a reader skip blocks. Texts are read once. `key` must be a whole number (see `numbered`).
     """
-    postings = nodes.select(F.explode(tokens(content)).alias("token"), F.col(key))
-    frequencies = postings.groupBy("token").agg(
-        F.count(F.lit(1)).alias("df"), F.min(key).alias("first_id"), F.max(key).alias("last_id")
+    postings = nodes.select(F.col(key).cast("bigint").alias("id"), F.explode(tokens(content)).alias("token"))
+    block = F.floor(F.col("id") / span).cast("bigint")
+    # of repeated documents one counts
+    lists = (
+        postings.filter("id is not null")
+        .withColumn("block_no", block)
+        .groupBy("token", "block_no")
+        .agg(F.array_sort(F.collect_set((F.col("id") - F.col("block_no") * span).cast("int"))).alias("__at"))
+    )
+    first = F.col("block_no") * span
+    deltas = F.transform("__at", lambda x, i: F.when(i == 0, 0).otherwise(x - F.get("__at", i - 1)))
+    return lists.repartitionByRange("token", "block_no").sortWithinPartitions("token", "block_no").select(
+        "token",
+        "block_no",
+        F.size("__at").alias("n"),
+        (first + F.element_at("__at", 1)).alias("first_id"),
+        (first + F.element_at("__at", -1)).alias("last_id"),
+        deltas.alias("deltas"),
     )
-    return postings, frequencies
 
 
-def posting_blocks(
-    postings: DataFrame, frequencies: DataFrame, key: str = "id", block: int = 4096
-) -> DataFrame:
-    """Sorted key lists per token, split in hashed blocks of about `block` keys each.
+def token_frequencies(blocks: DataFrame) -> DataFrame:
+    """(token, df, first_id, last_id) from the index alone."""
+    return blocks.groupBy("token").agg(
+        F.sum("n").cast("bigint").alias("df"), F.min("first_id").alias("first_id"), F.max("last_id").alias("last_id")
+    )
+
+
+def _decoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Blocks of postings -> (token, id)."""
+    for batch in batches:
+        deltas = batch.column("deltas")
+        length = np.asarray(pa.compute.list_value_length(deltas).to_numpy(zero_copy_only=False)).astype(np.int64)
+        if not length.sum():
+            continue
+        total = np.cumsum(deltas.flatten().to_numpy().astype(np.int64))
+        start = np.cumsum(length) - length
+        row = np.repeat(np.arange(len(length)), length)
+        ids = total - np.repeat(total[start], length) + batch.column("first_id").to_numpy()[row]
+        yield pa.record_batch({"token": batch.column("token").take(pa.array(row)), "id": ids})
+
+
+def block_ids(blocks: DataFrame) -> DataFrame:
+    """(token, id) of all postings in `blocks`."""
+    return blocks.select("token", "first_id", "deltas").mapInArrow(_decoded, "token string, id bigint")
 
-    Only tokens of more than one block need their frequency, so the join stays with those.
+
+def match_blocks(blocks: DataFrame, query: str) -> DataFrame:
+    """(id) of the documents that contain all words of the query, from the index alone.
+
+    The scan gets the words as a filter. Only ranges in which all words have blocks that overlap are decoded.
     """
-    frequent = frequencies.filter(F.col("df") > block).select(
-        "token", F.ceil(F.col("df") / block).alias("__blocks")
-    )
-    sized = postings.join(frequent, "token", "left")
-    blocks = F.coalesce("__blocks", F.lit(1))
-    return (
-        sized.withColumn("block_no", F.pmod(F.xxhash64(key), blocks))
-        .groupBy("token", "block_no")
-        .agg(F.array_sort(F.collect_list(key)).alias("ids"))
+    words = blocks.sparkSession.range(1).select(F.explode(tokens(F.lit(query)))).collect()  # the words of one question
+    wanted = [row[0] for row in words]
+    if not wanted:
+        return blocks.select(F.col("first_id").alias("id")).limit(0)
+    asked = blocks.filter(F.col("token").isin(wanted))
+    if len(wanted) == 1:
+        return block_ids(asked).select("id")
+    ranges = asked.groupBy("block_no").agg(
+        F.count(F.lit(1)).alias("__tokens"), F.max("first_id").alias("__low"), F.min("last_id").alias("__high")
     )
+    ranges = ranges.filter((F.col("__tokens") == len(wanted)) & (F.col("__low") <= F.col("__high")))
+    kept = asked.join(ranges.select("block_no"), "block_no", "left_semi")
+    return block_ids(kept).groupBy("id").agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") == len(wanted)).select("id")
 
 
 # --- visibility and memories ----------------------------------------------------------------

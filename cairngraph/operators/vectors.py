@@ -1,146 +1,299 @@
-"""Exact and bucketed nearest neighbours by cosine.
+"""Exact nearest neighbours by cosine, and an inverted file of vector lists.
 
-The query vectors travel to the tasks in blocks of a fixed size. Each Arrow batch of stored vectors
-is multiplied with the block as one matrix and hands on only its own best k per query, so neither
-all pairs nor a whole list ever exist as rows.
+Vectors are packed: a row holds up to a few thousand vectors of one length as one matrix. Exact search meets every block of queries with
+every block of stored vectors; the queries are broadcast in rounds of bounded size, so neither side has to fit anywhere.
+A task hands on only its best k per query, and pairs never exist as rows.
+
+The inverted file keeps the blocks of each list together, large lists in several. A query's vector goes to the lists of its
+nearest centroids, and a join on the list reads just these: work falls with the number of probes.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cairngraph.operators.common import top_n, union_all, with_position
-from cairngraph.session import ship_with_tasks
+from cairngraph.operators.common import top_n, union_all
+from cairngraph.session import cut, ship_with_tasks
 
 ship_with_tasks(__name__)
 
 QUERY_BLOCK = 2048
-MAX_LISTS = 32_768
+LIST_BLOCK = 4096
+ROUND_BYTES = 64_000_000  # of query vectors or centroids that are broadcast at once
+HELD = 200_000  # scored rows a task holds before it keeps the best
 HITS = "query_id bigint, id bigint, similarity double"
+PACKED = "dim int, n int, ids binary, cells binary"
 
 
-def _unit(matrix: np.ndarray) -> np.ndarray:
+def unit(matrix: np.ndarray) -> np.ndarray:
     norms = np.linalg.norm(matrix, axis=1, keepdims=True)
     return np.divide(matrix, norms, out=np.zeros_like(matrix), where=norms > 0)
 
 
-def _matrix(column: pd.Series) -> np.ndarray:
-    return np.stack(column.to_numpy()).astype(np.float64)
-
-
-def _best_of_batch(
-    pdf: pd.DataFrame, query_ids: np.ndarray, queries: np.ndarray, allowed: np.ndarray | None, k: int
-) -> pd.DataFrame:
-    """The batch's best k rows for each query; `allowed[q, row]` masks rows outside probed lists."""
-    scores = queries @ _unit(_matrix(pdf["embedding"])).T
-    if allowed is not None:
-        scores = np.where(allowed, scores, -np.inf)
-    # Only scores that reach the k-th best of their query are sorted.
-    k = min(k, scores.shape[1])
-    bar = np.partition(scores, -k, axis=1)[:, -k, None]
-    query, row = np.nonzero((scores >= bar) & np.isfinite(scores))
-    best, ids = scores[query, row], pdf["id"].to_numpy()[row]
-    # Equal similarities are settled by id, as in the final ranking.
-    order = np.lexsort((ids, -best, query))
-    query, best, ids = query[order], best[order], ids[order]
-    rank = np.arange(len(query)) - np.searchsorted(query, query)
-    kept = rank < k
-    return pd.DataFrame(
-        {"query_id": query_ids[query[kept]], "id": ids[kept], "similarity": best[kept]}
+def _by_length(batch: pa.RecordBatch, column: str = "embedding") -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """Length, places and unit vectors of the batch's rows; rows without a vector or with a null component are left out."""
+    vectors = batch.column(column)
+    length = np.asarray(pa.compute.list_value_length(vectors).fill_null(0).to_numpy(zero_copy_only=False))
+    for dim in np.unique(length[length > 0]).tolist():
+        at = np.flatnonzero(length == dim)
+        values = vectors.take(pa.array(at)).flatten().cast(pa.float64()).to_numpy(zero_copy_only=False)
+        matrix = np.asarray(values, np.float64).reshape(-1, dim)
+        whole = ~np.isnan(matrix).any(axis=1)
+        if whole.any():
+            yield dim, at[whole], unit(matrix[whole])
+
+
+def _packs(block: int, key: str) -> Callable:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids = batch.column(key).cast(pa.int64())
+            for dim, at, matrix in _by_length(batch):
+                for a in range(0, len(at), block):
+                    some = at[a : a + block]
+                    yield _pack_row(dim, ids.take(pa.array(some)).to_numpy(zero_copy_only=False), matrix[a : a + block])
+
+    return run
+
+
+def _pack_row(dim: int, ids: np.ndarray, matrix: np.ndarray, **more) -> pa.RecordBatch:
+    return pa.record_batch(
+        {
+            **more,
+            "dim": pa.array([dim], pa.int32()),
+            "n": pa.array([len(ids)], pa.int32()),
+            "ids": pa.array([ids.astype("<i8").tobytes()], pa.binary()),
+            "cells": pa.array([matrix.astype("<f8").tobytes()], pa.binary()),
+        }
     )
 
 
-def query_blocks(queries: DataFrame, block: int = QUERY_BLOCK) -> list[pd.DataFrame]:
-    """The query vectors in pieces of at most `block` rows, one piece at a time on the driver."""
-    total = queries.count()
-    if total <= block:
-        return [queries.toPandas()] if total else []
-    placed = with_position(queries, ["id"]).withColumn(
-        "__block", F.floor(F.col("position") / block)
-    )
-    count = -(-total // block)
-    return [
-        placed.filter(F.col("__block") == b).select(*queries.columns).toPandas()
-        for b in range(count)
-    ]
+def packed(vectors: DataFrame, block: int, key: str = "id") -> DataFrame:
+    """(`key`, embedding) as rows of up to `block` unit vectors of one length. Rows without a key are left out."""
+    rows = vectors.select(key, "embedding").filter(F.col(key).isNotNull())
+    return rows.mapInArrow(_packs(block, key), PACKED)
+
+
+def _best(query: np.ndarray, ids: np.ndarray, score: np.ndarray, k: int) -> np.ndarray:
+    """Places of the best `k` of every query; equal similarities are settled by id."""
+    order = np.lexsort((ids, -score, query))
+    start = np.searchsorted(query[order], query[order])
+    return order[np.arange(len(order)) - start < k]
+
+
+def _scored(k: int) -> Callable:
+    """Rows of two packs -> the best `k` rows of the task for every query."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        count = 0
+
+        def kept() -> tuple[np.ndarray, ...]:
+            query, ids, score = (np.concatenate(c) for c in zip(*held, strict=True))
+            keep = _best(query, ids, score, k)
+            return query[keep], ids[keep], score[keep]
+
+        def out(rows: tuple[np.ndarray, ...]) -> pa.RecordBatch:
+            return pa.record_batch(dict(zip(("query_id", "id", "similarity"), rows, strict=True)))
+
+        for batch in batches:
+            columns = ("dim", "ids", "cells", "q_ids", "q_cells")
+            for dim, ids, cells, q_ids, q_cells in zip(*(batch.column(c).to_pylist() for c in columns), strict=True):
+                ids, q_ids = np.frombuffer(ids, "<i8"), np.frombuffer(q_ids, "<i8")
+                scores = np.frombuffer(q_cells).reshape(-1, dim) @ np.frombuffer(cells).reshape(-1, dim).T
+                # only scores that reach the k-th best of their query are sorted
+                few = min(k, len(ids))
+                bar = np.partition(scores, -few, axis=1)[:, -few, None]
+                query, row = np.nonzero(scores >= bar)
+                score = scores[query, row]
+                keep = _best(q_ids[query], ids[row], score, k)
+                held.append((q_ids[query][keep], ids[row][keep], score[keep]))
+                count += len(keep)
+                if count > HELD:
+                    rows = kept()
+                    held, count = [rows], len(rows[0])
+                    if count > HELD // 2:
+                        yield out(rows)
+                        held, count = [], 0
+        if held:
+            yield out(kept())
+
+    return run
+
+
+def _rounds(blocks: DataFrame) -> list[DataFrame]:
+    """`blocks`, written once, in pieces of about `ROUND_BYTES` at most."""
+    blocks = cut(blocks)
+    size = blocks.agg(F.sum(F.octet_length("cells"))).head()[0] or 0
+    count = max(1, -(-2 * size // ROUND_BYTES))
+    if count == 1:
+        return [blocks]
+    turn = F.pmod(F.xxhash64("ids"), F.lit(count))
+    return [blocks.filter(turn == r) for r in range(count)]
 
 
 def knn(vectors: DataFrame, queries: DataFrame, k: int, block: int = QUERY_BLOCK) -> DataFrame:
-    """(query_id, id, similarity, rank) of the k nearest vectors. Both inputs: (id, embedding)."""
+    """(query_id, id, similarity, rank) of the k nearest vectors. Both inputs: (id, embedding).
 
-    def hits(piece: pd.DataFrame) -> DataFrame:
-        query_ids, unit = piece["id"].to_numpy(), _unit(_matrix(piece["embedding"]))
+    Vectors of another length than the query's, null ones and those with null components are no neighbours. Any number of
+    queries: each round of them scans the vectors once.
+    """
+    stored = packed(vectors, LIST_BLOCK)
+    asked = packed(queries, block).select("dim", F.col("ids").alias("q_ids"), F.col("cells").alias("q_cells"), "ids", "cells")
+    pieces = []
+    rounds = _rounds(asked)
+    for piece in rounds:
+        # a stated set of queries against all vectors, in blocks, bounded by the round
+        met = stored.join(F.broadcast(piece.select("dim", "q_ids", "q_cells")), "dim")
+        hits = met.select("dim", "ids", "cells", "q_ids", "q_cells").mapInArrow(_scored(k), HITS)
+        pieces.append(hits if len(rounds) == 1 else cut(hits))
+    return _ranked(pieces, k)
+
+
+def _ranked(pieces: list[DataFrame], k: int) -> DataFrame:
+    return top_n(union_all(pieces), ["query_id"], [F.desc("similarity"), F.col("id")], k, "rank")
 
-        def best(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            for pdf in batches:
-                if len(pdf):
-                    yield _best_of_batch(pdf, query_ids, unit, None, k)
 
-        return vectors.select("id", "embedding").mapInPandas(best, HITS)
+# --- inverted file --------------------------------------------------------------------------
+
+
+def _centroid_rounds(centroids: DataFrame) -> Iterator[tuple[np.ndarray, np.ndarray, int]]:
+    """The centroids (list_id, embedding) piece by piece, each of bounded size."""
+    for piece in _rounds(packed(centroids, LIST_BLOCK, "list_id")):
+        table = piece.toArrow()
+        for dim in np.unique(table.column("dim").to_numpy()).tolist() if table.num_rows else []:
+            rows = table.filter(pa.compute.equal(table.column("dim"), dim))
+            ids = np.concatenate([np.frombuffer(x, "<i8") for x in rows.column("ids").to_pylist()])
+            cells = np.concatenate([np.frombuffer(x).reshape(-1, dim) for x in rows.column("cells").to_pylist()])
+            order = np.argsort(ids, kind="stable")
+            yield ids[order], cells[order], dim
+
+
+def _nearest_lists(rows: DataFrame, key: str, centroids: DataFrame, n: int) -> DataFrame:
+    """(`key`, list_id, similarity) of the `n` nearest lists of every row (`key`, embedding); ties go to the smaller list."""
+    pieces = []
+    for ids, matrix, dim in _centroid_rounds(centroids):
+        shared = rows.sparkSession.sparkContext.broadcast((ids, matrix))
+
+        def near(batches: Iterator[pa.RecordBatch], shared=shared, dim=dim) -> Iterator[pa.RecordBatch]:
+            lists, centers = shared.value
+            few = min(n, len(lists))
+            for batch in batches:
+                keys = batch.column(key)
+                for length, at, matrix in _by_length(batch):
+                    for a in range(0, len(at) if length == dim else 0, 1024):
+                        scores = matrix[a : a + 1024] @ centers.T
+                        best = np.argsort(-scores, axis=1, kind="stable")[:, :few]
+                        row = np.repeat(np.arange(len(best)), few)
+                        yield pa.record_batch(
+                            {
+                                key: keys.take(pa.array(at[a : a + 1024][row])),
+                                "list_id": lists[best.ravel()],
+                                "similarity": scores[row, best.ravel()],
+                            }
+                        )
+
+        kind = dict(rows.dtypes)[key]
+        pieces.append(rows.select(key, "embedding").filter(F.col(key).isNotNull()).mapInArrow(near, f"{key} {kind}, list_id bigint, similarity double"))
+    if not pieces:
+        return rows.select(key, F.lit(0).cast("bigint").alias("list_id"), F.lit(0.0).alias("similarity")).limit(0)
+    if len(pieces) == 1:
+        return pieces[0]
+    return top_n(union_all([cut(p) for p in pieces]), [key], [F.desc("similarity"), F.col("list_id")], n)
 
-    return _ranked([hits(piece) for piece in query_blocks(queries, block)], vectors, k)
 
+def assign_lists(vectors: DataFrame, centroids: DataFrame) -> DataFrame:
+    """(id, embedding, list_id): each vector with the list of its nearest centroid. `centroids`: (list_id, embedding)."""
+    near = _nearest_lists(vectors, "id", centroids, 1).select("id", "list_id")
+    return vectors.select("id", "embedding").join(near.dropDuplicates(["id"]), "id")
 
-def _centroid_matrix(centroids: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """The centroids as one matrix, sorted by list id. Their number is an index parameter."""
-    table = centroids.orderBy("list_id").limit(MAX_LISTS + 1).toPandas()
-    if len(table) > MAX_LISTS:
-        raise ValueError(f"an index has at most {MAX_LISTS} lists")
-    return table["list_id"].to_numpy(), _unit(_matrix(table["embedding"]))
 
+def _list_packs(block: int) -> Callable:
+    """Consecutive rows of a list, up to `block`, as one row."""
 
-def assign_lists(vectors: DataFrame, centroids: DataFrame) -> DataFrame:
-    """Each vector with the list of its nearest centroid. `centroids`: (list_id, embedding)."""
-    list_ids, unit = _centroid_matrix(centroids)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, ids, cells = None, [], []
+
+        def out() -> pa.RecordBatch:
+            return _pack_row(key[1], np.array(ids, np.int64), np.array(cells), list_id=pa.array([key[0]], pa.int64()))
+
+        for batch in batches:
+            lists, keys = batch.column("list_id").to_numpy(), batch.column("id").to_numpy()
+            found = np.empty(batch.num_rows, object)
+            for _, at, matrix in _by_length(batch):
+                found[at] = list(matrix)
+            for list_id, i, vector in zip(lists.tolist(), keys.tolist(), found, strict=True):
+                if vector is None:
+                    continue
+                if ids and (key != (list_id, len(vector)) or len(ids) >= block):
+                    yield out()
+                    ids, cells = [], []
+                key = (list_id, len(vector))
+                ids.append(i)
+                cells.append(vector)
+        if ids:
+            yield out()
 
-    def nearest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            if len(pdf):
-                scores = _unit(_matrix(pdf["embedding"])) @ unit.T
-                yield pdf.assign(list_id=list_ids[scores.argmax(axis=1)])
+    return run
 
-    fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in vectors.schema.fields)
-    return vectors.mapInPandas(nearest, f"{fields}, list_id bigint")
+
+def list_blocks(listed: DataFrame, block: int = LIST_BLOCK) -> DataFrame:
+    """(id, embedding, list_id) as the rows of an inverted file: (list_id, dim, n, ids, cells), in the order of the lists.
+
+    Written as a table it can be read list by list. A list of any size is dealt over several tasks and blocks.
+    """
+    parts = listed.groupBy("list_id").agg(F.ceil(F.count(F.lit(1)) / (4 * block)).alias("__parts"))
+    large = parts.filter("__parts > 1")
+    dealt = listed.select("id", "embedding", "list_id").filter("id is not null").join(large, "list_id", "left")
+    part = F.pmod(F.xxhash64("id"), F.coalesce("__parts", F.lit(1)))
+    dealt = dealt.withColumn("__part", part).drop("__parts").withColumn("__dim", F.size("embedding"))
+    placed = dealt.repartitionByRange("list_id", "__part").sortWithinPartitions("list_id", "__dim")
+    return placed.select("list_id", "id", "embedding").mapInArrow(_list_packs(block), f"list_id bigint, {PACKED}")
+
+
+def probe_lists(
+    blocks: DataFrame, queries: DataFrame, centroids: DataFrame, k: int, probes: int, block: int = QUERY_BLOCK
+) -> DataFrame:
+    """(query_id, id, similarity, rank): the k nearest in the `probes` lists nearest to each query, from `list_blocks`."""
+    probed = _nearest_lists(queries, "id", centroids, probes).select("id", "list_id")
+    asked = queries.select("id", "embedding").join(probed, "id")
+    packs = list_blocks(asked, block).select("list_id", "dim", F.col("ids").alias("q_ids"), F.col("cells").alias("q_cells"))
+    met = blocks.join(packs, ["list_id", "dim"]).select("dim", "ids", "cells", "q_ids", "q_cells")
+    return _ranked([met.mapInArrow(_scored(k), HITS)], k)
 
 
 def knn_lists(
-    vectors: DataFrame,
-    queries: DataFrame,
-    k: int,
-    centroids: DataFrame,
-    probes: int,
-    block: int = QUERY_BLOCK,
+    vectors: DataFrame, queries: DataFrame, k: int, centroids: DataFrame, probes: int, block: int = QUERY_BLOCK
 ) -> DataFrame:
     """Like `knn`, but a query only looks at the lists of its `probes` nearest centroids.
 
-    `vectors` may come with a stored `list_id`; otherwise it is assigned on the way.
+    `vectors` may come with a stored `list_id`; otherwise it is assigned on the way. For repeated searches, write
+    `list_blocks` once and use `probe_lists`.
     """
     listed = vectors if "list_id" in vectors.columns else assign_lists(vectors, centroids)
-    list_ids, unit_lists = _centroid_matrix(centroids)
-
-    def hits(piece: pd.DataFrame) -> DataFrame:
-        query_ids, unit = piece["id"].to_numpy(), _unit(_matrix(piece["embedding"]))
-        nearest = np.argsort(-(unit @ unit_lists.T), axis=1, kind="stable")[:, :probes]
-        probed = np.zeros((len(piece), len(list_ids)), dtype=bool)
-        np.put_along_axis(probed, nearest, True, axis=1)
+    return probe_lists(cut(list_blocks(listed)), queries, centroids, k, probes, block)
 
-        def best(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            for pdf in batches:
-                if len(pdf):
-                    position = np.searchsorted(list_ids, pdf["list_id"].to_numpy())
-                    yield _best_of_batch(pdf, query_ids, unit, probed[:, position], k)
 
-        return listed.select("id", "embedding", "list_id").mapInPandas(best, HITS)
+def train_centroids(vectors: DataFrame, lists: int, sample: int = 100_000, rounds: int = 8, seed: int = 7) -> DataFrame:
+    """(list_id, embedding) from spherical k-means over at most about `sample` vectors, drawn by a hash of the id.
 
-    return _ranked([hits(piece) for piece in query_blocks(queries, block)], vectors, k)
-
-
-def _ranked(pieces: list[DataFrame], vectors: DataFrame, k: int) -> DataFrame:
-    if not pieces:
-        pieces = [vectors.sparkSession.createDataFrame([], HITS)]
-    return top_n(union_all(pieces), ["query_id"], [F.desc("similarity"), F.col("id")], k, "rank")
+    Each round assigns the sample and averages by list; only the bounded centroids pass the driver.
+    """
+    rows = vectors.select("id", "embedding").filter("id is not null and embedding is not null")
+    total = rows.count()
+    if total > sample:
+        rows = rows.filter(F.pmod(F.xxhash64("id", F.lit(seed)), F.lit(1 << 20)) < int((1 << 20) * sample / total))
+    rows = cut(rows)
+    first = rows.orderBy(F.xxhash64("id"), "id").limit(lists)
+    centroids = cut(first.select(F.col("id").alias("list_id"), "embedding"))
+    for _ in range(rounds):
+        listed = assign_lists(rows, centroids)
+        values = listed.select("list_id", F.posexplode("embedding").alias("pos", "v"))
+        means = values.groupBy("list_id", "pos").agg(F.avg(F.col("v").cast("double")).alias("v"))
+        ordered = F.array_sort(F.collect_list(F.struct("pos", "v")))
+        centroids = cut(means.groupBy("list_id").agg(F.transform(ordered, lambda e: e["v"]).alias("embedding")))
+    return centroids

@@ -58,13 +58,7 @@ BINDINGS = {
           n.generation_id, n.project_path
         from {edges} e join {nodes} n on e.src = n.id""",
     "call_edges": """
-        select distinct concat('p:', cast(l_partkey as string)) as src,
-          concat('p:', cast(nxt as string)) as dst
-        from (select l_partkey, l_quantity,
-                lead(l_partkey) over (partition by l_orderkey order by l_linenumber, l_partkey,
-                  l_suppkey, l_returnflag, l_discount, l_quantity) as nxt
-              from {lineitem}) x
-        where nxt is not null and nxt <> l_partkey and l_quantity >= 47""",
+        select src, dst from {edges} where edge_type = 'CALLS'""",
     "fibers": """
         select concat('f:', cast(o_orderkey as string)) as id,
           concat('b:', cast(o_custkey % 10 as string)) as brain_id,
@@ -89,6 +83,23 @@ BINDINGS = {
           concat('b:', cast(p_partkey % 10 as string)) as brain_id, p_type as type,
           p_name as content, p_size as access_frequency
         from {part}""",
+    # The same ids in two tenants, with other content; edges belong to the tenant of their source.
+    "tenant_nodes": """
+        select id, brain_id, content, access_frequency from {neurons}
+        union all
+        select id, concat(brain_id, 'x') as brain_id, concat(content, '*') as content,
+          access_frequency + 1 as access_frequency from {neurons} where access_frequency > 10""",
+    "tenant_edges": """
+        select n.brain_id, e.src, e.dst, e.edge_type, e.weight
+        from {edges} e join {tenant_nodes} n on e.src = n.id where e.edge_type = 'CALLS'""",
+    "tenant_fibers": """
+        select concat('f:', cast(o_orderkey as string)) as id,
+          concat('b:', cast(o_orderkey % 10 as string), case when o_orderkey % 2 = 0 then 'x' else '' end)
+            as brain_id,
+          concat('p:', cast(first_part as string)) as anchor_neuron_id
+        from {orders} join (
+          select l_orderkey, min(l_partkey) as first_part from {lineitem} group by l_orderkey) s
+          on o_orderkey = l_orderkey""",
     "neuron_states": """
         select concat('p:', cast(p_partkey as string)) as neuron_id,
           concat('b:', cast(p_partkey % 10 as string)) as brain_id,

@@ -12,7 +12,7 @@ from cairngraph.session import cut
 
 
 def calls(t):
-    """The sparse call edges with the columns the operators read, written once."""
+    """All call edges with the columns the operators read, written once."""
     return cut(t.call_edges.withColumn("edge_type", F.lit("CALLS")))
 
 
@@ -30,6 +30,20 @@ def neighbors(t):
     return found.select("node_id", "id", "edge_type", "weight", "direction")
 
 
+@query(
+    "gr01_neighbors_by_tenant",
+    """select e.brain_id, e.src as node_id, n.id, n.content, e.weight, 'out' as direction
+        from tenant_edges e join tenant_nodes n on e.dst = n.id and e.brain_id = n.brain_id
+        union all
+        select e.brain_id, e.dst, n.id, n.content, e.weight, 'in'
+        from tenant_edges e join tenant_nodes n on e.src = n.id and e.brain_id = n.brain_id""",
+    "tenant_nodes tenant_edges",
+)
+def neighbors_by_tenant(t):
+    found = graph.neighbors(t.tenant_nodes, t.tenant_edges)
+    return found.select("brain_id", "node_id", "id", "content", "weight", "direction")
+
+
 def _linked_sql(here: str, there: str) -> str:
     return f"""
         select distinct n.id, n.qualified_name, n.file, n.line
@@ -55,7 +69,7 @@ def callees(t):
 REACHED = """
     with recursive r(n, depth) as (
       select 'p:6', 0
-      union all
+      union
       select e.src, r.depth + 1 from r join call_edges e on e.dst = r.n where r.depth < 3)"""
 
 
@@ -67,7 +81,7 @@ REACHED = """
     "call_edges nodes",
 )
 def impact(t):
-    found, _ = graph.impact(t.nodes, calls(t), t.generations, "6", max_results=None)
+    found, _ = graph.impact(t.nodes, calls(t), t.generations, "6")
     return found.select("id", "depth", "qualified_name", "file")
 
 
@@ -118,23 +132,27 @@ def impact_capped(t):
     return found.withColumn("s", whole).select("id", "depth", "s.*")
 
 
+# Seeds of the batch questions: every symbol whose number 20 divides.
 SEEDS = """
     with recursive r(seed, n, depth) as (
-      select id, id, 0 from nodes
-      union all
+      select id, id, 0 from nodes where cast(symbol_id as bigint) % 20 = 0
+      union
       select r.seed, e.src, r.depth + 1 from r join call_edges e on e.dst = r.n where r.depth < 3),
     found as (select seed, n, min(depth) as depth from r group by seed, n)"""
 
 
+def seeds(t):
+    """(seed, id) of the batch questions."""
+    return t.nodes.filter(F.col("symbol_id").cast("bigint") % 20 == 0).select(F.col("id").alias("seed"), "id")
+
+
 @query(
     "gr05_impact_batch",
     f"{SEEDS} select seed, n as id, depth from found where n <> seed",
     "call_edges nodes",
 )
 def impact_batch(t):
-    nodes = t.nodes
-    seeds = nodes.select(F.col("id").alias("seed"), "id")
-    found, _ = graph.impact_batch(nodes, calls(t), seeds, max_results=None)
+    found, _ = graph.impact_batch(t.nodes, calls(t), seeds(t))
     return found.select("seed", "id", "depth")
 
 
@@ -149,9 +167,7 @@ def impact_batch(t):
     "call_edges nodes",
 )
 def impact_summary(t):
-    nodes = t.nodes
-    seeds = nodes.select(F.col("id").alias("seed"), "id")
-    return graph.impact_batch(nodes, calls(t), seeds, max_results=500)[1]
+    return graph.impact_batch(t.nodes, calls(t), seeds(t))[1]
 
 
 def _batch_sql(here: str, there: str) -> str:
@@ -183,7 +199,7 @@ PAIRS = """
     pairs as (
       select distinct concat('p:', cast(min(l_partkey) as varchar)) as src,
         concat('p:', cast(max(l_partkey) as varchar)) as dst
-      from lineitem group by l_orderkey)"""
+      from lineitem group by l_suppkey)"""
 
 
 @query(
@@ -200,7 +216,7 @@ PAIRS = """
     "call_edges",
 )
 def shortest_path(t):
-    ends = t.lineitem.groupBy("l_orderkey").agg(
+    ends = t.lineitem.groupBy("l_suppkey").agg(
         F.min("l_partkey").alias("a"), F.max("l_partkey").alias("b")
     )
     pairs = ends.select(
@@ -222,6 +238,30 @@ def valid_edges(t):
     return graph.valid_edges(t.edges, t.nodes.filter("line > 10")).select("src", "dst", "edge_type")
 
 
+@query(
+    "gr08_valid_edges_by_tenant",
+    """select brain_id, src, dst from tenant_edges
+        where (brain_id, src) in (select (brain_id, id) from tenant_nodes)
+          and (brain_id, dst) in (select (brain_id, id) from tenant_nodes)""",
+    "tenant_nodes tenant_edges",
+)
+def valid_edges_by_tenant(t):
+    return graph.valid_edges(t.tenant_edges, t.tenant_nodes).select("brain_id", "src", "dst")
+
+
+@query(
+    "gr09_recall_by_tenant",
+    """select f.brain_id, f.id as fiber_id, n.content,
+          case when n.id is null then 'anchor neuron not found' else 'ok' end as status
+        from tenant_fibers f left join tenant_nodes n
+          on f.anchor_neuron_id = n.id and f.brain_id = n.brain_id""",
+    "tenant_fibers tenant_nodes",
+)
+def recall_by_tenant(t):
+    found = graph.recall_detail(t.tenant_fibers, t.tenant_nodes, t.memories)
+    return found.select("brain_id", "fiber_id", "content", "status").distinct()
+
+
 @query(
     "gr09_recall_detail",
     """select f.brain_id, f.id as fiber_id, f.anchor_neuron_id, n.content, m.memory_type, m.priority,
@@ -246,9 +286,9 @@ def fiber_expand(t):
         F.col("turn").cast("int").alias("position"),
         F.concat(F.lit("m:"), F.col("turn").cast("string"), "role").alias("neuron_id"),
     )
-    fibers = graph.collect_fibers(junction).withColumnRenamed("fiber_id", "id")
-    back = graph.explode_fibers(fibers)
-    return back.select("fiber_id", F.col("position").cast("bigint").alias("position"), "neuron_id")
+    # segments of three positions, so that most fibers have several
+    back = graph.explode_fibers(graph.collect_fibers(junction, segment=3))
+    return back.select("fiber_id", "position", "neuron_id")
 
 
 ROUND = """
@@ -276,13 +316,31 @@ def spreading_activation(t):
     return found.withColumn("activation", F.round("activation", 4))
 
 
+TENANT_ROUND = """
+    select e.brain_id, e.dst as id, round(sum(l.level * e.weight) * 0.05, 9) as level
+    from {prev} l join tenant_edges e on e.src = l.id and e.brain_id = l.brain_id
+    group by e.brain_id, e.dst having sum(l.level * e.weight) * 0.05 >= 0.002"""
+
+
+@query(
+    "gr11_spreading_by_tenant",
+    f"""with l0 as (select brain_id, id, cast(1.0 as double) as level from tenant_nodes where access_frequency < 15),
+        l1 as ({TENANT_ROUND.format(prev="l0")}), l2 as ({TENANT_ROUND.format(prev="l1")})
+        select brain_id, id, round(sum(level), 6) as activation from (
+          select * from l0 union all select * from l1 union all select * from l2) x group by brain_id, id""",
+    "tenant_nodes tenant_edges",
+)
+def spreading_by_tenant(t):
+    seeds = t.tenant_nodes.filter("access_frequency < 15").select("brain_id", "id", F.lit(1.0).alias("level"))
+    found = graph.spread(t.tenant_edges, seeds, hops=2, decay=0.05, threshold=0.002)
+    return found.select("brain_id", "id", F.round("activation", 6).alias("activation"))
+
+
 @query(
     "ag04_affected_files",
     f"{SEEDS} select distinct seed, file from found join nodes on n = nodes.id where n <> seed",
     "call_edges nodes",
 )
 def files_of_impact(t):
-    nodes = t.nodes
-    seeds = nodes.select(F.col("id").alias("seed"), "id")
-    found, _ = graph.impact_batch(nodes, calls(t), seeds, max_results=None)
+    found, _ = graph.impact_batch(t.nodes, calls(t), seeds(t))
     return affected_files(found, "seed")

@@ -6,19 +6,38 @@ from pyspark.sql import functions as F
 
 from cairngraph.operators import search, vectors
 from cairngraph.plans.registry import query
+from cairngraph.session import cut
 
 
 @query(
     "fl01_find_nodes",
-    """select id, content from neurons where type = 'STANDARD' and contains(lower(content), 'ring')
-        order by id limit 100 offset 10""",
+    """select id, content from neurons where type = 'STANDARD' and contains(lower(content), 'ring')""",
     "neurons",
 )
 def find_nodes(t):
-    found = search.find_nodes(t.neurons, type="STANDARD", contains="RING", offset=10)
+    found = search.find_nodes(t.neurons, type="STANDARD", contains="RING")
     return found.select("id", "content")
 
 
+@query(
+    "fl01_find_nodes_paged",
+    """select id, content, 0 as page from (select * from neurons where type = 'STANDARD' order by id limit 100)
+        union all
+        select id, content, 1 from (select * from neurons where type = 'STANDARD' and id > 'p:1500' order by id limit 50)
+        union all
+        select id, content, 2 from (select * from neurons where type = 'STANDARD' order by id limit 20 offset 10)""",
+    "neurons",
+)
+def find_nodes_paged(t):
+    pages = [
+        search.find_nodes(t.neurons, type="STANDARD", limit=100),
+        search.find_nodes(t.neurons, type="STANDARD", limit=50, after="p:1500"),
+        search.find_nodes(t.neurons, type="STANDARD", limit=20, offset=10),
+    ]
+    numbered = [page.select("id", "content", F.lit(n).alias("page")) for n, page in enumerate(pages)]
+    return numbered[0].unionByName(numbered[1]).unionByName(numbered[2])
+
+
 @query(
     "fl02_find_edges",
     """select src, dst, edge_type, weight from edges where edge_type = 'CALLS' and weight >= 0.5""",
@@ -133,6 +152,17 @@ WORDS = f"""
         having count(*) = 2""",
 )
 def text_match(t):
+    blocks = cut(search.posting_blocks(t.documents, "doc_id", "text"))
+    return search.match_blocks(blocks, "Les, DES the").select(F.col("id").alias("doc_id"))
+
+
+@query(
+    "fl08_text_scan",
+    f"""with {WORDS.strip()}
+        select doc_id from words where token in ('les', 'des') group by doc_id
+        having count(*) = 2""",
+)
+def text_scan(t):
     return search.text_match(t.documents, "Les, DES the", "text").select("doc_id")
 
 
@@ -143,26 +173,22 @@ def text_match(t):
         from words group by token""",
 )
 def inverted_index(t):
-    _, frequencies = search.inverted_index(t.documents, "doc_id", "text")
-    return frequencies
+    return search.token_frequencies(search.posting_blocks(t.documents, "doc_id", "text"))
 
 
 @query(
     "fl09_posting_blocks",
-    f"""with {WORDS.strip()} select token, cast(count(*) as bigint) as ids, min(doc_id) as first_id,
-          max(doc_id) as last_id, cast(sum(doc_id) as bigint) as id_sum
-        from words group by token""",
+    f"""with {WORDS.strip()} select token, cast(floor(doc_id / 64) as bigint) as block_no,
+          string_agg(cast(doc_id as varchar), ',' order by doc_id) as ids, min(doc_id) as first_id,
+          max(doc_id) as last_id, cast(count(*) as integer) as n
+        from words group by token, cast(floor(doc_id / 64) as bigint)""",
 )
 def posting_blocks(t):
-    postings, frequencies = search.inverted_index(t.documents, "doc_id", "text")
-    blocks = search.posting_blocks(postings, frequencies, "doc_id", block=64)
-    total = F.aggregate("ids", F.lit(0).cast("bigint"), lambda acc, i: acc + i)
-    return blocks.groupBy("token").agg(
-        F.sum(F.size("ids")).alias("ids"),
-        F.min(F.element_at("ids", 1)).alias("first_id"),
-        F.max(F.element_at("ids", -1)).alias("last_id"),
-        F.sum(total).alias("id_sum"),
-    )
+    # ranges of 64 documents, so that frequent words have many blocks; lists are compared id by id
+    blocks = search.posting_blocks(t.documents, "doc_id", "text", span=64)
+    places = F.transform("deltas", lambda x, i: F.aggregate(F.slice("deltas", F.lit(1), i + 1), F.col("first_id"), lambda a, d: a + d))
+    ids = F.array_join(F.transform(places, lambda x: x.cast("string")), ",")
+    return blocks.select("token", "block_no", ids.alias("ids"), "first_id", "last_id", "n")
 
 
 def label_means(t, key: str):

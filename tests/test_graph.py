@@ -194,3 +194,80 @@ def test_recall_of_unknown_fiber(spark, rows):
         ("f2", None, "anchor neuron not found"),
         ("f9", None, "fiber not found"),
     ]
+
+
+def test_impact_by_sets_equals_pairs(spark, rows):
+    """More seeds than a row holds, several start nodes of a seed, a hub; against the search pair by pair."""
+    nodes, edges = random_graph(11, n=150, m=500)
+    nodes, edges = spark.createDataFrame(nodes, NODES), spark.createDataFrame(edges, EDGES)
+    seeds = nodes.select(F.col("id").alias("seed"), "id").unionByName(
+        nodes.filter("line = 2").select(F.lit("several").alias("seed"), "id")
+    )
+    sets, total = graph.impact_batch(nodes, edges, seeds, max_depth=4)
+    pairs, capped = graph.impact_batch(nodes, edges, seeds, max_depth=4, max_results=10_000)
+    columns = ("seed", "id", "depth")
+    assert rows(sets, *columns) == rows(pairs, *columns)
+    assert rows(total) == rows(capped) and total.filter("truncated").count() == 0
+    starts, numbers = graph.seed_sets(seeds)
+    assert numbers.count() == 151 and numbers.agg(F.max("block")).head()[0] == 2
+    calls = edges.select(F.col("dst").alias("id"), F.col("src").alias("caller"))
+    levels = graph.reach_sets(calls, starts, 4)
+    # a row stands for many pairs
+    assert sum(level.count() for level in levels[2:]) < sets.filter("depth >= 2").count() / 5
+
+
+def test_paths_meet_in_the_middle(spark):
+    """Against breadth-first search with the smallest path, in both modes and for every limit."""
+    nodes, edges = random_graph(5, n=40, m=70, hub=False)
+    ids = [n[0] for n in nodes]
+    frame = spark.createDataFrame(edges, EDGES)
+    wanted = [(a, b) for a in ids[::3] for b in ids[::4]]
+    pairs = spark.createDataFrame([*wanted, wanted[0], (None, "n1"), ("n1", None), ("zz", "n1")], "src string, dst string")
+    for both in (False, True):
+        out = {}
+        for a, b, *_ in edges:
+            out.setdefault(a, set()).add(b)
+            if both:
+                out.setdefault(b, set()).add(a)
+        for hops in (1, 4, 5):
+            want = {}
+            for a, b in set(wanted):
+                paths = [[a]]
+                for _ in range(hops + 1):
+                    hit = [p for p in paths if p[-1] == b]
+                    if hit:
+                        want[a, b] = min(hit)
+                        break
+                    best = {}
+                    for p in paths:
+                        for n in out.get(p[-1], ()):
+                            if n not in p:
+                                best[n] = min(best.get(n, [*p, n]), [*p, n])
+                    paths = list(best.values())
+            found = graph.shortest_path(frame, pairs, hops, both).collect()
+            assert {(r.src, r.dst): list(r.path) for r in found} == want and len(found) == len(want)
+            assert all(r.hops == len(r.path) - 1 for r in found)
+
+
+def test_tenants_keep_apart(spark, rows):
+    nodes = spark.createDataFrame([("a", "n", "own"), ("b", "n", "foreign"), ("a", "m", "x"), ("b", "k", "y")], "brain_id string, id string, content string")
+    edges = spark.createDataFrame([("a", "m", "n", "T", 1.0), ("a", "k", "n", "T", 1.0), ("b", "k", "n", "T", 0.5)], "brain_id string, src string, dst string, edge_type string, weight double")
+    fibers = spark.createDataFrame([("a", "f", "n"), ("b", "f", "n"), ("c", "f", "n")], "brain_id string, id string, anchor_neuron_id string")
+    memories = spark.createDataFrame([], "brain_id string, fiber_id string, memory_type string, priority int")
+    assert rows(graph.recall_detail(fibers, nodes, memories), "brain_id", "content") == [("a", "own"), ("b", "foreign"), ("c", None)]
+    assert rows(graph.valid_edges(edges, nodes), "brain_id", "src") == [("a", "m"), ("b", "k")]
+    assert rows(graph.neighbors(nodes, edges, direction="out"), "brain_id", "node_id", "content") == [("a", "k", "own"), ("a", "m", "own"), ("b", "k", "foreign")]
+    ids = spark.createDataFrame([("b", "n")], "brain_id string, id string")
+    assert rows(graph.neighbors(nodes, edges, ids, "in"), "brain_id", "node_id", "id") == [("b", "n", "k")]
+    seeds = spark.createDataFrame([("a", "m", 1.0), ("b", "k", 1.0)], "brain_id string, id string, level double")
+    assert rows(graph.spread(edges, seeds, 1, 1.0, 0.1).filter("id = 'n'"), "brain_id", "activation") == [("a", 1.0), ("b", 0.5)]
+
+
+@pytest.mark.parametrize("segment", [1, 3, 10, 10_000])
+def test_fiber_lists_round_trip(spark, rows, segment):
+    """Lists over the segment size, gaps, late first positions."""
+    items = [("b", "long", i, f"n{i % 7}") for i in range(25)] + [("b", "gaps", i * i, f"m{i}") for i in range(12)] + [("c", "late", 7 + i, "k") for i in range(4)]
+    junction = spark.createDataFrame(items, "brain_id string, fiber_id string, position int, neuron_id string").repartition(4)
+    collected = graph.collect_fibers(junction, segment)
+    assert rows(graph.explode_fibers(collected)) == sorted(items, key=repr)
+    assert collected.agg(F.max(F.size("neuron_ids"))).head()[0] <= segment

@@ -269,11 +269,44 @@ def test_text_search(spark, rows):
     assert rows(search.text_match(docs, "PIE the"), "id") == [("1",), ("2",)]
     assert rows(search.text_match(docs, "éclair pie"), "id") == [("1",)]
     assert search.text_match(docs, "the").count() == 0
-    many = spark.range(500).select(F.format_string("%04d", "id").alias("id"), F.lit("hot").alias("content"))
-    postings, frequencies = search.inverted_index(many)
-    blocks = search.posting_blocks(postings, frequencies, block=50).collect()
-    assert len(blocks) > 1 and sorted(i for b in blocks for i in b["ids"]) == [f"{i:04d}" for i in range(500)]
-    assert all(b["ids"] == sorted(b["ids"]) for b in blocks)
+
+
+def test_text_index(spark, rows):
+    """Lists of any length in bounded blocks, ranges that share no document, repeated and nameless documents."""
+    docs = [(i, " ".join(w for n, w in ((1, "hot"), (3, "three"), (5, "Five"), (50, "rare")) if i % n == 0)) for i in range(1000)]
+    docs += [(7, "hot"), (10**12, "hot far"), (10**12 + 1, "five"), (None, "hot five"), (2000, None), (2001, ""), (2002, "the")]
+    frame = spark.createDataFrame(docs, "id bigint, content string").repartition(4)
+    blocks = search.posting_blocks(frame, span=64).cache()
+    held = {}
+    for i, text in docs:
+        for w in set((text or "").lower().split()) - {"the"}:
+            if i is not None:
+                held.setdefault(w, set()).add(i)
+    assert sorted(tuple(r) for r in search.block_ids(blocks).collect()) == sorted((w, i) for w, ids in held.items() for i in ids)
+    assert blocks.filter("n > 64 or first_id div 64 <> last_id div 64").count() == 0
+    found = {r["token"]: (r["df"], r["first_id"], r["last_id"]) for r in search.token_frequencies(blocks).collect()}
+    assert found == {w: (len(ids), min(ids), max(ids)) for w, ids in held.items()}
+    for question in ("HOT", "three five", "hot three, Five the", "rare three", "far five", "hot nowhere", "the", ""):
+        words = set(question.lower().replace(",", " ").split()) - {"the"}
+        want = set.intersection(*[held.get(w, set()) for w in words]) if words else set()
+        assert {r["id"] for r in search.match_blocks(blocks, question).collect()} == want
+    plan = search.match_blocks(blocks, "three five")._jdf.queryExecution().toString()
+    assert "split(" not in plan.split("InMemoryRelation")[0]
+    names = spark.createDataFrame([("b", "x"), ("a", "y"), ("b", "z"), (None, "w")], "id string, content string")
+    assert rows(search.numbered(names), "id", "doc_no") == [("a", 0), ("b", 1)]
+
+
+def test_nodes_by_page(spark):
+    nodes = spark.createDataFrame([(f"n{i:03d}", "T", "text") for i in range(250)], "id string, type string, content string")
+    assert search.find_nodes(nodes).count() == 250
+    pages, last = [], None
+    while True:
+        page = [r["id"] for r in search.find_nodes(nodes, limit=60, after=last).collect()]
+        if not page:
+            break
+        pages += page
+        last = page[-1]
+    assert pages == [f"n{i:03d}" for i in range(250)]
 
 
 def brute_knn(vectors_, queries, k):
@@ -303,6 +336,59 @@ def test_knn_in_blocks_against_numpy(spark):
     assert hits / (23 * 7) > 0.6
 
 
+def test_knn_in_rounds_and_odd_vectors(spark, monkeypatch):
+    monkeypatch.setattr(vectors, "ROUND_BYTES", 2000)
+    rng = np.random.default_rng(5)
+    stored, asked = rng.normal(size=(200, 6)), rng.normal(size=(60, 6))
+    schema = "id bigint, embedding array<double>"
+    odd = [(900, None), (901, [1.0, None, 1.0, 1.0, 1.0, 1.0]), (902, [1.0] * 5), (903, []), (None, [1.0] * 6), (904, [0.0] * 6)]
+    vectors_df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(stored)] + odd, schema).repartition(3)
+    queries_df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(asked)] + odd[:4], schema)
+    assert len(vectors._rounds(vectors.packed(queries_df, 8))) > 2
+    found = vectors.knn(vectors_df, queries_df.filter("id < 900"), 5, 8).collect()
+    want = brute_knn(stored, asked, 5)
+    got = {q: [r["id"] for r in sorted(found, key=lambda r: r["rank"]) if r["query_id"] == q] for q in range(60)}
+    assert all(got[q] == want[q] for q in range(60))
+    # queries of another length meet vectors of that length only
+    assert [r["id"] for r in vectors.knn(vectors_df, queries_df.filter("id = 902"), 5).collect()] == [902]
+    assert vectors.knn(vectors_df, queries_df.filter("id in (900, 901, 903)"), 5).count() == 0
+    centroids = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(stored[:40])], "list_id bigint, embedding array<double>")
+    listed = {r["id"]: r["list_id"] for r in vectors.assign_lists(vectors_df, centroids).collect()}
+    unit = lambda m: m / np.linalg.norm(m, axis=1, keepdims=True)
+    best = (unit(stored) @ unit(stored[:40]).T).argmax(axis=1)
+    assert all(listed[i] == best[i] for i in range(200))
+
+
+def test_inverted_file_reads_only_probed_lists(spark, tmp_path):
+    """Recall against the exact search, work that falls with the probes, and a list with a third of all vectors."""
+    rng = np.random.default_rng(6)
+    centers = rng.normal(size=(24, 16))
+    label = np.where(rng.random(3000) < 0.33, 0, rng.integers(0, 24, 3000))
+    data = centers[label] + 0.25 * rng.normal(size=(3000, 16))
+    schema = "id bigint, embedding array<double>"
+    vectors_df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(data)], schema).repartition(4)
+    queries_df = vectors_df.filter("id % 40 = 0")
+    centroids = vectors.train_centroids(vectors_df, 24, sample=1000, rounds=3)
+    listed = vectors.assign_lists(vectors_df, centroids)
+    path = str(tmp_path / "lists")
+    vectors.list_blocks(listed, block=100).write.parquet(path)
+    blocks = spark.read.parquet(path)
+    sizes = {r["list_id"]: r["n"] for r in listed.groupBy("list_id").count().withColumnRenamed("count", "n").collect()}
+    stored_sizes = {r["list_id"]: (r["n"], r["m"]) for r in blocks.groupBy("list_id").agg(F.sum("n").alias("n"), F.max("n").alias("m")).collect()}
+    assert {k: n for k, (n, _) in stored_sizes.items()} == sizes and max(m for _, m in stored_sizes.values()) <= 100
+    exact = {(r["query_id"], r["id"]) for r in vectors.knn(vectors_df, queries_df, 5).collect()}
+    read = {}
+    for probes in (1, 4, 24):
+        found = {(r["query_id"], r["id"]) for r in vectors.probe_lists(blocks, queries_df, centroids, 5, probes).collect()}
+        probed = vectors._nearest_lists(queries_df, "id", centroids, probes)
+        read[probes] = sum(sizes.get(r["list_id"], 0) for r in probed.collect())
+        if probes >= 4:
+            assert len(found & exact) >= 0.9 * len(exact)
+    assert found == exact and read[1] < read[4] < read[24] / 2
+    plan = vectors.probe_lists(blocks, queries_df, centroids, 5, 4)._jdf.queryExecution().toString()
+    assert "list_id" in plan and "NestedLoop" not in plan
+
+
 def test_change_feed_retries_and_deletes(spark, tmp_path, rows):
     rng = random.Random(7)
     records = [(i, f"k{rng.randrange(8)}", rng.choice(["add", "update", "delete"]), i * 1.0) for i in range(60)]
