@@ -84,7 +84,7 @@ class Classes:
     def __init__(self, p: int, largest: int):
         lo, self.lows, self.fragments, self.spare = 1, [], [], []
         while lo <= largest:
-            high = max(lo, lo * 5 // 4)
+            high = max(lo, lo * 8 // 5)
             differ = (high + 100 * high // p) * (100 - p) // (100 + p)  # of two linked sets, the smaller in this class
             spare = 2 + differ // 12 if differ else 0  # linked sets agree in one fragment more than this
             self.lows.append(lo)
@@ -319,25 +319,25 @@ def jaccard_components(docs: DataFrame, n: int = 4, percent: int = 85, rows: boo
     signatures = plain.filter("text is not null").mapInArrow(_signatures(n, percent, common), "sig long, node long")
     ordered = signatures.repartition(F.shiftright("sig", TAG)).sortWithinPartitions("sig")
     shared = ordered.mapInArrow(_shared, "node long, key long, tag long")
-    # sets that agree with others too seldom go; what they had in common with one other set then holds for none
-    held = cut(shared)
-    for _ in range(2):
-        often = F.count(F.lit(1)).over(Window.partitionBy("node", "tag"))
-        held = held.withColumn("often", often).filter(F.col("often") >= F.col("tag").bitwiseAND(127)).select("node", "key", "tag")
-        leads = held.groupBy("key").agg(F.min("node").alias("lead"), F.max("node").alias("last")).filter("lead <> last")
-        held = cut(held.join(leads.select("key", "lead"), "key").select("node", "key", "tag", "lead"))
+    # sets that agree with others too seldom go
+    often = F.count(F.lit(1)).over(Window.partitionBy("node", "tag"))
+    held = shared.withColumn("often", often).filter(F.col("often") >= F.col("tag").bitwiseAND(127)).select("node", "key")
+    held = cut(held)
+    leads = held.groupBy("key").agg(F.min("node").alias("lead"), F.max("node").alias("last")).filter("lead <> last")
+    held = held.join(leads.select("key", "lead"), "key")
     clusters = cut(components(held.filter("node <> lead").select(F.col("node").alias("a"), F.col("lead").alias("b"))))
     holder = profile.filter("doc_id is not null").groupBy("node").agg(F.min("doc_id").alias("holder"))
     asked = clusters.join(holder, F.col("id") == F.col("node")).select("holder", "node", F.col("component").alias("cluster"))
     asked = cut(asked)
+    # these sides grow with the table, so they are never broadcast
     wanted = perhaps_in(plain, "doc_id", asked.select("holder")).filter("perhaps")
     sets = stored(
-        wanted.join(asked, wanted["doc_id"] == asked["holder"])
+        wanted.join(asked.hint("merge"), wanted["doc_id"] == asked["holder"])
         .select("cluster", "node", "text")
         .mapInArrow(_blobs(n), "cluster long, node long, grams binary")
     )
     leads = sets.filter("node = cluster").groupBy("cluster").agg(F.first("grams").alias("lead"))
-    told = cut(sets.join(leads, "cluster").mapInArrow(_against_lead(percent), "cluster long, node long, distance double, linked boolean").distinct())
+    told = cut(sets.join(leads.hint("merge"), "cluster").mapInArrow(_against_lead(percent), "cluster long, node long, distance double, linked boolean").distinct())
     # of the sets linked to the lead, only those at some distance from it can be linked to one that is not
     nearest = told.filter("not linked").groupBy("cluster").agg(F.min("distance").alias("nearest"))
     kept = told.join(nearest, "cluster").filter(~F.col("linked") | (F.col("distance") >= F.col("nearest") - (1 - percent / 100) - 1e-9))
@@ -345,7 +345,7 @@ def jaccard_components(docs: DataFrame, n: int = 4, percent: int = 85, rows: boo
     kept = kept.join(sizes, "cluster").select("cluster", "node", F.ceil(F.col("n") / BLOCK).cast("long").alias("blocks"))
     # a block meets itself and every other block of its cluster once
     block = F.pmod(F.xxhash64("node"), F.col("blocks"))
-    dealt = sets.join(kept, ["cluster", "node"]).withColumn("block", block).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    dealt = sets.join(kept.hint("merge"), ["cluster", "node"]).withColumn("block", block).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     dealt = dealt.select(
         "cluster", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "block", "node", "grams"
     )
@@ -385,7 +385,7 @@ def drop_near_copies(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFram
     rows = rows.select("row", F.col("row.doc_id").cast("long").alias("d"), F.col("row.text").cast("string").alias("x"))
     flagged = perhaps_in(rows, "d", losers.select("l").unionByName(twins.select(F.col("doc_id").alias("l"))))
     touched = flagged.filter("perhaps")
-    touched = touched.join(losers, (touched["d"] == losers["l"]) & (F.xxhash64("x") == losers["t"]), "left_anti")
+    touched = touched.join(losers.hint("merge"), (touched["d"] == losers["l"]) & (F.xxhash64("x") == losers["t"]), "left_anti")
     order = [F.col("row").getField(c) for c in docs.columns if c not in ("doc_id", "text")]
     same = Window.partitionBy("d", F.sha2(F.coalesce(F.col("x"), F.lit("")).cast("binary"), 256)).orderBy(*(order or [F.lit(1)]))
     touched = touched.withColumn("r", F.row_number().over(same)).filter("r = 1")
