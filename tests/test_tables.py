@@ -271,7 +271,7 @@ def test_text_search(spark, rows):
     assert search.text_match(docs, "the").count() == 0
 
 
-def test_text_index(spark, rows):
+def test_text_index(spark, rows, tmp_path):
     """Lists of any length in bounded blocks, ranges that share no document, repeated and nameless documents."""
     docs = [(i, " ".join(w for n, w in ((1, "hot"), (3, "three"), (5, "Five"), (50, "rare")) if i % n == 0)) for i in range(1000)]
     docs += [(7, "hot"), (10**12, "hot far"), (10**12 + 1, "five"), (None, "hot five"), (2000, None), (2001, ""), (2002, "the")]
@@ -290,8 +290,11 @@ def test_text_index(spark, rows):
         words = set(question.lower().replace(",", " ").split()) - {"the"}
         want = set.intersection(*[held.get(w, set()) for w in words]) if words else set()
         assert {r["id"] for r in search.match_blocks(blocks, question).collect()} == want
-    plan = search.match_blocks(blocks, "three five")._jdf.queryExecution().toString()
-    assert "split(" not in plan.split("InMemoryRelation")[0]
+    # a stored index is read by token and never by text
+    blocks.write.parquet(str(tmp_path / "index"))
+    stored = spark.read.parquet(str(tmp_path / "index"))
+    plan = search.match_blocks(stored, "three five")._jdf.queryExecution().toString()
+    assert "split(" not in plan and "PushedFilters: [In(token, [five,three])" in plan
     names = spark.createDataFrame([("b", "x"), ("a", "y"), ("b", "z"), (None, "w")], "id string, content string")
     assert rows(search.numbered(names), "id", "doc_no") == [("a", 0), ("b", 1)]
 
