@@ -514,24 +514,25 @@ def live_edges(t):
 
 
 def _fed_log(t):
-    """The events read as a file stream and applied batch by batch."""
-    events = t.events
-    stream = (
-        t.spark.readStream.schema(events.schema)
-        .option("pathGlobFilter", "events.parquet")
-        .parquet(t.sf_dir)
-    )
-    op = (
-        F.when(F.col("event_type") == "error", F.lit("delete"))
-        .when(F.col("event_type") == "signup", F.lit("add"))
-        .otherwise(F.lit("update"))
-    )
-    feed = stream.select(
-        F.col("event_id").alias("seq"),
-        F.concat(F.lit("u:"), F.col("user_id").cast("string")).alias("key"),
-        op.alias("op"),
-        "value",
-    )
+    """The events as a feed of several micro-batches, with a fold between and after, and a restart with a new checkpoint."""
     folder = f"{shared_dir(t.spark)}/feed-{uuid.uuid4().hex}"
-    changes.apply_changes(feed, f"{folder}/log", f"{folder}/offsets").awaitTermination()
+    events = t.events
+    middle = events.select(F.percentile_approx("event_id", 0.5)).head()[0] or 0
+    for part, rows in enumerate((events.filter(F.col("event_id") <= middle), events.filter(F.col("event_id") > middle))):
+        rows.repartitionByRange(3, "event_id").write.parquet(f"{folder}/in{part}")
+        stream = t.spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/in{part}")
+        op = (
+            F.when(F.col("event_type") == "error", F.lit("delete"))
+            .when(F.col("event_type") == "signup", F.lit("add"))
+            .otherwise(F.lit("update"))
+        )
+        feed = stream.select(
+            F.col("event_id").alias("seq"),
+            F.concat(F.lit("u:"), F.col("user_id").cast("string")).alias("key"),
+            op.alias("op"),
+            "value",
+        )
+        changes.apply_changes(feed, f"{folder}/log", f"{folder}/offsets{part}").awaitTermination()
+        if part == 0:
+            changes.compact(t.spark, f"{folder}/log")
     return changes.current_log(t.spark, f"{folder}/log")

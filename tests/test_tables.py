@@ -414,16 +414,52 @@ def test_change_feed_retries_and_deletes(spark, tmp_path, rows):
             state[key] = value
     log = changes.current_log(spark, str(tmp_path / "log"))
     assert dict(rows(changes.current_rows(log), "key", "value")) == state
-    assert len(list((tmp_path / "log").glob("batch_id=*"))) == 3
+    deltas = sorted((tmp_path / "log" / "deltas").glob("epoch=*/batch=*"))
+    assert [d.name for d in deltas] == [f"batch={i:012d}" for i in range(3)]
     run()  # nothing new, nothing changes
     assert dict(rows(changes.current_rows(log), "key", "value")) == state
     # A batch that is written again replaces itself.
-    last = spark.read.parquet(str(tmp_path / "log" / "batch_id=000000000002"))
+    last = spark.read.parquet(str(deltas[2]))
     kept = rows(last)
-    changes.latest_changes(spark.createDataFrame(last.collect(), last.schema)).write.mode("overwrite").parquet(str(tmp_path / "log" / "batch_id=000000000002"))
-    assert rows(spark.read.parquet(str(tmp_path / "log" / "batch_id=000000000002"))) == kept
-    folded = changes.compact(spark, str(tmp_path / "log"), str(tmp_path / "log2"))
-    assert dict(rows(changes.current_rows(changes.current_log(spark, folded)), "key", "value")) == state
+    changes.latest_changes(spark.createDataFrame(last.collect(), last.schema)).write.mode("overwrite").parquet(str(deltas[2]))
+    assert rows(spark.read.parquet(str(deltas[2]))) == kept
+    assert changes.compact(spark, str(tmp_path / "log")) == 1
+    assert dict(rows(changes.current_rows(changes.current_log(spark, str(tmp_path / "log"))), "key", "value")) == state
+
+
+def test_change_feed_goes_on_after_folds_and_new_checkpoints(spark, tmp_path, rows):
+    """Every order of batches, folds and restarts leaves the state of all changes, and no folded batch is read again."""
+    schema = "seq bigint, key string, op string, value double"
+    log, source = str(tmp_path / "log"), tmp_path / "in"
+    rng = random.Random(3)
+    state, seq = {}, 0
+    with pytest.raises(FileNotFoundError):
+        changes.current_log(spark, log)
+    for turn in range(6):
+        for _ in range(2):
+            piece = []
+            for _ in range(10):
+                seq += 1
+                piece.append((seq, f"k{rng.randrange(9)}", rng.choice(["add", "update", "delete"]), float(seq)))
+            for _, key, op, value in piece:
+                if op == "delete":
+                    state.pop(key, None)
+                else:
+                    state[key] = value
+            spark.createDataFrame(piece, schema).coalesce(1).write.mode("append").parquet(str(source / f"t{turn // 2}"))
+        # turns 0 and 1 share a checkpoint, 2 and 3 begin a new one, and so on
+        stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(str(source / f"t{turn // 2}"))
+        changes.apply_changes(stream, log, str(tmp_path / f"offsets{turn // 2}")).awaitTermination()
+        assert dict(rows(changes.current_rows(changes.current_log(spark, log)), "key", "value")) == state
+        if turn in (1, 2, 4):
+            assert changes.compact(spark, log) == {1: 1, 2: 2, 4: 3}[turn]
+            assert dict(rows(changes.current_rows(changes.current_log(spark, log)), "key", "value")) == state
+    assert len(list((tmp_path / "log" / "deltas").glob("epoch=*"))) == 3
+    held = changes.manifest(spark, log).collect()
+    assert {r["version"] for r in held} == {3} and len(held) == 3
+    # a fold that stopped before its manifest changes nothing
+    spark.createDataFrame([(99, "bad", "add", 1.0, None)], f"{schema}, deleted_seq bigint").write.parquet(f"{log}/base/version=4")
+    assert dict(rows(changes.current_rows(changes.current_log(spark, log)), "key", "value")) == state
 
 
 def test_edges_do_not_survive_a_delete(spark, rows):
