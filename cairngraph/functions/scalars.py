@@ -196,7 +196,7 @@ def bytes_to_text(c) -> Column:
 
 def repair_reason(created, last, policy: str = "all", floor: int = YEAR_FLOOR) -> Column:
     if policy not in REPAIR_POLICIES:
-        raise ValueError(f"Unsupported policy: {policy}")
+        raise ValueError(f"repair policy {policy!r} is none of {sorted(REPAIR_POLICIES)}")
     created, last = _col(created), _col(last)
     reason = F.when(last.isNull(), F.lit(None).cast("string"))
     if policy in ("pre2026", "all"):

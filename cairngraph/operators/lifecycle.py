@@ -42,6 +42,71 @@ def create_generation(gens: DataFrame, path: str, now: str) -> DataFrame:
     return gens.unionByName(row, allowMissingColumns=True)
 
 
+def create_generations(gens: DataFrame, projects: DataFrame, now: str) -> DataFrame:
+    """`gens` plus a row in status building for each of `projects` (project, normalized)."""
+    rows = projects.select("project").distinct().select(
+        S.generation_id(F.col("project"), F.lit(now)).alias("generation_id"),
+        F.col("project").alias("project_path"),
+        F.lit("building").alias("status"),
+        F.lit(now).alias("created_at"),
+        *[F.lit(0).cast("bigint").alias(c) for c in ("symbol_count", "edge_count", "skipped_files")],
+        F.lit(None).cast("string").alias("error"),
+    )
+    return gens.unionByName(rows, allowMissingColumns=True)
+
+
+def settle(gens: DataFrame, nodes: DataFrame, edges: DataFrame, outcomes: DataFrame) -> DataFrame:
+    """The building generations become active or failed, each by its own counts.
+
+    `outcomes` has a row per generation (generation_id, project_path, symbols, edges, skipped, error): what its facts hold. A
+    generation fails with the error given, or when the tables hold other numbers of its rows; the project's former
+    active generation then stays. Where it becomes active, that one becomes gc.
+    """
+    held = generation_counts(nodes, edges).select(
+        "generation_id", F.col("symbols").alias("__symbols"), F.col("edges").alias("__edges")
+    )
+    judged = outcomes.join(held, "generation_id", "left")
+    wrong = []
+    for label, column in (("symbol", "symbols"), ("edge", "edges")):
+        stored = F.coalesce(f"__{column}", F.lit(0))
+        text = F.format_string(f"{label} rows stored for %s: %d, expected %d", "generation_id", stored, F.col(column))
+        wrong.append(F.when(stored != F.col(column), text))
+    judged = judged.select(
+        "generation_id",
+        F.coalesce("error", *wrong).alias("__error"),
+        F.coalesce("__symbols", F.lit(0)).alias("__symbols"),
+        F.coalesce("__edges", F.lit(0)).alias("__edges"),
+        F.col("skipped").alias("__skipped"),
+        F.lit(True).alias("__ours"),
+    )
+    swapped = outcomes.select("generation_id", "project_path").join(judged.filter("__error is null").select("generation_id"), "generation_id")
+    swapped = swapped.select("project_path").distinct().withColumn("__swapped", F.lit(True))
+    joined = gens.join(judged, "generation_id", "left").join(swapped, "project_path", "left")
+    ours, good = F.coalesce("__ours", F.lit(False)), F.col("__error").isNull()
+    status = (
+        F.when(ours & good, F.lit("active"))
+        .when(ours, F.lit("failed"))
+        .when(F.coalesce("__swapped", F.lit(False)) & (F.col("status") == "active"), F.lit("gc"))
+        .otherwise(F.col("status"))
+    )
+    changed = {
+        "status": status,
+        "symbol_count": F.when(ours & good, F.col("__symbols")).otherwise(F.col("symbol_count")),
+        "edge_count": F.when(ours & good, F.col("__edges")).otherwise(F.col("edge_count")),
+        "skipped_files": F.when(ours, F.col("__skipped")).otherwise(F.col("skipped_files")),
+        "error": F.when(ours, F.col("__error")).otherwise(F.col("error")),
+    }
+    return joined.withColumns(changed).select(*gens.columns)
+
+
+def fail_building(gens: DataFrame, now: str, error: str) -> DataFrame:
+    """All generations that a run at `now` left building fail with its error; active ones stay."""
+    ours = (F.col("status") == "building") & (F.col("created_at") == now)
+    return gens.withColumns(
+        {"status": F.when(ours, F.lit("failed")).otherwise(F.col("status")), "error": F.when(ours, F.lit(error)).otherwise(F.col("error"))}
+    )
+
+
 def empty_store(spark) -> dict[str, DataFrame]:
     return {
         "nodes": spark.createDataFrame([], CODE_NODES),
@@ -120,9 +185,7 @@ def activate(
         ("edge", links, edge_count),
     ):
         if expected is not None and actual != expected:
-            raise CountMismatch(
-                f"Generation {generation} {label} count mismatch: {actual} != {expected}"
-            )
+            raise CountMismatch(f"{label} rows stored for {generation}: {actual}, expected {expected}")
     swapped = F.when(ours, F.lit("active")).when(
         (F.col("project_path") == project) & (F.col("status") == "active"), F.lit("gc")
     )
@@ -156,19 +219,27 @@ def clear_index(
 
     Edges go with their end nodes, whichever project they name.
     """
-    in_project = F.col("project_path") == S.normalize_path(F.lit(project))
-    doomed = in_project & (S.has_tag("tags", CODE_TAG) if "tags" in nodes.columns else F.lit(True))
-    gone = nodes.filter(doomed).select("id")
+    one = nodes.sparkSession.range(1).select(S.normalize_path(F.lit(project)).alias("project"))
+    return clear_indexes(nodes, edges, gens, one)
+
+
+def clear_indexes(
+    nodes: DataFrame, edges: DataFrame, gens: DataFrame, projects: DataFrame
+) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """The same for a table of projects (project, normalized)."""
+    paths = projects.select(F.col("project").alias("project_path")).distinct().withColumn("__gone", F.lit(True))
+    marked = nodes.join(paths, "project_path", "left")
+    tagged = S.has_tag("tags", CODE_TAG) if "tags" in nodes.columns else F.lit(True)
+    doomed = F.coalesce(F.col("__gone") & tagged, F.lit(False))
+    gone = marked.filter(doomed).select("id")
     left = edges.join(gone.withColumnRenamed("id", "src"), "src", "left_anti")
     left = left.join(gone.withColumnRenamed("id", "dst"), "dst", "left_anti")
-    removed = union_all(
-        [nodes.filter(doomed).select("id"), gens.filter(in_project).select("generation_id").toDF("id")]
-    ).agg(F.count(F.lit(1)).alias("removed"))
-    keep = ~F.coalesce(doomed, F.lit(False))
+    old = gens.join(paths, "project_path", "left_semi")
+    removed = union_all([gone, old.select("generation_id").toDF("id")]).agg(F.count(F.lit(1)).alias("removed"))
     return (
-        nodes.filter(keep),
+        marked.filter(~doomed).select(*nodes.columns),
         left.select(*edges.columns),
-        gens.filter(~F.coalesce(in_project, F.lit(False))),
+        gens.join(paths, "project_path", "left_anti").select(*gens.columns),
         removed,
     )
 

@@ -52,6 +52,34 @@ def index_report(scan: DataFrame, generation: DataFrame) -> DataFrame:
     )
 
 
+def index_reports(scans: DataFrame, generations: DataFrame) -> DataFrame:
+    """One row per project about an index run: outcome, generation, counts, planned languages.
+
+    `generations` holds the generations of this run only.
+    """
+    gens = generations.select(
+        F.col("project_path").alias("project"), "generation_id", F.col("status").alias("__status"),
+        "symbol_count", "edge_count", "skipped_files", "error",
+    )
+    return scans.join(gens, "project", "left").select(
+        "project",
+        F.when(F.col("outcome") != "ok", F.col("outcome"))
+        .when(F.col("__status") == "active", F.lit("success"))
+        .otherwise(F.lit("error"))
+        .alias("status"),
+        "generation_id",
+        F.col("supported_files").alias("files_scanned"),
+        F.coalesce("symbol_count", F.lit(0)).alias("symbols"),
+        F.coalesce("edge_count", F.lit(0)).alias("edges"),
+        F.coalesce("skipped_files", F.lit(0)).alias("skipped"),
+        "planned_files",
+        "planned_languages",
+        "truncated",
+        "oversized_files",
+        "error",
+    )
+
+
 def affected_files(impact_symbols: DataFrame, by: str | None = None) -> DataFrame:
     """Distinct files of an impact result as rows, per seed when `by` is given."""
     keys = [by] if by else []

@@ -124,14 +124,20 @@ def dedupe_content(
     """(kept nodes, one row per distinct content with its number of copies).
 
     Groups by a 256-bit digest, so texts do not travel through the shuffle, and copies are counted
-    and the oldest chosen in each map task first.
+    and the oldest chosen in each map task first. A null in `order` counts as later than any value; a null tenant or
+    content is a value of its own. Rows alike in tenant, content and all of `order` cannot be told apart and all stay.
     """
-    oldest = F.min(F.struct(*order)).alias("oldest")
+    places = [x for c in order for x in (F.col(c).isNull().alias(f"__no_{c}"), F.col(c).alias(c))]
+    digest = F.sha2(F.col(content).cast("binary"), 256)
     groups = (
-        nodes.select(tenant, F.sha2(content, 256).alias("digest"), *order)
+        nodes.select(tenant, digest.alias("digest"), *order)
         .groupBy(tenant, "digest")
-        .agg(oldest, F.count(F.lit(1)).alias("copies"))
-        .select(tenant, "digest", "oldest.*", "copies")
+        .agg(F.min(F.struct(*places)).alias("oldest"), F.count(F.lit(1)).alias("copies"))
+        .select(tenant, "digest", *[F.col(f"oldest.{c}").alias(c) for c in order], "copies")
     )
-    kept = nodes.join(groups.select(tenant, *order), [tenant, *order], "left_semi")
-    return kept, groups
+    chosen = groups.select(*[F.col(c).alias(f"__{c}") for c in (tenant, "digest", *order)])
+    marked = nodes.withColumn("__own", digest)
+    same = marked["__own"].eqNullSafe(chosen["__digest"])
+    for c in (tenant, *order):
+        same = same & marked[c].eqNullSafe(chosen[f"__{c}"])
+    return marked.join(chosen, same, "left_semi").drop("__own"), groups

@@ -282,7 +282,7 @@ BINDINGS = {
             cast(b as string), case b % 5 when 0 then '.ts' when 1 then '.tsx' when 2 then '.js'
               when 3 then '/index.jsx' else '.json' end) as path,
           b, concat('web', cast(b % 4 as string), '/m', cast(b as string)) as base
-        from (select cast(replace(p_brand, 'Brand#', '') as int) as b from {part}) x""",
+        from (select cast(floor(p_partkey / 20) as int) as b from {part}) x""",
     "js_imports": """
         select distinct '/proj' as project, concat('web', cast(a.b % 4 as string), '/a',
             cast(a.b as string), '.ts') as file,
@@ -295,10 +295,10 @@ BINDINGS = {
               cast(t.b as string)) when 1 then t.base when 2 then t.path when 3 then t.base
             else '' end as wanted
         from {lineitem}
-          join (select p_partkey, cast(replace(p_brand, 'Brand#', '') as int) as b from {part}) x
+          join (select p_partkey, cast(floor(p_partkey / 20) as int) as b from {part}) x
             on l_partkey = x.p_partkey
           join {js_files} a on x.b = a.b
-          join (select p_partkey, cast(replace(p_brand, 'Brand#', '') as int) as b from {part}) y
+          join (select p_partkey, cast(floor(p_partkey / 20) as int) as b from {part}) y
             on l_suppkey = y.p_partkey
           join {js_files} t on y.b = t.b""",
     "raw_paths": """

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from cairngraph.operators import facts, resolve
-from cairngraph.plans.index_job import index_project
+from cairngraph.plans.index_job import index_project, index_projects
 from cairngraph.plans.registry import query
 from cairngraph.session import cut
 
@@ -331,3 +331,79 @@ def index_run(t):
     files = cut(source_files(t, broken=True))
     _, report = index_project(t.spark, files, now="2026-01-01T00:00:00+00:00")
     return report.select("status", "files_scanned", "symbols", "edges", "skipped")
+
+
+# Files of five projects; those whose number ends in 3 are broken, and of project 3 all of them.
+SEVERAL = """
+    parts as (select p, n, n % 5 as j, n % 10 = 3 or n % 5 = 3 as broken from source_lines),
+    per as (select j, count(distinct n) as files, count(distinct n) filter (not broken) as healthy,
+        count(*) filter (not broken) as n, count(*) filter (not broken and p % 20 <> 0) as inner_bases
+      from parts group by j)"""
+
+
+def several_projects(t):
+    files = source_files(t)
+    n = F.regexp_extract("path", "[0-9]+", 0).cast("bigint")
+    broken = (n % 10 == 3) | (n % 5 == 3)
+    # written relative, with a detour
+    project = F.concat(F.lit("code/x/../"), (n % 5).cast("string"))
+    return files.withColumns({"project": project, "content": F.concat("content", F.when(broken, F.lit("def :\n")).otherwise(F.lit("")))})
+
+
+@query(
+    "dm09_index_projects",
+    f"""with {SEVERAL.strip()}
+        select '/code/' || cast(j as varchar) as project, case when healthy > 0 then 'success' else 'error' end as status,
+          files as files_scanned, case when healthy > 0 then healthy + 3 * n else 0 end as symbols,
+          case when healthy > 0 then 3 * n + n + inner_bases else 0 end as edges, files - healthy as skipped
+        from per""",
+    "source_lines",
+)
+def index_runs(t):
+    _, report = index_projects(t.spark, cut(several_projects(t)), now="2026-01-01T00:00:00+00:00")
+    return report.select("project", "status", "files_scanned", "symbols", "edges", "skipped")
+
+
+@query(
+    "dm04_settled_generations",
+    f"""with {SEVERAL.strip()}
+        select '/code/' || cast(j as varchar) as project_path, run, case when healthy = 0 then 'failed'
+            when run = 1 then 'gc' when j = 1 then 'failed' else 'active' end as status,
+          case when healthy = 0 or (run = 2 and j = 1) then 0 else healthy + 3 * n end as symbol_count,
+          healthy = 0 or (run = 2 and j = 1) as has_error
+        from per, (values (1), (2)) r(run) where not (run = 1 and j = 1)
+        union all
+        select '/code/1', 1, 'active', healthy + 3 * n, false from per where j = 1""",
+    "source_lines",
+)
+def settled_generations(t):
+    """Two runs over five projects. The second loses a row of project 1 while writing, so this one keeps its first generation."""
+    files = cut(several_projects(t))
+    first, _ = index_projects(t.spark, files, now="1")
+
+    def lossy(name, rows):
+        rows = cut(rows)
+        if name != "nodes":
+            return rows
+        lost = rows.filter("project_path = '/code/1'").agg(F.min("id")).head()[0]
+        return rows.filter(F.col("id") != lost) if lost else rows
+
+    second, _ = index_projects(t.spark, files, first, now="2", write=lossy)
+    return second["generations"].select(
+        "project_path", F.col("created_at").cast("int").alias("run"), "status", "symbol_count", F.col("error").isNotNull().alias("has_error")
+    )
+
+
+@query(
+    "dm09_stored_nodes",
+    f"""with {SEVERAL.strip()}
+        select '/code/' || cast(j as varchar) as project_path, kind, count(*) as n from (
+          select j, n, unnest(['class', 'function', 'method']) as kind from parts where not broken
+          union all
+          select j, n, 'module' from (select distinct j, n from parts where not broken) x) y
+        group by j, kind""",
+    "source_lines",
+)
+def stored_nodes(t):
+    tables, _ = index_projects(t.spark, cut(several_projects(t)), now="1")
+    return tables["nodes"].groupBy("project_path", "kind").agg(F.count(F.lit(1)).alias("n"))

@@ -27,7 +27,7 @@ def migrate(
     catalog: dict[str, dict[str, str]],
     order: Sequence[str] = LOAD_ORDER,
 ) -> tuple[Tables, DataFrame, DataFrame]:
-    """(loaded tables, report, first errors per table) from loosely typed tables.
+    """(loaded tables, report, quarantined rows of all tables) from loosely typed tables.
 
     Columns are reconciled with the catalog, values coerced, rows without a required value left
     out, keys made unique. The report has rows ok and err and the verification status per table.
@@ -37,13 +37,13 @@ def migrate(
     for name, frame in kept.items():
         key = list(PRIMARY_KEYS[name])
         required = [c for c in NOT_NULL[name] if c in frame.columns]
-        good, counts, samples = exchange.load_with_quarantine(
+        good, bad, counts = exchange.load_with_quarantine(
             frame, catalog[name], required, key
         )
         loaded[name] = first_by(good, key, sortable(good, key))
         reports.append(counts.select(F.lit(name).alias("table_name"), "ok", "err"))
         keys = F.concat_ws(":", *[F.col(k).cast("string") for k in key])
-        errors.append(samples.select(F.lit(name).alias("table_name"), keys.alias("key"), "error"))
+        errors.append(bad.select(F.lit(name).alias("table_name"), keys.alias("key"), "error", "raw"))
     status = exchange.verify_counts({n: kept[n] for n in kept}, loaded)
     return loaded, union_all(reports).join(status, "table_name"), union_all(errors)
 

@@ -1,95 +1,109 @@
-"""A full index run over one project's files."""
+"""Index runs over the files of any number of projects.
+
+Each project goes its own way through the states building, active, failed and gc: what its facts hold is counted per
+project, what the tables hold is counted per generation, and only where both agree a generation becomes active. A project that
+cannot be read, or whose rows got lost, fails alone and keeps its former generation.
+"""
 
 from __future__ import annotations
 
 import hashlib
 import posixpath
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 from datetime import UTC, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cairngraph.functions import scalars as S
 from cairngraph.operators import facts as facts_ops
 from cairngraph.operators import lifecycle, resolve
 from cairngraph.operators.graph import valid_edges
-from cairngraph.operators.rollup import index_report
+from cairngraph.operators.rollup import index_reports
 from cairngraph.operators.tables import upsert
 from cairngraph.session import cut
-from cairngraph.sources.files import MAX_FILES, scan_files, scan_report
+from cairngraph.sources.files import scan_files, scan_projects, scan_report
 
 Tables = dict[str, DataFrame]
 FACT_TABLES = ("defs", "imports", "bases", "calls")
 
 
+class IndexRunFailed(RuntimeError):
+    """An index run stopped; `tables` has its generations marked as failed."""
+
+    def __init__(self, message: str, tables: Tables):
+        super().__init__(message)
+        self.tables = tables
+
+
 def generation_key(project: str, now: str) -> str:
-    """The id that `create_generation` gives, for use as a literal."""
-    return hashlib.sha256(f"{project}:{now}".encode()).hexdigest()[:16]
+    """The id of a project's generation, for use as a literal."""
+    path = posixpath.normpath(project if project.startswith("/") else f"/{project}")
+    return hashlib.sha256(f"{path}:{now}".encode()).hexdigest()[:16]
 
 
-def index_project(
+def index_projects(
     spark: SparkSession,
     files: DataFrame,
     tables: Tables | None = None,
     exts: Iterable[str] | None = None,
-    max_files: int = MAX_FILES,
+    max_files: int | None = None,
     force: bool = False,
     now: str | None = None,
     facts: Tables | None = None,
+    write: Callable[[str, DataFrame], DataFrame] | None = None,
 ) -> tuple[Tables, DataFrame]:
-    """(tables with the new generation, one-row report). `files` holds one project.
+    """(tables with the new generations, one report row per project) of `files`, whose `project` may be written in any way.
 
     Python files are read here; `facts` brings fact tables of the JS/TS files. A file that cannot be
-    read is skipped with all its rows. When none can be read the generation fails and the former one
-    stays active. Equal definitions are stored once; the report counts the others as duplicates.
+    read is skipped with all its rows. When none of a project can be read its generation fails and the former one
+    stays active. Equal definitions are stored once; the report counts the others as duplicates. `write` stores the new rows of
+    a table (its name, the rows) and reads them back. Any other error marks the run's generations as failed and is raised
+    as `IndexRunFailed`. Files without a project are left out.
     """
     tables = dict(tables or lifecycle.empty_store(spark))
     now = now or datetime.now(UTC).isoformat()
-    first = files.select("project").head(1)
-    project = posixpath.normpath(first[0]["project"]) if first else ""
-    files = files.withColumn("project", F.lit(project))
-    if force and project:
-        tables["nodes"], tables["edges"], tables["generations"], _ = lifecycle.clear_index(
-            tables["nodes"], tables["edges"], tables["generations"], project
+    files = files.filter("project is not null").withColumn("project", S.normalize_path("project"))
+    scans = cut(scan_projects(files, exts, max_files)[0])
+    if force:
+        tables["nodes"], tables["edges"], tables["generations"], _ = lifecycle.clear_indexes(
+            tables["nodes"], tables["edges"], tables["generations"], scans
         )
-    scan, _ = scan_report(files, exts, max_files)
-    scan = cut(scan)
-    no_generation = tables["generations"].filter(F.lit(False))
-    if scan.head()["outcome"] != "ok":
-        return tables, _report(scan, no_generation)
-
-    gens = lifecycle.create_generation(tables["generations"], project, now)
-    generation = generation_key(project, now)
-    duplicates = 0
+    wanted = scans.filter("outcome = 'ok'")
+    gens = cut(lifecycle.create_generations(tables["generations"], wanted, now))
     try:
-        tables, gens, duplicates = _run(
-            tables, gens, files, scan, generation, project, exts, max_files, facts
-        )
-    except lifecycle.CountMismatch as error:
-        gens = lifecycle.fail(gens, generation, str(error))
-    tables["generations"] = cut(gens)
-    ours = tables["generations"].filter(F.col("generation_id") == generation)
-    return tables, _report(scan, ours, duplicates)
-
-
-def _report(scan: DataFrame, generation: DataFrame, duplicates: int = 0) -> DataFrame:
-    report = index_report(scan, generation)
-    return report.withColumn("duplicate_symbols", F.lit(duplicates).cast("bigint"))
+        stored, outcomes = _run(tables, files, wanted, now, exts, max_files, facts, write or (lambda name, rows: cut(rows)))
+        gens = cut(lifecycle.settle(gens, stored["nodes"], stored["edges"], outcomes))
+    except Exception as error:
+        tables["generations"] = cut(lifecycle.fail_building(gens, now, str(error)[:1000]))
+        raise IndexRunFailed(f"the run at {now} stopped: {error}", tables) from error
+    stored["generations"] = gens
+    ours = gens.filter(F.col("created_at") == now)
+    doubles = outcomes.select(F.col("project_path").alias("project"), "duplicate_symbols")
+    report = index_reports(scans, ours).join(doubles, "project", "left")
+    return stored, report.withColumn("duplicate_symbols", F.coalesce("duplicate_symbols", F.lit(0).cast("bigint")))
+
+
+def index_project(spark: SparkSession, files: DataFrame, *args, **more) -> tuple[Tables, DataFrame]:
+    """`index_projects` for the files of one project; of no files at all there is a report, too."""
+    tables, report = index_projects(spark, files, *args, **more)
+    asked = cut(report)
+    if asked.isEmpty():
+        none = scan_report(files)[0].withColumn("project", F.lit(None).cast("string"))
+        asked = index_reports(none, tables["generations"].limit(0)).withColumn("duplicate_symbols", F.lit(0).cast("bigint"))
+    return tables, asked
 
 
 def spark_parallelism(df: DataFrame) -> int:
     return df.sparkSession.sparkContext.defaultParallelism
 
 
-def _run(tables, gens, files, scan, generation, project, exts, max_files, extra):
+def _run(tables, files, wanted, now, exts, max_files, extra, write) -> tuple[Tables, DataFrame]:
+    """(tables with the new rows, what the facts of each project hold)."""
+    files = files.join(wanted.select("project"), "project", "left_semi").select(*files.columns)
     scanned = scan_files(files, exts, max_files).select("project", "path", "length", "content")
-    spread = spark_parallelism(files)
-    defs, imports, bases, calls, errors = facts_ops.extract_facts(scanned, spread)
+    defs, imports, bases, calls, errors = facts_ops.extract_facts(scanned, spark_parallelism(files))
     healthy = facts_ops.healthy_files(scanned, errors).select("project", "path")
-    skipped = errors.select("file").distinct().count()
-    if skipped == scan.head()["supported_files"]:
-        error = f"No files indexed successfully in {project}"
-        return tables, lifecycle.fail(gens, generation, error), 0
     resolved = resolve.resolve_python_modules(imports, files)
     if extra:
         defs = defs.unionByName(extra["defs"])
@@ -97,24 +111,36 @@ def _run(tables, gens, files, scan, generation, project, exts, max_files, extra)
         calls = calls.unionByName(extra["calls"])
         resolved = resolved.unionByName(resolve.resolve_js_modules(extra["imports"], files))
     symbols = cut(resolve.all_symbols(healthy, defs))
-    edges = resolve.all_edges(symbols, cut(resolved), bases, calls)
-    fresh_nodes = cut(lifecycle.symbol_nodes(symbols, generation).dropDuplicates(["id"]))
+    edges = cut(resolve.all_edges(symbols, cut(resolved), bases, calls))
+    generation = S.generation_id(F.col("project"), F.lit(now))
+    fresh_nodes = write("nodes", lifecycle.symbol_nodes(symbols, generation).dropDuplicates(["id"]))
+    # edges are unique by now, so the ids are too
+    fresh_edges = write("edges", valid_edges(lifecycle.symbol_edges(edges, generation), fresh_nodes))
     stored = dict(tables)
     stored["nodes"] = upsert(tables["nodes"], fresh_nodes, ["id"])
-    # Edges are unique by now, so the ids are too.
-    fresh_edges = cut(valid_edges(lifecycle.symbol_edges(edges, generation), fresh_nodes))
-    stored["edges"] = tables["edges"].join(fresh_edges.select("id"), "id", "left_anti").unionByName(
-        fresh_edges
+    stored["edges"] = tables["edges"].join(fresh_edges.select("id"), "id", "left_anti").unionByName(fresh_edges)
+    n = F.count(F.lit(1))
+    by_symbol = symbols.groupBy("project").agg(F.count_distinct("symbol_id").alias("symbols"), n.alias("__all"))
+    # counted on the facts, whatever becomes of the tables
+    ids = symbols.select("symbol_id").distinct()
+    whole = edges.join(ids.withColumnRenamed("symbol_id", "source_sid"), "source_sid", "left_semi")
+    whole = whole.join(ids.withColumnRenamed("symbol_id", "target_sid"), "target_sid", "left_semi")
+    by_edge = whole.groupBy("project").agg(n.alias("edges"))
+    skipped = errors.select("project", "file").distinct().groupBy("project").agg(n.alias("skipped"))
+    zero = F.lit(0).cast("bigint")
+    unreadable = F.when(
+        F.col("skipped") == F.col("supported_files"), F.concat(F.lit("none of the files could be read in "), F.col("project"))
     )
-    symbol_count = fresh_nodes.count()
-    gens = lifecycle.activate(
-        gens,
-        fresh_nodes,
-        fresh_edges,
-        generation,
-        project,
-        symbol_count=symbol_count,
-        edge_count=fresh_edges.count(),
-        skipped_files=skipped,
+    outcomes = (
+        wanted.join(skipped, "project", "left").join(by_symbol, "project", "left").join(by_edge, "project", "left")
+        .select(
+            generation.alias("generation_id"),
+            F.col("project").alias("project_path"),
+            F.coalesce("symbols", zero).alias("symbols"),
+            F.coalesce("edges", zero).alias("edges"),
+            F.coalesce("skipped", zero).alias("skipped"),
+            unreadable.alias("error"),
+            (F.coalesce("__all", zero) - F.coalesce("symbols", zero)).alias("duplicate_symbols"),
+        )
     )
-    return stored, gens, symbols.count() - symbol_count
+    return stored, cut(outcomes)

@@ -13,8 +13,7 @@ from cairngraph.session import shared_dir
 from cairngraph.sources import exchange, files, snapshots
 
 SCAN_FILTER = """
-    not regexp_matches(path, '(^|/)([.]git|node_modules|__pycache__|vendor|[.]tmp-nmem)/')
-    and length <= 1000000"""
+    not regexp_matches(path, '(^|/)([.]git|node_modules|__pycache__|vendor|[.]tmp-nmem)/')"""
 EXT = "lower(regexp_extract(path, '[^/]([.][^./]+)$', 1))"
 SUPPORTED = f"{EXT} in ('.js', '.jsx', '.ts', '.tsx', '.py')"
 PLANNED = f"{EXT} in ('.go', '.rs', '.java', '.c', '.cpp', '.rb', '.php')"
@@ -24,30 +23,29 @@ PLANNED = f"{EXT} in ('.go', '.rs', '.java', '.c', '.cpp', '.rb', '.php')"
     "src01_scan_files",
     f"""select path, length, case {EXT} when '.js' then 'javascript' when '.jsx' then 'javascript'
           when '.py' then 'python' else 'typescript' end as language
-        from files where {SCAN_FILTER} and {SUPPORTED} order by path limit 5000""",
+        from files where {SCAN_FILTER} and {SUPPORTED}""",
     "files",
 )
 def scan_files(t):
     return files.scan_files(t.files).select("path", "length", "language")
 
 
-FIRST_FILES = f"""
-    found as (select count(*) as n, max(path) as last_path from (
-      select path from files where {SCAN_FILTER} and {SUPPORTED} order by path limit 5000) x),
-    planned as (select path, case {EXT} when '.go' then 'go' when '.rs' then 'rust' else 'php' end
+KINDS = f"""
+    found as (select path, length from files where {SCAN_FILTER} and {SUPPORTED}),
+    planned as (select path, length, case {EXT} when '.go' then 'go' when '.rs' then 'rust' else 'php' end
         as language
-      from files, found
-      where {SCAN_FILTER} and {PLANNED} and (found.n < 5000 or path < found.last_path))"""
+      from files where {SCAN_FILTER} and {PLANNED})"""
 
 
 @query(
     "src02_scan_report",
-    f"""with {FIRST_FILES.strip()}
+    f"""with {KINDS.strip()}
         select case when n > 0 then 'ok' else 'unsupported' end as outcome, n as supported_files,
           (select count(*) from planned) as planned_files,
           (select string_agg(language, ',' order by language)
-           from (select distinct language from planned) l) as planned_languages
-        from found""",
+           from (select distinct language from planned) l) as planned_languages,
+          false as truncated, cast(0 as bigint) as oversized_files
+        from (select count(*) as n from found) x""",
     "files",
 )
 def scan_report(t):
@@ -55,11 +53,30 @@ def scan_report(t):
     return report.withColumn("planned_languages", F.array_join("planned_languages", ","))
 
 
-@query("src02_planned_files", f"with {FIRST_FILES.strip()} select path, language from planned", "files")
+@query("src02_planned_files", f"with {KINDS.strip()} select path, language from planned", "files")
 def planned_files(t):
     return files.scan_report(t.files)[1]
 
 
+@query(
+    "src02_scan_limits",
+    f"""with {KINDS.strip()},
+          fits as (select path, row_number() over (order by path) as rn from found where length <= 90000),
+          stop as (select max(path) as p from fits where rn = 40)
+        select 'ok' as outcome, least(count(*), 40) as supported_files, count(*) > 40 as truncated,
+          (select count(*) from planned, stop
+           where length <= 90000 and (stop.p is null or path < stop.p)) as planned_files,
+          (select count(*) from found where length > 90000)
+            + (select count(*) from planned where length > 90000) as oversized_files
+        from fits""",
+    "files",
+)
+def scan_limits(t):
+    """A caller's own limits, and what they left out."""
+    report, _ = files.scan_report(t.files, max_files=40, max_size=90_000)
+    return report.drop("planned_languages")
+
+
 @query(
     "src03_scan_fibers",
     """select id, brain_id, strftime(created_at, '%Y-%m-%d') as created_at,
@@ -101,6 +118,35 @@ def chunk_export(t):
     return exchange.chunk_export(keyed, ["conv_id", "turn"])
 
 
+NUMBERED = """
+    numbered as (select *, row_number() over (order by conv_id, turn, role) as rn, count(*) over () as total
+      from conversations)"""
+
+
+@query(
+    "src05_sql_text",
+    f"""with {NUMBERED.strip()}
+        select line, count(*) as n from (
+          select '-- chunk ' || cast(cast(floor((rn - 1) / 300) + 1 as bigint) as varchar) as line
+          from numbered where (rn - 1) % 300 = 0
+          union all
+          select 'INSERT INTO "talks" ("conv_id", "turn", "role") VALUES' from numbered where (rn - 1) % 100 = 0
+          union all
+          select 'ON CONFLICT DO NOTHING;' from numbered where (rn - 1) % 100 = 0
+          union all
+          select concat('  (', cast(conv_id as varchar), ', ', cast(turn as varchar), ', ', chr(39), role, chr(39), ')',
+            case when rn % 100 = 0 or rn = total then '' else ',' end) from numbered) x
+        group by line""",
+)
+def sql_text(t):
+    folder = f"{shared_dir(t.spark)}/sql-{uuid.uuid4().hex}"
+    target = {"conv_id": "bigint", "turn": "integer", "role": "text"}
+    talks = t.conversations.select(*target)
+    exchange.write_sql_chunks(talks, "talks", target, ["conv_id", "turn", "role"], folder)
+    lines = t.spark.read.text(f"{folder}/table=talks")
+    return lines.groupBy(F.col("value").alias("line")).agg(F.count(F.lit(1)).alias("n"))
+
+
 @query(
     "src06_sql_literal",
     """select k, concat('  (', cast(k as varchar), ', ',
@@ -151,12 +197,17 @@ def load_tables(t):
         union all
         select 'fibers', a.n, b.n, case when b.n >= a.n then 'OK' else 'DIFF' end
         from (select count(*) as n from fibers) a,
-          (select count(*) as n from fibers where last_conducted is not null) b""",
-    "brains fibers",
+          (select count(*) as n from fibers where last_conducted is not null) b
+        union all
+        select 'neurons', count(*), cast(0 as bigint), 'DIFF' from neurons
+        union all
+        select 'gaps', cast(0 as bigint), count(*), 'OK' from gaps""",
+    "brains fibers neurons gaps",
 )
 def verify_counts(t):
-    source = {"brains": t.brains, "fibers": t.fibers}
-    target = {"brains": t.brains, "fibers": t.fibers.filter("last_conducted is not null")}
+    # one table is missing in the target, one in the source
+    source = {"brains": t.brains, "fibers": t.fibers, "neurons": t.neurons}
+    target = {"brains": t.brains, "fibers": t.fibers.filter("last_conducted is not null"), "gaps": t.gaps}
     return exchange.verify_counts(source, target)
 
 
@@ -230,11 +281,14 @@ def quarantine_load(t):
     return exchange.load_with_quarantine(rows, LOOSE, ["int_text", "bool_text"], ["k"])[0]
 
 
+JUDGED = f"""
+    judged as (select k, concat_ws(',', case when {INT_VALUE} is null then 'int_text' end,
+        case when {BOOL_VALUE} is null then 'bool_text' end) as error, int_text, bool_text, float_text from dirty)"""
+
+
 @query(
     "src11_quarantine_report",
-    f"""with judged as (
-          select k, concat_ws(',', case when {INT_VALUE} is null then 'int_text' end,
-            case when {BOOL_VALUE} is null then 'bool_text' end) as error from dirty)
+    f"""with {JUDGED.strip()}
         select j.k, j.error, c.ok, c.err
         from (select * from judged where error <> '' order by k limit 3) j,
           (select count(*) filter (error = '') as ok, count(*) filter (error <> '') as err
@@ -243,8 +297,23 @@ def quarantine_load(t):
 )
 def quarantine_report(t):
     rows = t.dirty.select(*LOOSE)
-    _, report, samples = exchange.load_with_quarantine(
+    _, bad, report = exchange.load_with_quarantine(
         rows, LOOSE, ["int_text", "bool_text"], ["k"]
     )
     counts = report.select(F.struct("ok", "err")).scalar()
+    samples = exchange.first_errors(bad, ["k"])
     return samples.withColumn("c", counts).select("k", "error", "c.ok", "c.err")
+
+
+@query(
+    "src11_quarantined_rows",
+    f"""with {JUDGED.strip()}
+        select k, error, int_text, bool_text, float_text from judged where error <> ''""",
+    "dirty",
+)
+def quarantined_rows(t):
+    """All rows that could not be loaded, as they came."""
+    rows = t.dirty.select(*LOOSE)
+    _, bad, _ = exchange.load_with_quarantine(rows, LOOSE, ["int_text", "bool_text"], ["k"])
+    texts = [F.get_json_object("raw", f"$.{c}").alias(c) for c in ("int_text", "bool_text", "float_text")]
+    return bad.select("k", "error", *texts)

@@ -231,6 +231,19 @@ def kept_documents(t):
     return kept.select("doc_id", "n_chars")
 
 
+@query(
+    "st04_kept_with_null_order",
+    """select doc_id, n from (
+          select doc_id, n, row_number() over (partition by lang, text order by n nulls last, doc_id) as r
+          from (select doc_id, lang, text, case when doc_id % 3 = 0 then null else n_chars + doc_id % 5 end as n
+                from documents) x) y where r = 1""",
+)
+def kept_with_null_order(t):
+    rows = t.documents.withColumn("n", F.when(F.col("doc_id") % 3 != 0, F.col("n_chars") + F.col("doc_id") % 5))
+    kept, _ = tables.dedupe_content(rows, "lang", "text", ["n", "doc_id"])
+    return kept.select("doc_id", "n")
+
+
 # --- generations ----------------------------------------------------------------------------
 
 

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable, Sequence
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -13,6 +14,7 @@ from cairngraph.functions import scalars as S
 from cairngraph.operators.common import first_by, union_all, with_position
 from cairngraph.operators.tables import insert_ignore, sortable
 from cairngraph.schemas import BOOLEAN_COLUMNS, LOAD_ORDER, PRIMARY_KEYS, SKIPPED_TARGET_TYPES
+from cairngraph.session import shared_dir
 
 BATCH_ROWS = 100
 MAX_ROWS_PER_FILE = 300
@@ -114,32 +116,41 @@ def load_with_quarantine(
     target: dict[str, str],
     not_null: Sequence[str],
     key: Sequence[str],
+    path: str | None = None,
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(loaded rows, one-row count of ok and err, first three errors by key).
+    """(loaded rows, quarantined rows, one-row count of ok and err), written below `path` in one pass.
 
-    Every value is coerced on its own. A row is bad when a required column has no value left.
+    Every value is coerced on its own. A row is bad when a required column has no value left; a quarantined row is its key,
+    the columns at fault (`error`) and the row as it came, as JSON (`raw`). Counts are taken while writing. Without a `path`
+    the two parts lie in the shared folder.
     """
     fields = {f.name: f.dataType for f in df.schema.fields if f.name in target}
     typed = df.select(
         *[coerce(F.col(name), kind, target[name]).alias(name) for name, kind in fields.items()],
         *[F.col(k).alias(f"__key_{k}") for k in key],
+        F.struct(*df.columns).alias("__row"),
     )
     missing = F.array_compact(
         F.array(*[F.when(F.col(c).isNull(), F.lit(c)) for c in not_null]).cast("array<string>")
     )
     typed = typed.withColumn("error", F.array_join(missing, ","))
-    bad = F.col("error") != ""
-    good = typed.filter(~bad).select(*fields)
-    report = typed.agg(
-        F.count_if(~bad).alias("ok"), F.count_if(bad).alias("err")
-    )
-    samples = (
-        typed.filter(bad)
-        .orderBy(*[f"__key_{k}" for k in key])
-        .limit(ERROR_SAMPLES)
-        .select(*[F.col(f"__key_{k}").alias(k) for k in key], "error")
-    )
-    return good, report, samples
+    typed = typed.withColumn("__bad", F.col("error") != "")
+    typed = typed.withColumn("raw", F.when(F.col("__bad"), F.to_json("__row"))).drop("__row")
+    path = path or f"{shared_dir(df.sparkSession)}/load-{uuid.uuid4().hex}"
+    seen = Observation()
+    typed.observe(
+        seen, F.count_if(~F.col("__bad")).alias("ok"), F.count_if(F.col("__bad")).alias("err")
+    ).write.partitionBy("__bad").parquet(path)
+    counts = seen.get
+    stored = df.sparkSession.read.schema(typed.schema).parquet(path)
+    bad = stored.filter("__bad").select(*[F.col(f"__key_{k}").alias(k) for k in key], "error", "raw")
+    report = df.sparkSession.createDataFrame([(counts.get("ok") or 0, counts.get("err") or 0)], "ok bigint, err bigint")
+    return stored.filter("not __bad").select(*fields), bad, report
+
+
+def first_errors(bad: DataFrame, key: Sequence[str], n: int = ERROR_SAMPLES) -> DataFrame:
+    """The first quarantined rows by key, as a sample to look at."""
+    return bad.orderBy(*key).limit(n).select(*key, "error")
 
 
 # --- SQL text chunks ------------------------------------------------------------------------
@@ -215,9 +226,11 @@ def write_sql_chunks(
     batch: int = BATCH_ROWS,
     max_rows: int = MAX_ROWS_PER_FILE,
 ) -> None:
-    """One text file per chunk below `out_dir/table=<name>/file_no=<n>`.
+    """All chunks as SQL text below `out_dir/table=<name>`, in order, many in each file.
 
-    A statement holds at most `batch` rows, so the text built in one row stays small.
+    Files follow the amount of data and not the number of chunks; a chunk stays whole and begins with a line that names it. A
+    statement holds at most `batch` rows, so the text built in one row stays small. A task that runs again replaces
+    what it wrote.
     """
     columns = ", ".join(f'"{c}"' for c in df.columns if c in target)
     head = f'INSERT INTO "{table}" ({columns}) VALUES\n'
@@ -226,14 +239,15 @@ def write_sql_chunks(
     ordered = F.array_sort(F.collect_list(F.struct(*key, "values_sql")))
     statements = packed.groupBy("file_no", "batch_no").agg(ordered.alias("rows"))
     body = F.array_join(F.transform("rows", lambda r: r["values_sql"]), ",\n")
-    text = F.concat(F.lit(head), body, F.lit("\nON CONFLICT DO NOTHING;\n"))
+    first = F.col("batch_no") == F.min("batch_no").over(Window.partitionBy("file_no"))
+    name = F.when(first, F.concat(F.lit("-- chunk "), F.col("file_no").cast("string"), F.lit("\n"))).otherwise(F.lit(""))
+    text = F.concat(name, F.lit(head), body, F.lit("\nON CONFLICT DO NOTHING;"))
     (
         statements.select("file_no", "batch_no", text.alias("value"))
-        .repartition("file_no")
+        .repartitionByRange("file_no")
         .sortWithinPartitions("file_no", "batch_no")
-        .select("file_no", "value")
+        .select("value")
         .write.mode("overwrite")
-        .partitionBy("file_no")
         .text(f"{out_dir}/table={table}")
     )
 
@@ -282,24 +296,25 @@ def table_counts(tables: dict[str, DataFrame], name: str) -> DataFrame:
 
 
 def verify_counts(source: dict[str, DataFrame], target: dict[str, DataFrame]) -> DataFrame:
-    """Per table: source rows, target rows, OK when the target has at least as many."""
+    """Per table of either side: source rows, target rows, OK when the target has the table and at least as many."""
     joined = table_counts(target, "target_rows").join(
-        table_counts(source, "source_rows"), "table_name", "left"
+        table_counts(source, "source_rows"), "table_name", "full_outer"
     )
-    n_source = F.coalesce("source_rows", F.lit(0))
+    n_source, n_target = F.coalesce("source_rows", F.lit(0)), F.coalesce("target_rows", F.lit(0))
+    enough = F.col("target_rows").isNotNull() & (n_target >= n_source)
     return joined.select(
         "table_name",
         n_source.alias("source_rows"),
-        "target_rows",
-        F.when(F.col("target_rows") >= n_source, F.lit("OK")).otherwise(F.lit("DIFF")).alias("status"),
+        n_target.alias("target_rows"),
+        F.when(enough, F.lit("OK")).otherwise(F.lit("DIFF")).alias("status"),
     )
 
 
 def write_version(tables: dict[str, DataFrame], base_dir: str, version: str) -> str:
-    """Write all tables as one new version folder; earlier versions stay readable."""
+    """Write all tables as one new version folder; earlier versions stay readable, and a version is never written over."""
     path = f"{base_dir.rstrip('/')}/version={version}"
     for name, frame in tables.items():
-        frame.write.mode("overwrite").parquet(f"{path}/{name}")
+        frame.write.parquet(f"{path}/{name}")
     return path
 
 
@@ -325,7 +340,7 @@ def backup_rows(df: DataFrame) -> DataFrame:
 
 
 def write_backup(df: DataFrame, out_dir: str, now: datetime) -> str:
-    path = f"{out_dir.rstrip('/')}/last_conducted_backup_{now.strftime('%Y%m%dT%H%M%SZ')}.json"
+    path = f"{out_dir.rstrip('/')}/fibers-before-repair-{now.strftime('%Y-%m-%d-%H%M%S')}.json"
     backup_rows(df).write.mode("overwrite").json(path)
     return path
 

@@ -7,7 +7,7 @@ from cairngraph.operators import facts as facts_ops
 from cairngraph.operators import graph, lifecycle, resolve
 from cairngraph.operators.facts import file_facts
 from cairngraph.operators.search import search
-from cairngraph.plans.index_job import generation_key, index_project
+from cairngraph.plans.index_job import IndexRunFailed, generation_key, index_project, index_projects
 from cairngraph.schemas import FILES
 from cairngraph.session import cut
 
@@ -217,6 +217,48 @@ def test_index_skips_broken_file(spark, rows):
     assert (report.head()["status"], report.head()["symbols"]) == ("error", 0)
 
 
+def test_projects_go_their_own_ways(spark, rows):
+    """One run: a project that works, one that cannot be read, one without supported files, one written relative."""
+    parts = [files_of(spark, {"u.py": UTIL}, "/a"), files_of(spark, {"u.py": "def ("}, "/b/../b"), files_of(spark, {"m.go": ""}, "/c"), files_of(spark, {"u.py": UTIL, "v.py": UTIL}, "rel/x")]
+    files = parts[0].unionByName(parts[1]).unionByName(parts[2]).unionByName(parts[3])
+    first, report = index_projects(spark, files, now="1")
+    assert rows(report, "project", "status", "symbols", "skipped") == [("/a", "success", 2, 0), ("/b", "error", 0, 1), ("/c", "unsupported", 0, 0), ("/rel/x", "success", 4, 0)]
+    assert rows(first["generations"], "project_path", "status") == [("/a", "active"), ("/b", "failed"), ("/rel/x", "active")]
+    assert first["generations"].filter("status = 'building'").count() == 0
+    assert generation_key("rel/x", "1") in {r["generation_id"] for r in first["generations"].collect()}
+    # the next run breaks /a and mends /b: each keeps or changes its own generation
+    again = files_of(spark, {"u.py": "def ("}, "/a").unionByName(files_of(spark, {"u.py": UTIL}, "/b"))
+    second, _ = index_projects(spark, again, first, now="2")
+    assert rows(second["generations"], "project_path", "created_at", "status") == [
+        ("/a", "1", "active"), ("/a", "2", "failed"), ("/b", "1", "failed"), ("/b", "2", "active"), ("/rel/x", "1", "active"),
+    ]
+    forced, _ = index_projects(spark, again, second, now="3", force=True)
+    assert rows(forced["generations"], "project_path", "created_at") == [("/a", "3"), ("/b", "3"), ("/rel/x", "1")]
+    assert rows(forced["nodes"].select("project_path").distinct()) == [("/b",), ("/rel/x",)]
+
+
+def test_lost_rows_and_errors_fail_the_generation(spark, rows):
+    files = files_of(spark, {"u.py": UTIL}, "/a").unionByName(files_of(spark, {"u.py": UTIL}, "/b"))
+    first, _ = index_projects(spark, files, now="1")
+
+    def lossy(name, frame):
+        return cut(frame.filter("project_path <> '/a'") if name == "edges" else frame)
+
+    second, report = index_projects(spark, files, first, now="2", write=lossy)
+    assert rows(report, "project", "status") == [("/a", "error"), ("/b", "success")]
+    assert rows(second["generations"], "project_path", "created_at", "status") == [("/a", "1", "active"), ("/a", "2", "failed"), ("/b", "1", "gc"), ("/b", "2", "active")]
+    assert "edge rows stored" in second["generations"].filter("status = 'failed'").head()["error"]
+
+    def broken(name, frame):
+        raise OSError("disk full")
+
+    with pytest.raises(IndexRunFailed) as caught:
+        index_projects(spark, files, first, now="3", write=broken)
+    gens = caught.value.tables["generations"]
+    assert rows(gens, "project_path", "created_at", "status") == [("/a", "1", "active"), ("/a", "3", "failed"), ("/b", "1", "active"), ("/b", "3", "failed")]
+    assert gens.filter("created_at = '3'").head()["error"] == "disk full"
+
+
 def test_equal_definitions_are_one_symbol(spark, rows):
     text = "def f(a):\n    return 1\n\ndef f(a):\n    return g()\n\ndef g():\n    return f(2)\n"
     tables, report = index_project(spark, files_of(spark, {"twice.py": text}), now="t")

@@ -43,7 +43,7 @@ def test_migrate(spark, rows):
         ("brains", 1, 0, "OK"),
         ("neurons", 3, 1, "DIFF"),
     ]
-    assert rows(errors) == [("neurons", "b:3", "created_at")]
+    assert rows(errors, "table_name", "key", "error") == [("neurons", "b:3", "created_at")]
     assert rows(loaded["brains"], "id", "is_public") == [("b", True)]
     assert rows(loaded["neurons"], "id", "content", "content_hash") == [
         ("1", "text", 7),

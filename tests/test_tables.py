@@ -99,14 +99,23 @@ def test_sql_chunks_on_disk(spark, tmp_path):
     df = spark.createDataFrame([(i, f"it's {i}", i % 2 == 0) for i in range(25)], "id bigint, name string, synced boolean")
     target = {"id": "bigint", "name": "text", "synced": "integer"}
     exchange.write_sql_chunks(df, "things", target, ["id"], str(tmp_path), batch=10, max_rows=20)
-    texts = {}
-    for part in sorted(tmp_path.glob("table=things/file_no=*/part-*")):
-        texts.setdefault(part.parent.name, "")
-        texts[part.parent.name] += part.read_text()
-    assert sorted(texts) == ["file_no=1", "file_no=2"]
-    assert texts["file_no=1"].count("INSERT INTO") == 2 and texts["file_no=2"].count("  (") == 5
-    assert "  (1, 'it''s 1', FALSE)" in texts["file_no=1"]
-    assert 'INSERT INTO "things" ("id", "name", "synced") VALUES' in texts["file_no=1"]
+    parts = sorted(tmp_path.glob("table=things/part-*"))
+    text = "".join(part.read_text() for part in parts)
+    assert not list(tmp_path.glob("table=things/file_no=*")) and text.count("INSERT INTO") == 3
+    chunks = text.split("-- chunk ")
+    assert [c[:1] for c in chunks] == ["", "1", "2"] and [c.count("  (") for c in chunks] == [0, 20, 5]
+    assert "  (1, 'it''s 1', FALSE)" in chunks[1]
+    assert 'INSERT INTO "things" ("id", "name", "synced") VALUES' in chunks[2]
+
+
+def test_files_follow_the_data_and_not_the_chunks(spark, tmp_path):
+    df = spark.range(20_000).select("id", F.lit("x").alias("name"))
+    exchange.write_sql_chunks(df, "many", {"id": "bigint", "name": "text"}, ["id"], str(tmp_path))
+    parts = sorted(tmp_path.glob("table=many/part-*"))
+    text = "".join(part.read_text() for part in parts)
+    assert len(parts) <= 8 and text.count("-- chunk ") == 67
+    ids = [int(line.strip()[1:].split(",")[0]) for line in text.splitlines() if line.startswith("  (")]
+    assert ids == list(range(20_000))
 
 
 def test_literals(spark):
@@ -153,7 +162,7 @@ def test_metadata_patch_keeps_types(spark):
 def test_backup_and_versions(spark, tmp_path, rows):
     fibers = fibers_of(spark)
     path = exchange.write_backup(fibers, str(tmp_path), datetime(2026, 4, 4, 1, 2, 3))
-    assert path.endswith("last_conducted_backup_20260404T010203Z.json")
+    assert path.endswith("fibers-before-repair-2026-04-04-010203.json")
     assert spark.read.json(path).filter("id = 'fiber-valid'").head()["last_conducted"] == "2026-04-01T00:00:00+00:00"
     exchange.write_version({"fibers": fibers}, str(tmp_path / "store"), "1")
     back = exchange.read_version(spark, str(tmp_path / "store"), "1", ["fibers"])
@@ -196,12 +205,71 @@ def test_scan_rules(spark, rows):
         ("vendors/f.py", 10), ("g.rs", 10), ("h.jsx", 10), ("z.php", 10), ("noext", 10),
     ]
     df = spark.createDataFrame([("/p", p, n, "") for p, n in listing], "project string, path string, length bigint, content string")
-    assert rows(files.scan_files(df), "path") == [("a.py",), ("h.jsx",), ("vendors/f.py",)]
+    assert rows(files.scan_files(df), "path") == [("a.py",), ("c.ts",), ("h.jsx",), ("vendors/f.py",)]
+    assert rows(files.scan_files(df, max_size=1_000_000), "path") == [("a.py",), ("h.jsx",), ("vendors/f.py",)]
     assert rows(files.scan_files(df, exts=[".PY"], max_files=1), "path") == [("a.py",)]
-    report, planned = files.scan_report(df, max_files=2)
+    report, planned = files.scan_report(df, max_files=2, max_size=1_000_000)
     row = report.head()
     assert (row["outcome"], row["supported_files"], row["planned_languages"]) == ("ok", 2, ["go", "rust"])
+    assert (row["truncated"], row["oversized_files"]) == (True, 1)
     assert rows(planned, "path") == [("b.GO",), ("g.rs",)]
+    row = files.scan_report(df)[0].head()
+    assert (row["supported_files"], row["planned_files"], row["truncated"], row["oversized_files"]) == (4, 3, False, 0)
+    none = files.scan_report(df.filter("false"))[0].head()
+    assert (none["outcome"], none["supported_files"], none["planned_languages"]) == ("error", 0, [])
+
+
+def test_scans_have_no_limit_of_their_own(spark, rows):
+    many = spark.range(6000).select(
+        F.when(F.col("id") % 2 == 0, "/a").otherwise("/b").alias("project"),
+        F.format_string("d/%05d.py", "id").alias("path"), (F.col("id") * 1000).alias("length"), F.lit("").alias("content"),
+    )
+    assert files.scan_files(many).count() == 6000
+    report, _ = files.scan_projects(many)
+    assert rows(report, "project", "outcome", "supported_files", "truncated") == [("/a", "ok", 3000, False), ("/b", "ok", 3000, False)]
+    report, _ = files.scan_projects(many, max_files=10, max_size=1_000_000)
+    assert rows(report, "project", "supported_files", "truncated", "oversized_files") == [("/a", 10, True, 2499), ("/b", 10, True, 2500)]
+    assert rows(files.scan_files(many, max_files=2), "project", "path") == [("/a", "d/00000.py"), ("/a", "d/00002.py"), ("/b", "d/00001.py"), ("/b", "d/00003.py")]
+
+
+def test_tree_below_a_root_that_comes_again(spark, tmp_path, rows):
+    deep = tmp_path / "x" / str(tmp_path).lstrip("/") / "y"
+    deep.mkdir(parents=True)
+    (deep / "a.py").write_text("z = 3\n")
+    assert rows(files.read_tree(spark, str(tmp_path)), "path") == [(str(deep / "a.py")[len(str(tmp_path)) + 1 :],)]
+
+
+def test_content_dedupe_with_nulls(spark, rows):
+    """Null times, tenants and contents lose no content."""
+    data = [("b", "x", None, "1"), ("b", "x", 5, "2"), ("b", "y", None, "3"), ("b", "y", None, "4"), (None, "x", 1, "5"), ("b", None, 2, "6"), ("b", None, 1, "7"), (None, "x", None, "8")]
+    nodes = spark.createDataFrame(data, "brain_id string, content string, created_at int, id string")
+    kept, groups = tables.dedupe_content(nodes)
+    assert sorted(r["id"] for r in kept.collect()) == ["2", "3", "5", "7"] and kept.columns == nodes.columns
+    assert groups.count() == 4 and groups.agg(F.sum("copies")).head()[0] == 8
+
+
+def test_quarantine_keeps_every_bad_row(spark, rows, tmp_path):
+    data = [(i, "7" if i % 3 else "x", "true" if i % 5 else None) for i in range(200)]
+    df = spark.createDataFrame(data, "id int, n string, flag string").repartition(3)
+    target = {"id": "bigint", "n": "integer", "flag": "boolean"}
+    good, bad, report = exchange.load_with_quarantine(df, target, ["n", "flag"], ["id"], str(tmp_path / "load"))
+    wrong = {i: ",".join(c for c, at in (("n", i % 3 == 0), ("flag", i % 5 == 0)) if at) for i in range(200)}
+    wrong = {i: e for i, e in wrong.items() if e}
+    assert {r["id"]: r["error"] for r in bad.collect()} == wrong
+    assert {r["id"]: json.loads(r["raw"]).get("n") for r in bad.collect()} == {i: data[i][1] for i in wrong}
+    assert sorted(r["id"] for r in good.collect()) == sorted(set(range(200)) - set(wrong))
+    assert tuple(report.head()) == (200 - len(wrong), len(wrong))
+    assert rows(exchange.first_errors(bad, ["id"])) == [(0, "n,flag"), (3, "n"), (5, "flag")]
+    # one pass: both parts are folders of one table
+    assert sorted(p.name for p in (tmp_path / "load").iterdir() if p.is_dir()) == ["__bad=false", "__bad=true"]
+    empty = exchange.load_with_quarantine(df.filter("false"), target, ["n"], ["id"])
+    assert empty[0].count() == empty[1].count() == 0 and tuple(empty[2].head()) == (0, 0)
+
+
+def test_counts_of_absent_tables(spark, rows):
+    two, three = spark.range(2), spark.range(3)
+    found = exchange.verify_counts({"a": two, "gone": three, "none": two.filter("false")}, {"a": three, "new": two})
+    assert rows(found) == [("a", 2, 3, "OK"), ("gone", 3, 0, "DIFF"), ("new", 0, 2, "OK"), ("none", 0, 0, "DIFF")]
 
 
 def test_read_tree(spark, tmp_path, rows):
