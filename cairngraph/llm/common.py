@@ -6,7 +6,7 @@ import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cairngraph.session import cut, shared_dir
@@ -84,6 +84,22 @@ def perhaps_in(rows: DataFrame, key: str, members: DataFrame, flag: str = "perha
     return joined.withColumn(flag, found).drop("_bucket", "_bits")
 
 
+def hash_sample(rows: DataFrame, key: str, order: list[str], limits: Column) -> DataFrame:
+    """Of each `key` at most `limits` rows, those of least hash of the columns `order`.
+
+    Counts say up to which hash there are enough rows, so only about a third more than the limit get to the task that ranks a key,
+    however many splits a hot key comes from.
+    """
+    counts = rows.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+    bound = counts.select(F.col(key).alias("_k"), ((1.3 * limits + 50) / F.col("_n") * float(1 << 30)).alias("_bound"))
+    hashed = rows.withColumn("_h", F.xxhash64(*order))
+    place = F.pmod(F.shiftrightunsigned("_h", 20), F.lit(1 << 30))
+    low = hashed.join(bound, F.col(key).eqNullSafe(F.col("_k"))).filter(place < F.col("_bound"))
+    first = Window.partitionBy(key).orderBy(F.pmod(F.shiftrightunsigned("_h", 20), F.lit(1 << 30)), "_h", *order)
+    ranked = low.withColumn("_r", F.row_number().over(first)).filter(F.col("_r") <= limits)
+    return ranked.drop("_n", "_k", "_bound", "_h", "_r")
+
+
 def by_group(keys: list[str], step: Callable[[pa.Table], Iterator[pa.RecordBatch]]) -> Callable:
     """A `mapInArrow` function for partitions sorted by `keys`: `step` gets one whole group at a time.
 

@@ -15,10 +15,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cairngraph.llm.common import part, texts
+from cairngraph.llm.common import hash_sample, part, texts
 from cairngraph.llm.registry import query, table
 
 FEATURES = 4096
@@ -49,8 +49,9 @@ def chunked(docs: list[str]) -> Iterator[list[str]]:
 def counts(docs: list[str], letter: np.ndarray) -> np.ndarray:
     """n-gram counts, documents x features."""
     lower = [t.lower() for t in docs]
-    codes = np.frombuffer("\x00".join(lower).encode("utf-32-le", "surrogatepass"), "<u4").astype(np.int64)
-    doc = np.repeat(np.arange(len(docs)), [len(t) + 1 for t in lower])[: len(codes)]
+    # every text ends in a blank, the last one, too
+    codes = np.frombuffer("".join(t + "\x00" for t in lower).encode("utf-32-le", "surrogatepass"), "<u4").astype(np.int64)
+    doc = np.repeat(np.arange(len(docs)), [len(t) + 1 for t in lower])
     is_letter = letter[codes]
     codes = np.where(is_letter, codes, 32)
     found = np.zeros(len(docs) * FEATURES, np.int64)
@@ -131,9 +132,8 @@ def fit(learnable: DataFrame, clusters: int = 4, sample: int = SAMPLE, quantile:
     n = per.get(-1, 0)
     df = np.array([per.get(f, 0) for f in range(FEATURES)], np.float64)
     idf = (np.log((1 + n) / (1 + df)) + 0.1).astype(np.float32)
-    first = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    chosen = rows.filter("doc_id is not null").select("doc_id", "lang").withColumn("r", F.row_number().over(first))
-    chosen = chosen.filter(F.col("r") <= sample).select("doc_id", F.col("lang").alias("l")).distinct()
+    chosen = hash_sample(rows.filter("doc_id is not null").select("doc_id", "lang"), "lang", ["doc_id"], F.lit(sample))
+    chosen = chosen.select("doc_id", F.col("lang").alias("l")).distinct()
     if chosen.count() <= BROADCAST_ROWS:
         chosen = F.broadcast(chosen)
     picked = rows.join(chosen.withColumnRenamed("doc_id", "d"), F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("lang") == F.col("l")))

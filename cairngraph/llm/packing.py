@@ -34,6 +34,8 @@ PIECES = (
     " sequence_length long"
 )
 
+PLACES = 200_000  # of filled windows that are tried along one run without a sentence end
+
 
 def byte_tokens(tokenizer) -> dict[bytes, int]:
     """The vocabulary of a byte-level tokenizer as bytes -> id, without special tokens.
@@ -111,6 +113,8 @@ def cuts(at: np.ndarray, penalty: np.ndarray, size: int = 2048, inside: float =
         # filled windows may go on from any candidate shortly before
         before = at[slice(*np.searchsorted(at, [begin - size, begin], "right"))]
         before = before if begin >= size else np.append(before, 0)
+        # in a run of very many windows the nearest of them do, so that places stay bounded
+        before = before[-max(16, PLACES * size // int(gaps[g])) :]
         more.append((before[:, None] + np.arange(size, gaps[g] + size, size)).ravel())
     more.append(np.array([end - p for p in powers if end > p] + [size] * (end > size), dtype=np.int64))
     places = np.unique(np.concatenate([[0], at, *more]))

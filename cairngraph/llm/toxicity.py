@@ -19,13 +19,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cairngraph.llm.common import part, texts
+from cairngraph.llm.common import hash_sample, part, texts
 from cairngraph.llm.registry import query, table
 
 SAMPLE = {1: 4000, 0: 6000}  # labelled documents of each kind that the model is fitted on
+MOST_CHARS = 200_000  # longer texts are scored like others, but not learned from
 WORDS = 400
 ROUNDS = 600
 SENTENCE = r"[^.!?\n]+"
@@ -103,16 +104,17 @@ def _train(group: pa.Table) -> pa.Table:
 
 
 def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic") -> dict[str, float]:
-    """A model of at most `SAMPLE` labelled documents of each kind, drawn by a hash of the id.
+    """A model of at most `SAMPLE` labelled documents of each kind, drawn by a hash of the id, and of at most `MOST_CHARS`
+    characters each.
 
     Of several labels of one id the majority counts (ties: 1). Null labels and ids are left out.
     """
     voted = labels.filter(F.col("doc_id").isNotNull() & F.col(label).isNotNull())
     voted = voted.groupBy(F.col("doc_id").cast("long").alias("id")).agg((F.avg(F.col(label).cast("double")) >= 0.5).cast("int").alias("label"))
-    first = Window.partitionBy("label").orderBy(F.xxhash64("id"), "id")
     limit = F.when(F.col("label") == 1, SAMPLE[1]).otherwise(SAMPLE[0])
-    chosen = voted.withColumn("r", F.row_number().over(first)).filter(f"r <= {max(SAMPLE.values())}").filter(F.col("r") <= limit)
-    rows = docs.select(*texts(docs)).join(F.broadcast(chosen.drop("r")), F.col("doc_id") == F.col("id"))  # a bounded sample
+    chosen = hash_sample(voted, "label", ["id"], limit)
+    learnable = docs.select(*texts(docs)).filter(F.length("text") <= MOST_CHARS)
+    rows = learnable.join(F.broadcast(chosen), F.col("doc_id") == F.col("id"))  # a bounded sample
     learned = rows.select("doc_id", "text", "label").groupBy(F.lit(0).alias("all")).applyInArrow(_train, "word string, weight double")
     return {r["word"]: r["weight"] for r in learned.collect()} or {"": -10.0, " ": -10.0}
 
@@ -155,7 +157,7 @@ def detect(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """Score of every document by a model of labels whose fold (crc32 of the id as text, modulo 5) is not 0.
 
     `doc_id`, `held_out`, `score`, `predicted`, `offending`. Null and empty texts have no sentence and score as the leak. Rows with a
-    null id are scored; their `held_out` is false. Without labels every text scores next to 0. Repeated rows score
+    null id are scored; their `held_out` is false, and texts of any length are scored whole. Without labels every text scores next to 0. Repeated rows score
     alike. An empty table gives no row; other columns are ignored.
     """
     model = fit(docs, labels.filter(part("doc_id", 5) != 0))

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from cairngraph.llm import ann, bpe, jaccard, language, packing, perplexity, quality_rules, secrets, substring, toxicity
-from cairngraph.llm.common import components
+from cairngraph.llm.common import components, hash_sample
 
 BYTE, WORD = (public_tokenizers.path(f) for f in ("byte_bpe_50k.json", "word_bpe_49k.json"))
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
@@ -142,6 +142,15 @@ def test_cuts_are_optimal():
             assert cost(found) <= best[int(at[-1])] + 1e-9
 
 
+def test_cuts_of_a_run_without_ends_stay_small():
+    """Many candidates before a very long run: the places that are tried are bounded, and windows are filled."""
+    at = np.concatenate([np.arange(1, 2001), [2_000_000]])
+    found = packing.cuts(at, np.zeros(len(at)))
+    widths = np.diff(found, prepend=0)
+    assert found[-1] == 2_000_000 and widths.max() <= 2048
+    assert sum(2048 - w for w in widths.tolist() if w & (w - 1)) < 3 * 2048
+
+
 def test_bpe_equals_the_library(spark, odd):
     tokenizer = Tokenizer.from_file(WORD)
     rng = random.Random(1)
@@ -349,6 +358,77 @@ def test_ann_with_a_longer_vector_and_repeated_ids(spark):
     assert [r["rank"] for r in found] == [1, 2, 3, 4, 5] and found[0].vec_id == 50 and len({r.vec_id for r in found}) == 5
 
 
+def test_hash_sample(spark):
+    """As many as asked for, the same ones however the rows are split, and few of a hot key for one task."""
+    rows = [(i, "hot" if i % 3 else f"k{i % 9}") for i in range(30_000)] + [(90_000 + i, None) for i in range(40)]
+    df = spark.createDataFrame(rows, "id long, k string")
+    found = hash_sample(df.repartition(40), "k", ["id"], F.when(F.col("k") == "hot", 500).otherwise(100))
+    counts = {r["k"]: r["n"] for r in found.groupBy("k").agg(F.count(F.lit(1)).alias("n")).collect()}
+    assert counts == {"hot": 500, "k0": 100, "k3": 100, "k6": 100, None: 40}
+    again = hash_sample(df.coalesce(1), "k", ["id"], F.when(F.col("k") == "hot", 500).otherwise(100))
+    assert sorted(map(tuple, found.collect()), key=repr) == sorted(map(tuple, again.collect()), key=repr)
+
+
+def test_toxicity_score_by_definition(spark):
+    """The noisy-or of a fitted model, written out sentence by sentence."""
+    import math
+    import re
+
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").unionByName(
+        spark.createDataFrame([(9001, None), (9002, ""), (9003, "... !?")], "doc_id long, text string"), allowMissingColumns=True
+    )
+    model = toxicity.fit(docs, spark.read.parquet("/root/testdata/sf0.1/labels.parquet"))
+    texts = {r.doc_id: r.text or "" for r in docs.select("doc_id", "text").collect()}
+    for r in toxicity.score(docs.select("doc_id", "text"), model, spans=True).collect():
+        clean = math.exp(-math.log1p(math.exp(model[" "])))
+        offending = 0
+        for sentence in re.split(r"[.!?\n]+", texts[r.doc_id]):
+            told = [model[w] for w in re.findall(r"[^\W\d_]+", sentence.lower()) if w in model]
+            if told:
+                p = 1 / (1 + math.exp(-(model[""] + sum(told))))
+                clean *= 1 - p
+                offending += p >= 0.5
+        assert math.isclose(r.score, 1 - clean, rel_tol=1e-6, abs_tol=1e-9) and len(r.offending) == offending
+
+
+def test_language_by_definition(spark):
+    """Nearest centroid of TF-IDF vectors, with grams counted one by one."""
+    from collections import Counter
+
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").filter("text is not null")
+    model = language.fit(docs)
+    mask = (1 << 64) - 1
+
+    def feature(codes, n):
+        gram = codes[0]
+        if n > 1:
+            gram = gram * 0x110000 + codes[1]
+        if n > 2:
+            gram = gram * 31 + codes[2] * 0x9E3779B1
+        h = (gram * 0x9E3779B97F4A7C15 + n) & mask
+        return ((((h ^ (h >> 29)) * 0xBF58476D1CE4E5B9) & mask) >> 52) & mask
+
+    predicted = {r.doc_id: r for r in language.predict(docs.select("doc_id", "text"), model).collect()}
+    for row in docs.select("doc_id", "text").limit(40).collect():
+        text = row.text.lower() + " "
+        line = [ord(c) if c.isalpha() else 32 for c in text]
+        letter = [c.isalpha() for c in text]
+        counts = Counter()
+        for n in (1, 2, 3):
+            for i in range(len(line) - n + 1):
+                if any(letter[i : i + n]):
+                    counts[feature(line[i : i + n], n)] += 1
+        x = np.zeros(language.FEATURES)
+        for f, c in counts.items():
+            x[f] = np.log1p(c) * model.idf[f]
+        got = predicted[row.doc_id]
+        if not counts:
+            assert got.lang_pred == "und"
+            continue
+        cosine = model.centers @ (x / np.linalg.norm(x))
+        assert got.lang_pred == model.langs[int(cosine.argmax())] and abs(got.score - cosine.max()) < 1e-4
+
+
 def test_language_held_out(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     found = language.identify(docs).join(docs.select("doc_id", "lang"), "doc_id").filter("held_out")
