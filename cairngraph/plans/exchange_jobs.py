@@ -12,7 +12,7 @@ from cairngraph.functions.scalars import YEAR_FLOOR
 from cairngraph.operators import lifecycle
 from cairngraph.operators.common import first_by, union_all
 from cairngraph.operators.rollup import repair_summary
-from cairngraph.operators.tables import merge_snapshots, sortable
+from cairngraph.operators.tables import merge_snapshots, sortable, upsert
 from cairngraph.schemas import LOAD_ORDER, NOT_NULL, PRIMARY_KEYS
 from cairngraph.sources import exchange, snapshots
 
@@ -105,3 +105,25 @@ def sync_stores(
         )
         reports.append(report.withColumn("table_name", F.lit(name)))
     return merged, union_all(reports)
+
+
+def sync(
+    local: Tables, remote: Tables | None, brain_id: str, strategy: str = "prefer_local"
+) -> tuple[Tables, Tables, DataFrame]:
+    """(local tables, remote tables, report) after both stores hold the same rows of the brain.
+
+    The brain is exported from both sides and merged; locally it is cleared and imported again, remotely the merged
+    rows replace those of the same key. Without a remote that can be read the local rows are pushed as they are. The report
+    has a row per table: what was added, updated, skipped and in conflict, and whether it was pulled and pushed.
+    """
+    merged, report = sync_stores(local, remote, brain_id, strategy)
+    kept = snapshots.import_brain(snapshots.clear_brain(local, brain_id), merged)
+    pushed = dict(remote or {})
+    for name, frame in merged.items():
+        pushed[name] = upsert(pushed[name], frame, PRIMARY_KEYS[name]) if name in pushed else frame
+    if report is None:
+        spark = next(iter(local.values())).sparkSession
+        report = spark.createDataFrame([(name,) for name in merged], "table_name string")
+        report = report.select("table_name", *[F.lit(0).cast("bigint").alias(c) for c in ("added", "updated", "skipped", "conflicts")])
+    report = report.select("table_name", "added", "updated", "skipped", "conflicts")
+    return kept, pushed, report.withColumns({"pulled": F.lit(remote is not None), "pushed": F.lit(True)})

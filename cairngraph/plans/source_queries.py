@@ -8,6 +8,7 @@ from datetime import datetime
 from pyspark.sql import functions as F
 
 from cairngraph.operators import lifecycle
+from cairngraph.plans import exchange_jobs
 from cairngraph.plans.registry import query
 from cairngraph.session import shared_dir
 from cairngraph.sources import exchange, files, snapshots
@@ -162,6 +163,45 @@ def sql_literal(t):
     return exchange.insert_rows(rows, target).select("k", "values_sql")
 
 
+@query(
+    "src04_column_report",
+    """select column_name, case when column_name in ('c_custkey', 'c_name', 'c_acctbal') then 'common'
+          when column_name = 'c_mktsegment' then 'skipped-type' else 'source-only' end as side
+        from (describe customer)
+        union all select 'c_comment', 'target-only'""",
+)
+def column_report(t):
+    return exchange.reconcile(t.customer, CATALOG)[1]
+
+
+MIGRATED = {
+    "brains": {"id": "text", "name": "text", "config": "jsonb", "created_at": "timestamp with time zone", "updated_at": "timestamp with time zone"},
+    "neurons": {"id": "text", "brain_id": "text", "type": "text", "content": "text", "created_at": "timestamp with time zone", "embedding": "USER-DEFINED"},
+}
+
+
+@query(
+    "src07_migrate",
+    """select 'brains' as table_name, count(*) as ok, cast(0 as bigint) as err, 'OK' as status, count(*) as loaded,
+          cast(0 as bigint) as quarantined from brains
+        union all
+        select 'neurons', count(*) filter (access_frequency % 7 <> 0), count(*) filter (access_frequency % 7 = 0), 'DIFF',
+          count(*) filter (access_frequency % 7 <> 0), count(*) filter (access_frequency % 7 = 0) from neurons""",
+    "brains neurons",
+)
+def migrated(t):
+    """A whole migration: columns reconciled, values coerced, bad rows kept apart, counts verified."""
+    day = F.lit("2024-01-05")
+    brains = t.brains.select("id", F.col("owner_id").alias("name"), F.lit("{}").alias("config"), day.alias("created_at"), day.alias("updated_at"))
+    when = F.when(F.col("access_frequency") % 7 == 0, "soon").otherwise(day)
+    neurons = t.neurons.select("id", "brain_id", "type", "content", when.alias("created_at"), F.lit("x").alias("embedding"), F.lit(1).alias("legacy"))
+    loaded, report, bad = exchange_jobs.migrate({"brains": brains, "neurons": neurons}, MIGRATED)
+    lost = bad.groupBy("table_name").agg(F.count(F.lit(1)).alias("quarantined"))
+    sizes = exchange.table_counts(loaded, "loaded")
+    whole = report.join(sizes, "table_name").join(lost, "table_name", "left")
+    return whole.select("table_name", "ok", "err", "status", "loaded", F.coalesce("quarantined", F.lit(0)).alias("quarantined"))
+
+
 def _store(t):
     return {"brains": t.brains, "fibers": t.fibers, "fiber_neurons": t.fiber_neurons}
 
@@ -257,6 +297,68 @@ def snapshot_copy(t):
     return counted[0].unionByName(counted[1])
 
 
+BRAIN = "concat('b:', cast(cast(substring(id, 3) as bigint) % 3 as string))"
+MERGED = f"""
+    l as (select {BRAIN} as brain_id, * from snap_local),
+    i as (select {BRAIN} as brain_id, * from snap_incoming),
+    m as (select 'b:1' as brain_id, coalesce(l.id, i.id) as id,
+        case when l.id is null or take then i.content else l.content end as content,
+        case when l.id is null or take then i.weight else l.weight end as weight,
+        case when l.id is null or take then i.updated_at else l.updated_at end as updated_at
+      from (select * from l where brain_id = 'b:1') l full join (select * from i where brain_id = 'b:1') i on l.id = i.id,
+        lateral (select coalesce(l.id = i.id and (l.content is distinct from i.content or l.weight is distinct from i.weight)
+          and i.updated_at > l.updated_at, false) as take) x)"""
+
+
+def synced(t):
+    tables = [{"neurons": frame.select(F.expr(BRAIN).alias("brain_id"), "*")} for frame in (t.snap_local, t.snap_incoming)]
+    return exchange_jobs.sync(*tables, "b:1", "prefer_recent")
+
+
+@query(
+    "src10_sync_stores",
+    f"""with {MERGED.strip()}
+        select 'local' as store, * from m union all select 'local', * from l where brain_id <> 'b:1'
+        union all select 'remote', * from m union all select 'remote', * from i where brain_id <> 'b:1'""",
+    "snap_local snap_incoming",
+)
+def sync_stores(t):
+    local, remote, _ = synced(t)
+    sides = [side["neurons"].select(F.lit(name).alias("store"), "brain_id", "id", "content", "weight", "updated_at") for name, side in (("local", local), ("remote", remote))]
+    return sides[0].unionByName(sides[1])
+
+
+@query(
+    "src10_sync_report",
+    f"""with {MERGED.strip()}, c as (
+          select l.id as a, i.id as b, l.content is distinct from i.content or l.weight is distinct from i.weight as differs,
+            i.updated_at > l.updated_at as later
+          from (select * from l where brain_id = 'b:1') l full join (select * from i where brain_id = 'b:1') i on l.id = i.id)
+        select 'neurons' as table_name, count(*) filter (a is null) as added, count(*) filter (a = b and differs and later) as updated,
+          count(*) filter (a = b and not (differs and later)) as skipped, count(*) filter (a = b and differs) as conflicts,
+          true as pulled, true as pushed from c""",
+    "snap_local snap_incoming",
+)
+def sync_report(t):
+    return synced(t)[2]
+
+
+@query(
+    "src09_repair_run",
+    """select count(*) filter (bad) as candidate_count, count(*) filter (bad) as updated_count, count(*) as fibers,
+          count(*) filter (bad) as backed_up
+        from (select coalesce((brain_id = 'b:3') and (year(last_conducted) < 1998 or last_conducted < created_at), false) as bad
+              from fibers) x""",
+    "fibers",
+)
+def repair_run(t):
+    folder = f"{shared_dir(t.spark)}/repair-{uuid.uuid4().hex}"
+    fixed, summary, _ = exchange_jobs.run_repair(t.fibers, "b:3", floor=1998, apply=True, backup_dir=folder, now=datetime(2026, 1, 1))
+    held = t.spark.read.schema("id string").json(summary["backup_path"])
+    kept = fixed.agg(F.count(F.lit(1)).alias("fibers")).withColumns({c: F.lit(summary[c]).cast("bigint") for c in ("candidate_count", "updated_count")})
+    return kept.join(held.agg(F.count(F.lit(1)).alias("backed_up")))
+
+
 LOOSE = {
     "k": "bigint",
     "int_text": "integer",

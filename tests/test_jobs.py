@@ -2,7 +2,7 @@
 
 from datetime import UTC, datetime
 
-from cairngraph.plans.exchange_jobs import migrate, run_repair, sync_stores
+from cairngraph.plans.exchange_jobs import migrate, run_repair, sync, sync_stores
 
 
 def test_migrate(spark, rows):
@@ -81,3 +81,17 @@ def test_sync_stores(spark, rows):
     assert (row["added"], row["updated"], row["skipped"], row["conflicts"]) == (1, 1, 1, 2)
     pushed, report = sync_stores(local, None, "b")
     assert report is None and pushed["synapses"].count() == 2
+
+
+def test_sync_leaves_both_stores_alike(spark, rows):
+    schema = "id string, brain_id string, source_id string, weight double"
+    local = {"synapses": spark.createDataFrame([("1", "b", "x", 0.2), ("2", "b", "x", 0.9), ("9", "c", "x", 1.0)], schema)}
+    remote = {"synapses": spark.createDataFrame([("1", "b", "y", 0.7), ("3", "b", "z", 0.5), ("1", "d", "q", 0.1)], schema)}
+    ours, theirs, report = sync(local, remote, "b", "prefer_stronger")
+    merged = [("b", "1", "y"), ("b", "2", "x"), ("b", "3", "z")]
+    assert rows(ours["synapses"], "brain_id", "id", "source_id") == [*merged, ("c", "9", "x")]
+    assert rows(theirs["synapses"], "brain_id", "id", "source_id") == [*merged, ("d", "1", "q")]
+    assert rows(report) == [("synapses", 1, 1, 0, 1, True, True)]
+    ours, theirs, report = sync(local, None, "b")
+    assert ours["synapses"].count() == 3 and theirs["synapses"].count() == 2
+    assert (report.head()["pulled"], report.head()["pushed"]) == (False, True)
