@@ -2,10 +2,13 @@
 
 A pseudo-rotation (three rounds of random signs and a fast Hadamard transform) turns a unit vector; its bucket is the nearest
 signed axis, refined by the nearest signed axis of the first few coordinates of a second rotation. Every vector is
-indexed in `tables` such tables. A query probes in each table the `probes` buckets with the least loss against its own. Index
-and queries travel in blocks: a row holds all vectors of one map task and table that fall on one axis, so a hot bucket is few
-rows, which an adaptive join splits. Each task scores blocks of candidates against blocks of queries and hands on
-the best per query; the final scores are computed in double precision from the original vectors, summed in one fixed order.
+indexed in `tables` such tables. A query probes in each table the `probes` buckets with the least loss against its own; how many that
+takes is measured on a bounded sample of queries against all rows, so the share of rows that is looked at falls as the table grows.
+
+Index and queries travel as 8-bit sketches in blocks: a row holds all vectors of one map task and table that fall on one axis, so a
+hot bucket is few rows, which an adaptive join splits. Each task scores blocks of candidates against blocks of queries and hands on
+those that could be among the best, by bounds that hold whatever the rounding; their vectors are fetched once, and
+the final scores are computed in double precision from them, summed in one fixed order.
 """
 
 from __future__ import annotations
@@ -20,8 +23,12 @@ from pyspark.sql import functions as F
 from cairngraph.llm.common import stored
 from cairngraph.llm.registry import query, table
 from cairngraph.llm.vectors import usual_length
+from cairngraph.session import cut
 
 QUERY_BLOCK = 512
+SAMPLE = 128  # queries that the number of probes is measured on
+RECALL = 0.96  # of their nearest rows that the probes have to reach
+MOST_PROBES = 400  # where nothing can be measured
 HELD = 400_000  # scored rows a task holds before it keeps the best per query
 
 
@@ -66,6 +73,24 @@ def _unit(x: np.ndarray, width: int) -> np.ndarray:
     return np.pad(x, ((0, 0), (0, width - x.shape[1])))
 
 
+def sketched(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """8-bit components of unit vectors, and their scale and greatest error as pairs of 32-bit numbers."""
+    scale = (np.abs(x).max(1) / 127).astype(np.float32)
+    scale = np.where(scale > 0, scale, np.float32(1e-30))
+    code = np.clip(np.rint(x / scale[:, None].astype(np.float64)), -127, 127).astype(np.int8)
+    error = np.sqrt(((code * scale[:, None].astype(np.float64) - x) ** 2).sum(1)) * (1 + 1e-6) + 1e-9
+    return code, np.stack([scale, np.nextafter(error.astype(np.float32), np.float32(2))], 1)
+
+
+def _bounds(a: np.ndarray, a_more: np.ndarray, b: np.ndarray, b_more: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Least and greatest cosine of all pairs of sketched vectors."""
+    dot = (a.astype(np.float32) @ b.astype(np.float32).T).astype(np.float64)  # whole numbers below 2^24: exact
+    dot *= a_more[:, 0].astype(np.float64)[:, None] * b_more[:, 0].astype(np.float64)[None, :]
+    e, f = a_more[:, 1].astype(np.float64)[:, None], b_more[:, 1].astype(np.float64)[None, :]
+    room = e * (1 + f) + f * (1 + e) + e * f + 1e-9
+    return dot - room, dot + room
+
+
 def _index(dim: int, width: int, tables: int, fine: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -73,6 +98,7 @@ def _index(dim: int, width: int, tables: int, fine: int):
             if not len(ids):
                 continue
             unit = _unit(x, width)
+            code, more = sketched(unit[:, :dim])
             for number in range(tables):
                 coarse, small = _axes(unit, number, fine)
                 axis, sub = coarse.argmax(1), small.argmax(1).astype(np.uint8)
@@ -85,13 +111,21 @@ def _index(dim: int, width: int, tables: int, fine: int):
                         "axis": axis[order][edges].astype(np.int32),
                         "ids": pa.array([ids[p].tobytes() for p in parts], pa.binary()),
                         "subs": pa.array([sub[p].tobytes() for p in parts], pa.binary()),
-                        "x": pa.array([x[p].tobytes() for p in parts], pa.binary()),
+                        "x": pa.array([code[p].tobytes() for p in parts], pa.binary()),
+                        "x_more": pa.array([more[p].tobytes() for p in parts], pa.binary()),
                     }
                 )
 
     return run
 
 
+def _losses(unit: np.ndarray, number: int, fine: int) -> np.ndarray:
+    """What a query loses in each bucket of a table against its own."""
+    coarse, small = _axes(unit, number, fine)
+    loss = (coarse.max(1, keepdims=True) - coarse)[:, :, None] ** 2
+    return (loss + (small.max(1, keepdims=True) - small)[:, None, :] ** 2).reshape(len(unit), -1)
+
+
 def _probes(dim: int, width: int, tables: int, fine: int, probes: int):
     """One row per query, table and axis probed; `subs` has a bit for each fine bucket to look into."""
 
@@ -101,15 +135,14 @@ def _probes(dim: int, width: int, tables: int, fine: int, probes: int):
             for at in range(0, len(ids), 256):
                 some, y = ids[at : at + 256], x[at : at + 256]
                 unit = _unit(y, width)
+                code, more = sketched(unit[:, :dim])
                 for number in range(tables):
-                    coarse, small = _axes(unit, number, fine)
-                    loss = (coarse.max(1, keepdims=True) - coarse)[:, :, None] ** 2
-                    loss = (loss + (small.max(1, keepdims=True) - small)[:, None, :] ** 2).reshape(len(some), -1)
+                    loss = _losses(unit, number, fine)
                     count = min(probes, loss.shape[1])
                     chosen = np.argpartition(loss, count - 1, axis=1)[:, :count]
                     bits = np.zeros(loss.shape, bool)
                     bits[np.arange(len(some))[:, None], chosen] = True
-                    bits = bits.reshape(len(some), coarse.shape[1], -1)
+                    bits = bits.reshape(len(some), 2 * width, -1)
                     row, axis = np.nonzero(bits.any(2))
                     masks = np.packbits(bits[row, axis], axis=1, bitorder="little")
                     yield pa.record_batch(
@@ -118,7 +151,7 @@ def _probes(dim: int, width: int, tables: int, fine: int, probes: int):
                             "axis": axis.astype(np.int32),
                             "query": some[row],
                             "mask": pa.array([m.tobytes() for m in masks], pa.binary()),
-                            "y": pa.array([y[r].tobytes() for r in row.tolist()], pa.binary()),
+                            "y": pa.array([code[r].tobytes() + more[r].tobytes() for r in row.tolist()], pa.binary()),
                         }
                     )
 
@@ -176,37 +209,41 @@ def best(q: np.ndarray, v: np.ndarray, s: np.ndarray, k: int) -> np.ndarray:
 
 
 def _scored(dim: int, fine: int, k: int):
+    """The candidates that could be among the `k` best of a block, with bounds of their scores."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        held: list[tuple[np.ndarray, ...]] = []
         count = 0
 
-        def kept():
-            q, v, s = (np.concatenate(c) for c in zip(*held, strict=True))
-            keep = best(q, v, s, k)
-            return q[keep], v[keep], s[keep]
+        def kept() -> tuple[np.ndarray, ...]:
+            q, v, low, high = (np.concatenate(c) for c in zip(*held, strict=True))
+            keep = hopeful(q, v, low, high, k)
+            return q[keep], v[keep], low[keep], high[keep]
 
-        def out(rows):
-            return pa.record_batch(dict(zip(("query_id", "vec_id", "score"), rows, strict=True)))
+        def out(rows: tuple[np.ndarray, ...]) -> pa.RecordBatch:
+            return pa.record_batch(dict(zip(("query_id", "vec_id", "low", "high"), rows, strict=True)))
 
         for batch in batches:
-            columns = ("ids", "subs", "x", "queries", "masks", "ys")
-            for ids, subs, x, queries, masks, ys in zip(*(batch.column(c).to_pylist() for c in columns), strict=True):
+            columns = ("ids", "subs", "x", "x_more", "queries", "masks", "ys")
+            for ids, subs, x, x_more, queries, masks, ys in zip(*(batch.column(c).to_pylist() for c in columns), strict=True):
                 ids, subs = np.frombuffer(ids, np.int64), np.frombuffer(subs, np.uint8)
-                x, y = np.frombuffer(x).reshape(-1, dim), np.frombuffer(ys).reshape(-1, dim)
+                x, x_more = np.frombuffer(x, np.int8).reshape(-1, dim), np.frombuffer(x_more, "<f4").reshape(-1, 2)
+                y = np.frombuffer(ys, np.uint8).reshape(-1, dim + 8)
+                y, y_more = y[:, :dim].view(np.int8), np.ascontiguousarray(y[:, dim:]).view("<f4")
                 q = np.frombuffer(queries, np.int64)
                 bits = np.unpackbits(np.frombuffer(masks, np.uint8).reshape(len(q), -1), axis=1, bitorder="little")
                 probed = bits[:, : 2 * fine][:, subs].astype(bool) & (ids[None, :] != q[:, None])
-                rough = _unit(y, dim) @ _unit(x, dim).T
-                rough[~probed] = -2.0
+                low, high = _bounds(y, y_more, x, x_more)
+                low[~probed] = -3.0
                 order = np.argsort(ids, kind="stable")
                 start = np.flatnonzero(np.append(True, np.diff(ids[order]) != 0))[: len(ids)]
-                if len(start) > k:  # all that could be among the best `k` ids, ties and rounding included
-                    by_id = np.maximum.reduceat(rough[:, order], start, axis=1)
+                if len(start) > k:  # what cannot be among the best `k` ids of the block is left out at once
+                    by_id = np.maximum.reduceat(low[:, order], start, axis=1)
                     last = np.partition(by_id, len(start) - k, axis=1)[:, len(start) - k]
-                    probed &= rough >= last[:, None] - 1e-9
+                    probed &= high >= last[:, None]
                 i, j = np.nonzero(probed)
                 if len(i):
-                    held.append((q[i], ids[j], cosines(y[i], x[j])))
+                    held.append((q[i], ids[j], low[i, j], high[i, j]))
                     count += len(i)
                 if count > HELD:
                     rows = kept()
@@ -220,6 +257,64 @@ def _scored(dim: int, fine: int, k: int):
     return run
 
 
+def hopeful(q: np.ndarray, v: np.ndarray, low: np.ndarray, high: np.ndarray, k: int) -> np.ndarray:
+    """Places of what could be among the `k` best of every query; of a query and vector one row."""
+    order = np.lexsort((-low, v, q))
+    q1, v1 = q[order], v[order]
+    new = np.append(True, (q1[1:] != q1[:-1]) | (v1[1:] != v1[:-1]))[: len(q1)]
+    # copies of an id count at their best, by either bound
+    top = np.maximum.reduceat(high[order], np.flatnonzero(new)) if len(q1) else high
+    one = order[new]
+    first = best(q[one], v[one], low[one], k)
+    rank_k = np.full(len(one), -3.0)
+    group = np.unique(q[one], return_inverse=True)[1]
+    counts = np.bincount(group[first], minlength=group.max() + 1 if len(group) else 0)
+    least = np.full(len(counts), np.inf)
+    np.minimum.at(least, group[first], low[one][first])
+    rank_k = np.where(counts[group] >= k, least[group], -3.0)
+    high[one] = top
+    return one[top >= rank_k]
+
+
+SCORED = "query_id long, vec_id long, low double, high double"
+
+
+def _exact(dim: int):
+    """Pairs with both vectors -> their scores."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            one, other = (
+                np.asarray(batch.column(c).flatten().cast(pa.float64()).to_numpy(zero_copy_only=False), np.float64).reshape(-1, dim)
+                for c in ("y", "x")
+            )
+            yield pa.record_batch({"query_id": batch.column("query_id"), "vec_id": batch.column("vec_id"), "score": cosines(one, other)})
+
+    return run
+
+
+def _finished(found: DataFrame, plain: DataFrame, dim: int, k: int) -> DataFrame:
+    """`query_id`, `rank`, `vec_id`, `score` of the best `k`, from bounds of all that was found."""
+    once = found.groupBy("query_id", "vec_id").agg(F.max("low").alias("low"), F.max("high").alias("high"))
+    place = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("low"), "vec_id"))
+    placed = once.withColumn("r", place)
+    last = F.max(F.when(F.col("r") == k, F.col("low"))).over(Window.partitionBy("query_id"))
+    near = placed.withColumn("last", last).filter(F.col("high") >= F.coalesce("last", F.lit(-3.0))).select("query_id", "vec_id")
+    # rows of an id that have a vector to compare
+    whole = F.col("embedding").isNotNull() & (F.size("embedding") == dim)
+    finite = F.forall("embedding", lambda v: F.coalesce(F.abs(v) < float("inf"), F.lit(False))) & F.exists("embedding", lambda v: v != 0)
+    vectors = plain.filter(whole & finite)
+    pairs = near.join(vectors.select("vec_id", F.col("embedding").alias("x")), "vec_id")
+    pairs = pairs.join(vectors.select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("y")), "query_id")
+    scored = pairs.select("query_id", "vec_id", "x", "y").mapInArrow(_exact(dim), "query_id long, vec_id long, score double")
+    scored = scored.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
+    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    ranked = scored.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
+    return ranked.select("query_id", "rank", "vec_id", "score")
+
+
 def _packs(dim: int, fine: int, shards: int):
     """All vectors in rows of up to 4096, dealt in turn."""
 
@@ -229,12 +324,14 @@ def _packs(dim: int, fine: int, shards: int):
             ids, x = _vectors(batch, dim)
             for at in range(0, len(ids), 4096):
                 some = ids[at : at + 4096]
+                code, more = sketched(_unit(x[at : at + 4096], dim))
                 yield pa.record_batch(
                     {
                         "shard": pa.array([turn % shards], pa.int32()),
                         "ids": pa.array([some.tobytes()], pa.binary()),
                         "subs": pa.array([bytes(len(some))], pa.binary()),
-                        "x": pa.array([x[at : at + 4096].tobytes()], pa.binary()),
+                        "x": pa.array([code.tobytes()], pa.binary()),
+                        "x_more": pa.array([more.tobytes()], pa.binary()),
                     }
                 )
                 turn += 1
@@ -250,11 +347,12 @@ def _asked(dim: int, fine: int):
             ids, y = _vectors(batch, dim)
             for at in range(0, len(ids), QUERY_BLOCK):
                 some = ids[at : at + QUERY_BLOCK]
+                code, more = sketched(_unit(y[at : at + QUERY_BLOCK], dim))
                 yield pa.record_batch(
                     {
                         "queries": pa.array([some.tobytes()], pa.binary()),
                         "masks": pa.array([b"\xff" * ((2 * fine + 7) // 8 * len(some))], pa.binary()),
-                        "ys": pa.array([y[at : at + QUERY_BLOCK].tobytes()], pa.binary()),
+                        "ys": pa.array([np.concatenate([code.view(np.uint8), more.view(np.uint8)], 1).tobytes()], pa.binary()),
                     }
                 )
 
@@ -262,50 +360,76 @@ def _asked(dim: int, fine: int):
 
 
 def _exactly(plain: DataFrame, queries: DataFrame, dim: int, fine: int, k: int, shards: int = 64) -> DataFrame:
-    """The scores of `queries` (few) against all rows, in blocks."""
-    packs = plain.mapInArrow(_packs(dim, fine, shards), "shard int, ids binary, subs binary, x binary")
+    """The candidates of `queries` (few) among all rows, in blocks."""
+    packs = plain.mapInArrow(_packs(dim, fine, shards), "shard int, ids binary, subs binary, x binary, x_more binary")
     blocks = queries.mapInArrow(_asked(dim, fine), "queries binary, masks binary, ys binary")
     blocks = blocks.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))
-    found = packs.join(blocks, "shard").select("ids", "subs", "x", "queries", "masks", "ys")
-    return found.mapInArrow(_scored(dim, fine, k), "query_id long, vec_id long, score double")
+    found = packs.join(blocks, "shard").select("ids", "subs", "x", "x_more", "queries", "masks", "ys")
+    return found.mapInArrow(_scored(dim, fine, k), SCORED)
+
+
+def probes_needed(plain: DataFrame, queries: DataFrame, dim: int, width: int, tables: int, fine: int, k: int) -> int:
+    """How many buckets a query has to probe in each table to find nearly all of its `k` nearest rows.
+
+    Measured on at most `SAMPLE` queries, those of least hash of the id, which are compared with all rows.
+    """
+    sample = cut(queries.filter("vec_id is not null").orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE))
+    pairs = _finished(_exactly(plain, sample, dim, fine, k), plain, dim, k).filter("query_id <> vec_id")
+    named = pairs.join(plain.select("vec_id", F.col("embedding").alias("x")), "vec_id").join(
+        plain.select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("y")), "query_id"
+    )
+    rows = named.select("x", "y").limit(4 * SAMPLE * k).toArrow()  # bounded by the sample
+    x, y = (np.array([v for v in rows.column(c).to_pylist()], np.float64).reshape(-1, dim) for c in ("x", "y"))
+    if not len(x):
+        return MOST_PROBES
+    a, b = _unit(x, width), _unit(y, width)
+    need = np.full(len(x), np.iinfo(np.int64).max)
+    for number in range(tables):
+        coarse, small = _axes(a, number, fine)
+        bucket = coarse.argmax(1) * 2 * fine + small.argmax(1)
+        for at in range(0, len(b), 64):
+            loss = _losses(b[at : at + 64], number, fine)
+            own = np.take_along_axis(loss, bucket[at : at + 64, None], axis=1)
+            need[at : at + 64] = np.minimum(need[at : at + 64], (loss <= own).sum(1))
+    return int(np.quantile(need, RECALL, method="higher")) + 1
 
 
 def nearest(
-    vectors: DataFrame, is_query, k: int = 5, tables: int = 8, fine: int = 8, probes: int = 160, dim: int | None = None
+    vectors: DataFrame, is_query, k: int = 5, tables: int = 16, fine: int = 32, probes: int | None = None, dim: int | None = None
 ) -> DataFrame:
     """`query_id`, `rank`, `vec_id`, `score`: the `k` nearest found among all other rows for every row with `is_query`.
 
     Vectors (`vec_id`, `embedding`) that are null, zero, of another length than `dim` (the most frequent, if not given) or
     hold null or non-finite components take no part, nor do rows with a null id. Ties go to the smaller id. Rows that share
-    an id are one candidate at its best score, and no row is a candidate of its own id. Queries whose buckets hold fewer than
-    `k` candidates are compared with all rows, so only a table with fewer candidates gives fewer rows; an empty table gives
-    none; other columns are ignored.
+    an id are one candidate at its best score, and no row is a candidate of its own id. Without `probes`, as many as
+    `probes_needed` says. Queries whose buckets hold fewer than `k` candidates are compared with all rows, so only a table with
+    fewer candidates gives fewer rows; an empty table gives none; other columns are ignored.
     """
-    plain = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("embedding"))
+    plain = vectors.select(
+        F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("embedding"),
+        F.coalesce(is_query, F.lit(False)).alias("asks"),
+    ).filter("vec_id is not null")
     if dim is None:
         dim = usual_length(plain)
     if dim <= 0:
         return plain.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     width = max(1 << (dim - 1).bit_length(), fine)
-    index = plain.mapInArrow(_index(dim, width, tables, fine), "number int, axis int, ids binary, subs binary, x binary")
-    queries = plain.filter(is_query).mapInArrow(
-        _probes(dim, width, tables, fine, probes), "number int, axis int, query long, mask binary, y binary"
-    )
+    queries = plain.filter("asks")
+    if probes is None:
+        probes = probes_needed(plain, queries, dim, width, tables, fine, k)
+    index = plain.mapInArrow(_index(dim, width, tables, fine), "number int, axis int, ids binary, subs binary, x binary, x_more binary")
+    asked = queries.mapInArrow(_probes(dim, width, tables, fine, probes), "number int, axis int, query long, mask binary, y binary")
     blocks = (
-        queries.repartition("number", "axis")
+        asked.repartition("number", "axis")
         .sortWithinPartitions("number", "axis")
         .mapInArrow(_blocks, "number int, axis int, queries binary, masks binary, ys binary")
     )
-    found = index.join(blocks, ["number", "axis"]).select("ids", "subs", "x", "queries", "masks", "ys")
-    scored = found.mapInArrow(_scored(dim, fine, k), "query_id long, vec_id long, score double")
-    scored = stored(scored.groupBy("query_id", "vec_id").agg(F.max("score").alias("score")))
-    served = scored.groupBy("query_id").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= k)
-    wanting = plain.filter(is_query).join(served, F.col("vec_id") == F.col("query_id"), "left_anti")
-    rest = _exactly(plain, wanting, dim, fine, k).groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
-    scored = scored.join(served, "query_id", "left_semi").unionByName(rest)
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    ranked = scored.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
-    return ranked.select("query_id", "rank", "vec_id", "score")
+    met = index.join(blocks, ["number", "axis"]).select("ids", "subs", "x", "x_more", "queries", "masks", "ys")
+    found = stored(met.mapInArrow(_scored(dim, fine, k), SCORED))
+    served = found.select("query_id", "vec_id").distinct().groupBy("query_id").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= k)
+    wanting = queries.join(served, F.col("vec_id") == F.col("query_id"), "left_anti")
+    rest = _exactly(plain, wanting, dim, fine, k)
+    return _finished(found.join(served, "query_id", "left_semi").unionByName(rest), plain, dim, k)
 
 
 @query("op10_ann")

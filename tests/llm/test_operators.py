@@ -345,6 +345,29 @@ def test_ann_gives_all_candidates_of_small_tables(spark, n):
     assert len(found) == sum(map(len, best.values()))
 
 
+def test_ann_sketches_bound_the_cosine():
+    rng = np.random.default_rng(2)
+    x = np.concatenate([rng.normal(size=(60, 33)), 1e-8 * rng.normal(size=(5, 33)), np.eye(33)[:3]])
+    x = x / np.linalg.norm(x, axis=1)[:, None]
+    a, b = ann.sketched(x[:30]), ann.sketched(x[20:])
+    low, high = ann._bounds(*a, *b)
+    cosine = x[:30] @ x[20:].T
+    assert (low <= cosine).all() and (high >= cosine).all() and (high - low).max() < 0.1
+    q, v, low, high = np.array([1] * 6 + [2]), np.array([5, 6, 7, 8, 8, 9, 5]), np.array([0.9, 0.8, 0.1, 0.5, 0.7, 0.2, 0.0]), np.array([0.95, 0.85, 0.75, 0.6, 0.72, 0.6, 0.1])
+    assert sorted(zip(q[(k := ann.hopeful(q, v, low, high, 3))].tolist(), v[k].tolist(), strict=True)) == [(1, 5), (1, 6), (1, 7), (1, 8), (2, 5)]
+
+
+def test_ann_work_falls_as_the_table_grows(spark):
+    """The share of buckets that the measured probes ask for, on tables of the same kind."""
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(16_000, 24))
+    shares = []
+    for n in (1000, 16_000):
+        plain = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x[:n])], "vec_id long, embedding array<double>")
+        shares.append(ann.probes_needed(plain, plain.filter("vec_id % 20 = 0"), 24, 32, 16, 32, 5))
+    assert shares[1] < 0.75 * shares[0]
+
+
 def test_ann_with_a_longer_vector_and_repeated_ids(spark):
     rng = np.random.default_rng(3)
     x = rng.normal(size=(200, 64))
