@@ -8,12 +8,12 @@ from cairngraph.operators import graph
 from cairngraph.operators.rollup import affected_files
 from cairngraph.plans.registry import query
 from cairngraph.plans.search_queries import ACTIVE
-from cairngraph.session import cut
+from cairngraph.session import stored
 
 
 def calls(t):
-    """All call edges with the columns the operators read, written once."""
-    return cut(t.call_edges.withColumn("edge_type", F.lit("CALLS")))
+    """All call edges with the columns the operators read, written once in the order of the called."""
+    return stored(t.call_edges.withColumn("edge_type", F.lit("CALLS")), "dst", "src")
 
 
 @query(
@@ -223,7 +223,7 @@ def shortest_path(t):
         F.concat(F.lit("p:"), F.col("a").cast("string")).alias("src"),
         F.concat(F.lit("p:"), F.col("b").cast("string")).alias("dst"),
     )
-    found = graph.shortest_path(cut(t.call_edges), pairs, max_hops=3)
+    found = graph.shortest_path(stored(t.call_edges, "src", "dst"), pairs, max_hops=3)
     return found.withColumn("path", F.array_join("path", ">"))
 
 
@@ -309,7 +309,7 @@ ROUND = """
 )
 def spreading_activation(t):
     seeds = t.nodes.filter(F.contains("content", F.lit("widget")) & (F.col("line") < 10))
-    links = cut(t.edges.filter("edge_type = 'CALLS'"))
+    links = stored(t.edges.filter("edge_type = 'CALLS'"), "src")
     found = graph.spread(
         links, seeds.select("id", F.lit(1.0).alias("level")), hops=2, decay=0.05, threshold=0.02
     )

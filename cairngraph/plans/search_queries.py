@@ -112,6 +112,25 @@ def visible(t):
     return counted[0].unionByName(counted[1]).unionByName(counted[2])
 
 
+@query(
+    "fl05_visible_rows",
+    """select 'brains' as table_name, id as a, owner_id as b from brains where owner_id = 'u:2' or is_public
+        union all
+        select 'fibers', id, brain_id from fibers where brain_id in (select id from brains where owner_id = 'u:2')
+        union all
+        select 'fiber_neurons', fiber_id, neuron_id from fiber_neurons
+        where brain_id in (select id from brains where owner_id = 'u:2')""",
+    "brains fibers fiber_neurons",
+)
+def visible_rows(t):
+    seen = search.visible({"brains": t.brains, "fibers": t.fibers, "fiber_neurons": t.fiber_neurons}, "u:2")
+    parts = [
+        seen[name].select(F.lit(name).alias("table_name"), F.col(a).alias("a"), F.col(b).alias("b"))
+        for name, a, b in (("brains", "id", "owner_id"), ("fibers", "id", "brain_id"), ("fiber_neurons", "fiber_id", "neuron_id"))
+    ]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
 @query(
     "fl06_symbol_search",
     f"""select id, qualified_name, file, line from nodes where {ACTIVE}

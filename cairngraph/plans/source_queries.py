@@ -230,6 +230,19 @@ def load_tables(t):
     return report.join(sizes, "table_name").select("table_name", "ok", "err", "loaded")
 
 
+@query(
+    "src07_loaded_rows",
+    """select brain_id, fiber_id, neuron_id from fiber_neurons where neuron_id <> 'p:0' and neuron_id not like '%7'""",
+    "fiber_neurons",
+)
+def loaded_rows(t):
+    """Rows without a whole key are left out, rows that come twice are one."""
+    key = F.when((F.col("neuron_id") != "p:0") & ~F.col("neuron_id").endswith("7"), F.col("neuron_id"))
+    rows = t.fiber_neurons.withColumn("neuron_id", key)
+    loaded, _ = exchange.load_tables({"fiber_neurons": rows.unionByName(rows)}, {})
+    return loaded["fiber_neurons"].select("brain_id", "fiber_id", "neuron_id")
+
+
 @query(
     "src08_verify_counts",
     """select 'brains' as table_name, a.n as source_rows, a.n as target_rows, 'OK' as status
@@ -297,6 +310,19 @@ def snapshot_copy(t):
     return counted[0].unionByName(counted[1])
 
 
+@query(
+    "src10_copied_rows",
+    """select brain_id, fiber_id, neuron_id from fiber_neurons where brain_id <> 'b:2'
+        union all
+        select 'b:copy', fiber_id, neuron_id from fiber_neurons where brain_id = 'b:1'""",
+    "fiber_neurons",
+)
+def copied_rows(t):
+    tables = {"fiber_neurons": t.fiber_neurons}
+    merged = snapshots.import_brain(tables, snapshots.export_brain(tables, "b:1"), "b:copy")
+    return snapshots.clear_brain(merged, "b:2")["fiber_neurons"].select("brain_id", "fiber_id", "neuron_id")
+
+
 BRAIN = "concat('b:', cast(cast(substring(id, 3) as bigint) % 3 as string))"
 MERGED = f"""
     l as (select {BRAIN} as brain_id, * from snap_local),

@@ -388,6 +388,29 @@ def cascade_delete(t):
     return result
 
 
+@query(
+    "dm07_cascade_of_nodes",
+    """select 'neurons' as table_name, brain_id, id as a, '' as b from neurons where access_frequency >= 25
+        union all
+        select 'fiber_neurons', f.brain_id, f.fiber_id, f.neuron_id from fiber_neurons f
+        where not exists (select 1 from neurons n where n.brain_id = f.brain_id and n.id = f.neuron_id
+          and n.access_frequency < 25)
+        union all
+        select 'fibers', brain_id, id, '' from fibers""",
+    "fibers fiber_neurons neurons",
+)
+def cascade_of_nodes(t):
+    """The rows themselves, after removing some nodes of every tenant."""
+    store = {"fibers": t.fibers, "fiber_neurons": t.fiber_neurons, "neurons": t.neurons}
+    left = lifecycle.cascade_delete(store, "neurons", t.neurons.filter("access_frequency < 25"))
+    parts = [
+        left["neurons"].select(F.lit("neurons").alias("table_name"), "brain_id", F.col("id").alias("a"), F.lit("").alias("b")),
+        left["fiber_neurons"].select(F.lit("fiber_neurons"), "brain_id", "fiber_id", "neuron_id"),
+        left["fibers"].select(F.lit("fibers"), "brain_id", "id", F.lit("")),
+    ]
+    return parts[0].union(parts[1]).union(parts[2])
+
+
 @query(
     "dm08_repair",
     f"""select id, brain_id, strftime(case when {FLOOR} or last_conducted < created_at

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import sys
 import tempfile
+import uuid
 
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
@@ -59,6 +60,18 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def stored(df: DataFrame, *order: str) -> DataFrame:
+    """Write `df` to the shared folder as Parquet, in the order of the columns named, and read it again.
+
+    For tables that are read many times by a key: a reader's filters go to the files and skip row groups by their least
+    and greatest key, only asked columns are read, and joins know the size.
+    """
+    path = f"{shared_dir(df.sparkSession)}/stored-{uuid.uuid4().hex}"
+    placed = df.repartitionByRange(*order).sortWithinPartitions(*order) if order else df
+    placed.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def ship_with_tasks(module: str) -> None:
     """Send this module's functions to the Python workers with the task itself.
 

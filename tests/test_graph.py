@@ -271,3 +271,17 @@ def test_fiber_lists_round_trip(spark, rows, segment):
     collected = graph.collect_fibers(junction, segment)
     assert rows(graph.explode_fibers(collected)) == sorted(items, key=repr)
     assert collected.agg(F.max(F.size("neuron_ids"))).head()[0] <= segment
+
+
+def test_level_filters_reach_the_files(spark):
+    """Few frontier ids are a filter of the scan of a stored edge table, and only asked columns are read."""
+    from cairngraph.session import stored
+
+    _, edges = random_graph(3)
+    kept = stored(spark.createDataFrame(edges, EDGES), "dst", "src")
+    links = kept.select(F.col("dst").alias("id"), F.col("src").alias("caller"))
+    frontier = spark.createDataFrame([("n1",), ("n2",)], "id string")
+    met = graph.step_from(links, frontier, "id")
+    plan = met._jdf.queryExecution().toString()
+    assert "In(dst, [n1,n2])" in plan.replace("n2,n1", "n1,n2") and "weight" not in plan.split("ReadSchema")[-1].split("\n")[0]
+    assert {(r["id"], r["caller"]) for r in met.collect()} == {(b, a) for a, b, *_ in edges if b in ("n1", "n2")}
