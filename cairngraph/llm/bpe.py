@@ -25,6 +25,7 @@ from cairngraph.llm.common import texts
 from cairngraph.llm.registry import query, table
 
 CACHE_WORDS = 300_000
+CACHE_LETTERS = 64  # longer words and pieces are encoded each time, so the caches are bounded in bytes
 BASE = -1
 
 
@@ -151,9 +152,11 @@ class WordTokenizer:
     def _word(self, word: str) -> bytes:
         ids = self.known_words.get(word)
         if ids is None:
-            if len(self.known_words) > CACHE_WORDS:
-                self.known_words.clear()
-            ids = self.known_words[word] = array("I", self.encode_word(word)).tobytes()
+            ids = array("I", self.encode_word(word)).tobytes()
+            if len(word) <= CACHE_LETTERS:
+                if len(self.known_words) > CACHE_WORDS:
+                    self.known_words.clear()
+                self.known_words[word] = ids
         return ids
 
     def _encode_plain(self, text: str) -> bytes:
@@ -166,10 +169,12 @@ class WordTokenizer:
         for piece in pieces:
             ids = known.get(piece)
             if ids is None:
-                if len(known) > CACHE_WORDS:
-                    known.clear()
                 split = self.latin(piece) if not self.beyond(piece) else [w for w, _ in self.split(piece)]
-                ids = known[piece] = b"".join([self._word(w) for w in split])
+                ids = b"".join([self._word(w) for w in split])
+                if len(piece) <= CACHE_LETTERS:
+                    if len(known) > CACHE_WORDS:
+                        known.clear()
+                    known[piece] = ids
             out.append(ids)
         return b"".join(out)
 
