@@ -66,9 +66,11 @@ class Encoder:
         from public_tokenizers import PATTERN
         from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_file(path)
-        ranks = byte_tokens(self.tokenizer)
-        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        tokenizer = Tokenizer.from_file(path)
+        self.path, self.tokenizer = path, None  # the library's own object is large and seldom needed
+        ranks = byte_tokens(tokenizer)
+        self.special = [t.content for t in tokenizer.get_added_tokens_decoder().values()]
+        self.ends, self.opens = sentence_ends(tokenizer)
         self.any = tiktoken.Encoding("any", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
         single = PATTERN.replace(r"|\s+(?!\S)", "")
         self.single = tiktoken.Encoding("one", pat_str=single, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
@@ -76,6 +78,10 @@ class Encoder:
     def encode(self, text: str) -> bytes:
         """Little-endian 32-bit ids."""
         if any(s in text for s in self.special):
+            if self.tokenizer is None:
+                from tokenizers import Tokenizer
+
+                self.tokenizer = Tokenizer.from_file(self.path)
             ids = self.tokenizer.encode(text, add_special_tokens=False).ids
         elif self._pair.search(text):
             ids = self.any(text)
@@ -84,11 +90,8 @@ class Encoder:
         return array("I", ids).tobytes()
 
 
-def sentence_ends(path: str) -> tuple[np.ndarray, np.ndarray]:
+def sentence_ends(tokenizer) -> tuple[np.ndarray, np.ndarray]:
     """By token id: whether its text ends a sentence, and whether it begins with white space."""
-    from tokenizers import Tokenizer
-
-    tokenizer = Tokenizer.from_file(path)
     n = max(tokenizer.get_vocab().values()) + 1
     texts = [tokenizer.decode([i], skip_special_tokens=False) for i in range(n)]
     ends = np.array([t.rstrip()[-1:] in (".", "!", "?") or t.endswith("\n") for t in texts])
@@ -160,7 +163,7 @@ def _packed(path: str, id_end: int, size: int, sentence: float, inside: float, s
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(path)
-        ends, opens = sentence_ends(path)
+        ends, opens = encoder.ends, encoder.opens
         table_size = max(len(ends), id_end + 1)
         ends = np.append(ends, np.zeros(table_size - len(ends), bool))
         opens = np.append(opens, np.ones(table_size - len(opens), bool))
