@@ -5,7 +5,7 @@ signed axis, refined by the nearest signed axis of the first few coordinates of
 indexed in `tables` such tables. A query probes in each table the `probes` buckets with the least loss against its own; how many that
 takes is measured on a bounded sample of queries against all rows, so the share of rows that is looked at falls as the table grows.
 
-Index and queries travel as 8-bit sketches in blocks: a row holds all vectors of one map task and table that fall on one axis, so a
+Index and queries travel as 16-bit sketches in blocks: a row holds all vectors of one map task and table that fall on one axis, so a
 hot bucket is few rows, which an adaptive join splits. Each task scores blocks of candidates against blocks of queries and hands on
 those that could be among the best, by bounds that hold whatever the rounding; their vectors are fetched once, and
 the final scores are computed in double precision from them, summed in one fixed order.
@@ -74,18 +74,18 @@ def _unit(x: np.ndarray, width: int) -> np.ndarray:
 
 
 def sketched(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """8-bit components of unit vectors, and their scale and greatest error as pairs of 32-bit numbers."""
-    scale = (np.abs(x).max(1) / 127).astype(np.float32)
+    """16-bit components of unit vectors, and their scale and greatest error as pairs of 32-bit numbers."""
+    scale = (np.abs(x).max(1) / 32_000).astype(np.float32)
     scale = np.where(scale > 0, scale, np.float32(1e-30))
-    code = np.clip(np.rint(x / scale[:, None].astype(np.float64)), -127, 127).astype(np.int8)
+    code = np.clip(np.rint(x / scale[:, None].astype(np.float64)), -32_767, 32_767).astype("<i2")
     error = np.sqrt(((code * scale[:, None].astype(np.float64) - x) ** 2).sum(1)) * (1 + 1e-6) + 1e-9
     return code, np.stack([scale, np.nextafter(error.astype(np.float32), np.float32(2))], 1)
 
 
 def _bounds(a: np.ndarray, a_more: np.ndarray, b: np.ndarray, b_more: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Least and greatest cosine of all pairs of sketched vectors."""
-    dot = (a.astype(np.float32) @ b.astype(np.float32).T).astype(np.float64)  # whole numbers below 2^24: exact
-    dot *= a_more[:, 0].astype(np.float64)[:, None] * b_more[:, 0].astype(np.float64)[None, :]
+    one, other = (x * more[:, :1].astype(np.float64) for x, more in ((a, a_more), (b, b_more)))
+    dot = one @ other.T
     e, f = a_more[:, 1].astype(np.float64)[:, None], b_more[:, 1].astype(np.float64)[None, :]
     room = e * (1 + f) + f * (1 + e) + e * f + 1e-9
     return dot - room, dot + room
@@ -227,9 +227,9 @@ def _scored(dim: int, fine: int, k: int):
             columns = ("ids", "subs", "x", "x_more", "queries", "masks", "ys")
             for ids, subs, x, x_more, queries, masks, ys in zip(*(batch.column(c).to_pylist() for c in columns), strict=True):
                 ids, subs = np.frombuffer(ids, np.int64), np.frombuffer(subs, np.uint8)
-                x, x_more = np.frombuffer(x, np.int8).reshape(-1, dim), np.frombuffer(x_more, "<f4").reshape(-1, 2)
-                y = np.frombuffer(ys, np.uint8).reshape(-1, dim + 8)
-                y, y_more = y[:, :dim].view(np.int8), np.ascontiguousarray(y[:, dim:]).view("<f4")
+                x, x_more = np.frombuffer(x, "<i2").reshape(-1, dim), np.frombuffer(x_more, "<f4").reshape(-1, 2)
+                y = np.frombuffer(ys, np.uint8).reshape(-1, 2 * dim + 8)
+                y, y_more = (np.ascontiguousarray(part).view(kind) for part, kind in ((y[:, : 2 * dim], "<i2"), (y[:, 2 * dim :], "<f4")))
                 q = np.frombuffer(queries, np.int64)
                 bits = np.unpackbits(np.frombuffer(masks, np.uint8).reshape(len(q), -1), axis=1, bitorder="little")
                 probed = bits[:, : 2 * fine][:, subs].astype(bool) & (ids[None, :] != q[:, None])
@@ -429,7 +429,7 @@ def nearest(
     served = found.select("query_id", "vec_id").distinct().groupBy("query_id").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= k)
     wanting = queries.join(served, F.col("vec_id") == F.col("query_id"), "left_anti")
     rest = _exactly(plain, wanting, dim, fine, k)
-    return _finished(found.join(served, "query_id", "left_semi").unionByName(rest), plain, dim, k)
+    return _finished(found.unionByName(rest), plain, dim, k)
 
 
 @query("op10_ann")
