@@ -72,6 +72,15 @@ def with_position(df: DataFrame, keys: Sequence[str], position: str = "position"
     )
 
 
+def grown(df: DataFrame) -> DataFrame:
+    """`df` as a side of a join in which both sides grow with the input: both are shuffled, none is broadcast.
+
+    What Spark estimates of derived rows (exploded, parsed, read from few bytes) can be a hundredth of their size, and a
+    broadcast passes the driver whole.
+    """
+    return df.hint("merge")
+
+
 def count_rows(df: DataFrame, name: str = "rows") -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias(name))
 

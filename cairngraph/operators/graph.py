@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cairngraph.functions.scalars import risk
-from cairngraph.operators.common import first_by, top_n, union_all, with_position
+from cairngraph.operators.common import first_by, grown, top_n, union_all, with_position
 from cairngraph.operators.search import SYMBOL_ORDER, active_symbols, code_edges, in_project
 from cairngraph.session import cut
 
@@ -432,8 +432,8 @@ def valid_edges(edges: DataFrame, nodes: DataFrame) -> DataFrame:
     """Edges whose two ends exist, in the edge's tenant if nodes and edges have one."""
     tenant = tenant_of(nodes, edges)
     ids = nodes.select("id", *tenant)
-    kept = edges.join(ids.withColumnRenamed("id", "src"), ["src", *tenant], "left_semi")
-    kept = kept.join(ids.withColumnRenamed("id", "dst"), ["dst", *tenant], "left_semi")
+    kept = edges.join(grown(ids.withColumnRenamed("id", "src")), ["src", *tenant], "left_semi")
+    kept = kept.join(grown(ids.withColumnRenamed("id", "dst")), ["dst", *tenant], "left_semi")
     return kept.select(*edges.columns)
 
 

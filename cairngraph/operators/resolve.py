@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cairngraph.functions import scalars as S
-from cairngraph.operators.common import first_by, union_all
+from cairngraph.operators.common import first_by, grown, union_all
 from cairngraph.schemas import SYMBOLS
 
 # The order in which suffixes are tried for an import without one.
@@ -68,12 +68,12 @@ def _first_existing(specs: DataFrame, files: DataFrame, imports: DataFrame) -> D
         "project", "folder", "module_spec", F.posexplode("candidates").alias("priority", "path")
     )
     found = (
-        candidates.join(files.select("project", "path").distinct(), ["project", "path"])
+        candidates.join(grown(files.select("project", "path").distinct()), ["project", "path"])
         .groupBy("project", "folder", "module_spec")
         .agg(F.min_by("path", "priority").alias("target_file"))
     )
     keyed = imports.withColumn("folder", _import_folder())
-    joined = keyed.join(found, ["project", "folder", "module_spec"], "left")
+    joined = keyed.join(grown(found), ["project", "folder", "module_spec"], "left")
     supported = S.support_of(S.extension_of("target_file")) == "supported"
     return joined.select(
         *imports.columns, F.when(supported, F.col("target_file")).alias("target_file")
@@ -156,8 +156,8 @@ def import_edges(resolved: DataFrame, modules: DataFrame) -> DataFrame:
         resolved.filter(F.col("target_file").isNotNull())
         .groupBy("project", "file", "target_file")
         .agg(F.min_by(F.struct("line", "ord"), "ord").alias("first"))
-        .join(source, ["project", "file"])
-        .join(target, ["project", "target_file"])
+        .join(grown(source), ["project", "file"])
+        .join(grown(target), ["project", "target_file"])
         .select(
             "project", "file", "first.ord", "source_sid", "target_sid",
             F.lit("IMPORTS").alias("type"), "first.line",
@@ -183,13 +183,13 @@ def import_bindings(resolved: DataFrame, symbols: DataFrame) -> DataFrame:
         .agg(F.min_by("symbol_id", "ord").alias("target_sid"))
     )
     by_name = bound.filter(F.col("form") == "from").join(
-        names, ["project", "target_file", "imported_name"]
+        grown(names), ["project", "target_file", "imported_name"]
     )
     modules = symbols.filter(F.col("kind") == "module").select(
         "project", F.col("file").alias("target_file"), F.col("symbol_id").alias("target_sid")
     )
     whole = bound.filter(F.col("form").isin("module", "namespace")).join(
-        modules, ["project", "target_file"]
+        grown(modules), ["project", "target_file"]
     )
     columns = ["project", "file", "binding_name", "ord", "target_sid"]
     return (
@@ -232,7 +232,7 @@ def contains_edges(symbols: DataFrame) -> DataFrame:
     )
     return (
         members.withColumn("parent", F.coalesce("parent", F.lit("")))
-        .join(parents, ["project", "file", "parent"])
+        .join(grown(parents), ["project", "file", "parent"])
         .select(
             "project", "file", "ord", "source_sid", F.col("symbol_id").alias("target_sid"),
             F.lit("CONTAINS").alias("type"), "line",
@@ -317,12 +317,12 @@ def resolve_names(refs: DataFrame, symbols: DataFrame, bindings: DataFrame) -> D
     distinct = refs.filter(F.col("raw_name") != "").select(*keys).distinct()
     tried = distinct.select(*keys, F.explode(_candidates()).alias("c")).select(*keys, "c.*")
     hits = (
-        tried.join(_lookups(symbols, bindings), ["project", "file", "space", "key"])
+        tried.join(grown(_lookups(symbols, bindings)), ["project", "file", "space", "key"])
         .withColumn("rule", F.coalesce("simple_rule", "rule"))
         .groupBy(*keys)
         .agg(F.min(F.struct("rule", "target_sid")).alias("hit"))
     )
-    resolved = refs.join(hits, keys, "left")
+    resolved = refs.join(grown(hits), keys, "left")
     return resolved.select(*refs.columns, "hit.target_sid", "hit.rule")
 
 
@@ -354,7 +354,7 @@ def reference_edges(refs: DataFrame, symbols: DataFrame, bindings: DataFrame) ->
         {"qualified_name": "src_qname", "symbol_id": "source_sid"}
     )
     return (
-        found.join(sources, ["project", "file", "src_qname"])
+        found.join(grown(sources), ["project", "file", "src_qname"])
         .filter((F.col("type") != "CALLS") | (F.col("source_sid") != F.col("target_sid")))
         .groupBy("project", "file", "source_sid", "target_sid", "type")
         .agg(F.min("first").alias("first"))

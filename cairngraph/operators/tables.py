@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cairngraph.operators.common import first_by
+from cairngraph.operators.common import first_by, grown
 
 MERGE_STRATEGIES = ("prefer_local", "prefer_remote", "prefer_recent", "prefer_stronger")
 
@@ -37,7 +37,7 @@ def insert_ignore(
     """
     key = list(key)
     fresh = first_by(new, key, order or sortable(new, key))
-    fresh = fresh.join(old.select(*key), key, "left_anti")
+    fresh = fresh.join(grown(old.select(*key)), key, "left_anti")
     return old.unionByName(fresh.select(*new.columns), allowMissingColumns=True)
 
 
@@ -50,7 +50,7 @@ def upsert(
     """Rows of `new` replace rows of `old` with the same key, all others are added."""
     key = list(key)
     fresh = first_by(new, key, order or sortable(new, key))
-    kept = old.join(fresh.select(*key), key, "left_anti").select(*old.columns)
+    kept = old.join(grown(fresh.select(*key)), key, "left_anti").select(*old.columns)
     return kept.unionByName(fresh.select(*new.columns), allowMissingColumns=True)
 
 

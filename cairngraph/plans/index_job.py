@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from cairngraph.functions import scalars as S
 from cairngraph.operators import facts as facts_ops
 from cairngraph.operators import lifecycle, resolve
+from cairngraph.operators.common import grown
 from cairngraph.operators.graph import valid_edges
 from cairngraph.operators.rollup import index_reports
 from cairngraph.operators.tables import upsert
@@ -118,11 +119,11 @@ def _run(tables, files, wanted, now, exts, max_files, extra, write) -> tuple[Tab
     fresh_edges = write("edges", valid_edges(lifecycle.symbol_edges(edges, generation), fresh_nodes))
     stored = dict(tables)
     stored["nodes"] = upsert(tables["nodes"], fresh_nodes, ["id"])
-    stored["edges"] = tables["edges"].join(fresh_edges.select("id"), "id", "left_anti").unionByName(fresh_edges)
+    stored["edges"] = tables["edges"].join(grown(fresh_edges.select("id")), "id", "left_anti").unionByName(fresh_edges)
     n = F.count(F.lit(1))
     by_symbol = symbols.groupBy("project").agg(F.count_distinct("symbol_id").alias("symbols"), n.alias("__all"))
     # counted on the facts, whatever becomes of the tables
-    ids = symbols.select("symbol_id").distinct()
+    ids = grown(symbols.select("symbol_id").distinct())
     whole = edges.join(ids.withColumnRenamed("symbol_id", "source_sid"), "source_sid", "left_semi")
     whole = whole.join(ids.withColumnRenamed("symbol_id", "target_sid"), "target_sid", "left_semi")
     by_edge = whole.groupBy("project").agg(n.alias("edges"))

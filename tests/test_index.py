@@ -8,7 +8,7 @@ from cairngraph.operators import graph, lifecycle, resolve
 from cairngraph.operators.facts import file_facts
 from cairngraph.operators.search import search
 from cairngraph.plans.index_job import IndexRunFailed, generation_key, index_project, index_projects
-from cairngraph.schemas import FILES
+from cairngraph.schemas import FILES, SYMBOLS
 from cairngraph.session import cut
 
 PROJECT = "/proj"
@@ -429,3 +429,19 @@ def test_generation_lifecycle(spark, rows):
         g2: ("active", None),
         g3: ("failed", "boom"),
     }
+
+
+def test_joins_of_growing_sides_broadcast_none(spark, capsys):
+    """Of tables that look small both sides are shuffled: a broadcast would pass the driver whole."""
+    from cairngraph.operators.graph import valid_edges
+
+    symbols = spark.createDataFrame([("/p", "f.py", 1, "a", "a", "function", 1, "python", "()", "s1")], SYMBOLS)
+    refs = spark.createDataFrame([("/p", "f.py", ["a"], "a")], "project string, file string, containers array<string>, raw_name string")
+    bound = spark.createDataFrame([("/p", "f.py", "a", "s1")], "project string, file string, binding_name string, target_sid string")
+    found = resolve.resolve_names(refs, symbols, bound)
+    edges = valid_edges(spark.createDataFrame([("x", "y")], "src string, dst string"), spark.createDataFrame([("x",), ("y",)], "id string"))
+    assert found.count() == 1 and edges.count() == 1
+    for frame in (found, edges):
+        frame.explain()
+        plan = capsys.readouterr().out
+        assert "SortMergeJoin" in plan and "Broadcast" not in plan
