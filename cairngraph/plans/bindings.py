@@ -10,6 +10,7 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 
+from cairngraph.operators.common import grown
 from cairngraph.session import cut
 
 BASE_TABLES = (
@@ -17,6 +18,9 @@ BASE_TABLES = (
     "benchmark labels conversations"
 ).split()
 
+# Tables of one size at every scale.
+FIXED_TABLES = ("region", "nation")
+
 BINDINGS = {
     "nodes": """
         select concat('p:', cast(p_partkey as string)) as id,
@@ -348,7 +352,10 @@ class Tables:
 
     def sql(self, text: str) -> DataFrame:
         names = set(_NAME.findall(text))
-        return self.spark.sql(text, **{name: getattr(self, name) for name in names})
+        frames = {name: getattr(self, name) for name in names}
+        if " join " in text.lower():
+            frames = {name: grown(frame) if name not in FIXED_TABLES else frame for name, frame in frames.items()}
+        return self.spark.sql(text, **frames)
 
     def stored(self, name: str) -> DataFrame:
         """A binding written once, for jobs that scan it repeatedly."""
