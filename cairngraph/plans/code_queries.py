@@ -294,7 +294,7 @@ def call_edges(t):
     "edges",
 )
 def dedupe_edges(t):
-    once = t.edges.select(
+    once = t.stored("edges").select(
         F.lit("/proj").alias("project"), F.lit("f").alias("file"), F.col("src").alias("source_sid"),
         F.col("dst").alias("target_sid"), F.col("edge_type").alias("type"), "line",
         F.col("line").alias("ord"),

@@ -1,5 +1,6 @@
 """Plans that keep their cost a row when tables grow, on rows written here."""
 
+from cairngraph.plans import code_queries
 from cairngraph.plans.bindings import Tables
 
 
@@ -21,3 +22,11 @@ def test_bindings_broadcast_no_growing_table(spark, tmp_path, capsys):
     edges.explain()
     plan = capsys.readouterr().out
     assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
+def test_dedupe_reads_its_edges_from_one_scan(spark, tmp_path, capsys):
+    t = _parts_and_lines(spark, tmp_path)
+    kept = code_queries.dedupe_edges(t)
+    assert kept.count() == t.edges.count() == 4
+    kept.explain()
+    assert "parquet" not in capsys.readouterr().out
