@@ -205,8 +205,13 @@ def inverted_index(t):
 def posting_blocks(t):
     # ranges of 64 documents, so that frequent words have many blocks; lists are compared id by id
     blocks = search.posting_blocks(t.documents, "doc_id", "text", span=64)
-    places = F.transform("deltas", lambda x, i: F.aggregate(F.slice("deltas", F.lit(1), i + 1), F.col("first_id"), lambda a, d: a + d))
-    ids = F.array_join(F.transform(places, lambda x: x.cast("string")), ",")
+    start = F.struct(F.col("first_id").alias("at"), F.lit("").alias("ids"))
+
+    def step(state, delta):
+        at = state["at"] + delta
+        return F.struct(at.alias("at"), F.concat(state["ids"], F.lit(","), at.cast("string")).alias("ids"))
+
+    ids = F.aggregate("deltas", start, step, lambda state: F.substr(state["ids"], F.lit(2)))
     return blocks.select("token", "block_no", ids.alias("ids"), "first_id", "last_id", "n")
 
 

@@ -1,6 +1,6 @@
 """Plans that keep their cost a row when tables grow, on rows written here."""
 
-from cairngraph.plans import code_queries
+from cairngraph.plans import code_queries, search_queries
 from cairngraph.plans.bindings import Tables
 
 
@@ -30,3 +30,15 @@ def test_dedupe_reads_its_edges_from_one_scan(spark, tmp_path, capsys):
     assert kept.count() == t.edges.count() == 4
     kept.explain()
     assert "parquet" not in capsys.readouterr().out
+
+
+def test_posting_lists_add_up_once(spark, tmp_path, capsys):
+    """A list of n documents takes n additions, not n * n."""
+    rows = [(i, "one two" if i % 2 else "one") for i in range(130)] + [(5, "one two"), (None, "one"), (200, None)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    found = search_queries.posting_blocks(Tables(spark, str(tmp_path)))
+    got = {(r.token, r.block_no): (r.ids, r.n) for r in found.collect()}
+    want = {("one", b): list(range(64 * b, min(130, 64 * b + 64))) for b in range(3)} | {("two", b): [i for i in range(64 * b, min(130, 64 * b + 64)) if i % 2] for b in range(3)}
+    assert got == {k: (",".join(map(str, v)), len(v)) for k, v in want.items()}
+    found.explain()
+    assert "slice(" not in capsys.readouterr().out
