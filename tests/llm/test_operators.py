@@ -6,6 +6,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -607,3 +608,16 @@ def test_quality_rules_adapt(spark):
     assert all(found[i].kept for i in range(120))
     assert found[200].failed and "symbols_per_word" in found[200].failed and "word_length" in found[201].failed
     assert found[202].base_failed and not found[202].kept
+
+
+def test_vocabulary_counts_every_word(spark, monkeypatch):
+    """A word that is rare in every block of a task but frequent in all of them has a number, and the others are counted."""
+    from cairngraph.llm import text
+
+    monkeypatch.setattr(perplexity, "HELD", 400)
+    monkeypatch.setattr(perplexity, "BLOCK_BYTES", 100)
+    name = lambda i: "".join(chr(97 + int(c)) for c in f"{i:06d}")
+    docs = [(d, " ".join(["steady", *[name(200 * d + k) for k in range(200)] * 2])) for d in range(40)]
+    v = perplexity.vocabulary(spark.createDataFrame(docs, "doc_id long, text string").coalesce(1))
+    assert len(v.hashes) == perplexity.SIZE - 2 and v.unknown == 8001 - len(v.hashes)
+    assert text.words(pa.array(["steady"]), True, True).hash[0] in v.hashes
