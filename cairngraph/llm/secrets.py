@@ -5,8 +5,8 @@ share of their letters that form dictionary words, marks of paths and addresses,
 forest is trained on labelled findings: those given, or, where there are none, those that plain rules decide (an assignment to a
 name such as "token", a provider's prefix; numbers, addresses, paths, single words). It then scores every candidate.
 
-The dictionary holds the words next to candidates in at least two documents, so it grows with the input and is joined, not
-shipped. Texts are searched once; only candidates are shuffled.
+The dictionary holds the words of all texts that stand in at least two documents, so it grows with the input and is joined,
+not shipped. Texts are read for the candidates and for the dictionary; candidates and words are shuffled.
 """
 
 from __future__ import annotations
@@ -91,13 +91,21 @@ def candidates(docs: DataFrame) -> DataFrame:
     return made.filter(F.col("value").rlike(CANDIDATE) | F.coalesce(assigned, F.lit(False)))
 
 
-def features(found: DataFrame) -> DataFrame:
-    """The candidates with a number for every feature, and what plain rules say (`rule`: 1, 0 or null)."""
+def dictionary(docs: DataFrame) -> DataFrame:
+    """The distinct `word`s, lower-cased tokens of three letters or more, that stand in at least two documents of `docs`."""
+    tokens = F.transform(F.split("text", DELIMITER), lambda t: F.trim(t, F.lit(SIGNS)))
+    kept = F.array_distinct(F.transform(F.filter(tokens, lambda t: t.rlike("^[A-Za-z]{3,}$")), lambda t: F.lower(t)))
+    words = docs.select(*texts(docs)).select("doc_id", F.explode(kept).alias("word"))
+    return words.groupBy("word").agg(F.min("doc_id").alias("x"), F.max("doc_id").alias("y")).filter("x < y").select("word")
+
+
+def features(found: DataFrame, words: DataFrame) -> DataFrame:
+    """The candidates with a number for every feature, and what plain rules say (`rule`: 1, 0 or null).
+
+    `words` is the `dictionary` of their documents.
+    """
     runs = F.array_distinct(F.regexp_extract_all(F.lower("value"), F.lit("([a-z]{3,})"), F.lit(1)))
     keyed = stored(found.withColumn("id", F.xxhash64("doc_id", "text_key", "start", "value")))
-    near = F.explode(F.array_distinct(F.transform(F.concat("before", "after"), lambda w: F.lower(w))))
-    words = keyed.select("doc_id", near.alias("word")).filter(F.col("word").rlike("^[a-z]{3,}$"))
-    words = words.groupBy("word").agg(F.min("doc_id").alias("x"), F.max("doc_id").alias("y")).filter("x < y").select("word")
     covered = keyed.select("id", F.explode(runs).alias("word")).distinct().join(words, "word")
     covered = covered.groupBy("id").agg(F.sum(F.length("word")).alias("letters"))
     value = F.col("value")
@@ -146,7 +154,7 @@ def scan(docs: DataFrame, labelled: DataFrame | None = None) -> DataFrame:
     from pyspark.ml.feature import VectorAssembler
     from pyspark.ml.functions import vector_to_array
 
-    made = cut(features(candidates(docs)))
+    made = cut(features(candidates(docs), dictionary(docs)))
     label = F.col("rule")
     known = made
     if labelled is not None:

@@ -621,3 +621,14 @@ def test_vocabulary_counts_every_word(spark, monkeypatch):
     v = perplexity.vocabulary(spark.createDataFrame(docs, "doc_id long, text string").coalesce(1))
     assert len(v.hashes) == perplexity.SIZE - 2 and v.unknown == 8001 - len(v.hashes)
     assert text.words(pa.array(["steady"]), True, True).hash[0] in v.hashes
+
+
+def test_secrets_dictionary_is_that_of_all_texts(spark):
+    """Words count wherever they stand, also in documents without any candidate."""
+    rows = [(1, "a lantern, here"), (2, "Lantern! only"), (3, "id=lanternonly99887766 end"), (4, None), (None, "here")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    words = secrets.dictionary(docs)
+    assert [r.word for r in words.collect()] == ["lantern"]
+    docs = docs.union(spark.createDataFrame([(5, "x lanternonly y"), (6, "lanternonly")], docs.schema))
+    made = secrets.features(secrets.candidates(docs), secrets.dictionary(docs)).collect()
+    assert [(r.value, r.dictionary) for r in made] == [("lanternonly99887766", 11 / 19)]
