@@ -64,8 +64,9 @@ def _first_existing(specs: DataFrame, files: DataFrame, imports: DataFrame) -> D
     `specs`: (project, folder, module_spec, candidates), distinct, so that a module imported
     everywhere is looked up once per folder and not once per import.
     """
+    # Outer: a filter on the candidates would be moved before the distinct and work them out for every import.
     candidates = specs.select(
-        "project", "folder", "module_spec", F.posexplode("candidates").alias("priority", "path")
+        "project", "folder", "module_spec", F.posexplode_outer("candidates").alias("priority", "path")
     )
     found = (
         candidates.join(grown(files.select("project", "path").distinct()), ["project", "path"])
@@ -107,7 +108,7 @@ def resolve_python_modules(imports: DataFrame, files: DataFrame) -> DataFrame:
     # Climbing past the project root finds nothing.
     inside = (climb <= F.size(start)) & (F.trim("module_spec") != "")
     return _first_existing(
-        specs.filter(inside).withColumn("candidates", paths), files, imports
+        specs.withColumn("candidates", F.when(inside, paths)), files, imports
     )
 
 
@@ -133,7 +134,7 @@ def resolve_js_modules(imports: DataFrame, files: DataFrame) -> DataFrame:
     )
     inside = F.col("module_spec").startswith(".") & (depth["lowest"] >= 0)
     return _first_existing(
-        specs.filter(inside).withColumn("candidates", paths), files, imports
+        specs.withColumn("candidates", F.when(inside, paths)), files, imports
     )
 
 
@@ -242,12 +243,15 @@ def contains_edges(symbols: DataFrame) -> DataFrame:
 
 # --- the name-resolution cascade ------------------------------------------------------------
 
+# What tells references apart for the cascade; the most telling first, since sorts compare in this order.
+NAME = ["raw_name", "containers", "file", "project"]
+
 
 def _lookups(symbols: DataFrame, bindings: DataFrame) -> DataFrame:
-    """(project, file, space, key, target_sid): one target per key in each name space.
+    """(project, file, key, imported, qualified, simple): what each key of a file leads to.
 
-    binding: imported names; qualified: full names; simple: names that only one symbol of the file
-    has, or only one symbol at top level.
+    imported: the target of an imported name; qualified: that of a full name; simple: rule and target
+    of a name that only one symbol of the file has, or only one symbol at top level.
     """
     top = ~F.contains("qualified_name", F.lit("."))
     simple = (
@@ -260,30 +264,45 @@ def _lookups(symbols: DataFrame, bindings: DataFrame) -> DataFrame:
         )
         .filter((F.col("n") == 1) | (F.col("n_top") == 1))
         .select(
-            "project", "file", F.lit("simple").alias("space"), F.col("name").alias("key"),
-            F.when(F.col("n") == 1, F.col("only")).otherwise(F.col("only_top")).alias("target_sid"),
-            F.when(F.col("n") == 1, F.lit(6)).otherwise(F.lit(7)).alias("simple_rule"),
+            "project", "file", F.col("name").alias("key"),
+            F.struct(
+                F.when(F.col("n") == 1, F.lit(6)).otherwise(F.lit(7)).alias("rule"),
+                F.when(F.col("n") == 1, F.col("only")).otherwise(F.col("only_top")).alias("target_sid"),
+            ).alias("simple"),
         )
     )
     qualified = _by_qualified(symbols).select(
-        "project", "file", F.lit("qualified").alias("space"), F.col("qualified_name").alias("key"),
-        F.col("symbol_id").alias("target_sid"),
+        "project", "file", F.col("qualified_name").alias("key"),
+        F.struct(F.col("symbol_id").alias("target_sid")).alias("qualified"),
     )
     imported = bindings.select(
-        "project", "file", F.lit("binding").alias("space"), F.col("binding_name").alias("key"),
-        "target_sid",
+        "project", "file", F.col("binding_name").alias("key"),
+        F.struct("target_sid").alias("imported"),
     )
-    return union_all([simple, qualified, imported])
+    spaces = ["imported", "qualified", "simple"]
+    return (
+        union_all([simple, qualified, imported])
+        .withColumn("at", _place())
+        .groupBy("at", "project", "file", "key")
+        .agg(*[F.max(space).alias(space) for space in spaces])
+    )
+
+
+def _place() -> Column:
+    """A number in front of the join keys: sorts compare it instead of names that begin alike."""
+    return F.xxhash64("project", "file", "key")
 
 
 def _candidates() -> Column:
-    """The cascade as an ordered list of (rule, name space, key) for one reference.
+    """The cascade as the keys to look up for one reference, null for those it does not try.
 
-    A key that an earlier rule has tried in the same name space is left out.
+    A key is looked up once for all name spaces: `imported` and `simple` tell whether it is tried as an
+    imported (rule 1) or simple name (rules 6 and 7), `rule` is its rule as a qualified name. A key that
+    an earlier rule has tried in the same name space is left out.
     """
     raw, containers = F.col("raw_name"), F.col("containers")
     depth = F.size(containers)
-    nested = depth > 0
+    nested = F.coalesce(depth > 0, F.lit(False))
     own = nested & (raw.startswith("self.") | raw.startswith("this."))
     # Both prefixes are five characters long.
     rest = F.when(own, F.substring(raw, 6, 1 << 30)).otherwise(raw)
@@ -291,19 +310,19 @@ def _candidates() -> Column:
     in_outer = F.concat_ws(".", outer, rest)
     in_all = F.concat_ws(".", F.array_join(containers, "."), rest)
 
-    def option(rule: int, space: str, key: Column, when: Column | None = None) -> Column:
-        entry = F.struct(F.lit(rule).alias("rule"), F.lit(space).alias("space"), key.alias("key"))
-        return entry if when is None else F.when(when, entry)
-
-    return F.array_compact(
-        F.array(
-            option(1, "binding", raw),
-            option(2, "qualified", in_outer, own),
-            option(3, "qualified", rest),
-            option(4, "qualified", in_all, nested & ~(own & (depth == 1))),
-            option(5, "qualified", in_outer, nested & ~own & (depth > 1)),
-            option(6, "simple", rest),
-        )
+    def option(key: Column, when: Column, rule: Column, imported: Column, simple: Column) -> Column:
+        entry = F.struct(
+            *NAME, key.alias("key"), rule.cast("int").alias("rule"),
+            imported.alias("imported_key"), simple.alias("simple_key"),
+        )
+        return F.when((raw != "") & when, entry)
+
+    yes, no = F.lit(True), F.lit(False)
+    return F.array(
+        option(raw, yes, F.when(~own, F.lit(3)), yes, ~own),
+        option(rest, own, F.lit(3), no, yes),
+        option(in_outer, own | (nested & (depth > 1)), F.when(own, F.lit(2)).otherwise(F.lit(5)), no, no),
+        option(in_all, nested & ~(own & (depth == 1)), F.lit(4), no, no),
     )
 
 
@@ -313,16 +332,32 @@ def resolve_names(refs: DataFrame, symbols: DataFrame, bindings: DataFrame) -> D
     Each distinct reference becomes its few candidate keys, all candidates meet one unique-keyed
     lookup in a single join, and the lowest rule wins. Nothing can multiply.
     """
-    keys = ["project", "file", "containers", "raw_name"]
-    distinct = refs.filter(F.col("raw_name") != "").select(*keys).distinct()
-    tried = distinct.select(*keys, F.explode(_candidates()).alias("c")).select(*keys, "c.*")
+    # The name goes through the candidates: the joins' filters on nulls would be moved before the distinct, which could
+    # then not be the same shuffle as that of `refs` where these are distinct.
+    tried = (
+        refs.select(*NAME).distinct()
+        .select(F.explode(_candidates()).alias("c"))
+        .filter(F.col("c").isNotNull())
+        .select("c.*")
+        .withColumn("at", _place())
+    )
+
+    def target(rule: Column | str, space: str) -> Column:
+        return F.struct(F.col(rule) if isinstance(rule, str) else rule, F.col(f"{space}.target_sid"))
+
+    hit = F.coalesce(
+        F.when(F.col("imported_key") & F.col("imported").isNotNull(), target(F.lit(1).alias("rule"), "imported")),
+        F.when(F.col("rule").isNotNull() & F.col("qualified").isNotNull(), target("rule", "qualified")),
+        F.when(F.col("simple_key") & F.col("simple").isNotNull(), F.col("simple")),
+    )
     hits = (
-        tried.join(grown(_lookups(symbols, bindings)), ["project", "file", "space", "key"])
-        .withColumn("rule", F.coalesce("simple_rule", "rule"))
-        .groupBy(*keys)
-        .agg(F.min(F.struct("rule", "target_sid")).alias("hit"))
+        tried.join(grown(_lookups(symbols, bindings)), ["at", "project", "file", "key"])
+        .select(*NAME, hit.alias("hit"))
+        .filter(F.col("hit").isNotNull())
+        .groupBy(*NAME)
+        .agg(F.min("hit").alias("hit"))
     )
-    resolved = refs.join(grown(hits), keys, "left")
+    resolved = refs.join(grown(hits), NAME, "left")
     return resolved.select(*refs.columns, "hit.target_sid", "hit.rule")
 
 

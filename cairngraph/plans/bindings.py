@@ -11,7 +11,7 @@ import re
 from pyspark.sql import DataFrame, SparkSession
 
 from cairngraph.operators.common import grown
-from cairngraph.session import cut
+from cairngraph.session import cut, stored
 
 BASE_TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages "
@@ -360,3 +360,8 @@ class Tables:
     def stored(self, name: str) -> DataFrame:
         """A binding written once, for jobs that scan it repeatedly."""
         return cut(getattr(self, name))
+
+    def keep(self, *names: str) -> None:
+        """Write bindings once as Parquet: what reads them from now on, other bindings too, reads the columns it asks for."""
+        for name in names:
+            setattr(self, name, stored(getattr(self, name)))

@@ -222,16 +222,19 @@ CASCADE = f"""
         left join lookup_s s on s.file = o.file and s.name = o.rest)"""
 
 
-def _references(t):
+def _references(t, *written: str):
     text = F.col("container_text")
     containers = F.when(text == "", F.array().cast("array<string>")).otherwise(F.split(text, r"\."))
-    return t.stored("refs").withColumns({"containers": containers, "type": F.col("edge_type")}).drop(
+    # References and imports come from the same definitions and edges.
+    t.keep("defs", "edges", *written)
+    return t.refs.withColumns({"containers": containers, "type": F.col("edge_type")}).drop(
         "container_text", "edge_type"
     )
 
 
 def _bindings(t):
-    resolved = resolve.resolve_python_modules(t.stored("py_imports"), t.code_files)
+    t.keep("py_imports")
+    resolved = resolve.resolve_python_modules(t.py_imports, t.code_files)
     return resolve.import_bindings(resolved, t.symbols)
 
 
@@ -241,7 +244,7 @@ def _bindings(t):
     "symbols refs bindings",
 )
 def name_resolution(t):
-    refs = _references(t).select("project", "file", "containers", "raw_name").distinct()
+    refs = _references(t).select(*resolve.NAME).distinct()
     found = resolve.resolve_names(refs, t.symbols, _bindings(t))
     return found.select(
         "file", F.array_join("containers", ".").alias("containers"), "raw_name", "target_sid", "rule"
@@ -265,7 +268,7 @@ EDGES_OF_REFS = f"""
     "symbols refs bindings",
 )
 def inheritance_edges(t):
-    refs = _references(t).filter("type = 'EXTENDS'")
+    refs = _references(t, "refs").filter("type = 'EXTENDS'")
     bases = refs.withColumnsRenamed(
         {"src_qname": "class_qname", "raw_name": "base_name", "type": "relation"}
     )
@@ -282,7 +285,7 @@ def inheritance_edges(t):
     "symbols refs bindings",
 )
 def call_edges(t):
-    refs = _references(t).filter("type = 'CALLS'")
+    refs = _references(t, "refs").filter("type = 'CALLS'")
     found = resolve.call_edges(refs, t.symbols, _bindings(t))
     return found.select("file", "source_sid", "target_sid", "type", "line")
 

@@ -1,5 +1,6 @@
 """Plans that keep their cost a row when tables grow, on rows written here."""
 
+from cairngraph.operators import resolve
 from cairngraph.plans import code_queries, search_queries
 from cairngraph.plans.bindings import Tables
 
@@ -42,3 +43,38 @@ def test_posting_lists_add_up_once(spark, tmp_path, capsys):
     assert got == {k: (",".join(map(str, v)), len(v)) for k, v in want.items()}
     found.explain()
     assert "slice(" not in capsys.readouterr().out
+
+
+def test_references_and_imports_share_their_edges(spark, tmp_path):
+    t = _parts_and_lines(spark, tmp_path)
+    found = code_queries.name_resolution(t)
+    assert {tuple(r) for r in found.select("raw_name", "rule").collect()} == {("C1", 3), ("C2", 3), ("C3", 3), ("self.C0", None)}
+    for frame in (t.edges, found):
+        assert not any("lineitem" in file for file in frame.inputFiles())
+
+
+def test_names_are_looked_up_once_per_key(spark, capsys):
+    """A name without containers is one key, however many name spaces it is tried in."""
+    symbol = "project string, file string, ord int, name string, qualified_name string, kind string, line int, language string, signature string, symbol_id string"
+    names = ["x", "C", "C.x", "C.D", "C.D.y", "C.D.x", "z", "C.z", "E.e"]
+    symbols = [("/p", "f", i, n.split(".")[-1], n, "function", 1, "python", "", n.upper()) for i, n in enumerate(names)]
+    symbols += [("/p", "g", 1, "x", "x", "function", 1, "python", "", "G"), ("/p", "f", 20, "lost", "lost", "function", 1, "python", "", None)]
+    bindings = [("/p", "f", "b", "B"), ("/p", "f", "z", "BOUND")]
+    wanted = [
+        ((), "z", "BOUND", 1), ((), "b", "B", 1), (("C",), "self.z", "C.Z", 2), (("C", "D"), "this.z", "C.Z", 2),
+        (("C", "D"), "self.x", "C.X", 2), ((), "x", "X", 3), (("E",), "self.x", "X", 3), ((), "lost", None, 3),
+        (("C",), "D", "C.D", 4), (("C", "D"), "y", "C.D.Y", 4), (("C", "Q"), "D", "C.D", 5), ((), "e", "E.E", 6),
+        ((), "self.z", None, None), ((), "", None, None), ((), None, None, None), (None, "x", None, None),
+    ]
+    refs = [("/p", "f", None if c is None else list(c), raw, i) for i, (c, raw, *_) in enumerate(wanted)]
+    refs += [(None, "f", [], "x", 98), ("/p", "f", [], "x", 99)]
+    refs = spark.createDataFrame(refs, "project string, file string, containers array<string>, raw_name string, ord int")
+    found = resolve.resolve_names(
+        refs, spark.createDataFrame(symbols, symbol), spark.createDataFrame(bindings, "project string, file string, binding_name string, target_sid string")
+    )
+    got = {r.ord: (r.target_sid, r.rule) for r in found.collect()}
+    assert got == {i: (sid, rule) for i, (_, _, sid, rule) in enumerate(wanted)} | {98: (None, None), 99: ("X", 3)}
+    keys = refs.filter("ord = 5").select(resolve.F.explode(resolve._candidates()).alias("c")).filter("c is not null")
+    assert keys.count() == 1
+    found.explain()
+    assert "lambdafunction" not in capsys.readouterr().out
