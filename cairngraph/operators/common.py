@@ -81,6 +81,15 @@ def grown(df: DataFrame) -> DataFrame:
     return df.hint("merge")
 
 
+def looked_up(df: DataFrame) -> DataFrame:
+    """`df`, unique by the join's keys, as the side that rows are looked up in: both sides are shuffled, none is broadcast.
+
+    Each task hashes its part of `df`, so the longer side is not sorted. Keys that repeat often belong in `grown`: a
+    hash table cannot spill.
+    """
+    return df.hint("shuffle_hash")
+
+
 def count_rows(df: DataFrame, name: str = "rows") -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias(name))
 

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cairngraph.functions import scalars as S
-from cairngraph.operators.common import first_by, grown, union_all
+from cairngraph.operators.common import first_by, grown, looked_up, union_all
 from cairngraph.schemas import SYMBOLS
 
 # The order in which suffixes are tried for an import without one.
@@ -69,12 +69,12 @@ def _first_existing(specs: DataFrame, files: DataFrame, imports: DataFrame) -> D
         "project", "folder", "module_spec", F.posexplode_outer("candidates").alias("priority", "path")
     )
     found = (
-        candidates.join(grown(files.select("project", "path").distinct()), ["project", "path"])
+        candidates.join(looked_up(files.select("project", "path").distinct()), ["project", "path"])
         .groupBy("project", "folder", "module_spec")
         .agg(F.min_by("path", "priority").alias("target_file"))
     )
     keyed = imports.withColumn("folder", _import_folder())
-    joined = keyed.join(grown(found), ["project", "folder", "module_spec"], "left")
+    joined = keyed.join(looked_up(found), ["project", "folder", "module_spec"], "left")
     supported = S.support_of(S.extension_of("target_file")) == "supported"
     return joined.select(
         *imports.columns, F.when(supported, F.col("target_file")).alias("target_file")
@@ -180,24 +180,25 @@ def import_bindings(resolved: DataFrame, symbols: DataFrame) -> DataFrame:
             "ord",
             "symbol_id",
         )
-        .groupBy("project", "target_file", "imported_name")
+        .groupBy("imported_name", "target_file", "project")
         .agg(F.min_by("symbol_id", "ord").alias("target_sid"))
     )
     by_name = bound.filter(F.col("form") == "from").join(
-        grown(names), ["project", "target_file", "imported_name"]
+        looked_up(names), ["project", "target_file", "imported_name"]
     )
     modules = symbols.filter(F.col("kind") == "module").select(
         "project", F.col("file").alias("target_file"), F.col("symbol_id").alias("target_sid")
     )
     whole = bound.filter(F.col("form").isin("module", "namespace")).join(
-        grown(modules), ["project", "target_file"]
+        looked_up(modules), ["project", "target_file"]
     )
     columns = ["project", "file", "binding_name", "ord", "target_sid"]
     return (
         by_name.select(*columns)
         .unionByName(whole.select(*columns))
-        .groupBy("project", "file", "binding_name")
+        .groupBy("binding_name", "file", "project")
         .agg(F.max_by("target_sid", "ord").alias("target_sid"))
+        .select("project", "file", "binding_name", "target_sid")
     )
 
 
@@ -248,9 +249,9 @@ NAME = ["raw_name", "containers", "file", "project"]
 
 
 def _lookups(symbols: DataFrame, bindings: DataFrame) -> DataFrame:
-    """(project, file, key, imported, qualified, simple): what each key of a file leads to.
+    """(project, file, key, space, at_rule, target_sid): what each key of a file leads to, one row per name space.
 
-    imported: the target of an imported name; qualified: that of a full name; simple: rule and target
+    imported: the target of an imported name; qualified: that of a full name; simple: target and rule
     of a name that only one symbol of the file has, or only one symbol at top level.
     """
     top = ~F.contains("qualified_name", F.lit("."))
@@ -264,33 +265,20 @@ def _lookups(symbols: DataFrame, bindings: DataFrame) -> DataFrame:
         )
         .filter((F.col("n") == 1) | (F.col("n_top") == 1))
         .select(
-            "project", "file", F.col("name").alias("key"),
-            F.struct(
-                F.when(F.col("n") == 1, F.lit(6)).otherwise(F.lit(7)).alias("rule"),
-                F.when(F.col("n") == 1, F.col("only")).otherwise(F.col("only_top")).alias("target_sid"),
-            ).alias("simple"),
+            "project", "file", F.col("name").alias("key"), F.lit("simple").alias("space"),
+            F.when(F.col("n") == 1, F.lit(6)).otherwise(F.lit(7)).alias("at_rule"),
+            F.when(F.col("n") == 1, F.col("only")).otherwise(F.col("only_top")).alias("target_sid"),
         )
     )
     qualified = _by_qualified(symbols).select(
-        "project", "file", F.col("qualified_name").alias("key"),
-        F.struct(F.col("symbol_id").alias("target_sid")).alias("qualified"),
+        "project", "file", F.col("qualified_name").alias("key"), F.lit("qualified").alias("space"),
+        F.lit(None).cast("int").alias("at_rule"), F.col("symbol_id").alias("target_sid"),
     )
     imported = bindings.select(
-        "project", "file", F.col("binding_name").alias("key"),
-        F.struct("target_sid").alias("imported"),
+        "project", "file", F.col("binding_name").alias("key"), F.lit("imported").alias("space"),
+        F.lit(1).alias("at_rule"), "target_sid",
     )
-    spaces = ["imported", "qualified", "simple"]
-    return (
-        union_all([simple, qualified, imported])
-        .withColumn("at", _place())
-        .groupBy("at", "project", "file", "key")
-        .agg(*[F.max(space).alias(space) for space in spaces])
-    )
-
-
-def _place() -> Column:
-    """A number in front of the join keys: sorts compare it instead of names that begin alike."""
-    return F.xxhash64("project", "file", "key")
+    return union_all([simple, qualified, imported])
 
 
 def _candidates() -> Column:
@@ -329,8 +317,8 @@ def _candidates() -> Column:
 def resolve_names(refs: DataFrame, symbols: DataFrame, bindings: DataFrame) -> DataFrame:
     """`refs` (project, file, containers, raw_name, ...) with `target_sid` and `rule`, or nulls.
 
-    Each distinct reference becomes its few candidate keys, all candidates meet one unique-keyed
-    lookup in a single join, and the lowest rule wins. Nothing can multiply.
+    Each distinct reference becomes its few candidate keys, all candidates meet one lookup in a
+    single join, and the lowest rule wins. A key has at most one row per name space there.
     """
     # The name goes through the candidates: the joins' filters on nulls would be moved before the distinct, which could
     # then not be the same shuffle as that of `refs` where these are distinct.
@@ -339,31 +327,26 @@ def resolve_names(refs: DataFrame, symbols: DataFrame, bindings: DataFrame) -> D
         .select(F.explode(_candidates()).alias("c"))
         .filter(F.col("c").isNotNull())
         .select("c.*")
-        .withColumn("at", _place())
     )
 
-    def target(rule: Column | str, space: str) -> Column:
-        return F.struct(F.col(rule) if isinstance(rule, str) else rule, F.col(f"{space}.target_sid"))
-
-    hit = F.coalesce(
-        F.when(F.col("imported_key") & F.col("imported").isNotNull(), target(F.lit(1).alias("rule"), "imported")),
-        F.when(F.col("rule").isNotNull() & F.col("qualified").isNotNull(), target("rule", "qualified")),
-        F.when(F.col("simple_key") & F.col("simple").isNotNull(), F.col("simple")),
+    space = F.col("space")
+    rule = (
+        F.when(space == "qualified", F.col("rule"))
+        .when((space == "imported") & F.col("imported_key"), F.col("at_rule"))
+        .when((space == "simple") & F.col("simple_key"), F.col("at_rule"))
     )
+    hit = F.when(rule.isNotNull(), F.struct(rule.alias("rule"), "target_sid"))
     hits = (
-        tried.join(grown(_lookups(symbols, bindings)), ["at", "project", "file", "key"])
+        tried.join(looked_up(_lookups(symbols, bindings)), ["project", "file", "key"])
         .select(*NAME, hit.alias("hit"))
         .filter(F.col("hit").isNotNull())
         .groupBy(*NAME)
         .agg(F.min("hit").alias("hit"))
     )
-    resolved = refs.join(grown(hits), NAME, "left")
+    resolved = refs.join(looked_up(hits), NAME, "left")
     return resolved.select(*refs.columns, "hit.target_sid", "hit.rule")
 
 
-_REFERENCE = ["project", "file", "src_qname", "type", "containers", "raw_name"]
-
-
 def base_references(bases: DataFrame) -> DataFrame:
     return bases.select(
         "project", "file", F.col("class_qname").alias("src_qname"), F.col("relation").alias("type"),
@@ -383,16 +366,15 @@ def reference_edges(refs: DataFrame, symbols: DataFrame, bindings: DataFrame) ->
 
     A symbol that calls itself gives no edge.
     """
-    once = refs.groupBy(*_REFERENCE).agg(F.min(F.struct("ord", "line")).alias("first"))
-    found = resolve_names(once, symbols, bindings).filter(F.col("target_sid").isNotNull())
+    found = resolve_names(refs, symbols, bindings).filter(F.col("target_sid").isNotNull())
     sources = _by_qualified(symbols).withColumnsRenamed(
         {"qualified_name": "src_qname", "symbol_id": "source_sid"}
     )
     return (
-        found.join(grown(sources), ["project", "file", "src_qname"])
+        found.join(looked_up(sources), ["project", "file", "src_qname"])
         .filter((F.col("type") != "CALLS") | (F.col("source_sid") != F.col("target_sid")))
         .groupBy("project", "file", "source_sid", "target_sid", "type")
-        .agg(F.min("first").alias("first"))
+        .agg(F.min(F.struct("ord", "line")).alias("first"))
         .select("project", "file", "first.ord", "source_sid", "target_sid", "type", "first.line")
     )
 

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from cairngraph.operators import facts, resolve
 from cairngraph.plans.index_job import index_project, index_projects
 from cairngraph.plans.registry import query
-from cairngraph.session import cut
+from cairngraph.session import cut, stored
 
 
 def source_files(t, broken: bool = False):
@@ -222,11 +222,12 @@ CASCADE = f"""
         left join lookup_s s on s.file = o.file and s.name = o.rest)"""
 
 
-def _references(t, *written: str):
+def _references(t):
     text = F.col("container_text")
     containers = F.when(text == "", F.array().cast("array<string>")).otherwise(F.split(text, r"\."))
+    t.edges = t.edges.select("src", "dst", "edge_type", "line")
     # References and imports come from the same definitions and edges.
-    t.keep("defs", "edges", *written)
+    t.keep("defs", "edges")
     return t.refs.withColumns({"containers": containers, "type": F.col("edge_type")}).drop(
         "container_text", "edge_type"
     )
@@ -268,7 +269,7 @@ EDGES_OF_REFS = f"""
     "symbols refs bindings",
 )
 def inheritance_edges(t):
-    refs = _references(t, "refs").filter("type = 'EXTENDS'")
+    refs = _references(t).filter("type = 'EXTENDS'")
     bases = refs.withColumnsRenamed(
         {"src_qname": "class_qname", "raw_name": "base_name", "type": "relation"}
     )
@@ -285,7 +286,7 @@ def inheritance_edges(t):
     "symbols refs bindings",
 )
 def call_edges(t):
-    refs = _references(t, "refs").filter("type = 'CALLS'")
+    refs = stored(_references(t).filter("type = 'CALLS'"))
     found = resolve.call_edges(refs, t.symbols, _bindings(t))
     return found.select("file", "source_sid", "target_sid", "type", "line")
 
