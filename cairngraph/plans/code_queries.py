@@ -222,10 +222,12 @@ CASCADE = f"""
         left join lookup_s s on s.file = o.file and s.name = o.rest)"""
 
 
-def _references(t):
+def _references(t, *types: str):
+    """The references; with `types` those of other edges are left out and `ord` does not count them."""
     text = F.col("container_text")
     containers = F.when(text == "", F.array().cast("array<string>")).otherwise(F.split(text, r"\."))
-    t.edges = t.edges.select("src", "dst", "edge_type", "line")
+    edges = t.edges.filter(F.col("edge_type").isin(*types)) if types else t.edges
+    t.edges = edges.select("src", "dst", "edge_type", "line")
     # References and imports come from the same definitions and edges.
     t.keep("defs", "edges")
     return t.refs.withColumns({"containers": containers, "type": F.col("edge_type")}).drop(
@@ -269,7 +271,8 @@ EDGES_OF_REFS = f"""
     "symbols refs bindings",
 )
 def inheritance_edges(t):
-    refs = _references(t).filter("type = 'EXTENDS'")
+    # Which reference is an edge's first is not asked for: calls need not be there to be counted.
+    refs = _references(t, "EXTENDS", "IMPORTS").filter("type = 'EXTENDS'")
     bases = refs.withColumnsRenamed(
         {"src_qname": "class_qname", "raw_name": "base_name", "type": "relation"}
     )
