@@ -343,7 +343,8 @@ def resolve_names(refs: DataFrame, symbols: DataFrame, bindings: DataFrame) -> D
         .groupBy(*NAME)
         .agg(F.min("hit").alias("hit"))
     )
-    resolved = refs.join(looked_up(hits), NAME, "left")
+    # Hits grow with the references and come sorted by name: a merge join can spill them.
+    resolved = refs.join(grown(hits), NAME, "left")
     return resolved.select(*refs.columns, "hit.target_sid", "hit.rule")
 
 
