@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from cairngraph.llm import ann, bpe, jaccard, language, packing, perplexity, quality_rules, secrets, substring, toxicity
-from cairngraph.llm.common import components, hash_sample
+from cairngraph.llm.common import components, hash_sample, small_batches
 
 BYTE, WORD = (public_tokenizers.path(f) for f in ("byte_bpe_50k.json", "word_bpe_49k.json"))
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
@@ -632,3 +632,102 @@ def test_secrets_dictionary_is_that_of_all_texts(spark):
     docs = docs.union(spark.createDataFrame([(5, "x lanternonly y"), (6, "lanternonly")], docs.schema))
     made = secrets.features(secrets.candidates(docs), secrets.dictionary(docs)).collect()
     assert [(r.value, r.dictionary) for r in made] == [("lanternonly99887766", 11 / 19)]
+
+
+def most_memory(step, batches):
+    """MB that a step over batches held at once, beyond its input."""
+    import tracemalloc
+
+    tracemalloc.start()
+    try:
+        for _ in step(iter(batches)):
+            pass
+        return tracemalloc.get_traced_memory()[1] / 1e6
+    finally:
+        tracemalloc.stop()
+
+
+def test_perplexity_steps_hold_little():
+    """A task's memory follows neither the length of a batch nor that of a block."""
+    rng = np.random.default_rng(3)
+    texts = [" ".join("".join(chr(97 + int(c)) for c in str(n)) for n in line) for line in rng.integers(10_000, 40_000, (1200, 600))]
+    batch = pa.record_batch({"doc_id": pa.array(range(1200), pa.int64()), "text": texts, "lang": ["en"] * 1200, "split": pa.array([0] * 1200, pa.int64())})
+    assert batch.column("text").nbytes > 2.5 * perplexity.BLOCK_BYTES
+    v = perplexity.Vocabulary(rng.integers(1, 1 << 62, perplexity.SIZE - 2), 100.0)
+    for step in (perplexity._word_counts, perplexity._encoded(v), perplexity._asked(v, 4)):
+        assert most_memory(step, [batch]) < 32
+    lines = pa.record_batch({"line": pa.array([rng.integers(0, 60, 1000).astype("<u2").tobytes() for _ in range(3000)], pa.binary())})
+    assert most_memory(perplexity._counted(4), [lines]) < 48
+
+
+def test_perplexity_counts_in_pieces(monkeypatch):
+    """Counts that a task passes on in several rows add up to those of all its lines."""
+    from collections import Counter
+
+    rng = np.random.default_rng(4)
+    lines = [rng.integers(0, 30, n).astype("<u2") for n in [0, 1, 2, *rng.integers(3, 60, 200).tolist()]]
+    expected = Counter(g for x in lines for g in zip([1, 1, *x.tolist()], [1, *x.tolist()], x.tolist(), strict=False))
+    batch = pa.record_batch({"line": pa.array([x.tobytes() for x in lines], pa.binary())})
+    monkeypatch.setattr(perplexity, "HELD", 300)
+    monkeypatch.setattr(perplexity, "LINE_BYTES", 500)
+    pieces = pa.Table.from_batches(perplexity._counted(3)(iter([batch.slice(0, 90), batch.slice(90)])))
+    assert len(pieces) > 9
+    found = {}
+    for shard in range(3):
+        (merged,) = perplexity._merged(pieces.filter(pa.compute.equal(pieces["shard"], shard)))
+        grams, ns = perplexity.unpacked_sorted(merged.column("grams")[0].as_py()), perplexity.unpacked(merged.column("ns")[0].as_py())
+        assert not found.keys() & set(grams.tolist())
+        found |= dict(zip(grams.tolist(), ns.tolist(), strict=True))
+    assert found == {a << 24 | b << 12 | c: n for (a, b, c), n in expected.items()}
+
+
+def test_perplexity_answers_a_shard_as_it_comes():
+    """What is asked of a shard is answered batch by batch, not held until the shard ends; a shard without counts knows none of the last one's."""
+
+    class Sent:
+        value = perplexity.lower_orders(np.array([5 << 12 | 6]), np.array([2]))
+
+    gram = np.array([4 << 24 | 5 << 12 | 6])
+    packed = perplexity.packed_sorted(gram), perplexity.packed(np.zeros(1, np.int64))
+    row = lambda shard, kind, block: pa.record_batch(
+        {"shard": [shard], "kind": pa.array([kind], pa.int8()), "block": [block], "grams": [packed[0]], "ns": [perplexity.packed(np.array([3])) if kind == 0 else packed[1]]}
+    )
+    taken = []
+    batches = (taken.append(i) or row(*r) for i, r in enumerate([(0, 0, 0), (0, 1, 1), (0, 1, 2), (1, 1, 3)]))
+    answers = perplexity._answered(np.array([0.0, 0.5, 0.5, 0.5]), Sent, 1.0)(batches)
+    first = next(answers)
+    assert taken == [0, 1] and first.column("block").to_pylist() == [1]
+    sums = [np.frombuffer(x.column("sums")[0].as_py(), "<f4")[0] for x in [first, *answers]]
+    p = perplexity.lower(Sent.value, np.array([5 << 12 | 6]), 1.0)[0]
+    assert np.allclose(sums, np.log([2.5 / 3 + 0.5 / 3 * p] * 2 + [p]), rtol=1e-5)
+
+
+def test_perplexity_lower_orders_take_the_room_of_seen_pairs():
+    rng = np.random.default_rng(5)
+    pair = rng.permutation(np.unique(np.concatenate([[0, 63, 64, perplexity.SIZE**2 - 1], rng.integers(0, 1 << 18, 40_000), rng.integers(0, 1 << 24, 40_000)])))
+    n = rng.geometric(0.5, len(pair))
+    orders = perplexity.lower_orders(pair, n)
+    assert sum(x.nbytes for x in orders) < 5e6
+    first, second = pair >> 12, pair & 4095
+    d = perplexity.discounts([int((n == k).sum()) for k in range(1, 5)])[np.minimum(n, 3)]
+    total, left = np.bincount(first, n, 4096), np.bincount(first, d, 4096)
+    one = (1 - perplexity.LEAST) * np.bincount(second, minlength=4096) / len(pair) + perplexity.LEAST / 4096
+    dense = np.where(total > 0, left / np.maximum(total, 1), 1.0)[:, None] * one
+    dense[first, second] += (n - d) / total[first]
+    dense[:, 0] /= 50.0
+    assert np.allclose(perplexity.lower(orders, np.arange(1 << 24), 50.0), dense.ravel(), rtol=1e-5, atol=0)
+    none = perplexity.lower_orders(pair[:0], n[:0])
+    assert np.allclose(perplexity.lower(none, pair[:9], 1.0), 1 / 4096)
+
+
+def test_small_batches(spark):
+    """Batches are short inside, and the setting is as before after it, also after an error."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key)
+    wide = spark.range(0, 2000, 1, 1).select(F.repeat(F.lit("x"), 5000).alias("x"))
+    sizes = lambda: [r.n for r in wide.mapInArrow(lambda bs: (pa.record_batch({"n": [b.nbytes]}) for b in bs), "n long").collect()]
+    with pytest.raises(ZeroDivisionError), small_batches(spark, 1_000_000):
+        inside = sizes()
+        assert 1 / 0
+    assert max(inside) < 2_000_000 and sum(inside) >= 10_000_000
+    assert spark.conf.get(key) == before and len(sizes()) == 1
