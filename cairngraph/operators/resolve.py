@@ -6,6 +6,7 @@ References are reduced to distinct names before they are looked up.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -400,15 +401,16 @@ def all_edges(
     resolved: DataFrame,
     bases: DataFrame,
     calls: DataFrame,
+    step: Callable[[DataFrame], DataFrame] = lambda rows: rows,
 ) -> DataFrame:
-    """Every relation of the code base from its facts, deduplicated."""
+    """Every relation of the code base from its facts, deduplicated. `step` may store what the next steps read."""
     modules = symbols.filter(F.col("kind") == "module")
-    bindings = import_bindings(resolved, symbols)
+    bindings = step(import_bindings(resolved, symbols))
     # Bases and calls run through the cascade together.
     refs = base_references(bases).unionByName(call_references(calls))
     parts = [
         import_edges(resolved, modules),
-        contains_edges(symbols),
-        reference_edges(refs, symbols, bindings),
+        step(contains_edges(symbols)),
+        step(reference_edges(refs, symbols, bindings)),
     ]
     return dedupe_edges(reduce(DataFrame.unionByName, parts))

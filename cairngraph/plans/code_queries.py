@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from cairngraph.operators import facts, resolve
 from cairngraph.plans.index_job import index_project, index_projects
 from cairngraph.plans.registry import query
-from cairngraph.session import cut, stored
+from cairngraph.session import compact, cut, stored
 
 
 def source_files(t, broken: bool = False):
@@ -385,11 +385,11 @@ def index_runs(t):
 )
 def settled_generations(t):
     """Two runs over five projects. The second loses a row of project 1 while writing, so this one keeps its first generation."""
-    files = cut(several_projects(t))
+    files = compact(several_projects(t))
     first, _ = index_projects(t.spark, files, now="1")
 
     def lossy(name, rows):
-        rows = cut(rows)
+        rows = compact(rows)
         if name != "nodes":
             return rows
         lost = rows.filter("project_path = '/code/1'").agg(F.min("id")).head()[0]

@@ -19,10 +19,9 @@ from cairngraph.functions import scalars as S
 from cairngraph.operators import facts as facts_ops
 from cairngraph.operators import lifecycle, resolve
 from cairngraph.operators.common import grown
-from cairngraph.operators.graph import valid_edges
 from cairngraph.operators.rollup import index_reports
 from cairngraph.operators.tables import upsert
-from cairngraph.session import cut
+from cairngraph.session import compact, cut, freed_shuffles, scratch
 from cairngraph.sources.files import scan_files, scan_projects, scan_report
 
 Tables = dict[str, DataFrame]
@@ -73,8 +72,9 @@ def index_projects(
     wanted = scans.filter("outcome = 'ok'")
     gens = cut(lifecycle.create_generations(tables["generations"], wanted, now))
     try:
-        stored, outcomes = _run(tables, files, wanted, now, exts, max_files, facts, write or (lambda name, rows: cut(rows)))
-        gens = cut(lifecycle.settle(gens, stored["nodes"], stored["edges"], outcomes))
+        with freed_shuffles(spark):
+            stored, outcomes = _run(tables, files, wanted, now, exts, max_files, facts, write or (lambda name, rows: compact(rows)))
+            gens = cut(lifecycle.settle(gens, stored["nodes"], stored["edges"], outcomes))
     except Exception as error:
         tables["generations"] = cut(lifecycle.fail_building(gens, now, str(error)[:1000]))
         raise IndexRunFailed(f"the run at {now} stopped: {error}", tables) from error
@@ -103,31 +103,36 @@ def _run(tables, files, wanted, now, exts, max_files, extra, write) -> tuple[Tab
     """(tables with the new rows, what the facts of each project hold)."""
     files = files.join(wanted.select("project"), "project", "left_semi").select(*files.columns)
     scanned = scan_files(files, exts, max_files).select("project", "path", "length", "content")
-    defs, imports, bases, calls, errors = facts_ops.extract_facts(scanned, spark_parallelism(files))
-    healthy = facts_ops.healthy_files(scanned, errors).select("project", "path")
-    resolved = resolve.resolve_python_modules(imports, files)
-    if extra:
-        defs = defs.unionByName(extra["defs"])
-        bases = bases.unionByName(extra["bases"])
-        calls = calls.unionByName(extra["calls"])
-        resolved = resolved.unionByName(resolve.resolve_js_modules(extra["imports"], files))
-    symbols = cut(resolve.all_symbols(healthy, defs))
-    edges = cut(resolve.all_edges(symbols, cut(resolved), bases, calls))
+    n = F.count(F.lit(1))
+    with scratch(files.sparkSession) as keep:
+        defs, imports, bases, calls, errors = facts_ops.split_facts(keep(facts_ops.facts_table(scanned, spark_parallelism(files))))
+        healthy = facts_ops.healthy_files(scanned, errors).select("project", "path")
+        resolved = resolve.resolve_python_modules(imports, files)
+        if extra:
+            defs = defs.unionByName(extra["defs"])
+            bases = bases.unionByName(extra["bases"])
+            calls = calls.unionByName(extra["calls"])
+            resolved = resolved.unionByName(resolve.resolve_js_modules(extra["imports"], files))
+        symbols = compact(resolve.all_symbols(healthy, defs))
+        edges = compact(resolve.all_edges(symbols, keep(resolved), bases, calls, keep))
+        skipped = cut(errors.select("project", "file").distinct().groupBy("project").agg(n.alias("skipped")))
     generation = S.generation_id(F.col("project"), F.lit(now))
     fresh_nodes = write("nodes", lifecycle.symbol_nodes(symbols, generation).dropDuplicates(["id"]))
-    # edges are unique by now, so the ids are too
-    fresh_edges = write("edges", valid_edges(lifecycle.symbol_edges(edges, generation), fresh_nodes))
+    # both ends are looked up before an edge has its long ids; edges are unique by now, so the ids are too
+    whole = edges.select("project", "source_sid", "target_sid", "type", "line")
+    for end in ("source_sid", "target_sid"):
+        whole = whole.join(grown(fresh_nodes.select("id")), S.node_id(generation, F.col(end)) == F.col("id"), "left_semi")
+    fresh_edges = write("edges", lifecycle.symbol_edges(whole, generation))
     stored = dict(tables)
-    stored["nodes"] = upsert(tables["nodes"], fresh_nodes, ["id"])
+    # an id is written once, whatever order would choose
+    stored["nodes"] = upsert(tables["nodes"], fresh_nodes, ["id"], ["id"])
     stored["edges"] = tables["edges"].join(grown(fresh_edges.select("id")), "id", "left_anti").unionByName(fresh_edges)
-    n = F.count(F.lit(1))
     by_symbol = symbols.groupBy("project").agg(F.count_distinct("symbol_id").alias("symbols"), n.alias("__all"))
     # counted on the facts, whatever becomes of the tables
     ids = grown(symbols.select("symbol_id").distinct())
     whole = edges.join(ids.withColumnRenamed("symbol_id", "source_sid"), "source_sid", "left_semi")
     whole = whole.join(ids.withColumnRenamed("symbol_id", "target_sid"), "target_sid", "left_semi")
     by_edge = whole.groupBy("project").agg(n.alias("edges"))
-    skipped = errors.select("project", "file").distinct().groupBy("project").agg(n.alias("skipped"))
     zero = F.lit(0).cast("bigint")
     unreadable = F.when(
         F.col("skipped") == F.col("supported_files"), F.concat(F.lit("none of the files could be read in "), F.col("project"))

@@ -1,5 +1,7 @@
 """Code-graph fixtures: symbols, edges, index runs, search and impact."""
 
+from pathlib import Path
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -9,7 +11,7 @@ from cairngraph.operators.facts import file_facts
 from cairngraph.operators.search import search
 from cairngraph.plans.index_job import IndexRunFailed, generation_key, index_project, index_projects
 from cairngraph.schemas import FILES, SYMBOLS
-from cairngraph.session import cut
+from cairngraph.session import compact, cut, scratch
 
 PROJECT = "/proj"
 
@@ -259,6 +261,28 @@ def test_lost_rows_and_errors_fail_the_generation(spark, rows):
     assert gens.filter("created_at = '3'").head()["error"] == "disk full"
 
 
+def test_a_run_keeps_little_on_disk(spark, rows, tmp_path):
+    """Rows are stored compressed, what only the run needs goes with it, and shuffle files go with each of its queries."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    shared, before, seen = spark.conf.get("spark.checkpoint.dir"), spark.conf.get(key), []
+
+    def watched(name, frame):
+        seen.append(spark.conf.get(key))
+        return compact(frame)
+
+    first, _ = index_projects(spark, files_of(spark, {"u.py": UTIL}, "/a"), now="1")
+    second, _ = index_projects(spark, files_of(spark, {"u.py": UTIL}, "/a"), first, now="2", write=watched)
+    for tables in (first, second):
+        assert all(tables[t].inputFiles() and all(f.endswith(".zstd.parquet") for f in tables[t].inputFiles()) for t in ("nodes", "edges"))
+    assert seen == ["true"] * 2 and spark.conf.get(key) == before
+    with pytest.raises(ValueError), scratch(spark) as keep:
+        kept = keep(first["nodes"])
+        assert kept.count() == first["nodes"].count() and len(list(Path(shared).glob("scratch-*"))) == 1
+        raise ValueError
+    assert not list(Path(shared).glob("scratch-*"))
+    assert rows(second["generations"], "created_at", "status") == [("1", "gc"), ("2", "active")]
+
+
 def test_equal_definitions_are_one_symbol(spark, rows):
     text = "def f(a):\n    return 1\n\ndef f(a):\n    return g()\n\ndef g():\n    return f(2)\n"
     tables, report = index_project(spark, files_of(spark, {"twice.py": text}), now="t")
