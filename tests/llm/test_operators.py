@@ -548,6 +548,67 @@ def test_perplexity_by_definition(spark, monkeypatch, shards):
         assert math.isclose(r.perplexity, math.exp(-logp / len(gs)), rel_tol=1e-4)
 
 
+@pytest.mark.parametrize("shards", [1, 5])
+def test_perplexity_counts_all_words_as_themselves(spark, monkeypatch, shards):
+    """Words without a number, and those without a rank, are words of the model: Kneser-Ney over all of them, written out."""
+    import math
+    from collections import Counter, defaultdict
+
+    from cairngraph.llm import text
+
+    monkeypatch.setattr(perplexity, "BLOCK_BYTES", 700)
+    monkeypatch.setattr(perplexity, "HELD", 300)
+    rng = random.Random(8)
+    letters = lambda t: t.translate(str.maketrans("0123456789", "abcdefghij"))
+    trusted = [letters(words(rng, 30, 60)) + rng.choice(["", ".", " - wa!"]) for _ in range(60)]
+    others = ["zq! wb wc", "wd  we\n9", "", " ", None, "wb", "?? zz " * 400, *[letters(words(rng, 20, 90)) for _ in range(20)]]
+    df = spark.createDataFrame([(i, t, "en") for i, t in enumerate([*trusted, *others])], "doc_id long, text string, lang string").repartition(3)
+    often = [w for w, _ in sorted(Counter(w for t in trusted for w in split_tokens(t)).items(), key=lambda x: (-x[1], x[0]))]
+    hashes = text.words(pa.array([" ".join(often)]), True, True).hash
+    assert len(often) > 40
+    v = perplexity.Vocabulary(hashes[:12], len(often) - 12, hashes[12:30])
+    encoded = df.filter("doc_id < 60").select("doc_id", "text").mapInArrow(perplexity._encoded(v, True), "doc_id long, line binary, rare binary")
+    counts, d, orders, rest = perplexity.whole_model(encoded, v, shards)
+    edge = "<edge>"
+    line = lambda t: [edge, edge, *split_tokens(t), edge]
+    grams = lambda t: [tuple(line(t)[i : i + 3]) for i in range(len(line(t)) - 2)] if split_tokens(t) else []
+    c3 = Counter(g for t in trusted for g in grams(t))
+    c2 = Counter(g[1:] for g in c3)
+    c1 = Counter(g[1:] for g in c2)
+
+    def discount(c):
+        n = [sum(x == k for x in c.values()) for k in range(1, 5)]
+        y = n[0] / (n[0] + 2 * n[1]) if n[0] + n[1] else 0.5
+        return [min(max(k - (k + 1) * y * n[k] / n[k - 1] if n[k - 1] else 0.5, 0.05), k - 0.05) for k in (1, 2, 3)]
+
+    def order(c):
+        held = defaultdict(dict)
+        for g, x in c.items():
+            held[g[:-1]][g[-1]] = x
+        ds = discount(c)
+        return held, lambda x: ds[min(x, 3) - 1]
+
+    def prob(c, gram, lower):
+        held, cut = c[0].get(gram[:-1]), c[1]
+        if not held:
+            return lower
+        own = held[gram[-1]] - cut(held[gram[-1]]) if gram[-1] in held else 0
+        return (own + sum(map(cut, held.values())) * lower) / sum(held.values())
+
+    o3, o2, o1 = order(c3), order(c2), order(c1)
+    assert np.allclose(d[1:], discount(c3))
+    found = perplexity.perplexities(df, counts, d, orders, v, shards, rest).collect()
+    assert len(found) == 87
+    for r in found:
+        gs = grams([*trusted, *others][r.doc_id] or "")
+        assert r.n_tokens == len(gs)
+        if not gs:
+            assert r.perplexity is None
+            continue
+        logp = sum(math.log(prob(o3, g, prob(o2, g[1:], prob(o1, g[2:], 1 / (len(often) + 1))))) for g in gs)
+        assert math.isclose(r.perplexity, math.exp(-logp / len(gs)), rel_tol=1e-4)
+
+
 def test_perplexity_counts_unknown_words_and_packs_numbers(spark, monkeypatch):
     monkeypatch.setattr(perplexity, "HELD", 12_000)
     rng = random.Random(4)
