@@ -99,6 +99,12 @@ def spark_parallelism(df: DataFrame) -> int:
     return df.sparkSession.sparkContext.defaultParallelism
 
 
+def _written(name: str, write, rows: DataFrame) -> DataFrame:
+    """What `write` made of the rows; stored where it still reads what goes with the run."""
+    found = write(name, rows)
+    return compact(found) if any("/scratch-" in file for file in found.inputFiles()) else found
+
+
 def _run(tables, files, wanted, now, exts, max_files, extra, write) -> tuple[Tables, DataFrame]:
     """(tables with the new rows, what the facts of each project hold)."""
     files = files.join(wanted.select("project"), "project", "left_semi").select(*files.columns)
@@ -113,40 +119,40 @@ def _run(tables, files, wanted, now, exts, max_files, extra, write) -> tuple[Tab
             bases = bases.unionByName(extra["bases"])
             calls = calls.unionByName(extra["calls"])
             resolved = resolved.unionByName(resolve.resolve_js_modules(extra["imports"], files))
-        symbols = compact(resolve.all_symbols(healthy, defs))
-        edges = compact(resolve.all_edges(symbols, keep(resolved), bases, calls, keep))
-        skipped = cut(errors.select("project", "file").distinct().groupBy("project").agg(n.alias("skipped")))
-    generation = S.generation_id(F.col("project"), F.lit(now))
-    fresh_nodes = write("nodes", lifecycle.symbol_nodes(symbols, generation).dropDuplicates(["id"]))
-    # both ends are looked up before an edge has its long ids; edges are unique by now, so the ids are too
-    whole = edges.select("project", "source_sid", "target_sid", "type", "line")
-    for end in ("source_sid", "target_sid"):
-        whole = whole.join(grown(fresh_nodes.select("id")), S.node_id(generation, F.col(end)) == F.col("id"), "left_semi")
-    fresh_edges = write("edges", lifecycle.symbol_edges(whole, generation))
-    stored = dict(tables)
-    # an id is written once, whatever order would choose
-    stored["nodes"] = upsert(tables["nodes"], fresh_nodes, ["id"], ["id"])
-    stored["edges"] = tables["edges"].join(grown(fresh_edges.select("id")), "id", "left_anti").unionByName(fresh_edges)
-    by_symbol = symbols.groupBy("project").agg(F.count_distinct("symbol_id").alias("symbols"), n.alias("__all"))
-    # counted on the facts, whatever becomes of the tables
-    ids = grown(symbols.select("symbol_id").distinct())
-    whole = edges.join(ids.withColumnRenamed("symbol_id", "source_sid"), "source_sid", "left_semi")
-    whole = whole.join(ids.withColumnRenamed("symbol_id", "target_sid"), "target_sid", "left_semi")
-    by_edge = whole.groupBy("project").agg(n.alias("edges"))
-    zero = F.lit(0).cast("bigint")
-    unreadable = F.when(
-        F.col("skipped") == F.col("supported_files"), F.concat(F.lit("none of the files could be read in "), F.col("project"))
-    )
-    outcomes = (
-        wanted.join(skipped, "project", "left").join(by_symbol, "project", "left").join(by_edge, "project", "left")
-        .select(
-            generation.alias("generation_id"),
-            F.col("project").alias("project_path"),
-            F.coalesce("symbols", zero).alias("symbols"),
-            F.coalesce("edges", zero).alias("edges"),
-            F.coalesce("skipped", zero).alias("skipped"),
-            unreadable.alias("error"),
-            (F.coalesce("__all", zero) - F.coalesce("symbols", zero)).alias("duplicate_symbols"),
+        symbols = keep(resolve.all_symbols(healthy, defs))
+        edges = keep(resolve.all_edges(symbols, keep(resolved), bases, calls, keep))
+        skipped = errors.select("project", "file").distinct().groupBy("project").agg(n.alias("skipped"))
+        generation = S.generation_id(F.col("project"), F.lit(now))
+        fresh_nodes = _written("nodes", write, lifecycle.symbol_nodes(symbols, generation).dropDuplicates(["id"]))
+        # both ends are looked up before an edge has its long ids; edges are unique by now, so the ids are too
+        whole = edges.select("project", "source_sid", "target_sid", "type", "line")
+        for end in ("source_sid", "target_sid"):
+            whole = whole.join(grown(fresh_nodes.select("id")), S.node_id(generation, F.col(end)) == F.col("id"), "left_semi")
+        fresh_edges = _written("edges", write, lifecycle.symbol_edges(whole, generation))
+        stored = dict(tables)
+        # an id is written once, whatever order would choose
+        stored["nodes"] = upsert(tables["nodes"], fresh_nodes, ["id"], ["id"])
+        stored["edges"] = tables["edges"].join(grown(fresh_edges.select("id")), "id", "left_anti").unionByName(fresh_edges)
+        by_symbol = symbols.groupBy("project").agg(F.count_distinct("symbol_id").alias("symbols"), n.alias("__all"))
+        # counted on the facts, whatever becomes of the tables
+        ids = grown(symbols.select("symbol_id").distinct())
+        whole = edges.join(ids.withColumnRenamed("symbol_id", "source_sid"), "source_sid", "left_semi")
+        whole = whole.join(ids.withColumnRenamed("symbol_id", "target_sid"), "target_sid", "left_semi")
+        by_edge = whole.groupBy("project").agg(n.alias("edges"))
+        zero = F.lit(0).cast("bigint")
+        unreadable = F.when(
+            F.col("skipped") == F.col("supported_files"), F.concat(F.lit("none of the files could be read in "), F.col("project"))
+        )
+        outcomes = (
+            wanted.join(skipped, "project", "left").join(by_symbol, "project", "left").join(by_edge, "project", "left")
+            .select(
+                generation.alias("generation_id"),
+                F.col("project").alias("project_path"),
+                F.coalesce("symbols", zero).alias("symbols"),
+                F.coalesce("edges", zero).alias("edges"),
+                F.coalesce("skipped", zero).alias("skipped"),
+                unreadable.alias("error"),
+                (F.coalesce("__all", zero) - F.coalesce("symbols", zero)).alias("duplicate_symbols"),
+            )
         )
-    )
-    return stored, cut(outcomes)
+        return stored, cut(outcomes)

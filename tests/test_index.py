@@ -275,6 +275,8 @@ def test_a_run_keeps_little_on_disk(spark, rows, tmp_path):
     for tables in (first, second):
         assert all(tables[t].inputFiles() and all(f.endswith(".zstd.parquet") for f in tables[t].inputFiles()) for t in ("nodes", "edges"))
     assert seen == ["true"] * 2 and spark.conf.get(key) == before
+    third, _ = index_projects(spark, files_of(spark, {"u.py": UTIL}, "/a"), second, now="3", write=lambda name, frame: frame)
+    assert third["nodes"].count() == 3 * first["nodes"].count() and third["edges"].count() == 3 * first["edges"].count()
     with pytest.raises(ValueError), scratch(spark) as keep:
         kept = keep(first["nodes"])
         assert kept.count() == first["nodes"].count() and len(list(Path(shared).glob("scratch-*"))) == 1
